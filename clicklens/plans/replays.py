@@ -1,5 +1,112 @@
-"""Streaming twins of the batch queries (filled in below)."""
+"""Registered streaming twins: replay the ad log as a stream and read the sink back.
+
+Each callable encodes the ad log of the tables as wire lines, writes them as several text files
+below the cluster's shared checkpoint folder, and runs the streaming job with ``availableNow`` and
+``maxFilesPerTrigger`` so the log arrives in several micro-batches *out of event order* (every file
+holds clicks of every day). The result must equal the batch twin -- and therefore the same oracle
+SQL -- whatever the split. The rows the stream read are checked against the rows written, so an
+empty or partly dropped stream cannot pass.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from clicklens.plans.oracle import THRESHOLD
+from clicklens.session import shared_dir
+from clicklens.sources import adlines, tables
+from clicklens.streaming import jobs
+
+TS_MS = "yyyy-MM-dd HH:mm:ss.SSS"
+
+
+class Replay:
+    """An ad-log replay folder: ``input`` (text lines), ``out`` (sink tables), ``cp`` (checkpoint)."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, files: int = 6, per_trigger: int = 2):
+        self.spark = spark
+        self.root = shared_dir(spark)
+        self.input, self.out, self.cp = f"{self.root}/input", f"{self.root}/out", f"{self.root}/cp"
+        lines = adlines.encode_lines(tables.ads_log(spark, sf_dir))
+        lines.repartition(files).write.text(self.input)
+        self.written = spark.read.text(self.input).count()
+        self.per_trigger = per_trigger
+
+    def clicks(self) -> DataFrame:
+        stream = adlines.read_line_stream(self.spark, "text", path=self.input,
+                                          maxFilesPerTrigger=self.per_trigger)
+        return adlines.parse_lines(stream)
+
+    def run(self, start) -> None:
+        q = start(self.clicks(), self.out, self.cp, trigger={"availableNow": True})
+        q.awaitTermination()
+        read = sum(p["numInputRows"] for p in q.recentProgress)
+        batches = len(q.recentProgress)
+        if read != self.written:
+            raise RuntimeError(f"stream read {read} of {self.written} lines")
+        if batches < 2:
+            raise RuntimeError("replay ran as a single micro-batch")
+
+
+def _stream_click_daily(spark: SparkSession, sf: str) -> DataFrame:
+    r = Replay(spark, sf)
+    r.run(jobs.ads_click_daily_stream)
+    return jobs.read_ads_click_daily(spark, r.out)
+
+
+def _stream_area_top3(spark: SparkSession, sf: str) -> DataFrame:
+    r = Replay(spark, sf)
+    r.run(jobs.ads_area_top3_stream)
+    return jobs.read_ads_area_top3(spark, r.out)
+
+
+def _stream_trend(spark: SparkSession, sf: str) -> DataFrame:
+    r = Replay(spark, sf)
+    r.run(lambda c, o, cp, trigger: jobs.ads_window_stream(c, o, cp, 10, trigger=trigger))
+    return jobs.read_ads_windows(spark, r.out).select(F.col("win_start").alias("bucket"), "clicks")
+
+
+def _stream_sliding(spark: SparkSession, sf: str) -> DataFrame:
+    r = Replay(spark, sf)
+    r.run(lambda c, o, cp, trigger: jobs.ads_window_stream(c, o, cp, 60, 10, trigger=trigger))
+    return jobs.read_ads_windows(spark, r.out)
+
+
+def _stream_blacklist_run(spark: SparkSession, sf: str) -> Replay:
+    r = Replay(spark, sf)
+    r.run(lambda c, o, cp, trigger: jobs.blacklist_stream(c, o, cp, THRESHOLD, trigger=trigger))
+    return r
+
+
+def _stream_blacklist(spark: SparkSession, sf: str) -> DataFrame:
+    r = _stream_blacklist_run(spark, sf)
+    bl = jobs.read_blacklist(spark, r.out, THRESHOLD)
+    return bl.select("userid", F.date_format("since", TS_MS).alias("since"))
+
+
+def _stream_blacklist_counts(spark: SparkSession, sf: str) -> DataFrame:
+    r = _stream_blacklist_run(spark, sf)
+    return jobs.read_blacklist_counts(spark, r.out, THRESHOLD)
+
+
+def _sink_replace_table(spark: SparkSession, sf: str) -> DataFrame:
+    """SNK1: write Q1 as a catalog table (data below the shared folder) and read it back."""
+    from clicklens.operators import hot_category_top10
+    from clicklens.sinks import replace_table
+    root = shared_dir(spark)
+    name = "category_top10_" + root.rsplit("-", 1)[-1]
+    replace_table(hot_category_top10(tables.visit_log(spark, sf)), name, path=f"{root}/{name}")
+    return spark.table(name)
 
 
 def stream_queries() -> dict:
-    return {}
+    return {
+        "stream_ads_click_daily": _stream_click_daily,
+        "stream_ads_area_top3": _stream_area_top3,
+        "stream_ads_trend": _stream_trend,
+        "stream_ads_sliding_60s": _stream_sliding,
+        "stream_blacklist": _stream_blacklist,
+        "stream_blacklist_counts": _stream_blacklist_counts,
+        "sink_replace_table": _sink_replace_table,
+    }
