@@ -1,0 +1,51 @@
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from clicklens.functions import bucket_label, csv_ids, date_range, non_blank, ranked_json
+from tests.conftest import rows
+
+
+def test_csv_ids_follow_jvm_split(spark):
+    df = spark.createDataFrame([("a,,b,,",), (",a",), (",",), ("1,1",), ("7",)], "s string")
+    got = {r.s: r.ids for r in df.select("s", csv_ids("s").alias("ids")).collect()}
+    assert got["a,,b,,"] == ["a", "", "b"]
+    assert got[",a"] == ["", "a"]
+    assert got[","] == []
+    assert got["1,1"] == ["1", "1"]
+    assert got["7"] == ["7"]
+
+
+def test_non_blank_trims_control_chars(spark):
+    df = spark.createDataFrame([(None,), ("",), ("  ",), ("\t\n",), (" x ",)], "s string")
+    got = [r.ok for r in df.select(non_blank("s").alias("ok")).collect()]
+    assert [bool(g) for g in got] == [False, False, False, False, True]
+
+
+def test_date_range_open_blank_and_inclusive(spark):
+    df = spark.createDataFrame([("2024-01-01",), ("2024-01-02",), ("2024-01-03",)], "date string")
+    assert len(date_range(df, None, None).collect()) == 3
+    assert len(date_range(df, "", "  ").collect()) == 3
+    assert rows(date_range(df, "2024-01-02", "2024-01-02")) == [("2024-01-02",)]
+    assert rows(date_range(df, "2024-01-02", None)) == [("2024-01-02",), ("2024-01-03",)]
+
+
+def test_ten_second_buckets(spark):
+    ts = [dt.datetime(2024, 1, 1, 15, 0, 11), dt.datetime(2024, 1, 1, 15, 0, 19, 999000),
+          dt.datetime(2024, 1, 1, 15, 0, 20)]
+    df = spark.createDataFrame([(t,) for t in ts], "ts timestamp")
+    got = [r.b for r in df.select(bucket_label("ts").alias("b")).collect()]
+    assert got == ["2024-01-01 15:00:10", "2024-01-01 15:00:10", "2024-01-01 15:00:20"]
+
+
+def test_ranked_json_keeps_rank_order(spark):
+    df = spark.createDataFrame([(1, 2, 7, 100), (1, 1, 4, 302), (1, 3, 3, 5)], "g int, r int, k long, v long")
+    out = df.groupBy("g").agg(ranked_json("r", "k", "v").alias("j")).collect()[0].j
+    assert out == '{"4":302,"7":100,"3":5}'
+
+
+def test_ranked_json_stays_jvm_side(spark):
+    df = spark.createDataFrame([(1, 1, 4, 302)], "g int, r int, k long, v long")
+    plan = df.groupBy("g").agg(ranked_json("r", "k", "v").alias("j"))._jdf.queryExecution().toString()
+    assert "PythonUDF" not in plan and "BatchEvalPython" not in plan
+    assert F is not None
