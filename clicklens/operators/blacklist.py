@@ -43,8 +43,9 @@ def blacklist_users(ads: DataFrame, threshold: int = 100, order: Sequence[str] =
     """Q4/F7 (event time): (userid, since) -- ``since`` is the time of the click that listed the user."""
     first = first_clicks(ads, threshold, order)
     hit = first.filter(F.col("rn") == threshold)
-    return (hit.groupBy("userid").agg(F.min(_key(order)).alias("_k"))
-            .select("userid", F.col(f"_k.{order[0]}").alias("since")))
+    # the tie-break columns cannot change the earliest time itself, so a plain min keeps this a hash
+    # aggregate (a struct min would force a sort aggregate)
+    return hit.groupBy("userid").agg(F.min(order[0]).alias("since"))
 
 
 def blacklist_filtered_counts(ads: DataFrame, threshold: int = 100,

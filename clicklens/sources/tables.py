@@ -61,9 +61,34 @@ def visit_log(spark: SparkSession, sf_dir: str, start_date: str | None = None,
     return date_range(visit_log_from_events(read_table(spark, sf_dir, "events")), start_date, end_date)
 
 
+def visit_actions(df: DataFrame) -> DataFrame:
+    """Normalise a visit log in the reference's format for the operators.
+
+    ``action_time`` given as ``yyyy-MM-dd HH:mm:ss`` text becomes a TIMESTAMP_NTZ (a timestamp is
+    taken as its wall clock). A log without ``event_id`` gets a hash of (session, time, page) instead:
+    a deterministic tie-break for a session's actions with equal times -- rows equal on all three are
+    interchangeable for page pairs and dwell times. Only those columns feed the hash, so column
+    pruning still reaches the scan.
+    """
+    types = dict(df.dtypes)
+    out = df
+    if types.get("action_time") == "string":
+        out = out.withColumn("action_time", F.to_timestamp_ntz(F.col("action_time"), F.lit("yyyy-MM-dd HH:mm:ss")))
+    elif types.get("action_time") == "timestamp":
+        out = out.withColumn("action_time", F.col("action_time").cast("timestamp_ntz"))
+    if "event_id" not in types:
+        basis = [c for c in ("session_id", "action_time", "page_id") if c in types] or list(df.columns)
+        out = out.withColumn("event_id", F.xxhash64(*[F.col(c) for c in basis]))
+    return out
+
+
 def catalog_scan(spark: SparkSession, table: str, start_date: str | None = None,
                  end_date: str | None = None, columns: Sequence[str] | None = None) -> DataFrame:
-    """SRC1 over a catalog table (``spark.table``) -- the reference's Hive read, as expressions."""
+    """SRC1 over a catalog table (``spark.table``) -- the reference's Hive read, as expressions.
+
+    ``columns`` narrows the read; the date bounds become column predicates that reach the scan
+    (and prune partitions when the table is partitioned by ``date``).
+    """
     df = spark.table(table)
     if columns:
         df = df.select(*columns)

@@ -1,0 +1,47 @@
+"""The command-line jobs on a log in the reference's own format (string times, no event id)."""
+
+import datetime as dt
+
+from clicklens.plans import apps
+from clicklens.session import shared_dir
+from clicklens.sources import visit_actions
+from clicklens import operators as op
+from tests.conftest import rows
+
+REF_SCHEMA = ("date string, user_id long, session_id string, page_id long, action_time string, "
+              "search_keyword string, click_category_id long, click_product_id long, order_category_ids string, "
+              "order_product_ids string, pay_category_ids string, pay_product_ids string, city_id long")
+
+
+def ref_log(spark):
+    base = dt.datetime(2019, 3, 1, 8, 0, 0)
+    recs = []
+    for i in range(60):
+        t = (base + dt.timedelta(seconds=17 * i)).strftime("%Y-%m-%d %H:%M:%S")
+        kind = i % 5
+        recs.append((t[:10], i % 4, f"sess-{i % 6}", i % 7 + 1, t, "kw" if kind == 0 else None,
+                     (i % 9 + 1) if kind in (1, 2) else -1, 3 if kind in (1, 2) else -1,
+                     "1,2,3" if kind == 3 else None, "1,2,3" if kind == 3 else None,
+                     "1,2,3" if kind == 4 else None, "1,2,3" if kind == 4 else None, i % 26 + 1))
+    return spark.createDataFrame(recs, REF_SCHEMA)
+
+
+def test_reference_format_is_normalised(spark):
+    v = visit_actions(ref_log(spark))
+    assert dict(v.dtypes)["action_time"] == "timestamp_ntz" and "event_id" in v.columns
+    assert op.page_avg_dwell(v).count() == 7
+
+
+def test_batch_jobs_write_their_outputs(spark):
+    root = shared_dir(spark)
+    ref_log(spark).write.parquet(f"{root}/uva")
+    apps.main(["hot-categories", "--parquet", f"{root}/uva", "--output-path", f"{root}/top10", "--task-id", "t1"])
+    top = spark.read.parquet(f"{root}/top10")
+    assert top.columns == ["task_id", "category_id", "click_count", "order_count", "pay_count"]
+    assert {r.task_id for r in top.collect()} == {"t1"} and top.count() == 9  # 9 categories in the log
+    apps.main(["page-flow", "--parquet", f"{root}/uva", "--flow", "1,2,3", "--include-zero",
+               "--output-path", f"{root}/flow"])
+    assert rows(spark.read.parquet(f"{root}/flow"), "from_page", "to_page") == [(1, 2), (2, 3)]
+    apps.main(["category-sessions", "--parquet", f"{root}/uva", "--start-date", "2019-03-01",
+               "--end-date", "2019-03-01", "--output-path", f"{root}/sess"])
+    assert spark.read.parquet(f"{root}/sess").count() > 0
