@@ -1,4 +1,5 @@
 from clicklens.sinks.writers import (
+    KeyedTable,
     console,
     jdbc_append,
     latest_per_key,
@@ -9,5 +10,5 @@ from clicklens.sinks.writers import (
     write_batch,
 )
 
-__all__ = ["console", "jdbc_append", "latest_per_key", "read_batch", "read_batches", "replace_table", "set_add",
+__all__ = ["KeyedTable", "console", "jdbc_append", "latest_per_key", "read_batch", "read_batches", "replace_table", "set_add",
            "write_batch"]

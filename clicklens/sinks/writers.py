@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -78,3 +78,59 @@ def set_add(new_members: DataFrame, path: str, batch_id: int, key: str) -> None:
     schema = new_members.schema
     current = read_batches(spark, path, schema, upto=int(batch_id) - 1).select(key)
     write_batch(new_members.join(current, key, "left_anti").dropDuplicates([key]), path, batch_id)
+
+
+class KeyedTable:
+    """A keyed store kept as batch-versioned Parquet with periodic compaction (SNK4-SNK6 state).
+
+    ``write(df, k)`` stores the new value of every key ``df`` touches as delta partition ``k``; a
+    replayed batch overwrites its own partition. Every ``compact_every`` batches the current view is
+    written as a snapshot, and readers take the newest snapshot at or below the batch they need plus
+    only the later deltas (pruned by partition), so a long-running stream never rereads its history.
+
+    ``many=False``: one row per key, the newest wins (``max_by``). ``many=True``: a key owns a set of
+    rows, replaced as a whole by its newest version (used for the bounded blacklist state).
+    """
+
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType | str, keys: Sequence[str],
+                 many: bool = False, compact_every: int = 20):
+        self.spark = spark
+        self.path = path
+        self.schema = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+        self.keys = list(keys)
+        self.values = [f.name for f in self.schema.fields if f.name not in self.keys]
+        self.many = many
+        self.every = max(1, int(compact_every))
+
+    def _snapshot_below(self, upto: int) -> int:
+        """The newest snapshot point strictly below ``upto``: it was written by an earlier, committed
+        batch, so it exists even while batch ``upto`` itself is compacting (-1: none yet)."""
+        return ((upto - 1) // self.every) * self.every if upto - 1 >= self.every else -1
+
+    def _newest(self, log: DataFrame) -> DataFrame:
+        if not self.many:
+            return latest_per_key(log, self.keys, self.values)
+        newest = F.max(BATCH).over(Window.partitionBy(*self.keys))
+        return log.withColumn("_newest", newest).filter(F.col(BATCH) == F.col("_newest")).drop("_newest", BATCH)
+
+    def current(self, upto: int | None = None) -> DataFrame:
+        """The store as of batch ``upto`` (inclusive; ``None`` = everything written)."""
+        deltas = read_batches(self.spark, f"{self.path}/delta", self.schema)
+        if upto is None:
+            top = deltas.agg(F.max(BATCH)).collect()[0][0]
+            upto = -1 if top is None else int(top)
+        snap = self._snapshot_below(upto)
+        parts = deltas.filter((F.col(BATCH) > snap) & (F.col(BATCH) <= upto))
+        if snap >= 0:
+            base = read_batch(self.spark, f"{self.path}/snapshot", self.schema, snap)
+            parts = base.withColumn(BATCH, F.lit(snap).cast("long")).unionByName(parts)
+        return self._newest(parts)
+
+    def write(self, df: DataFrame, batch_id: int) -> None:
+        write_batch(df.select(*self.schema.fieldNames()), f"{self.path}/delta", batch_id)
+        if batch_id > 0 and batch_id % self.every == 0:
+            write_batch(self.current(batch_id), f"{self.path}/snapshot", batch_id)
+
+    def delta(self, batch_id: int) -> DataFrame:
+        """Exactly what batch ``batch_id`` wrote."""
+        return read_batch(self.spark, f"{self.path}/delta", self.schema, batch_id)

@@ -21,7 +21,7 @@ from clicklens.functions.columns import TS_FORMAT
 from clicklens.operators.ads import ads_area_top3_json
 from clicklens.operators.blacklist import GROUP, blacklist_filtered_counts, blacklist_users, first_clicks
 from clicklens.operators.common import bounded_broadcast
-from clicklens.sinks.writers import BATCH, latest_per_key, read_batch, read_batches, set_add, write_batch
+from clicklens.sinks.writers import KeyedTable, read_batches, set_add
 
 DEFAULT_TRIGGER = {"processingTime": "5 seconds"}
 
@@ -34,6 +34,9 @@ DELTA_SCHEMA = "dt string, adid long, userid long, clicks long"
 LISTED_SCHEMA = "userid long, since_batch long"
 
 
+COMPACT_EVERY = 20
+
+
 def _start(df: DataFrame, sink, checkpoint: str, trigger: dict | None, mode: str = "update",
            name: str | None = None) -> StreamingQuery:
     w = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(sink)
@@ -50,54 +53,70 @@ def _day_keys(clicks: DataFrame, watermark: str | None) -> tuple[DataFrame, list
 
 
 # ---------------------------------------------------------------- Q5: daily counters per area/city/ad
+def _totals(spark: SparkSession, out: str) -> KeyedTable:
+    return KeyedTable(spark, f"{out}/totals", TOTALS_SCHEMA, ["dt", "area", "city", "adid"],
+                      compact_every=COMPACT_EVERY)
+
+
 def ads_click_daily_stream(clicks: DataFrame, out: str, checkpoint: str, trigger: dict | None = None,
                            watermark: str | None = None) -> StreamingQuery:
     """Q5 (A9, ST2, SNK4): running clicks per (dt, area, city, adid); absolute totals per batch."""
     c, extra = _day_keys(clicks, watermark)
     agg = c.groupBy(*extra, "dt", "area", "city", "adid").agg(F.count(F.lit(1)).alias("clicks"))
     agg = agg.select("dt", "area", "city", "adid", "clicks")
+    store = _totals(clicks.sparkSession, out)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, f"{out}/totals", batch_id)
+        store.write(batch, batch_id)
 
-    return _start(agg, sink, checkpoint, trigger, name=None)
+    return _start(agg, sink, checkpoint, trigger)
 
 
 def read_ads_click_daily(spark: SparkSession, out: str) -> DataFrame:
-    log = read_batches(spark, f"{out}/totals", TOTALS_SCHEMA)
-    return latest_per_key(log, ["dt", "area", "city", "adid"], ["clicks"])
+    return _totals(spark, out).current()
 
 
 # ---------------------------------------------------------------- Q6: top ads per (day, area) as JSON
+def _rollup(spark: SparkSession, out: str) -> KeyedTable:
+    return KeyedTable(spark, f"{out}/rollup", ROLLUP_SCHEMA, ["dt", "area", "adid"], compact_every=COMPACT_EVERY)
+
+
+def _docs(spark: SparkSession, out: str) -> KeyedTable:
+    return KeyedTable(spark, f"{out}/top3", TOP3_SCHEMA, ["dt", "area"], compact_every=COMPACT_EVERY)
+
+
 def ads_area_top3_stream(clicks: DataFrame, out: str, checkpoint: str, n: int = 3,
                          trigger: dict | None = None, watermark: str | None = None) -> StreamingQuery:
     """Q6 (A10, W3, X7, SNK5): per-batch top-``n`` JSON for every (dt, area) the batch touched.
 
     Streaming ``row_number`` is not supported, so the stream keeps one aggregate at (dt, area, adid);
-    each batch merges its updated totals into a keyed table and re-ranks only the touched (dt, area).
+    each batch merges its updated totals into a keyed table and re-ranks only the touched (dt, area)
+    (the semi join on the grouping keys is pushed below the newest-value aggregate).
     """
     c, extra = _day_keys(clicks, watermark)
     agg = (c.groupBy(*extra, "dt", "area", "adid").agg(F.count(F.lit(1)).alias("clicks"))
            .select("dt", "area", "adid", "clicks"))
-    totals, docs = f"{out}/rollup", f"{out}/top3"
+    spark = clicks.sparkSession
+    rollup, docs = _rollup(spark, out), _docs(spark, out)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        write_batch(batch, totals, batch_id)
-        touched = read_batch(spark, totals, ROLLUP_SCHEMA, batch_id).select("dt", "area").distinct()
-        current = latest_per_key(read_batches(spark, totals, ROLLUP_SCHEMA, upto=batch_id),
-                                 ["dt", "area", "adid"], ["clicks"])
-        current = current.join(touched, ["dt", "area"], "left_semi")
-        write_batch(ads_area_top3_json(current, n), docs, batch_id)
+        rollup.write(batch, batch_id)
+        touched = rollup.delta(batch_id).select("dt", "area").distinct()
+        current = rollup.current(batch_id).join(touched, ["dt", "area"], "left_semi")
+        docs.write(ads_area_top3_json(current, n), batch_id)
 
     return _start(agg, sink, checkpoint, trigger)
 
 
 def read_ads_area_top3(spark: SparkSession, out: str) -> DataFrame:
-    return latest_per_key(read_batches(spark, f"{out}/top3", TOP3_SCHEMA), ["dt", "area"], ["top3"])
+    return _docs(spark, out).current()
 
 
 # ---------------------------------------------------------------- Q7: trend buckets / sliding windows
+def _windows(spark: SparkSession, out: str) -> KeyedTable:
+    return KeyedTable(spark, f"{out}/windows", WINDOW_SCHEMA, ["win_start", "win_end"], compact_every=COMPACT_EVERY)
+
+
 def ads_window_stream(clicks: DataFrame, out: str, checkpoint: str, window_s: int = 10,
                       slide_s: int | None = None, trigger: dict | None = None,
                       watermark: str | None = None) -> StreamingQuery:
@@ -113,19 +132,27 @@ def ads_window_stream(clicks: DataFrame, out: str, checkpoint: str, window_s: in
     agg = c.groupBy(win.alias("w")).agg(F.count(F.lit(1)).alias("clicks")).select(
         F.date_format("w.start", TS_FORMAT).alias("win_start"),
         F.date_format("w.end", TS_FORMAT).alias("win_end"), "clicks")
+    store = _windows(clicks.sparkSession, out)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, f"{out}/windows", batch_id)
+        store.write(batch, batch_id)
 
     return _start(agg, sink, checkpoint, trigger)
 
 
 def read_ads_windows(spark: SparkSession, out: str) -> DataFrame:
-    log = read_batches(spark, f"{out}/windows", WINDOW_SCHEMA)
-    return latest_per_key(log, ["win_start", "win_end"], ["clicks"])
+    return _windows(spark, out).current()
 
 
 # ---------------------------------------------------------------- Q4: dynamic blacklist
+def _state(spark: SparkSession, out: str) -> KeyedTable:
+    return KeyedTable(spark, f"{out}/state", STATE_SCHEMA, list(GROUP), many=True, compact_every=COMPACT_EVERY)
+
+
+def _counters(spark: SparkSession, out: str) -> KeyedTable:
+    return KeyedTable(spark, f"{out}/counters", DELTA_SCHEMA, list(GROUP), compact_every=COMPACT_EVERY)
+
+
 def blacklist_stream(clicks: DataFrame, out: str, checkpoint: str, threshold: int = 100,
                      mode: str = "event_time", trigger: dict | None = None,
                      max_broadcast_users: int = 1_000_000) -> StreamingQuery:
@@ -133,57 +160,55 @@ def blacklist_stream(clicks: DataFrame, out: str, checkpoint: str, threshold: in
 
     ``event_time`` (default): the state is, per (dt, adid, userid), the first ``threshold`` clicks in
     event time -- bounded, and enough to decide both the listing time and every filtered count.
-    Each batch merges its clicks into the previous snapshot and writes a new one; the result is the
-    same whatever the batch split or arrival order.
+    Each batch merges its clicks into the touched groups' state; the result is the same whatever the
+    batch split or arrival order.
 
     ``micro_batch``: the reference's rule. A batch first drops users already listed by earlier
     batches (anti join with the set, broadcast only below ``max_broadcast_users``), adds its counts
     to the running totals, then lists users whose total on any (day, ad) reached ``threshold``.
     """
+    if mode not in ("event_time", "micro_batch"):
+        raise ValueError(f"unknown blacklist mode {mode!r}")
     rows = clicks.select(*GROUP, "ts", "event_id")
-    state, deltas, listed = f"{out}/state", f"{out}/deltas", f"{out}/listed"
+    spark = clicks.sparkSession
+    state, counters, listed = _state(spark, out), _counters(spark, out), f"{out}/listed"
 
     def sink_event_time(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        prev = _latest_snapshot(spark, state, STATE_SCHEMA, upto=batch_id - 1)
-        merged = prev.unionByName(batch.select(*GROUP, "ts", "event_id"))
-        write_batch(first_clicks(merged, threshold).drop("rn"), state, batch_id)
+        # the batch feeds both the touched-group filter and the merge: read the source once
+        batch = batch.persist()
+        try:
+            touched = batch.select(*GROUP).distinct()
+            prev = state.current(batch_id - 1).join(touched, list(GROUP), "left_semi")
+            merged = prev.unionByName(batch.select(*GROUP, "ts", "event_id"))
+            state.write(first_clicks(merged, threshold).drop("rn"), batch_id)
+        finally:
+            batch.unpersist()
 
     def sink_micro_batch(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         members = read_batches(spark, listed, LISTED_SCHEMA, upto=batch_id - 1).select("userid")
         kept = batch.join(bounded_broadcast(members, max_broadcast_users), "userid", "left_anti")
-        write_batch(kept.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("clicks")), deltas, batch_id)
-        touched = read_batch(spark, deltas, DELTA_SCHEMA, batch_id).select(*GROUP)
-        totals = (read_batches(spark, deltas, DELTA_SCHEMA, upto=batch_id).join(touched, list(GROUP), "left_semi")
-                  .groupBy(*GROUP).agg(F.sum("clicks").alias("clicks")))
-        new = totals.filter(F.col("clicks") >= threshold).select("userid", F.lit(int(batch_id)).cast("long")
-                                                                 .alias("since_batch"))
+        counts = kept.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("clicks"))
+        prev = counters.current(batch_id - 1).join(counts.select(*GROUP), list(GROUP), "left_semi")
+        totals = prev.unionByName(counts).groupBy(*GROUP).agg(F.sum("clicks").cast("long").alias("clicks"))
+        counters.write(totals, batch_id)
+        new = (counters.delta(batch_id).filter(F.col("clicks") >= threshold)
+               .select("userid", F.lit(int(batch_id)).cast("long").alias("since_batch")))
         set_add(new, listed, batch_id, "userid")
 
     sink = sink_event_time if mode == "event_time" else sink_micro_batch
-    if mode not in ("event_time", "micro_batch"):
-        raise ValueError(f"unknown blacklist mode {mode!r}")
     return _start(rows, sink, checkpoint, trigger, mode="append")
 
 
-def _latest_snapshot(spark: SparkSession, path: str, schema: str, upto: int | None = None) -> DataFrame:
-    """The newest full snapshot written by a batch <= ``upto`` (empty before the first one)."""
-    log = read_batches(spark, path, schema, upto=upto)
-    return log.filter(F.col(BATCH) == log.agg(F.max(BATCH)).scalar()).drop(BATCH)
-
-
 def read_blacklist(spark: SparkSession, out: str, threshold: int = 100, mode: str = "event_time") -> DataFrame:
     """(userid, since) for ``event_time``; (userid, since_batch) for ``micro_batch``."""
     if mode == "event_time":
-        return blacklist_users(_latest_snapshot(spark, f"{out}/state", STATE_SCHEMA), threshold)
-    return read_batches(spark, f"{out}/listed", LISTED_SCHEMA).drop(BATCH)
+        return blacklist_users(_state(spark, out).current(), threshold)
+    return read_batches(spark, f"{out}/listed", LISTED_SCHEMA).drop("batch_id")
 
 
 def read_blacklist_counts(spark: SparkSession, out: str, threshold: int = 100,
                           mode: str = "event_time") -> DataFrame:
     """(dt, adid, userid, clicks): the counters after the blacklist filter."""
     if mode == "event_time":
-        return blacklist_filtered_counts(_latest_snapshot(spark, f"{out}/state", STATE_SCHEMA), threshold)
-    log = read_batches(spark, f"{out}/deltas", DELTA_SCHEMA)
-    return log.groupBy(*GROUP).agg(F.sum("clicks").cast("long").alias("clicks"))
+        return blacklist_filtered_counts(_state(spark, out).current(), threshold)
+    return _counters(spark, out).current()

@@ -90,3 +90,18 @@ def test_micro_batch_blacklist_follows_the_reference_rule(spark):
             .unionByName(b2.withColumn("batch", F.lit(2))))
     assert rows(op.blacklist_users_by_batch(allb, n)) == [(1, 1)]
     assert os.path.basename(root).startswith("run-")
+
+
+def test_compacted_stores_match_batch(spark, monkeypatch):
+    # six single-file micro-batches with a snapshot every second batch
+    monkeypatch.setattr(jobs, "COMPACT_EVERY", 2)
+    root = shared_dir(spark)
+    df = sample(spark, 300)
+    write_lines(df.repartition(6), f"{root}/in")
+    run_once(spark, jobs.ads_area_top3_stream, f"{root}/in", f"{root}/o1", f"{root}/cp1")
+    assert rows(jobs.read_ads_area_top3(spark, f"{root}/o1")) == rows(op.ads_area_top3_json(df))
+    start_bl = lambda c, o, cp, trigger: jobs.blacklist_stream(c, o, cp, 15, trigger=trigger)
+    run_once(spark, start_bl, f"{root}/in", f"{root}/o2", f"{root}/cp2")
+    assert rows(jobs.read_blacklist(spark, f"{root}/o2", 15)) == rows(op.blacklist_users(df, 15))
+    assert rows(jobs.read_blacklist_counts(spark, f"{root}/o2", 15)) == rows(op.blacklist_filtered_counts(df, 15))
+    assert os.path.isdir(f"{root}/o1/rollup/snapshot".replace("file:", "")) or "://" in root
