@@ -127,6 +127,13 @@ def oracle_sql() -> dict[str, str]:
         "visit_log": _with(v) + f"SELECT {visit_cols} FROM v",
         "visit_date_range": _with(v) + f"SELECT {visit_cols} FROM v WHERE date >= '{lo}' AND date <= '{hi}'",
         "visit_row_count": _with(v) + "SELECT COUNT(*) AS n FROM v",
+        "visit_log_typed": _with(v) + f"SELECT event_id, date, user_id, session_id, page_id, "
+                                      f"strftime(action_time, {TS_US}) AS action_time, "
+                                      "CAST(NULL AS VARCHAR) AS search_keyword, click_category_id, "
+                                      "CAST(NULL AS BIGINT) AS click_product_id, order_category_ids, "
+                                      "CAST(NULL AS VARCHAR) AS order_product_ids, pay_category_ids, "
+                                      "CAST(NULL AS VARCHAR) AS pay_product_ids, CAST(NULL AS BIGINT) AS city_id "
+                                      "FROM v",
         "action_routing": _with(v, r) + "SELECT event_id, category_id, metric FROM r",
         "category_metric_counts": _with(v, r) + "SELECT category_id, metric, COUNT(*) AS n FROM r GROUP BY ALL",
         "category_metric_pivot": _with(v, r) + PIVOT,
@@ -201,6 +208,10 @@ def oracle_sql() -> dict[str, str]:
         + "SELECT c.dt, c.adid, c.userid, CAST(SUM(c.n) AS BIGINT) AS clicks FROM c LEFT JOIN l "
           "ON l.userid = c.userid WHERE l.since_batch IS NULL OR c.batch <= l.since_batch GROUP BY ALL",
     }
+    ranged_v = f"SELECT * FROM ({VISIT_LOG}) WHERE date >= '{lo}' AND date <= '{hi}'"
+    for name in ("hot_category_session_top10", "page_conversion", "page_avg_dwell"):
+        q[f"{name}_ranged"] = q[name].replace(f"v AS ({VISIT_LOG})", f"v AS ({ranged_v})", 1)
+        assert q[f"{name}_ranged"] != q[name]
     # Streaming twins must equal their batch twins.
     q["stream_ads_click_daily"] = q["ads_click_daily"]
     q["stream_ads_area_top3"] = q["ads_area_top3_json"]

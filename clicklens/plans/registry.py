@@ -33,6 +33,13 @@ def _visit_cols(df: DataFrame) -> DataFrame:
                      "click_category_id", "order_category_ids", "pay_category_ids")
 
 
+def _typed(df: DataFrame) -> DataFrame:
+    """SRC2: the log bound by name to the reference's full 13-column schema (absent columns null)."""
+    from clicklens.schemas import VISIT_LOG
+    t = tables.bind_schema(df, VISIT_LOG)
+    return t.withColumn("action_time", F.date_format("action_time", TS_US))
+
+
 def _user_ad_day(spark: SparkSession, sf: str) -> DataFrame:
     """Clicks per (dt, adid, userid) straight from ``events``: the early aggregate every ad counter
     starts from. A hot user collapses to one row per (day, ad) before the geography join."""
@@ -56,6 +63,7 @@ def batch_queries() -> dict[str, Query]:
         "visit_log": lambda s, d: _visit_cols(_visits(s, d)),
         "visit_date_range": lambda s, d: _visit_cols(tables.visit_log(s, d, lo, hi)),
         "visit_row_count": lambda s, d: _visits(s, d).agg(F.count(F.lit(1)).alias("n")),
+        "visit_log_typed": lambda s, d: _typed(_visits(s, d)),
         # Q1 (F2-F4, X1, E1, A2, A3, T1)
         "action_routing": lambda s, d: op.action_routing(_visits(s, d), keep=["event_id"]),
         "category_metric_counts": lambda s, d: op.category_metric_counts(_visits(s, d)),
@@ -68,14 +76,18 @@ def batch_queries() -> dict[str, Query]:
         "category_session_counts": lambda s, d: op.category_session_counts(
             op.top_category_clicks(_visits(s, d), op.hot_category_top10(_visits(s, d)))),
         "hot_category_session_top10": lambda s, d: op.hot_category_session_top10(_visits(s, d)),
+        "hot_category_session_top10_ranged": lambda s, d: op.hot_category_session_top10(
+            tables.visit_log(s, d, lo, hi)),
         # Q3 (F5, F6, F9, W1, J3, J4, A5-A7)
         "page_visits": lambda s, d: op.page_visits(_visits(s, d), FLOW),
         "page_transitions": lambda s, d: op.page_transitions(_visits(s, d)),
         "page_conversion": lambda s, d: op.page_conversion(_visits(s, d), FLOW),
         "page_conversion_all_hops": lambda s, d: op.page_conversion(_visits(s, d), FLOW, include_zero=True),
+        "page_conversion_ranged": lambda s, d: op.page_conversion(tables.visit_log(s, d, lo, hi), FLOW),
         # Q8 (W2, X4, X6, A8)
         "page_dwell": lambda s, d: op.page_dwell(_visits(s, d)),
         "page_avg_dwell": lambda s, d: op.page_avg_dwell(_visits(s, d)),
+        "page_avg_dwell_ranged": lambda s, d: op.page_avg_dwell(tables.visit_log(s, d, lo, hi)),
         # ad log (SNK8, X2, X3, X10)
         "ads_log": lambda s, d: tables.ads_log(s, d).select(
             "event_id", F.date_format("ts", TS_US).alias("ts"), "dt", "area", "city", "userid", "adid"),
