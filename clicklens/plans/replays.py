@@ -24,14 +24,17 @@ TS_MS = "yyyy-MM-dd HH:mm:ss.SSS"
 class Replay:
     """An ad-log replay folder: ``input`` (text lines), ``out`` (sink tables), ``cp`` (checkpoint)."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, files: int = 6, per_trigger: int = 2):
+    def __init__(self, spark: SparkSession, sf_dir: str, batches: int = 3):
         self.spark = spark
         self.root = shared_dir(spark)
         self.input, self.out, self.cp = f"{self.root}/input", f"{self.root}/out", f"{self.root}/cp"
         lines = adlines.encode_lines(tables.ads_log(spark, sf_dir))
+        # round-robin over as many tasks as the session shuffles with (thousands on a cluster): every
+        # file holds clicks of every day, and no task writes more than its share
+        files = max(batches, int(spark.conf.get("spark.sql.shuffle.partitions")))
         lines.repartition(files).write.text(self.input)
         self.written = spark.read.text(self.input).count()
-        self.per_trigger = per_trigger
+        self.per_trigger = -(-files // batches)
 
     def clicks(self) -> DataFrame:
         stream = adlines.read_line_stream(self.spark, "text", path=self.input,
