@@ -20,15 +20,15 @@ def action_routing(visits: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     comma list counts, duplicates included. ``category_id`` is a string, as the lists are.
     """
     click_id = F.coalesce(F.col("click_category_id"), F.lit(-1))
-    as_entry = lambda metric: (lambda x: F.struct(x.alias("category_id"), F.lit(metric).alias("metric")))
-    entries = (
-        F.when(click_id != -1, F.array(F.struct(click_id.cast("string").alias("category_id"),
-                                                F.lit("click").alias("metric"))))
-        .when(non_blank("order_category_ids"), F.transform(csv_ids("order_category_ids"), as_entry("order")))
-        .when(non_blank("pay_category_ids"), F.transform(csv_ids("pay_category_ids"), as_entry("pay")))
-    )
-    exploded = visits.select(*keep, F.explode(entries).alias("_e"))
-    return exploded.select(*keep, F.col("_e.category_id").alias("category_id"), F.col("_e.metric").alias("metric"))
+    is_click = click_id != -1
+    is_order = non_blank("order_category_ids")
+    is_pay = non_blank("pay_category_ids")
+    metric = F.when(is_click, F.lit("click")).when(is_order, F.lit("order")).when(is_pay, F.lit("pay"))
+    ids = (F.when(is_click, F.array(click_id.cast("string")))
+           .when(is_order, csv_ids("order_category_ids"))
+           .when(is_pay, csv_ids("pay_category_ids")))
+    # one kind per row: explode its id list next to the kind (a row with no kind has no ids)
+    return visits.select(*keep, F.explode(ids).alias("category_id"), metric.alias("metric"))
 
 
 def category_metric_counts(visits: DataFrame) -> DataFrame:
