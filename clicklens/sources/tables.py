@@ -57,8 +57,23 @@ def visit_log_from_events(events: DataFrame) -> DataFrame:
 
 def visit_log(spark: SparkSession, sf_dir: str, start_date: str | None = None,
               end_date: str | None = None) -> DataFrame:
-    """SRC1 + F1: the visit log of a table directory, optionally restricted to a date range."""
-    return date_range(visit_log_from_events(read_table(spark, sf_dir, "events")), start_date, end_date)
+    """SRC1 + F1: the visit log of a table directory, optionally restricted to a date range.
+
+    The range is stated on the derived ``date`` (exact) and, equivalently, on the raw ``ts``
+    (``start 00:00 <= ts < end + 1 day``), which Spark pushes into the Parquet scan so row groups
+    outside the range are skipped.
+    """
+    events = read_table(spark, sf_dir, "events")
+    return date_range(visit_log_from_events(ts_day_range(events, "ts", start_date, end_date)), start_date, end_date)
+
+
+def ts_day_range(df: DataFrame, ts_col: str, start: str | None, end: str | None) -> DataFrame:
+    """Inclusive day range on a TIMESTAMP_NTZ column as pushable bounds on the column itself."""
+    if start is not None and start.strip():
+        df = df.filter(F.col(ts_col) >= F.lit(start.strip()).cast("date").cast("timestamp_ntz"))
+    if end is not None and end.strip():
+        df = df.filter(F.col(ts_col) < F.date_add(F.lit(end.strip()).cast("date"), 1).cast("timestamp_ntz"))
+    return df
 
 
 def visit_actions(df: DataFrame) -> DataFrame:
