@@ -33,8 +33,23 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     return df
 
 
+def hot_keys(df: DataFrame, key: str, fraction: float = 0.001, min_sampled: int = 50,
+             max_keys: int = 1000, seed: int = 17) -> DataFrame:
+    """Keys that hold a large share of the rows, estimated from a seeded sample.
+
+    Used only to *route* work (hot keys take a split path); every row is still processed, so a key
+    the sample misses is merely slower, never wrong. The result is bounded by ``max_keys`` rows, so
+    it can be broadcast; with the defaults a key needs ~``min_sampled / fraction`` rows (50,000) to
+    be called hot.
+    """
+    sampled = df.select(key).sample(fraction=fraction, seed=seed)
+    return (sampled.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_sampled)
+            .orderBy(F.desc("_n"), F.asc(key)).limit(max_keys).select(key))
+
+
 def next_in_session(df: DataFrame, session: str, order: Sequence[str], carry: Sequence[str],
-                    slice_col: Column | None = None, extra: Sequence[str] = ()) -> DataFrame:
+                    slice_col: Column | None = None, extra: Sequence[str] = (),
+                    hot: DataFrame | None = None) -> DataFrame:
     """Pair every row with the next row of its session (``list.zip(list.tail)``).
 
     Returns every input row that has a successor (its ``session``, ``order``, ``extra`` and ``carry``
@@ -47,9 +62,19 @@ def next_in_session(df: DataFrame, session: str, order: Sequence[str], carry: Se
     one task's work -- and only the first and last row of every slice take part in a second, tiny
     window over the session that links the last row of one slice to the first row of the next. The
     result is exactly the plain ``lead``; the slice must be non-decreasing in ``order``.
+
+    With ``hot`` (a bounded DataFrame of session keys, e.g. from ``hot_keys``) only those sessions
+    take the sliced path; all others use the plain window, so the common case pays for one sort.
     """
     order_cols = [F.col(c) for c in order]
     keep = list(dict.fromkeys([session, *order, *extra, *carry]))
+    if hot is not None and slice_col is not None:
+        flagged = df.select(*keep, slice_col.alias("_slice_v")).join(
+            F.broadcast(hot.select(session).withColumn("_hot", F.lit(True))), session, "left")
+        cold = flagged.filter(F.col("_hot").isNull()).select(*keep)
+        warm = flagged.filter(F.col("_hot").isNotNull()).select(*keep, "_slice_v")
+        return (next_in_session(cold, session, order, carry, None, extra)
+                .unionByName(next_in_session(warm, session, order, carry, F.col("_slice_v"), extra)))
     if slice_col is None:
         w = Window.partitionBy(session).orderBy(*order_cols)
         out = df.select(*keep)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clicklens.functions.columns import epoch_seconds_ntz
-from clicklens.operators.common import next_in_session
+from clicklens.operators.common import hot_keys, next_in_session
 
 SESSION_ORDER = ("action_time", "event_id")
 
@@ -36,6 +36,19 @@ def session_slice(width_s: int = 60) -> Column:
     return F.floor(epoch_seconds_ntz("action_time") / F.lit(width_s)).cast("long")
 
 
+def session_pairs(visits: DataFrame, carry: Sequence[str], extra: Sequence[str] = (),
+                  slice_width_s: int | None = 60, hot_sample: float | None = 0.001) -> DataFrame:
+    """Each action with the next action of its session (see ``next_in_session``).
+
+    ``slice_width_s=None``: one plain window over every session. Otherwise sessions are split into
+    time slices -- all of them if ``hot_sample`` is None, or only the hot ones found in a
+    ``hot_sample`` fraction of the rows (the default: the common case keeps a single sort).
+    """
+    slice_col = session_slice(slice_width_s) if slice_width_s else None
+    hot = hot_keys(visits, "session_id", hot_sample) if (slice_col is not None and hot_sample) else None
+    return next_in_session(visits, "session_id", SESSION_ORDER, carry, slice_col, extra, hot)
+
+
 def page_visits(visits: DataFrame, pages: str | Sequence) -> DataFrame:
     """F5 + A5: visits of each target page -- the denominator, session-final visits included."""
     ids = parse_flow(pages)
@@ -43,32 +56,31 @@ def page_visits(visits: DataFrame, pages: str | Sequence) -> DataFrame:
             .groupBy("page_id").agg(F.count(F.lit(1)).alias("visits")))
 
 
-def page_steps(visits: DataFrame, slice_width_s: int | None = 60) -> DataFrame:
+def page_steps(visits: DataFrame, slice_width_s: int | None = 60, hot_sample: float | None = 0.001) -> DataFrame:
     """(session_id, from_page, to_page) for every consecutive pair of actions of a session.
 
     Pairs are taken over *all* pages in time order before any target filter (1 -> 9 -> 2 is not a
     1 -> 2 hop). Ties in time go to ``event_id``.
     """
-    slice_col = session_slice(slice_width_s) if slice_width_s else None
-    nxt = next_in_session(visits, "session_id", SESSION_ORDER, ["page_id"], slice_col)
+    nxt = session_pairs(visits, ["page_id"], (), slice_width_s, hot_sample)
     return nxt.select("session_id", F.col("page_id").alias("from_page"), F.col("next_page_id").alias("to_page"))
 
 
 def page_transitions(visits: DataFrame, pairs: DataFrame | None = None,
-                     slice_width_s: int | None = 60) -> DataFrame:
+                     slice_width_s: int | None = 60, hot_sample: float | None = 0.001) -> DataFrame:
     """A6 (+F6): (from_page, to_page, num); transitions that never occur have no row.
 
     ``pairs`` (a target flow, bounded by its parameter) restricts the result through a broadcast
     semi join.
     """
-    steps = page_steps(visits, slice_width_s)
+    steps = page_steps(visits, slice_width_s, hot_sample)
     if pairs is not None:
         steps = steps.join(F.broadcast(pairs.select("from_page", "to_page")), ["from_page", "to_page"], "left_semi")
     return steps.groupBy("from_page", "to_page").agg(F.count(F.lit(1)).alias("num"))
 
 
 def page_conversion(visits: DataFrame, pages: str | Sequence, include_zero: bool = False,
-                    slice_width_s: int | None = 60) -> DataFrame:
+                    slice_width_s: int | None = 60, hot_sample: float | None = 0.001) -> DataFrame:
     """Q3 (F6, A7, J3): (from_page, to_page, num, den, rate) for the hops of the target flow.
 
     ``den`` counts every visit of ``from_page``; ``rate = num / den`` as a double. The denominator
@@ -77,7 +89,7 @@ def page_conversion(visits: DataFrame, pages: str | Sequence, include_zero: bool
     """
     spark = visits.sparkSession
     pairs = target_flow(spark, pages)
-    num = page_transitions(visits, pairs, slice_width_s)
+    num = page_transitions(visits, pairs, slice_width_s, hot_sample)
     den = page_visits(visits, pages).select(F.col("page_id").alias("from_page"), F.col("visits").alias("den"))
     if include_zero:
         num = F.broadcast(pairs).join(num, ["from_page", "to_page"], "left").fillna(0, ["num"])

@@ -75,7 +75,7 @@ def test_transitions_use_unfiltered_order(spark, slice_s):
     v = visits(spark, [(1, "x", 1, 0, -1, None, None), (2, "x", 9, 5, -1, None, None),
                        (3, "x", 2, 10, -1, None, None), (4, "y", 1, 0, -1, None, None),
                        (5, "y", 2, 3, -1, None, None), (6, "z", 1, 0, -1, None, None)])
-    got = rows(op.page_conversion(v, "1,2", slice_width_s=slice_s))
+    got = rows(op.page_conversion(v, "1,2", slice_width_s=slice_s, hot_sample=None))
     assert got == [(1, 2, 1, 3, 1 / 3)]
     assert rows(op.page_visits(v, "1,2")) == [(1, 3), (2, 2)]
 
@@ -106,6 +106,19 @@ def test_sliced_next_equals_plain_lead_on_a_hot_session(spark, width):
     recs += [(1000 + i, f"s{i % 7}", i % 5 + 1, i * 11, -1, None, None) for i in range(40)]
     v = visits(spark, recs)
     plain = rows(op.page_steps(v, None))
-    sliced = rows(op.page_steps(v, width))
+    sliced = rows(op.page_steps(v, width, hot_sample=None))   # every session takes the sliced path
     assert sliced == plain and len(plain) == 299 + 40 - 7
-    assert rows(op.page_dwell(v, width)) == rows(op.page_dwell(v, None))
+    assert rows(op.page_dwell(v, width, hot_sample=None)) == rows(op.page_dwell(v, None))
+
+
+def test_hot_sessions_are_routed_to_the_sliced_path(spark):
+    # a 3,000-row bot session among small ones; a generous sample finds it
+    recs = [(i, "bot", i % 10 + 1, i // 4, -1, None, None) for i in range(3000)]
+    recs += [(10_000 + i, f"s{i % 50}", i % 5 + 1, i * 13, -1, None, None) for i in range(400)]
+    v = visits(spark, recs)
+    assert [r.session_id for r in op.hot_keys(v, "session_id", fraction=0.5).collect()] == ["bot"]
+    plain = rows(op.page_steps(v, None))
+    assert rows(op.page_steps(v, 60, hot_sample=0.5)) == plain      # bot sliced, the rest plain
+    assert rows(op.page_steps(v, 60, hot_sample=None)) == plain     # every session sliced
+    assert rows(op.page_dwell(v, 60, hot_sample=0.5)) == rows(op.page_dwell(v, None))
+    assert len(plain) == 2999 + 400 - 50
