@@ -90,7 +90,7 @@ def _stream(spark: SparkSession, a: argparse.Namespace):
         return jobs.ads_click_daily_stream(c, a.out, a.checkpoint, trig, a.watermark)
     if a.job == "ads-top3":
         return jobs.ads_area_top3_stream(c, a.out, a.checkpoint, 3, trig, a.watermark)
-    return jobs.ads_window_stream(c, a.out, a.checkpoint, 60, 10, trig, a.watermark)
+    return jobs.ads_window_stream(c, a.out, a.checkpoint, 10, None, trig, a.watermark, echo=a.echo)
 
 
 STREAM = ("ads-blacklist", "ads-daily", "ads-top3", "ads-trend")
@@ -129,6 +129,7 @@ def parser() -> argparse.ArgumentParser:
     st.add_argument("--threshold", type=int, default=100)
     st.add_argument("--mode", choices=["event_time", "micro_batch"], default="event_time")
     st.add_argument("--watermark")
+    st.add_argument("--echo", type=int, default=6, help="ads-trend: print the newest N 10 s buckets per batch")
     p.add_argument("--time-zone")
     return p
 

@@ -119,12 +119,13 @@ def _windows(spark: SparkSession, out: str) -> KeyedTable:
 
 def ads_window_stream(clicks: DataFrame, out: str, checkpoint: str, window_s: int = 10,
                       slide_s: int | None = None, trigger: dict | None = None,
-                      watermark: str | None = None) -> StreamingQuery:
+                      watermark: str | None = None, echo: int = 0) -> StreamingQuery:
     """Q7 (X5, ST4): clicks per event-time window (tumbling ``window_s`` or sliding by ``slide_s``).
 
     The reference windows by arrival time; event time is used here so results do not depend on when
     lines arrive. Without a watermark every window stays open (late lines still count, as in the
-    reference's per-event days); with one, closed windows' state is dropped.
+    reference's per-event days); with one, closed windows' state is dropped. ``echo > 0`` prints the
+    newest ``echo`` windows after every batch, ascending (SNK7, the reference's per-batch print).
     """
     c = clicks if watermark is None else clicks.withWatermark("ts", watermark)
     win = (F.window("ts", f"{window_s} seconds", f"{slide_s} seconds") if slide_s
@@ -136,6 +137,9 @@ def ads_window_stream(clicks: DataFrame, out: str, checkpoint: str, window_s: in
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         store.write(batch, batch_id)
+        if echo > 0:
+            newest = store.current(batch_id).orderBy(F.desc("win_start")).limit(echo)
+            newest.orderBy("win_start").show(echo, truncate=False)
 
     return _start(agg, sink, checkpoint, trigger)
 

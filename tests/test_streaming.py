@@ -105,3 +105,17 @@ def test_compacted_stores_match_batch(spark, monkeypatch):
     assert rows(jobs.read_blacklist(spark, f"{root}/o2", 15)) == rows(op.blacklist_users(df, 15))
     assert rows(jobs.read_blacklist_counts(spark, f"{root}/o2", 15)) == rows(op.blacklist_filtered_counts(df, 15))
     assert os.path.isdir(f"{root}/o1/rollup/snapshot".replace("file:", "")) or "://" in root
+
+
+def test_watermarked_jobs_match_batch_on_in_order_data(spark):
+    root = shared_dir(spark)
+    df = sample(spark, 200)
+    write_lines(df.orderBy("ts").coalesce(1), f"{root}/in")
+    start = lambda c, o, cp, trigger: jobs.ads_click_daily_stream(c, o, cp, trigger, watermark="1 hour")  # noqa
+    run_once(spark, start, f"{root}/in", f"{root}/o1", f"{root}/cp1")
+    assert rows(jobs.read_ads_click_daily(spark, f"{root}/o1")) == rows(op.ads_click_daily(df))
+    start = lambda c, o, cp, trigger: jobs.ads_window_stream(c, o, cp, 10, trigger=trigger, watermark="1 minute",  # noqa
+                                                             echo=3)
+    run_once(spark, start, f"{root}/in", f"{root}/o2", f"{root}/cp2")
+    trend = rows(jobs.read_ads_windows(spark, f"{root}/o2"), "win_start", "clicks")
+    assert trend == rows(op.ads_trend_10s(df))
