@@ -3,7 +3,7 @@
 Runs the eight requirements (Q1-Q8) over ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) on
 ``local[$BENCH_CPUS]`` and prints one JSON line. Each query is executed in full through the
 ``noop`` sink (the whole plan runs, nothing is collected); after a warm-up pass each batch query is
-timed ``$BENCH_REPEAT`` times (default 3) and its median is reported. The streaming replay (which
+timed ``$BENCH_REPEAT`` times (default 5) and its median is reported. The streaming replay (which
 writes its own input each run) is timed once.
 """
 
@@ -50,7 +50,7 @@ def main() -> None:
     # warm-up: JIT, file listing, Python workers
     for name in HEADLINE.values():
         run(qs[name](spark, sf_dir))
-    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "5"))
     times = {}
     for label, name in HEADLINE.items():
         runs = []

@@ -68,6 +68,7 @@ def next_in_session(df: DataFrame, session: str, order: Sequence[str], carry: Se
     """
     order_cols = [F.col(c) for c in order]
     keep = list(dict.fromkeys([session, *order, *extra, *carry]))
+    nxt = [f"next_{c}" for c in carry]
     if hot is not None and slice_col is not None:
         flagged = df.select(*keep, slice_col.alias("_slice_v")).join(
             F.broadcast(hot.select(session).withColumn("_hot", F.lit(True))), session, "left")
@@ -77,27 +78,20 @@ def next_in_session(df: DataFrame, session: str, order: Sequence[str], carry: Se
                 .unionByName(next_in_session(warm, session, order, carry, F.col("_slice_v"), extra)))
     if slice_col is None:
         w = Window.partitionBy(session).orderBy(*order_cols)
-        out = df.select(*keep)
-        for c in carry:
-            out = out.withColumn(f"next_{c}", F.lead(c).over(w))
-        out = out.withColumn("_has_next", F.lead(F.lit(1)).over(w).isNotNull())
-        return out.filter("_has_next").drop("_has_next")
+        out = df.select(*keep, *[F.lead(c).over(w).alias(f"next_{c}") for c in carry],
+                        F.lead(F.lit(1)).over(w).isNotNull().alias("_has_next"))
+        return out.filter("_has_next").select(*keep, *nxt)
 
-    base = df.select(*keep, slice_col.alias("_slice"))
     w1 = Window.partitionBy(session, "_slice").orderBy(*order_cols)
-    tagged = base.withColumn("_has_prev", F.lag(F.lit(1)).over(w1).isNotNull())
-    tagged = tagged.withColumn("_has_next", F.lead(F.lit(1)).over(w1).isNotNull())
-    for c in carry:
-        tagged = tagged.withColumn(f"next_{c}", F.lead(c).over(w1))
-
-    inside = tagged.filter("_has_next")
+    tagged = df.select(*keep, slice_col.alias("_slice")).select(
+        *keep, *[F.lead(c).over(w1).alias(f"next_{c}") for c in carry],
+        F.lag(F.lit(1)).over(w1).isNotNull().alias("_has_prev"),
+        F.lead(F.lit(1)).over(w1).isNotNull().alias("_has_next"))
+    inside = tagged.filter("_has_next").select(*keep, *nxt)
     # First and last row of every slice: at most two rows per (session, slice).
-    edges = tagged.filter(~F.col("_has_prev") | ~F.col("_has_next")).select(*keep, "_has_next")
+    edges = tagged.filter(~F.col("_has_prev") | ~F.col("_has_next"))
     w2 = Window.partitionBy(session).orderBy(*order_cols)
-    linked = edges
-    for c in carry:
-        linked = linked.withColumn(f"next_{c}", F.lead(c).over(w2))
-    linked = linked.withColumn("_lead", F.lead(F.lit(1)).over(w2))
-    across = linked.filter(~F.col("_has_next") & F.col("_lead").isNotNull())
-    cols = [*keep, *[f"next_{c}" for c in carry]]
-    return inside.select(*cols).unionByName(across.select(*cols))
+    linked = edges.select(*keep, "_has_next", *[F.lead(c).over(w2).alias(f"next_{c}") for c in carry],
+                          F.lead(F.lit(1)).over(w2).isNotNull().alias("_linked"))
+    across = linked.filter(~F.col("_has_next") & F.col("_linked")).select(*keep, *nxt)
+    return inside.unionByName(across)
