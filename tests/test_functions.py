@@ -49,3 +49,28 @@ def test_ranked_json_stays_jvm_side(spark):
     plan = df.groupBy("g").agg(ranked_json("r", "k", "v").alias("j"))._jdf.queryExecution().toString()
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan
     assert F is not None
+
+
+def test_epoch_ms_round_trip(spark):
+    from clicklens.functions import format_epoch_ms, to_epoch_ms
+    df = spark.createDataFrame([(1704110400000,), (1704110411999,)], "ms long")
+    out = df.select(format_epoch_ms("ms").alias("s"), format_epoch_ms("ms", "yyyy-MM-dd").alias("d"))
+    got = [(r.s, r.d) for r in out.collect()]
+    assert got == [("2024-01-01 12:00:00", "2024-01-01"), ("2024-01-01 12:00:11", "2024-01-01")]
+    back = out.select(to_epoch_ms("s").alias("ms")).collect()
+    assert [r.ms for r in back] == [1704110400000, 1704110411000]   # second precision, like the log format
+
+
+def test_local_rows_and_catalog_scan(spark):
+    from clicklens.session import shared_dir
+    from clicklens.sinks import replace_table
+    from clicklens.sources import catalog_scan, local_rows
+    df = local_rows(spark, [("2024-01-01", 1), ("2024-01-02", 2), ("2024-01-03", 3)], "date string, n long")
+    root = shared_dir(spark)
+    replace_table(df, "uva_scan_test", path=f"{root}/uva", partition_by=["date"])
+    got = catalog_scan(spark, "uva_scan_test", "2024-01-02", None, columns=["date", "n"])
+    assert rows(got) == [("2024-01-02", 2), ("2024-01-03", 3)]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan
+    replace_table(df.limit(1), "uva_scan_test", path=f"{root}/uva")   # replace: drop and recreate
+    assert spark.table("uva_scan_test").count() == 1
