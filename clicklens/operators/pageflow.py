@@ -66,16 +66,22 @@ def page_steps(visits: DataFrame, slice_width_s: int | None = 60, hot_sample: fl
     return nxt.select("session_id", F.col("page_id").alias("from_page"), F.col("next_page_id").alias("to_page"))
 
 
-def page_transitions(visits: DataFrame, pairs: DataFrame | None = None,
+def hop_filter(pages: str | Sequence) -> Column:
+    """``(from_page, to_page)`` is one of the flow's hops -- an IN list bounded by the parameter."""
+    return F.struct("from_page", "to_page").isin(
+        [F.struct(F.lit(a).cast("long").alias("from_page"), F.lit(b).cast("long").alias("to_page"))
+         for a, b in flow_pairs(pages)])
+
+
+def page_transitions(visits: DataFrame, pages: str | Sequence | None = None,
                      slice_width_s: int | None = 60, hot_sample: float | None = 0.001) -> DataFrame:
     """A6 (+F6): (from_page, to_page, num); transitions that never occur have no row.
 
-    ``pairs`` (a target flow, bounded by its parameter) restricts the result through a broadcast
-    semi join.
+    ``pages`` (a target flow) keeps only its hops; the predicate runs before the partial aggregate.
     """
     steps = page_steps(visits, slice_width_s, hot_sample)
-    if pairs is not None:
-        steps = steps.join(F.broadcast(pairs.select("from_page", "to_page")), ["from_page", "to_page"], "left_semi")
+    if pages is not None:
+        steps = steps.filter(hop_filter(pages))
     return steps.groupBy("from_page", "to_page").agg(F.count(F.lit(1)).alias("num"))
 
 
@@ -87,11 +93,10 @@ def page_conversion(visits: DataFrame, pages: str | Sequence, include_zero: bool
     table has one row per target page, so it is broadcast. With ``include_zero`` every target hop is
     listed, unseen ones with ``num = 0``.
     """
-    spark = visits.sparkSession
-    pairs = target_flow(spark, pages)
-    num = page_transitions(visits, pairs, slice_width_s, hot_sample)
+    num = page_transitions(visits, pages, slice_width_s, hot_sample)
     den = page_visits(visits, pages).select(F.col("page_id").alias("from_page"), F.col("visits").alias("den"))
     if include_zero:
+        pairs = target_flow(visits.sparkSession, pages)
         num = F.broadcast(pairs).join(num, ["from_page", "to_page"], "left").fillna(0, ["num"])
     out = num.join(F.broadcast(den), "from_page", "left")
     # the reference's default denominator 1 is unreachable: every hop's from_page was visited
