@@ -41,11 +41,17 @@ def console(df: DataFrame, n: int = 20) -> None:
     df.show(n, truncate=False)
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    """Write one micro-batch's rows as partition ``batch_id`` (replay overwrites only that partition)."""
-    (df.withColumn(BATCH, F.lit(int(batch_id)).cast("long"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(BATCH).parquet(path))
+def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: Sequence[str] = ()) -> None:
+    """Write one micro-batch's rows as partition ``batch_id`` (replay overwrites only that partition).
+
+    ``partition_by`` adds columns below ``batch_id`` (e.g. the day) so readers can prune them.
+    """
+    out = df.withColumn(BATCH, F.lit(int(batch_id)).cast("long"))
+    if partition_by:
+        # AQE rebalance: few files per partition value, and a hot value is still split across tasks
+        out = out.hint("rebalance", *partition_by)
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(BATCH, *partition_by).parquet(path))
 
 
 def read_batches(spark: SparkSession, path: str, schema: T.StructType | str,
@@ -90,10 +96,14 @@ class KeyedTable:
 
     ``many=False``: one row per key, the newest wins (``max_by``). ``many=True``: a key owns a set of
     rows, replaced as a whole by its newest version (used for the bounded blacklist state).
+
+    ``partition_by`` (key columns such as the day) are also stored as partitions, so a semi join of
+    ``current()`` with a batch's touched keys reads only the touched partitions (dynamic partition
+    pruning) instead of the whole history.
     """
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType | str, keys: Sequence[str],
-                 many: bool = False, compact_every: int = 20):
+                 many: bool = False, compact_every: int = 20, partition_by: Sequence[str] = ()):
         self.spark = spark
         self.path = path
         self.schema = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
@@ -101,6 +111,7 @@ class KeyedTable:
         self.values = [f.name for f in self.schema.fields if f.name not in self.keys]
         self.many = many
         self.every = max(1, int(compact_every))
+        self.parts = list(partition_by)
 
     def _snapshot_below(self, upto: int) -> int:
         """The newest snapshot point strictly below ``upto``: it was written by an earlier, committed
@@ -113,8 +124,24 @@ class KeyedTable:
         newest = F.max(BATCH).over(Window.partitionBy(*self.keys))
         return log.withColumn("_newest", newest).filter(F.col(BATCH) == F.col("_newest")).drop("_newest", BATCH)
 
-    def current(self, upto: int | None = None) -> DataFrame:
-        """The store as of batch ``upto`` (inclusive; ``None`` = everything written)."""
+    def _prune(self, only: DataFrame, max_parts: int):
+        """A partition filter for the partition values present in ``only`` -- a short list of
+        values (the days a batch touched), or None when there are more than ``max_parts``."""
+        if len(self.parts) != 1:
+            return None
+        p = self.parts[0]
+        vals = [r[0] for r in only.select(p).distinct().limit(max_parts + 1).collect()]
+        if len(vals) > max_parts:
+            return None
+        return F.col(p).isin(vals)
+
+    def current(self, upto: int | None = None, only: DataFrame | None = None,
+                max_parts: int = 1000) -> DataFrame:
+        """The store as of batch ``upto`` (inclusive; ``None`` = everything written).
+
+        ``only`` (a small frame of keys, e.g. what a batch touched) restricts the result to those keys
+        and, through the partition columns, the files read.
+        """
         deltas = read_batches(self.spark, f"{self.path}/delta", self.schema)
         if upto is None:
             top = deltas.agg(F.max(BATCH)).collect()[0][0]
@@ -124,12 +151,19 @@ class KeyedTable:
         if snap >= 0:
             base = read_batch(self.spark, f"{self.path}/snapshot", self.schema, snap)
             parts = base.withColumn(BATCH, F.lit(snap).cast("long")).unionByName(parts)
-        return self._newest(parts)
+        if only is not None:
+            prune = self._prune(only, max_parts)
+            if prune is not None:
+                parts = parts.filter(prune)
+        out = self._newest(parts)
+        if only is not None:
+            out = out.join(only, [c for c in only.columns if c in self.keys], "left_semi")
+        return out
 
     def write(self, df: DataFrame, batch_id: int) -> None:
-        write_batch(df.select(*self.schema.fieldNames()), f"{self.path}/delta", batch_id)
+        write_batch(df.select(*self.schema.fieldNames()), f"{self.path}/delta", batch_id, self.parts)
         if batch_id > 0 and batch_id % self.every == 0:
-            write_batch(self.current(batch_id), f"{self.path}/snapshot", batch_id)
+            write_batch(self.current(batch_id), f"{self.path}/snapshot", batch_id, self.parts)
 
     def delta(self, batch_id: int) -> DataFrame:
         """Exactly what batch ``batch_id`` wrote."""

@@ -54,6 +54,7 @@ def _day_keys(clicks: DataFrame, watermark: str | None) -> tuple[DataFrame, list
 
 # ---------------------------------------------------------------- Q5: daily counters per area/city/ad
 def _totals(spark: SparkSession, out: str) -> KeyedTable:
+    # written every batch, read only by consumers: no per-batch pruning needed, so no day partitions
     return KeyedTable(spark, f"{out}/totals", TOTALS_SCHEMA, ["dt", "area", "city", "adid"],
                       compact_every=COMPACT_EVERY)
 
@@ -78,11 +79,13 @@ def read_ads_click_daily(spark: SparkSession, out: str) -> DataFrame:
 
 # ---------------------------------------------------------------- Q6: top ads per (day, area) as JSON
 def _rollup(spark: SparkSession, out: str) -> KeyedTable:
-    return KeyedTable(spark, f"{out}/rollup", ROLLUP_SCHEMA, ["dt", "area", "adid"], compact_every=COMPACT_EVERY)
+    return KeyedTable(spark, f"{out}/rollup", ROLLUP_SCHEMA, ["dt", "area", "adid"], compact_every=COMPACT_EVERY,
+                      partition_by=["dt"])
 
 
 def _docs(spark: SparkSession, out: str) -> KeyedTable:
-    return KeyedTable(spark, f"{out}/top3", TOP3_SCHEMA, ["dt", "area"], compact_every=COMPACT_EVERY)
+    return KeyedTable(spark, f"{out}/top3", TOP3_SCHEMA, ["dt", "area"], compact_every=COMPACT_EVERY,
+                      partition_by=["dt"])
 
 
 def ads_area_top3_stream(clicks: DataFrame, out: str, checkpoint: str, n: int = 3,
@@ -102,7 +105,7 @@ def ads_area_top3_stream(clicks: DataFrame, out: str, checkpoint: str, n: int =
     def sink(batch: DataFrame, batch_id: int) -> None:
         rollup.write(batch, batch_id)
         touched = rollup.delta(batch_id).select("dt", "area").distinct()
-        current = rollup.current(batch_id).join(touched, ["dt", "area"], "left_semi")
+        current = rollup.current(batch_id, only=touched)
         docs.write(ads_area_top3_json(current, n), batch_id)
 
     return _start(agg, sink, checkpoint, trigger)
@@ -150,11 +153,13 @@ def read_ads_windows(spark: SparkSession, out: str) -> DataFrame:
 
 # ---------------------------------------------------------------- Q4: dynamic blacklist
 def _state(spark: SparkSession, out: str) -> KeyedTable:
-    return KeyedTable(spark, f"{out}/state", STATE_SCHEMA, list(GROUP), many=True, compact_every=COMPACT_EVERY)
+    return KeyedTable(spark, f"{out}/state", STATE_SCHEMA, list(GROUP), many=True, compact_every=COMPACT_EVERY,
+                      partition_by=["dt"])
 
 
 def _counters(spark: SparkSession, out: str) -> KeyedTable:
-    return KeyedTable(spark, f"{out}/counters", DELTA_SCHEMA, list(GROUP), compact_every=COMPACT_EVERY)
+    return KeyedTable(spark, f"{out}/counters", DELTA_SCHEMA, list(GROUP), compact_every=COMPACT_EVERY,
+                      partition_by=["dt"])
 
 
 def blacklist_stream(clicks: DataFrame, out: str, checkpoint: str, threshold: int = 100,
@@ -182,19 +187,23 @@ def blacklist_stream(clicks: DataFrame, out: str, checkpoint: str, threshold: in
         batch = batch.persist()
         try:
             touched = batch.select(*GROUP).distinct()
-            prev = state.current(batch_id - 1).join(touched, list(GROUP), "left_semi")
+            prev = state.current(batch_id - 1, only=touched)
             merged = prev.unionByName(batch.select(*GROUP, "ts", "event_id"))
             state.write(first_clicks(merged, threshold).drop("rn"), batch_id)
         finally:
             batch.unpersist()
 
     def sink_micro_batch(batch: DataFrame, batch_id: int) -> None:
-        members = read_batches(spark, listed, LISTED_SCHEMA, upto=batch_id - 1).select("userid")
-        kept = batch.join(bounded_broadcast(members, max_broadcast_users), "userid", "left_anti")
-        counts = kept.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("clicks"))
-        prev = counters.current(batch_id - 1).join(counts.select(*GROUP), list(GROUP), "left_semi")
-        totals = prev.unionByName(counts).groupBy(*GROUP).agg(F.sum("clicks").cast("long").alias("clicks"))
-        counters.write(totals, batch_id)
+        batch = batch.persist()   # read by the touched-key list and by the merge: one source read
+        try:
+            members = read_batches(spark, listed, LISTED_SCHEMA, upto=batch_id - 1).select("userid")
+            kept = batch.join(bounded_broadcast(members, max_broadcast_users), "userid", "left_anti")
+            counts = kept.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("clicks"))
+            prev = counters.current(batch_id - 1, only=batch.select(*GROUP).distinct())
+            totals = prev.unionByName(counts).groupBy(*GROUP).agg(F.sum("clicks").cast("long").alias("clicks"))
+            counters.write(totals, batch_id)
+        finally:
+            batch.unpersist()
         new = (counters.delta(batch_id).filter(F.col("clicks") >= threshold)
                .select("userid", F.lit(int(batch_id)).cast("long").alias("since_batch")))
         set_add(new, listed, batch_id, "userid")
