@@ -52,39 +52,43 @@ def blacklist_filtered_counts(ads: DataFrame, threshold: int = 100,
                               order: Sequence[str] = EVENT_ORDER) -> DataFrame:
     """J2/ST8 (event time): (dt, adid, userid, clicks) counting only clicks not yet dropped.
 
-    A listed user's clicks up to and including the listing click count; later ones are dropped. The
-    listing key is spread over a user's rows with a window on ``userid`` -- over the per-group limited
-    rows only, at most ``threshold`` per (day, ad) -- instead of a join.
+    A listed user's clicks up to and including the listing click count; later ones are dropped. Only
+    the per-group limited rows (at most ``threshold`` per (day, ad)) take part. The listing key (one
+    row per listed user) is joined back rather than spread with a window over ``userid``: a user with
+    clicks on a huge number of (day, ad) pairs is then a skewed join partition that AQE splits (or
+    the listed users are broadcast when small), not one task holding all of that user's rows.
     """
     first = first_clicks(ads, threshold, order)
     k = _key(order)
-    since = F.min(F.when(F.col("rn") == threshold, k)).over(Window.partitionBy("userid"))
-    kept = first.withColumn("_since", since).filter(F.col("_since").isNull() | (k <= F.col("_since")))
+    listed = (first.filter(F.col("rn") == threshold).groupBy("userid").agg(F.min(k).alias("_since")))
+    kept = first.join(listed, "userid", "left").filter(F.col("_since").isNull() | (k <= F.col("_since")))
     return kept.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("clicks"))
 
 
-def _batch_counts(ads: DataFrame, threshold: int, batch_col: str) -> DataFrame:
+def _batch_counts(ads: DataFrame, threshold: int, batch_col: str) -> tuple[DataFrame, DataFrame]:
+    """Per (group, batch) counts with their running total, and (userid, since_batch) of listed users."""
     c = ads.groupBy(*GROUP, batch_col).agg(F.count(F.lit(1)).alias("n"))
     running = F.sum("n").over(Window.partitionBy(*GROUP).orderBy(batch_col)
                               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     c = c.withColumn("_running", running)
-    listed = F.min(F.when(F.col("_running") >= threshold, F.col(batch_col))).over(Window.partitionBy("userid"))
-    return c.withColumn("_listed", listed)
+    listed = (c.filter(F.col("_running") >= threshold).groupBy("userid")
+              .agg(F.min(batch_col).alias("since_batch")))
+    return c, listed
 
 
 def blacklist_users_by_batch(ads: DataFrame, threshold: int = 100, batch_col: str = "batch") -> DataFrame:
     """Q4 (micro-batch): (userid, since_batch) -- the first batch after which a counter was >= threshold.
 
-    Counts are pre-aggregated per (group, batch) before any window, so a window never sees raw clicks.
+    Counts are pre-aggregated per (group, batch) before the running-total window, so no window ever
+    sees raw clicks, and a group's window holds one row per batch.
     """
-    c = _batch_counts(ads, threshold, batch_col)
-    return (c.filter(F.col("_listed").isNotNull()).groupBy("userid")
-            .agg(F.min("_listed").alias("since_batch")))
+    return _batch_counts(ads, threshold, batch_col)[1]
 
 
 def blacklist_filtered_counts_by_batch(ads: DataFrame, threshold: int = 100,
                                        batch_col: str = "batch") -> DataFrame:
     """J2/ST8 (micro-batch): counts of clicks that arrived up to and including the listing batch."""
-    c = _batch_counts(ads, threshold, batch_col)
-    kept = c.filter(F.col("_listed").isNull() | (F.col(batch_col) <= F.col("_listed")))
+    c, listed = _batch_counts(ads, threshold, batch_col)
+    kept = c.join(listed, "userid", "left").filter(
+        F.col("since_batch").isNull() | (F.col(batch_col) <= F.col("since_batch")))
     return kept.groupBy(*GROUP).agg(F.sum("n").cast("long").alias("clicks"))
