@@ -46,3 +46,16 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["category_id", "click_count", "order_count", "pay_count"]
     assert 0 < df.count() <= 10
+
+
+@pytest.mark.parametrize("name", ["visit_log", "ads_log_parse", "ads_trend_10s", "blacklist_users", "page_avg_dwell"])
+def test_results_do_not_depend_on_the_session_time_zone(spark, duck, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    try:
+        df = batch_queries()[name](spark, SF_SMALL)
+        got = [tuple(r) for r in df.collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    res = duck.execute(E.oracle_sql()[name])
+    assert _norm(got, df.columns) == _norm(res.fetchall(), [d[0] for d in res.description])
