@@ -38,19 +38,28 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     if not _configured_dir(spark):
-        local = tempfile.mkdtemp(prefix="clicklens-cp-")
-        spark.conf.set("spark.checkpoint.dir", local)
-        spark.sparkContext.setCheckpointDir(local)
+        _set_dir(spark, tempfile.mkdtemp(prefix="clicklens-cp-"))
     return spark
 
 
 def _configured_dir(spark: SparkSession) -> str | None:
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = spark.sparkContext.getCheckpointDir()
+        try:  # a directory set with SparkContext.setCheckpointDir (classic sessions only)
+            d = spark.sparkContext.getCheckpointDir()
+        except Exception:  # noqa: BLE001 - e.g. a Spark Connect session has no SparkContext
+            d = None
     return d or None
 
 
+def _set_dir(spark: SparkSession, path: str) -> None:
+    spark.conf.set("spark.checkpoint.dir", path)
+    try:
+        spark.sparkContext.setCheckpointDir(path)
+    except Exception:  # noqa: BLE001 - no SparkContext (Spark Connect): the conf is enough for us
+        pass
+
+
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A fresh path below the cluster's shared checkpoint folder.
 
@@ -58,10 +67,9 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     Each call with no ``parts`` returns a new unique sub-folder.
     """
     base = _configured_dir(spark)
-    if not base:
+    if not base:  # only where the cluster names none, as in local tests
         base = tempfile.mkdtemp(prefix="clicklens-cp-")
-        spark.conf.set("spark.checkpoint.dir", base)
-        spark.sparkContext.setCheckpointDir(base)
+        _set_dir(spark, base)
     base = base.rstrip("/")
     sub = "/".join(parts) if parts else f"run-{uuid.uuid4().hex[:12]}"
     return f"{base}/clicklens/{sub}"

@@ -58,7 +58,7 @@ def read_batches(spark: SparkSession, path: str, schema: T.StructType | str,
                  upto: int | None = None) -> DataFrame:
     """All batches written so far (``upto`` inclusive) with their ``batch_id``; empty if none yet."""
     if isinstance(schema, str):
-        schema = T._parse_datatype_string(schema)
+        schema = T.DataType.fromDDL(schema)
     full = T.StructType(list(schema.fields) + [T.StructField(BATCH, T.LongType())])
     try:
         df = spark.read.schema(full).parquet(path)
@@ -106,7 +106,7 @@ class KeyedTable:
                  many: bool = False, compact_every: int = 20, partition_by: Sequence[str] = ()):
         self.spark = spark
         self.path = path
-        self.schema = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+        self.schema = T.DataType.fromDDL(schema) if isinstance(schema, str) else schema
         self.keys = list(keys)
         self.values = [f.name for f in self.schema.fields if f.name not in self.keys]
         self.many = many
