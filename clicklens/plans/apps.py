@@ -90,6 +90,8 @@ def _stream(spark: SparkSession, a: argparse.Namespace):
         return jobs.ads_click_daily_stream(c, a.out, a.checkpoint, trig, a.watermark)
     if a.job == "ads-top3":
         return jobs.ads_area_top3_stream(c, a.out, a.checkpoint, 3, trig, a.watermark)
+    if a.arrival:
+        return jobs.ads_arrival_trend_stream(c, a.out, a.checkpoint, 60, 10, 10, trig, echo=a.echo > 0)
     return jobs.ads_window_stream(c, a.out, a.checkpoint, 10, None, trig, a.watermark, echo=a.echo)
 
 
@@ -130,6 +132,8 @@ def parser() -> argparse.ArgumentParser:
     st.add_argument("--mode", choices=["event_time", "micro_batch"], default="event_time")
     st.add_argument("--watermark")
     st.add_argument("--echo", type=int, default=6, help="ads-trend: print the newest N 10 s buckets per batch")
+    st.add_argument("--arrival", action="store_true",
+                    help="ads-trend: window the last minute by arrival time, as the reference did")
     p.add_argument("--time-zone")
     return p
 

@@ -1,9 +1,11 @@
 from clicklens.streaming.jobs import (
+    ads_arrival_trend_stream,
     ads_area_top3_stream,
     ads_click_daily_stream,
     ads_window_stream,
     blacklist_stream,
     read_ads_area_top3,
+    read_ads_arrival_trend,
     read_ads_click_daily,
     read_ads_windows,
     read_blacklist,
@@ -11,6 +13,6 @@ from clicklens.streaming.jobs import (
 )
 
 __all__ = [
-    "ads_area_top3_stream", "ads_click_daily_stream", "ads_window_stream", "blacklist_stream",
+    "ads_arrival_trend_stream", "read_ads_arrival_trend", "ads_area_top3_stream", "ads_click_daily_stream", "ads_window_stream", "blacklist_stream",
     "read_ads_area_top3", "read_ads_click_daily", "read_ads_windows", "read_blacklist", "read_blacklist_counts",
 ]

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from clicklens.functions.columns import TS_FORMAT
+from clicklens.functions.columns import TS_FORMAT, floor_seconds
 from clicklens.operators.ads import ads_area_top3_json
 from clicklens.operators.blacklist import GROUP, blacklist_filtered_counts, blacklist_users, first_clicks
 from clicklens.operators.common import bounded_broadcast
@@ -29,6 +29,7 @@ TOTALS_SCHEMA = "dt string, area string, city string, adid long, clicks long"
 ROLLUP_SCHEMA = "dt string, area string, adid long, clicks long"
 TOP3_SCHEMA = "dt string, area string, top3 string"
 WINDOW_SCHEMA = "win_start string, win_end string, clicks long"
+ARRIVAL_SCHEMA = "win_start string, win_end string, bucket string, clicks long"
 STATE_SCHEMA = "dt string, adid long, userid long, ts timestamp, event_id long"
 DELTA_SCHEMA = "dt string, adid long, userid long, clicks long"
 LISTED_SCHEMA = "userid long, since_batch long"
@@ -151,6 +152,46 @@ def read_ads_windows(spark: SparkSession, out: str) -> DataFrame:
     return _windows(spark, out).current()
 
 
+def _arrivals(spark: SparkSession, out: str) -> KeyedTable:
+    return KeyedTable(spark, f"{out}/arrival", ARRIVAL_SCHEMA, ["win_start", "win_end", "bucket"],
+                      compact_every=COMPACT_EVERY)
+
+
+def ads_arrival_trend_stream(clicks: DataFrame, out: str, checkpoint: str, window_s: int = 60,
+                             slide_s: int = 10, bucket_s: int = 10, trigger: dict | None = None,
+                             echo: bool = False) -> StreamingQuery:
+    """Q7 with the reference's window: the last ``window_s`` seconds of *arrivals*, sliding every
+    ``slide_s``, and inside it clicks per ``bucket_s`` event-time bucket.
+
+    Arrival time is the micro-batch time (``current_timestamp()``), so results depend on when lines
+    arrive -- use ``ads_window_stream`` for reproducible event-time figures. A zero-delay watermark
+    on arrival time lets Spark drop each window's state once it has closed. ``echo`` prints, after
+    every batch, the window that ends next (the last minute of arrivals), buckets ascending.
+    """
+    arrived = clicks.withColumn("_arrival", F.current_timestamp()).withWatermark("_arrival", "0 seconds")
+    agg = (arrived.groupBy(F.window("_arrival", f"{window_s} seconds", f"{slide_s} seconds").alias("w"),
+                           floor_seconds("ts", bucket_s).alias("_b"))
+           .agg(F.count(F.lit(1)).alias("clicks"))
+           .select(F.date_format("w.start", TS_FORMAT).alias("win_start"),
+                   F.date_format("w.end", TS_FORMAT).alias("win_end"),
+                   F.date_format("_b", TS_FORMAT).alias("bucket"), "clicks"))
+    store = _arrivals(clicks.sparkSession, out)
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        store.write(batch, batch_id)
+        if echo:
+            mine = store.delta(batch_id)
+            last = mine.filter(F.col("win_end") == mine.agg(F.min("win_end")).scalar())
+            last.select("bucket", "clicks").orderBy("bucket").show(window_s // bucket_s * 10, truncate=False)
+
+    return _start(agg, sink, checkpoint, trigger)
+
+
+def read_ads_arrival_trend(spark: SparkSession, out: str) -> DataFrame:
+    """(win_start, win_end, bucket, clicks) for every arrival window seen."""
+    return _arrivals(spark, out).current()
+
+
 # ---------------------------------------------------------------- Q4: dynamic blacklist
 def _state(spark: SparkSession, out: str) -> KeyedTable:
     return KeyedTable(spark, f"{out}/state", STATE_SCHEMA, list(GROUP), many=True, compact_every=COMPACT_EVERY,

@@ -119,3 +119,18 @@ def test_watermarked_jobs_match_batch_on_in_order_data(spark):
     run_once(spark, start, f"{root}/in", f"{root}/o2", f"{root}/cp2")
     trend = rows(jobs.read_ads_windows(spark, f"{root}/o2"), "win_start", "clicks")
     assert trend == rows(op.ads_trend_10s(df))
+
+
+def test_arrival_time_trend_counts_each_arrival_window(spark):
+    # one micro-batch: every line arrives at the same time, so each arrival window holds all of them
+    root = shared_dir(spark)
+    df = sample(spark, 90)
+    write_lines(df.coalesce(1), f"{root}/in")
+    start = lambda c, o, cp, trigger: jobs.ads_arrival_trend_stream(c, o, cp, trigger=trigger, echo=True)  # noqa
+    run_once(spark, start, f"{root}/in", f"{root}/out", f"{root}/cp", per_trigger=10)
+    got = jobs.read_ads_arrival_trend(spark, f"{root}/out")
+    windows = got.select("win_start").distinct().count()
+    assert windows == 6                                  # 60 s window, 10 s slide
+    expected = rows(op.ads_trend_10s(df))
+    for w in [r.win_start for r in got.select("win_start").distinct().collect()]:
+        assert rows(got.filter(F.col("win_start") == w), "bucket", "clicks") == expected
