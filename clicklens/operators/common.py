@@ -49,7 +49,7 @@ def hot_keys(df: DataFrame, key: str, fraction: float = 0.001, min_sampled: int
 
 def next_in_session(df: DataFrame, session: str, order: Sequence[str], carry: Sequence[str],
                     slice_col: Column | None = None, extra: Sequence[str] = (),
-                    hot: DataFrame | None = None) -> DataFrame:
+                    hot: DataFrame | None = None, keep_last: bool = False) -> DataFrame:
     """Pair every row with the next row of its session (``list.zip(list.tail)``).
 
     Returns every input row that has a successor (its ``session``, ``order``, ``extra`` and ``carry``
@@ -65,6 +65,7 @@ def next_in_session(df: DataFrame, session: str, order: Sequence[str], carry: Se
 
     With ``hot`` (a bounded DataFrame of session keys, e.g. from ``hot_keys``) only those sessions
     take the sliced path; all others use the plain window, so the common case pays for one sort.
+    ``keep_last`` also returns each session's last row, with null ``next_<c>``: every input row once.
     """
     order_cols = [F.col(c) for c in order]
     keep = list(dict.fromkeys([session, *order, *extra, *carry]))
@@ -74,13 +75,14 @@ def next_in_session(df: DataFrame, session: str, order: Sequence[str], carry: Se
             F.broadcast(hot.select(session).withColumn("_hot", F.lit(True))), session, "left")
         cold = flagged.filter(F.col("_hot").isNull()).select(*keep)
         warm = flagged.filter(F.col("_hot").isNotNull()).select(*keep, "_slice_v")
-        return (next_in_session(cold, session, order, carry, None, extra)
-                .unionByName(next_in_session(warm, session, order, carry, F.col("_slice_v"), extra)))
+        return (next_in_session(cold, session, order, carry, None, extra, keep_last=keep_last)
+                .unionByName(next_in_session(warm, session, order, carry, F.col("_slice_v"), extra,
+                                             keep_last=keep_last)))
     if slice_col is None:
         w = Window.partitionBy(session).orderBy(*order_cols)
         out = df.select(*keep, *[F.lead(c).over(w).alias(f"next_{c}") for c in carry],
                         F.lead(F.lit(1)).over(w).isNotNull().alias("_has_next"))
-        return out.filter("_has_next").select(*keep, *nxt)
+        return (out if keep_last else out.filter("_has_next")).select(*keep, *nxt)
 
     w1 = Window.partitionBy(session, "_slice").orderBy(*order_cols)
     tagged = df.select(*keep, slice_col.alias("_slice")).select(
@@ -94,4 +96,6 @@ def next_in_session(df: DataFrame, session: str, order: Sequence[str], carry: Se
     linked = edges.select(*keep, "_has_next", *[F.lead(c).over(w2).alias(f"next_{c}") for c in carry],
                           F.lead(F.lit(1)).over(w2).isNotNull().alias("_linked"))
     across = linked.filter(~F.col("_has_next") & F.col("_linked")).select(*keep, *nxt)
+    if keep_last:  # the session's last row: last of its slice and of the linked edges
+        across = linked.filter(~F.col("_has_next")).select(*keep, *nxt)
     return inside.unionByName(across)

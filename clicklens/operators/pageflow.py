@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clicklens.functions.columns import epoch_seconds_ntz
@@ -37,7 +37,8 @@ def session_slice(width_s: int = 60) -> Column:
 
 
 def session_pairs(visits: DataFrame, carry: Sequence[str], extra: Sequence[str] = (),
-                  slice_width_s: int | None = 60, hot_sample: float | None = 0.001) -> DataFrame:
+                  slice_width_s: int | None = 60, hot_sample: float | None = 0.001,
+                  keep_last: bool = False) -> DataFrame:
     """Each action with the next action of its session (see ``next_in_session``).
 
     ``slice_width_s=None``: one plain window over every session. Otherwise sessions are split into
@@ -46,7 +47,7 @@ def session_pairs(visits: DataFrame, carry: Sequence[str], extra: Sequence[str]
     """
     slice_col = session_slice(slice_width_s) if slice_width_s else None
     hot = hot_keys(visits, "session_id", hot_sample) if (slice_col is not None and hot_sample) else None
-    return next_in_session(visits, "session_id", SESSION_ORDER, carry, slice_col, extra, hot)
+    return next_in_session(visits, "session_id", SESSION_ORDER, carry, slice_col, extra, hot, keep_last)
 
 
 def page_visits(visits: DataFrame, pages: str | Sequence) -> DataFrame:
@@ -89,17 +90,28 @@ def page_conversion(visits: DataFrame, pages: str | Sequence, include_zero: bool
                     slice_width_s: int | None = 60, hot_sample: float | None = 0.001) -> DataFrame:
     """Q3 (F6, A7, J3): (from_page, to_page, num, den, rate) for the hops of the target flow.
 
-    ``den`` counts every visit of ``from_page``; ``rate = num / den`` as a double. The denominator
-    table has one row per target page, so it is broadcast. With ``include_zero`` every target hop is
-    listed, unseen ones with ``num = 0``.
+    ``den`` counts every visit of ``from_page``; ``rate = num / den`` as a double. With
+    ``include_zero`` every target hop is listed, unseen ones with ``num = 0``.
+
+    One pass: the session window returns every visit once (the last of a session with no next
+    page), so a single (page, next page) count over the target pages yields both the numerator
+    (the hops) and the denominator (the sum over a page's rows, a window over that tiny aggregate):
+    one scan, one session shuffle, no join.
     """
-    num = page_transitions(visits, pages, slice_width_s, hot_sample)
-    den = page_visits(visits, pages).select(F.col("page_id").alias("from_page"), F.col("visits").alias("den"))
+    ids = parse_flow(pages)
+    steps = session_pairs(visits, ["page_id"], (), slice_width_s, hot_sample, keep_last=True)
+    per = (steps.filter(F.col("page_id").isin(ids))
+           .groupBy(F.col("page_id").alias("from_page"), F.col("next_page_id").alias("to_page"))
+           .agg(F.count(F.lit(1)).alias("num"))
+           .withColumn("den", F.sum("num").over(Window.partitionBy("from_page"))))
+    out = per.filter(hop_filter(pages))
     if include_zero:
+        # unseen hops need their page's denominator too: a second (small) read of the aggregate
+        den = per.groupBy("from_page").agg(F.max("den").alias("den"))
         pairs = target_flow(visits.sparkSession, pages)
-        num = F.broadcast(pairs).join(num, ["from_page", "to_page"], "left").fillna(0, ["num"])
-    out = num.join(F.broadcast(den), "from_page", "left")
-    # the reference's default denominator 1 is unreachable: every hop's from_page was visited
+        out = (F.broadcast(pairs).join(out.drop("den"), ["from_page", "to_page"], "left").fillna(0, ["num"])
+               .join(F.broadcast(den), "from_page", "left"))
+    # the reference's default denominator 1 is unreachable for a seen hop: its from_page was visited
     den_c = F.coalesce(F.col("den"), F.lit(1)).cast("long")
     return out.select("from_page", "to_page", F.col("num").cast("long").alias("num"), den_c.alias("den"),
                       (F.col("num").cast("double") / den_c).alias("rate"))

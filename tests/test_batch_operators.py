@@ -122,3 +122,15 @@ def test_hot_sessions_are_routed_to_the_sliced_path(spark):
     assert rows(op.page_steps(v, 60, hot_sample=None)) == plain     # every session sliced
     assert rows(op.page_dwell(v, 60, hot_sample=0.5)) == rows(op.page_dwell(v, None))
     assert len(plain) == 2999 + 400 - 50
+
+
+@pytest.mark.parametrize("width,sample", [(None, None), (7, None), (60, 0.5)])
+def test_keep_last_returns_every_visit_once(spark, width, sample):
+    recs = [(i, "bot", i % 10 + 1, i // 4, -1, None, None) for i in range(3000)]
+    recs += [(10_000 + i, f"s{i % 50}", i % 5 + 1, i * 13, -1, None, None) for i in range(400)]
+    v = visits(spark, recs)
+    got = op.session_pairs(v, ["page_id"], (), width, sample, keep_last=True)
+    assert got.count() == 3400
+    assert got.filter("next_page_id IS NULL").count() == 51          # one last visit per session
+    assert rows(got.filter("next_page_id IS NOT NULL"), "event_id", "next_page_id") == \
+        rows(op.session_pairs(v, ["page_id"], (), None, None), "event_id", "next_page_id")
