@@ -34,17 +34,33 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
 
 
 def hot_keys(df: DataFrame, key: str, fraction: float = 0.001, min_sampled: int = 50,
-             max_keys: int = 1000, seed: int = 17) -> DataFrame:
+             max_keys: int = 1000, seed: int = 17, time_us: Column | None = None,
+             rows_per_slice: int = 1_000_000, min_width_us: int = 1_000_000) -> DataFrame:
     """Keys that hold a large share of the rows, estimated from a seeded sample.
 
     Used only to *route* work (hot keys take a split path); every row is still processed, so a key
     the sample misses is merely slower, never wrong. The result is bounded by ``max_keys`` rows, so
     it can be broadcast; with the defaults a key needs ~``min_sampled / fraction`` rows (50,000) to
     be called hot.
+
+    With ``time_us`` (a microsecond time of each row) every hot key also gets ``_slice_us``: a time
+    width that cuts the key into slices of about ``rows_per_slice`` rows (estimated rows x sampled
+    time span), at least ``min_width_us``. A key spread thinly over a long time and a key packed
+    into a short burst both end up in ~rows/``rows_per_slice`` slices.
     """
-    sampled = df.select(key).sample(fraction=fraction, seed=seed)
-    return (sampled.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_sampled)
-            .orderBy(F.desc("_n"), F.asc(key)).limit(max_keys).select(key))
+    cols = [F.col(key)] + ([time_us.alias("_t")] if time_us is not None else [])
+    sampled = df.select(*cols).sample(fraction=fraction, seed=seed)
+    aggs = [F.count(F.lit(1)).alias("_n")]
+    if time_us is not None:
+        aggs += [F.min("_t").alias("_t0"), F.max("_t").alias("_t1")]
+    hot = (sampled.groupBy(key).agg(*aggs).filter(F.col("_n") >= min_sampled)
+           .orderBy(F.desc("_n"), F.asc(key)).limit(max_keys))
+    if time_us is None:
+        return hot.select(key)
+    est_rows = F.col("_n") / F.lit(fraction)
+    width = F.greatest(F.lit(min_width_us).cast("double"),
+                       (F.col("_t1") - F.col("_t0")).cast("double") * F.lit(rows_per_slice) / est_rows)
+    return hot.select(key, F.ceil(width).cast("long").alias("_slice_us"))
 
 
 def next_in_session(df: DataFrame, session: str, order: Sequence[str], carry: Sequence[str],
@@ -65,16 +81,17 @@ def next_in_session(df: DataFrame, session: str, order: Sequence[str], carry: Se
 
     With ``hot`` (a bounded DataFrame of session keys, e.g. from ``hot_keys``) only those sessions
     take the sliced path; all others use the plain window, so the common case pays for one sort.
+    ``slice_col`` is then evaluated after joining ``hot``, so it may use per-key columns of it (a
+    per-session slice width).
     ``keep_last`` also returns each session's last row, with null ``next_<c>``: every input row once.
     """
     order_cols = [F.col(c) for c in order]
     keep = list(dict.fromkeys([session, *order, *extra, *carry]))
     nxt = [f"next_{c}" for c in carry]
     if hot is not None and slice_col is not None:
-        flagged = df.select(*keep, slice_col.alias("_slice_v")).join(
-            F.broadcast(hot.select(session).withColumn("_hot", F.lit(True))), session, "left")
+        flagged = df.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), session, "left")
         cold = flagged.filter(F.col("_hot").isNull()).select(*keep)
-        warm = flagged.filter(F.col("_hot").isNotNull()).select(*keep, "_slice_v")
+        warm = flagged.filter(F.col("_hot").isNotNull()).select(*keep, slice_col.alias("_slice_v"))
         return (next_in_session(cold, session, order, carry, None, extra, keep_last=keep_last)
                 .unionByName(next_in_session(warm, session, order, carry, F.col("_slice_v"), extra,
                                              keep_last=keep_last)))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from clicklens.functions.columns import epoch_seconds_ntz
+from clicklens.functions.columns import epoch_micros_ntz, epoch_seconds_ntz
 from clicklens.operators.common import hot_keys, next_in_session
 
 SESSION_ORDER = ("action_time", "event_id")
@@ -38,15 +38,24 @@ def session_slice(width_s: int = 60) -> Column:
 
 def session_pairs(visits: DataFrame, carry: Sequence[str], extra: Sequence[str] = (),
                   slice_width_s: int | None = 60, hot_sample: float | None = 0.001,
-                  keep_last: bool = False) -> DataFrame:
+                  keep_last: bool = False, rows_per_slice: int = 1_000_000) -> DataFrame:
     """Each action with the next action of its session (see ``next_in_session``).
 
-    ``slice_width_s=None``: one plain window over every session. Otherwise sessions are split into
-    time slices -- all of them if ``hot_sample`` is None, or only the hot ones found in a
-    ``hot_sample`` fraction of the rows (the default: the common case keeps a single sort).
+    ``slice_width_s=None``: one plain window over every session. ``hot_sample=None``: every session
+    is cut into fixed ``slice_width_s`` slices. Default: only the hot sessions found in a
+    ``hot_sample`` fraction of the rows are sliced, each into slices of about ``rows_per_slice``
+    rows (at least 1 ms wide, so even a burst inside one second is split); the rest keep a single
+    plain window.
     """
-    slice_col = session_slice(slice_width_s) if slice_width_s else None
-    hot = hot_keys(visits, "session_id", hot_sample) if (slice_col is not None and hot_sample) else None
+    if not slice_width_s:
+        return next_in_session(visits, "session_id", SESSION_ORDER, carry, None, extra, None, keep_last)
+    if not hot_sample:
+        return next_in_session(visits, "session_id", SESSION_ORDER, carry, session_slice(slice_width_s),
+                               extra, None, keep_last)
+    t_us = epoch_micros_ntz("action_time")
+    hot = hot_keys(visits, "session_id", hot_sample, time_us=t_us, rows_per_slice=rows_per_slice,
+                   min_width_us=1_000)
+    slice_col = F.floor(t_us / F.col("_slice_us")).cast("long")
     return next_in_session(visits, "session_id", SESSION_ORDER, carry, slice_col, extra, hot, keep_last)
 
 
@@ -57,13 +66,14 @@ def page_visits(visits: DataFrame, pages: str | Sequence) -> DataFrame:
             .groupBy("page_id").agg(F.count(F.lit(1)).alias("visits")))
 
 
-def page_steps(visits: DataFrame, slice_width_s: int | None = 60, hot_sample: float | None = 0.001) -> DataFrame:
+def page_steps(visits: DataFrame, slice_width_s: int | None = 60, hot_sample: float | None = 0.001,
+               rows_per_slice: int = 1_000_000) -> DataFrame:
     """(session_id, from_page, to_page) for every consecutive pair of actions of a session.
 
     Pairs are taken over *all* pages in time order before any target filter (1 -> 9 -> 2 is not a
     1 -> 2 hop). Ties in time go to ``event_id``.
     """
-    nxt = session_pairs(visits, ["page_id"], (), slice_width_s, hot_sample)
+    nxt = session_pairs(visits, ["page_id"], (), slice_width_s, hot_sample, rows_per_slice=rows_per_slice)
     return nxt.select("session_id", F.col("page_id").alias("from_page"), F.col("next_page_id").alias("to_page"))
 
 
@@ -75,19 +85,21 @@ def hop_filter(pages: str | Sequence) -> Column:
 
 
 def page_transitions(visits: DataFrame, pages: str | Sequence | None = None,
-                     slice_width_s: int | None = 60, hot_sample: float | None = 0.001) -> DataFrame:
+                     slice_width_s: int | None = 60, hot_sample: float | None = 0.001,
+                     rows_per_slice: int = 1_000_000) -> DataFrame:
     """A6 (+F6): (from_page, to_page, num); transitions that never occur have no row.
 
     ``pages`` (a target flow) keeps only its hops; the predicate runs before the partial aggregate.
     """
-    steps = page_steps(visits, slice_width_s, hot_sample)
+    steps = page_steps(visits, slice_width_s, hot_sample, rows_per_slice)
     if pages is not None:
         steps = steps.filter(hop_filter(pages))
     return steps.groupBy("from_page", "to_page").agg(F.count(F.lit(1)).alias("num"))
 
 
 def page_conversion(visits: DataFrame, pages: str | Sequence, include_zero: bool = False,
-                    slice_width_s: int | None = 60, hot_sample: float | None = 0.001) -> DataFrame:
+                    slice_width_s: int | None = 60, hot_sample: float | None = 0.001,
+                    rows_per_slice: int = 1_000_000) -> DataFrame:
     """Q3 (F6, A7, J3): (from_page, to_page, num, den, rate) for the hops of the target flow.
 
     ``den`` counts every visit of ``from_page``; ``rate = num / den`` as a double. With
@@ -99,7 +111,8 @@ def page_conversion(visits: DataFrame, pages: str | Sequence, include_zero: bool
     one scan, one session shuffle, no join.
     """
     ids = parse_flow(pages)
-    steps = session_pairs(visits, ["page_id"], (), slice_width_s, hot_sample, keep_last=True)
+    steps = session_pairs(visits, ["page_id"], (), slice_width_s, hot_sample, keep_last=True,
+                          rows_per_slice=rows_per_slice)
     per = (steps.filter(F.col("page_id").isin(ids))
            .groupBy(F.col("page_id").alias("from_page"), F.col("next_page_id").alias("to_page"))
            .agg(F.count(F.lit(1)).alias("num"))

@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from clicklens import operators as op
 from tests.conftest import rows
@@ -134,3 +135,18 @@ def test_keep_last_returns_every_visit_once(spark, width, sample):
     assert got.filter("next_page_id IS NULL").count() == 51          # one last visit per session
     assert rows(got.filter("next_page_id IS NOT NULL"), "event_id", "next_page_id") == \
         rows(op.session_pairs(v, ["page_id"], (), None, None), "event_id", "next_page_id")
+
+
+@pytest.mark.parametrize("rps", [50, 400, 1_000_000])
+def test_adaptive_slices_for_hot_sessions(spark, rps):
+    # a 3,000-row bot spread over many minutes plus a burst of 600 rows in one second
+    recs = [(i, "bot", i % 10 + 1, i * 20, -1, None, None) for i in range(3000)]
+    recs += [(5000 + i, "bot", i % 7 + 1, 30_000 + i / 1000, -1, None, None) for i in range(600)]
+    recs += [(10_000 + i, f"s{i % 50}", i % 5 + 1, i * 13, -1, None, None) for i in range(400)]
+    v = visits(spark, recs)
+    hot = op.hot_keys(v, "session_id", 0.5, time_us=F.unix_micros(F.col("action_time").cast("timestamp")),
+                      rows_per_slice=rps, min_width_us=1000)
+    assert [r.session_id for r in hot.collect()] == ["bot"]
+    plain = rows(op.page_steps(v, None))
+    assert rows(op.page_steps(v, 60, hot_sample=0.5, rows_per_slice=rps)) == plain
+    assert rows(op.page_dwell(v, 60, hot_sample=0.5, rows_per_slice=rps)) == rows(op.page_dwell(v, None))
