@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clicklens import operators as op
-from clicklens.functions.columns import TS_FORMAT
 from clicklens.plans.oracle import FLOW, RANGE, THRESHOLD
 from clicklens.sources import adlines, tables
 
@@ -125,4 +124,4 @@ def entry(spark: SparkSession, sf_dir: str = "/root/testdata/sf0.001") -> DataFr
     return op.hot_category_top10(tables.visit_log(spark, sf_dir))
 
 
-__all__ = ["queries", "batch_queries", "entry", "TS_FORMAT"]
+__all__ = ["queries", "batch_queries", "entry"]

@@ -8,7 +8,6 @@ local tests -- do we pick our own.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -73,12 +72,3 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     base = base.rstrip("/")
     sub = "/".join(parts) if parts else f"run-{uuid.uuid4().hex[:12]}"
     return f"{base}/clicklens/{sub}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for the few helpers that touch the local file system in tests."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)

@@ -13,8 +13,6 @@ from pyspark.sql import functions as F
 
 from clicklens.functions.columns import DAY_FORMAT
 
-LINE_FIELDS = ("epoch_ms", "area", "city", "userid", "adid")
-
 
 def encode_lines(ads: DataFrame, with_id: bool = True) -> DataFrame:
     """(ts, area, city, userid, adid[, event_id]) -> ``value`` string lines."""

@@ -59,3 +59,20 @@ def test_results_do_not_depend_on_the_session_time_zone(spark, duck, name):
         spark.conf.set("spark.sql.session.timeZone", old)
     res = duck.execute(E.oracle_sql()[name])
     assert _norm(got, df.columns) == _norm(res.fetchall(), [d[0] for d in res.description])
+
+
+def test_headline_results_have_the_declared_columns(spark):
+    from clicklens import schemas
+    from clicklens.sources import adlines, tables
+    q = batch_queries()
+    expect = {"hot_category_top10": schemas.CATEGORY_TOP10,
+              "hot_category_session_top10": schemas.CATEGORY_SESSION_TOP10,
+              "page_conversion": schemas.PAGE_CONVERSION, "page_avg_dwell": schemas.PAGE_AVG_DWELL,
+              "ads_click_daily": schemas.ADS_CLICK_DAILY, "ads_area_top3_json": schemas.ADS_AREA_TOP3_JSON,
+              "ads_trend_10s": schemas.ADS_TREND, "blacklist_users": schemas.BLACKLIST}
+    for name, cols in expect.items():
+        assert q[name](spark, SF_SMALL).columns == cols, name
+    parsed = adlines.parse_lines(adlines.encode_lines(tables.ads_log(spark, SF_SMALL)))
+    assert sorted(parsed.columns) == sorted(schemas.ADS_LOG.fieldNames())
+    assert tables.visit_log(spark, SF_SMALL).columns == [
+        f for f in schemas.VISIT_LOG.fieldNames() if f in tables.visit_log(spark, SF_SMALL).columns]
