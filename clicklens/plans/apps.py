@@ -81,7 +81,15 @@ def _clicks(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
     return adlines.parse_lines(lines)
 
 
+STATE_STORES = {
+    "rocksdb": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "hdfs": "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider",
+}
+
+
 def _stream(spark: SparkSession, a: argparse.Namespace):
+    # large keyed state belongs off the JVM heap; the provider is fixed when a checkpoint is created
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORES[a.state_store])
     trig = {"availableNow": True} if a.available_now else {"processingTime": f"{a.interval} seconds"}
     c = _clicks(spark, a)
     if a.job == "ads-blacklist":
@@ -132,6 +140,7 @@ def parser() -> argparse.ArgumentParser:
     st.add_argument("--mode", choices=["event_time", "micro_batch"], default="event_time")
     st.add_argument("--watermark")
     st.add_argument("--echo", type=int, default=6, help="ads-trend: print the newest N 10 s buckets per batch")
+    st.add_argument("--state-store", choices=sorted(STATE_STORES), default="rocksdb")
     st.add_argument("--arrival", action="store_true",
                     help="ads-trend: window the last minute by arrival time, as the reference did")
     p.add_argument("--time-zone")

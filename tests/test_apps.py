@@ -45,3 +45,19 @@ def test_batch_jobs_write_their_outputs(spark):
     apps.main(["category-sessions", "--parquet", f"{root}/uva", "--start-date", "2019-03-01",
                "--end-date", "2019-03-01", "--output-path", f"{root}/sess"])
     assert spark.read.parquet(f"{root}/sess").count() > 0
+
+
+def test_stream_job_from_the_command_line(spark):
+    from clicklens.sources import encode_lines, tables
+    from tests.conftest import SF_SMALL
+    root = shared_dir(spark)
+    ads = tables.ads_log(spark, SF_SMALL)
+    encode_lines(ads).write.text(f"{root}/in")
+    old = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    try:
+        apps.main(["ads-daily", "--input-path", f"{root}/in", "--out", f"{root}/out", "--checkpoint",
+                   f"{root}/cp", "--available-now", "--state-store", "rocksdb"])
+    finally:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", old)
+    from clicklens.streaming import jobs
+    assert rows(jobs.read_ads_click_daily(spark, f"{root}/out")) == rows(op.ads_click_daily(ads))
