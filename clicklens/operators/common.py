@@ -19,7 +19,7 @@ def top_n_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column]
     rn = rank_col or "_rn"
     w = Window.partitionBy(*group).orderBy(*order)
     out = df.withColumn(rn, F.row_number().over(w)).filter(F.col(rn) <= n)
-    return out if rank_col else out.drop(rn)
+    return out.withColumn(rn, F.col(rn).cast("long")) if rank_col else out.drop(rn)
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:

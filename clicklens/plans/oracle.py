@@ -87,7 +87,9 @@ def _with(*ctes: tuple[str, str]) -> str:
 def _pairs_values(flow: str) -> str:
     ids = [int(p) for p in flow.split(",")]
     pairs = list(dict.fromkeys(zip(ids, ids[1:])))
-    return "SELECT * FROM (VALUES " + ", ".join(f"({a}, {b})" for a, b in pairs) + ") t(from_page, to_page)"
+    # page ids are BIGINT in the visit log; the literals take that type
+    return ("SELECT CAST(from_page AS BIGINT) AS from_page, CAST(to_page AS BIGINT) AS to_page FROM (VALUES "
+            + ", ".join(f"({a}, {b})" for a, b in pairs) + ") t(from_page, to_page)")
 
 
 STEPS = """

@@ -76,3 +76,16 @@ def test_headline_results_have_the_declared_columns(spark):
     assert sorted(parsed.columns) == sorted(schemas.ADS_LOG.fieldNames())
     assert tables.visit_log(spark, SF_SMALL).columns == [
         f for f in schemas.VISIT_LOG.fieldNames() if f in tables.visit_log(spark, SF_SMALL).columns]
+
+
+def test_column_types_match_the_oracle(spark, duck):
+    spark_to_duck = {"bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE", "int": "INTEGER"}
+    bad = {}
+    for name, fn in batch_queries().items():
+        got = {f.name: spark_to_duck.get(f.dataType.simpleString(), f.dataType.simpleString())
+               for f in fn(spark, SF_SMALL).schema.fields}
+        rel = duck.sql(E.oracle_sql()[name])
+        want = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+        if got != want:
+            bad[name] = (got, want)
+    assert not bad
