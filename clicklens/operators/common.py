@@ -74,10 +74,11 @@ def next_in_session(df: DataFrame, session: str, order: Sequence[str], carry: Se
 
     Skew: a plain ``lead`` over ``partitionBy(session)`` sorts a whole session in one task, so a
     single hot (bot) session holding a third of the log would stall the job. When ``slice_col`` is
-    given (e.g. the hour of the event), rows are windowed per (session, slice) instead -- each slice is
-    one task's work -- and only the first and last row of every slice take part in a second, tiny
-    window over the session that links the last row of one slice to the first row of the next. The
-    result is exactly the plain ``lead``; the slice must be non-decreasing in ``order``.
+    given (a time bucket of the row), rows are windowed per (session, slice) instead -- a slice is
+    one partition's work -- and only the first and last row of every slice take part in a second
+    window over the session (two rows per slice) that links the last row of one slice to the first
+    row of the next. The result is exactly the plain ``lead``; the slice must be non-decreasing in
+    ``order``.
 
     With ``hot`` (a bounded DataFrame of session keys, e.g. from ``hot_keys``) only those sessions
     take the sliced path; all others use the plain window, so the common case pays for one sort.
