@@ -99,3 +99,14 @@ def test_line_round_trip_and_bad_lines(spark):
                                 "value string")
     assert parse_lines(raw).count() == 1
     assert sorted(r.value for r in bad_lines(raw).collect()) == ["1 A B 1", "1 A B u 2", "x A B 1 2"]
+
+
+def test_edge_parameters(spark):
+    df = ads(spark, [(1, 0, "N", "c", 1, 1), (2, 5, "N", "c", 1, 2), (3, 9, "N", "c", 2, 1)])
+    # threshold 1: a user is listed by their first click; nothing after it counts
+    assert rows(op.blacklist_users(df, 1), "userid") == [(1,), (2,)]
+    assert {(r.userid, r.adid): r.clicks for r in op.blacklist_filtered_counts(df, 1).collect()} == \
+        {(1, 1): 1, (2, 1): 1}
+    # no clicks at all: the newest-minute subquery is null and the result is empty, not an error
+    assert op.ads_last_minute(df.limit(0)).count() == 0
+    assert op.ads_area_top3_json(df.limit(0)).count() == 0

@@ -150,3 +150,10 @@ def test_adaptive_slices_for_hot_sessions(spark, rps):
     plain = rows(op.page_steps(v, None))
     assert rows(op.page_steps(v, 60, hot_sample=0.5, rows_per_slice=rps)) == plain
     assert rows(op.page_dwell(v, 60, hot_sample=0.5, rows_per_slice=rps)) == rows(op.page_dwell(v, None))
+
+
+def test_flow_of_one_page_has_no_hops(spark):
+    v = visits(spark, [(1, "x", 1, 0, -1, None, None), (2, "x", 2, 5, -1, None, None)])
+    assert op.page_conversion(v, "1").count() == 0
+    assert op.page_conversion(v, [1], include_zero=True).count() == 0
+    assert rows(op.page_conversion(v, [1, 2])) == [(1, 2, 1, 1, 1.0)]
