@@ -44,7 +44,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=cpus,
-                          extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "6g")})
+                          extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "4g")})
     qs = batch_queries()
     sq = stream_queries()
     # warm-up: JIT, file listing, Python workers
