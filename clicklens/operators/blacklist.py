@@ -49,7 +49,7 @@ def blacklist_users(ads: DataFrame, threshold: int = 100, order: Sequence[str] =
 
 
 def blacklist_filtered_counts(ads: DataFrame, threshold: int = 100,
-                              order: Sequence[str] = EVENT_ORDER) -> DataFrame:
+                              order: Sequence[str] = EVENT_ORDER, prior: DataFrame | None = None) -> DataFrame:
     """J2/ST8 (event time): (dt, adid, userid, clicks) counting only clicks not yet dropped.
 
     A listed user's clicks up to and including the listing click count; later ones are dropped. Only
@@ -57,11 +57,18 @@ def blacklist_filtered_counts(ads: DataFrame, threshold: int = 100,
     row per listed user) is joined back rather than spread with a window over ``userid``: a user with
     clicks on a huge number of (day, ad) pairs is then a skewed join partition that AQE splits (or
     the listed users are broadcast when small), not one task holding all of that user's rows.
+
+    ``prior`` (userid, since) lists users already listed before ``ads`` begins (a stream's settled
+    days): their clicks after ``since`` are dropped as well.
     """
     first = first_clicks(ads, threshold, order)
     k = _key(order)
     listed = (first.filter(F.col("rn") == threshold).groupBy("userid").agg(F.min(k).alias("_since")))
     kept = first.join(listed, "userid", "left").filter(F.col("_since").isNull() | (k <= F.col("_since")))
+    if prior is not None:
+        earlier = prior.select("userid", F.col("since").alias("_prior"))
+        kept = kept.join(earlier, "userid", "left").filter(
+            F.col("_prior").isNull() | (F.col(order[0]) <= F.col("_prior")))
     return kept.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("clicks"))
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -160,10 +160,16 @@ class KeyedTable:
             out = out.join(only, [c for c in only.columns if c in self.keys], "left_semi")
         return out
 
-    def write(self, df: DataFrame, batch_id: int) -> None:
+    def compacts_at(self, batch_id: int) -> bool:
+        return batch_id > 0 and batch_id % self.every == 0
+
+    def write(self, df: DataFrame, batch_id: int, keep: Column | None = None) -> None:
+        """Store batch ``batch_id``'s new values; at a compaction point also write the snapshot,
+        keeping only rows that satisfy ``keep`` when given (how retired keys leave the store)."""
         write_batch(df.select(*self.schema.fieldNames()), f"{self.path}/delta", batch_id, self.parts)
-        if batch_id > 0 and batch_id % self.every == 0:
-            write_batch(self.current(batch_id), f"{self.path}/snapshot", batch_id, self.parts)
+        if self.compacts_at(batch_id):
+            snap = self.current(batch_id)
+            write_batch(snap if keep is None else snap.filter(keep), f"{self.path}/snapshot", batch_id, self.parts)
 
     def delta(self, batch_id: int) -> DataFrame:
         """Exactly what batch ``batch_id`` wrote."""

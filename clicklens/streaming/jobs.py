@@ -21,7 +21,7 @@ from clicklens.functions.columns import TS_FORMAT, floor_seconds
 from clicklens.operators.ads import ads_area_top3_json
 from clicklens.operators.blacklist import GROUP, blacklist_filtered_counts, blacklist_users, first_clicks
 from clicklens.operators.common import bounded_broadcast
-from clicklens.sinks.writers import KeyedTable, read_batches, set_add
+from clicklens.sinks.writers import BATCH, KeyedTable, read_batches, set_add, write_batch
 
 DEFAULT_TRIGGER = {"processingTime": "5 seconds"}
 
@@ -33,6 +33,8 @@ ARRIVAL_SCHEMA = "win_start string, win_end string, bucket string, clicks long"
 STATE_SCHEMA = "dt string, adid long, userid long, ts timestamp, event_id long"
 DELTA_SCHEMA = "dt string, adid long, userid long, clicks long"
 LISTED_SCHEMA = "userid long, since_batch long"
+SETTLED_SCHEMA = "userid long, since timestamp"
+CUTOFF_SCHEMA = "cutoff string"
 
 
 COMPACT_EVERY = 20
@@ -198,6 +200,22 @@ def _state(spark: SparkSession, out: str) -> KeyedTable:
                       partition_by=["dt"])
 
 
+def _settled(spark: SparkSession, out: str) -> KeyedTable:
+    return KeyedTable(spark, f"{out}/settled", SETTLED_SCHEMA, ["userid"], compact_every=COMPACT_EVERY)
+
+
+def _closed(spark: SparkSession, out: str) -> KeyedTable:
+    return KeyedTable(spark, f"{out}/closed", DELTA_SCHEMA, list(GROUP), compact_every=COMPACT_EVERY,
+                      partition_by=["dt"])
+
+
+def _cutoff_before(spark: SparkSession, out: str, batch_id: int) -> str | None:
+    """The retention cutoff day in force for batch ``batch_id`` (set by an earlier compaction)."""
+    log = read_batches(spark, f"{out}/cutoff", CUTOFF_SCHEMA, upto=batch_id - 1)
+    row = log.orderBy(F.desc(BATCH)).select("cutoff").limit(1).collect()
+    return row[0]["cutoff"] if row else None
+
+
 def _counters(spark: SparkSession, out: str) -> KeyedTable:
     return KeyedTable(spark, f"{out}/counters", DELTA_SCHEMA, list(GROUP), compact_every=COMPACT_EVERY,
                       partition_by=["dt"])
@@ -205,7 +223,7 @@ def _counters(spark: SparkSession, out: str) -> KeyedTable:
 
 def blacklist_stream(clicks: DataFrame, out: str, checkpoint: str, threshold: int = 100,
                      mode: str = "event_time", trigger: dict | None = None,
-                     max_broadcast_users: int = 1_000_000) -> StreamingQuery:
+                     max_broadcast_users: int = 1_000_000, retain_days: int | None = None) -> StreamingQuery:
     """Q4 (ST2, ST3, ST5, ST6, ST8, SRC5, SNK6): the blacklist, fed back into the counting.
 
     ``event_time`` (default): the state is, per (dt, adid, userid), the first ``threshold`` clicks in
@@ -216,6 +234,12 @@ def blacklist_stream(clicks: DataFrame, out: str, checkpoint: str, threshold: in
     ``micro_batch``: the reference's rule. A batch first drops users already listed by earlier
     batches (anti join with the set, broadcast only below ``max_broadcast_users``), adds its counts
     to the running totals, then lists users whose total on any (day, ad) reached ``threshold``.
+
+    ``retain_days`` (event time only; default: keep everything, as the reference does): at each
+    compaction, groups of days older than the newest day minus ``retain_days`` are settled -- their
+    listed users and final counts move to two small stores and the groups leave the live state.
+    Their counts are final then: every later click is later in time than anything on a settled day.
+    Clicks that arrive for an already settled day are dropped, as a watermark would.
     """
     if mode not in ("event_time", "micro_batch"):
         raise ValueError(f"unknown blacklist mode {mode!r}")
@@ -223,17 +247,40 @@ def blacklist_stream(clicks: DataFrame, out: str, checkpoint: str, threshold: in
     spark = clicks.sparkSession
     state, counters, listed = _state(spark, out), _counters(spark, out), f"{out}/listed"
 
+    settled, closed = _settled(spark, out), _closed(spark, out)
+
     def sink_event_time(batch: DataFrame, batch_id: int) -> None:
         # the batch feeds both the touched-group filter and the merge: read the source once
         batch = batch.persist()
         try:
-            touched = batch.select(*GROUP).distinct()
+            fresh = batch.select(*GROUP, "ts", "event_id")
+            if retain_days is not None:
+                cutoff = _cutoff_before(spark, out, batch_id)
+                if cutoff is not None:
+                    fresh = fresh.filter(F.col("dt") >= cutoff)   # its day is settled: too late
+            touched = fresh.select(*GROUP).distinct()
             prev = state.current(batch_id - 1, only=touched)
-            merged = prev.unionByName(batch.select(*GROUP, "ts", "event_id"))
-            state.write(first_clicks(merged, threshold).drop("rn"), batch_id)
+            merged = prev.unionByName(fresh)
+            new_state = first_clicks(merged, threshold).drop("rn")
+            if retain_days is None or not state.compacts_at(batch_id):
+                state.write(new_state, batch_id)
+                return
+            newest = (state.current(batch_id - 1).select("dt").unionByName(fresh.select("dt"))
+                      .agg(F.max("dt")).collect()[0][0])
+            cut = F.date_format(F.date_sub(F.lit(newest).cast("date"), retain_days), "yyyy-MM-dd")
+            cut_value = spark.range(1).select(cut.alias("cutoff")).collect()[0][0]
+            state.write(new_state, batch_id, keep=F.col("dt") >= cut_value)
+            _settle(state.current(batch_id).filter(F.col("dt") < cut_value), batch_id)
+            write_batch(spark.createDataFrame([(cut_value,)], CUTOFF_SCHEMA), f"{out}/cutoff", batch_id)
         finally:
             batch.unpersist()
 
+    def _settle(closing: DataFrame, batch_id: int) -> None:
+        prior = settled.current(batch_id - 1)
+        # a user settled earlier keeps that (earlier) listing time
+        settled.write(blacklist_users(closing, threshold).join(prior, "userid", "left_anti"), batch_id)
+        closed.write(blacklist_filtered_counts(closing, threshold, prior=prior), batch_id)
+
     def sink_micro_batch(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()   # read by the touched-key list and by the merge: one source read
         try:
@@ -256,7 +303,9 @@ def blacklist_stream(clicks: DataFrame, out: str, checkpoint: str, threshold: in
 def read_blacklist(spark: SparkSession, out: str, threshold: int = 100, mode: str = "event_time") -> DataFrame:
     """(userid, since) for ``event_time``; (userid, since_batch) for ``micro_batch``."""
     if mode == "event_time":
-        return blacklist_users(_state(spark, out).current(), threshold)
+        live = blacklist_users(_state(spark, out).current(), threshold)
+        both = live.unionByName(_settled(spark, out).current())
+        return both.groupBy("userid").agg(F.min("since").alias("since"))
     return read_batches(spark, f"{out}/listed", LISTED_SCHEMA).drop("batch_id")
 
 
@@ -264,5 +313,7 @@ def read_blacklist_counts(spark: SparkSession, out: str, threshold: int = 100,
                           mode: str = "event_time") -> DataFrame:
     """(dt, adid, userid, clicks): the counters after the blacklist filter."""
     if mode == "event_time":
-        return blacklist_filtered_counts(_state(spark, out).current(), threshold)
+        live = blacklist_filtered_counts(_state(spark, out).current(), threshold,
+                                         prior=_settled(spark, out).current())
+        return live.unionByName(_closed(spark, out).current())
     return _counters(spark, out).current()

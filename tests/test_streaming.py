@@ -164,3 +164,20 @@ def test_a_batch_that_fails_midway_is_replayed_exactly(spark, monkeypatch):
     again = run_once(spark, start_bl, f"{root}/in", f"{root}/bl", f"{root}/blcp")
     assert sum(p["numInputRows"] for p in again.recentProgress) == 0
     assert rows(jobs.read_blacklist_counts(spark, f"{root}/bl", 12)) == rows(op.blacklist_filtered_counts(df, 12))
+
+
+def test_blacklist_retention_settles_closed_days_exactly(spark, monkeypatch):
+    monkeypatch.setattr(jobs, "COMPACT_EVERY", 2)
+    root = shared_dir(spark)
+    day = 86400
+    recs = [(d * 1000 + i, d * day + 60 + i * 7, "A", "c", i % 4, i % 2 + 1) for d in range(6) for i in range(60)]
+    df = ads(spark, recs)
+    for d in range(6):   # one file per day, written in day order: one micro-batch per day
+        write_lines(df.filter(F.floor(F.col("event_id") / 1000) == d).coalesce(1), f"{root}/in")
+    start = lambda c, o, cp, trigger: jobs.blacklist_stream(c, o, cp, 5, trigger=trigger, retain_days=1)  # noqa
+    run_once(spark, start, f"{root}/in", f"{root}/out", f"{root}/cp", per_trigger=1)
+    assert jobs._closed(spark, f"{root}/out").current().count() > 0          # days were settled
+    assert rows(jobs.read_blacklist(spark, f"{root}/out", 5)) == rows(op.blacklist_users(df, 5))
+    assert rows(jobs.read_blacklist_counts(spark, f"{root}/out", 5)) == rows(op.blacklist_filtered_counts(df, 5))
+    live_days = {r.dt for r in jobs._state(spark, f"{root}/out").current().select("dt").distinct().collect()}
+    assert min(live_days) == "2024-01-05"                                    # older days left the state
