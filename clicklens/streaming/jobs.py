@@ -232,8 +232,10 @@ def blacklist_stream(clicks: DataFrame, out: str, checkpoint: str, threshold: in
     batch split or arrival order.
 
     ``micro_batch``: the reference's rule. A batch first drops users already listed by earlier
-    batches (anti join with the set, broadcast only below ``max_broadcast_users``), adds its counts
-    to the running totals, then lists users whose total on any (day, ad) reached ``threshold``.
+    batches -- the batch's distinct users (bounded by the batch, checked against
+    ``max_broadcast_users``) are broadcast and looked up in the stored set, so the set is scanned but
+    never shuffled -- adds its counts to the running totals, then lists users whose total on any
+    (day, ad) reached ``threshold``.
 
     ``retain_days`` (event time only; default: keep everything, as the reference does): at each
     compaction, groups of days older than the newest day minus ``retain_days`` are settled -- their
@@ -285,7 +287,13 @@ def blacklist_stream(clicks: DataFrame, out: str, checkpoint: str, threshold: in
         batch = batch.persist()   # read by the touched-key list and by the merge: one source read
         try:
             members = read_batches(spark, listed, LISTED_SCHEMA, upto=batch_id - 1).select("userid")
-            kept = batch.join(bounded_broadcast(members, max_broadcast_users), "userid", "left_anti")
+            users = batch.select("userid").distinct()
+            if users.limit(max_broadcast_users + 1).count() <= max_broadcast_users:
+                # look the batch's users up in the set (set scanned, never shuffled), then drop hits
+                hits = members.join(F.broadcast(users), "userid", "left_semi")
+                kept = batch.join(F.broadcast(hits), "userid", "left_anti")
+            else:
+                kept = batch.join(bounded_broadcast(members, max_broadcast_users), "userid", "left_anti")
             counts = kept.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("clicks"))
             prev = counters.current(batch_id - 1, only=batch.select(*GROUP).distinct())
             totals = prev.unionByName(counts).groupBy(*GROUP).agg(F.sum("clicks").cast("long").alias("clicks"))
