@@ -14,15 +14,27 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clicklens.functions.columns import date_range
+from clicklens.schemas import DRIVER_TABLES
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """Parquet scan of one driver table; ``columns`` narrows the read schema."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return df.select(*columns) if columns else df
+    """Parquet scan of one driver table; ``columns`` narrows the read schema.
+
+    Tables with a declared schema (``schemas.DRIVER_TABLES``) are read with it -- only the requested
+    columns -- so no inference job runs; others fall back to Parquet's own schema.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    ddl = DRIVER_TABLES.get(name)
+    if ddl is None:
+        df = spark.read.parquet(path)
+        return df.select(*columns) if columns else df
+    schema = T.StructType.fromDDL(ddl)
+    if columns:
+        schema = T.StructType([schema[c] for c in columns])
+    return spark.read.schema(schema).parquet(path)
 
 
 def _props_number(props: Column) -> Column:
