@@ -4,6 +4,8 @@ Each job takes a parsed click stream (``sources.parse_lines(read_line_stream(...
 running state in Spark's state store or in batch-versioned tables under ``out``, and writes through
 ``foreachBatch``. Offsets, state and outputs are tied to the batch id, so a restart from the same
 checkpoint replays a batch into the same partition: totals are absolute and never double-counted.
+The keyed output stores (``sinks.KeyedTable``) compact every ``COMPACT_EVERY`` batches, and those
+read back per batch are partitioned by day and read only for the days a batch touched.
 
 Reference -> here: ``StreamingContext(…, Seconds(5))`` -> ``trigger(processingTime="5 seconds")``;
 ``updateStateByKey`` -> a streaming ``groupBy().count()`` in update mode (only changed keys are
@@ -49,10 +51,17 @@ def _start(df: DataFrame, sink, checkpoint: str, trigger: dict | None, mode: str
 
 
 def _day_keys(clicks: DataFrame, watermark: str | None) -> tuple[DataFrame, list]:
-    """With a watermark the day is also an event-time window, so Spark can drop closed days' state."""
+    """With a watermark the day is also an event-time window, so Spark can drop closed days' state.
+
+    The window runs over the wall-clock time (``from_utc_timestamp`` with the session zone), so its
+    days are exactly the ``dt`` days whatever the session time zone; one ``dt`` never straddles two
+    windows.
+    """
     if watermark is None:
         return clicks, []
-    return clicks.withWatermark("ts", watermark), [F.window("ts", "1 day").alias("_day")]
+    tz = clicks.sparkSession.conf.get("spark.sql.session.timeZone")
+    local = clicks.withColumn("_wall", F.from_utc_timestamp("ts", tz))
+    return local.withWatermark("_wall", watermark), [F.window("_wall", "1 day").alias("_day")]
 
 
 # ---------------------------------------------------------------- Q5: daily counters per area/city/ad

@@ -181,3 +181,20 @@ def test_blacklist_retention_settles_closed_days_exactly(spark, monkeypatch):
     assert rows(jobs.read_blacklist_counts(spark, f"{root}/out", 5)) == rows(op.blacklist_filtered_counts(df, 5))
     live_days = {r.dt for r in jobs._state(spark, f"{root}/out").current().select("dt").distinct().collect()}
     assert min(live_days) == "2024-01-05"                                    # older days left the state
+
+
+def test_watermarked_days_follow_the_session_time_zone(spark):
+    # under +05:30 a local day spans two UTC days; expiry windows must not split its counts
+    root = shared_dir(spark)
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    try:
+        df = sample(spark, 300)
+        write_lines(df.orderBy("ts").coalesce(1), f"{root}/in")
+        start = lambda c, o, cp, trigger: jobs.ads_click_daily_stream(c, o, cp, trigger, watermark="1 hour")  # noqa
+        run_once(spark, start, f"{root}/in", f"{root}/out", f"{root}/cp")
+        got = rows(jobs.read_ads_click_daily(spark, f"{root}/out"))
+        want = rows(op.ads_click_daily(parse_lines(encode_lines(df))))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == want
