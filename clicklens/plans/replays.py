@@ -29,9 +29,11 @@ class Replay:
         self.root = shared_dir(spark)
         self.input, self.out, self.cp = f"{self.root}/input", f"{self.root}/out", f"{self.root}/cp"
         lines = adlines.encode_lines(tables.ads_log(spark, sf_dir))
-        # round-robin over as many tasks as the session shuffles with (thousands on a cluster): every
-        # file holds clicks of every day, and no task writes more than its share
-        files = max(batches, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        # round-robin into files of ~100k lines (at most the session's shuffle width -- thousands on a
+        # cluster): every file holds clicks of every day, and no task writes more than its share
+        rows = tables.read_table(spark, sf_dir, "events", ["event_id"]).count()
+        width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        files = max(batches, min(width, batches * -(-rows // 100_000)))
         lines.repartition(files).write.text(self.input)
         self.written = spark.read.text(self.input).count()
         self.per_trigger = -(-files // batches)
@@ -42,7 +44,16 @@ class Replay:
         return adlines.parse_lines(stream)
 
     def run(self, start) -> None:
-        q = start(self.clicks(), self.out, self.cp, trigger={"availableNow": True})
+        # a stateful query keeps the shuffle width it starts with as its number of state stores: size
+        # it from the input (~100k lines each, never above the session's setting) for this query only;
+        # the query clones the session's settings when it starts
+        conf = self.spark.conf
+        before = conf.get("spark.sql.shuffle.partitions")
+        conf.set("spark.sql.shuffle.partitions", str(max(2, min(int(before), -(-self.written // 100_000)))))
+        try:
+            q = start(self.clicks(), self.out, self.cp, trigger={"availableNow": True})
+        finally:
+            conf.set("spark.sql.shuffle.partitions", before)
         q.awaitTermination()
         read = sum(p["numInputRows"] for p in q.recentProgress)
         batches = len(q.recentProgress)
