@@ -61,3 +61,25 @@ def test_stream_job_from_the_command_line(spark):
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", old)
     from clicklens.streaming import jobs
     assert rows(jobs.read_ads_click_daily(spark, f"{root}/out")) == rows(op.ads_click_daily(ads))
+
+
+def test_top3_and_blacklist_stream_jobs_from_the_command_line(spark):
+    from clicklens.sources import encode_lines, tables
+    from clicklens.streaming import jobs
+    from tests.conftest import SF_SMALL
+    root = shared_dir(spark)
+    ads = tables.ads_log(spark, SF_SMALL)
+    encode_lines(ads).write.text(f"{root}/in")
+    old = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    try:
+        apps.main(["ads-top3", "--input-path", f"{root}/in", "--out", f"{root}/top3", "--checkpoint",
+                   f"{root}/cp1", "--available-now", "--state-store", "hdfs"])
+        apps.main(["ads-blacklist", "--input-path", f"{root}/in", "--out", f"{root}/bl", "--checkpoint",
+                   f"{root}/cp2", "--available-now", "--threshold", "2", "--retain-days", "3"])
+    finally:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", old)
+    assert rows(jobs.read_ads_area_top3(spark, f"{root}/top3")) == rows(op.ads_area_top3_json(ads))
+    # the wire format carries epoch milliseconds: compare with the batch twin of the parsed lines
+    from clicklens.sources import parse_lines
+    wire = parse_lines(encode_lines(ads))
+    assert rows(jobs.read_blacklist(spark, f"{root}/bl", 2)) == rows(op.blacklist_users(wire, 2))
