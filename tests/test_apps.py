@@ -83,3 +83,11 @@ def test_top3_and_blacklist_stream_jobs_from_the_command_line(spark):
     from clicklens.sources import parse_lines
     wire = parse_lines(encode_lines(ads))
     assert rows(jobs.read_blacklist(spark, f"{root}/bl", 2)) == rows(op.blacklist_users(wire, 2))
+
+
+def test_page_dwell_job_prints_by_default(spark, capsys):
+    root = shared_dir(spark)
+    ref_log(spark).write.parquet(f"{root}/uva")
+    apps.main(["page-dwell", "--parquet", f"{root}/uva", "--show", "20"])
+    out = capsys.readouterr().out
+    assert "page_id" in out and "avg_ms" in out

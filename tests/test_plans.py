@@ -58,3 +58,27 @@ def test_partitioned_log_prunes_dates(spark):
     p = plan_of(op.page_avg_dwell(pruned))
     parts = re.search(r"PartitionFilters: \[([^\]]*)\]", p).group(1)
     assert "date" in parts and "2024-01-08" in parts
+
+
+def test_bounded_broadcast_only_below_its_bound(spark):
+    from clicklens.operators import bounded_broadcast
+    big = spark.range(0, 5000).withColumnRenamed("id", "k")
+    small = spark.range(0, 10).withColumnRenamed("id", "k")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # only our hint may broadcast
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        hinted = plan_of(big.join(bounded_broadcast(small, 100), "k"))
+        unhinted = plan_of(big.join(bounded_broadcast(big.select("k"), 100), "k"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in hinted
+    assert "BroadcastHashJoin" not in unhinted and "SortMergeJoin" in unhinted
+
+
+def test_hot_keys_are_bounded(spark):
+    from pyspark.sql import functions as F
+    from clicklens.operators import hot_keys
+    df = spark.range(0, 20000).select((F.col("id") % 40).alias("s"))   # 40 keys of 500 rows
+    assert hot_keys(df, "s", fraction=1.0, min_sampled=100, max_keys=7).count() == 7
+    assert hot_keys(df, "s", fraction=1.0, min_sampled=1000).count() == 0
