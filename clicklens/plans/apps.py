@@ -93,7 +93,8 @@ def _stream(spark: SparkSession, a: argparse.Namespace):
     trig = {"availableNow": True} if a.available_now else {"processingTime": f"{a.interval} seconds"}
     c = _clicks(spark, a)
     if a.job == "ads-blacklist":
-        return jobs.blacklist_stream(c, a.out, a.checkpoint, a.threshold, a.mode, trig, retain_days=a.retain_days)
+        return jobs.blacklist_stream(c, a.out, a.checkpoint, a.threshold, a.mode, trig,
+                                     retain_days=a.retain_days, echo=a.echo)
     if a.job == "ads-daily":
         return jobs.ads_click_daily_stream(c, a.out, a.checkpoint, trig, a.watermark)
     if a.job == "ads-top3":
@@ -140,7 +141,8 @@ def parser() -> argparse.ArgumentParser:
     st.add_argument("--mode", choices=["event_time", "micro_batch"], default="event_time")
     st.add_argument("--watermark")
     st.add_argument("--retain-days", type=int, help="ads-blacklist (event time): settle days older than this")
-    st.add_argument("--echo", type=int, default=6, help="ads-trend: print the newest N 10 s buckets per batch")
+    st.add_argument("--echo", type=int, default=6,
+                    help="ads-trend: newest N 10 s buckets per batch; ads-blacklist: N changed counters per batch")
     st.add_argument("--state-store", choices=sorted(STATE_STORES), default="rocksdb")
     st.add_argument("--arrival", action="store_true",
                     help="ads-trend: window the last minute by arrival time, as the reference did")

@@ -232,7 +232,8 @@ def _counters(spark: SparkSession, out: str) -> KeyedTable:
 
 def blacklist_stream(clicks: DataFrame, out: str, checkpoint: str, threshold: int = 100,
                      mode: str = "event_time", trigger: dict | None = None,
-                     max_broadcast_users: int = 1_000_000, retain_days: int | None = None) -> StreamingQuery:
+                     max_broadcast_users: int = 1_000_000, retain_days: int | None = None,
+                     echo: int = 0) -> StreamingQuery:
     """Q4 (ST2, ST3, ST5, ST6, ST8, SRC5, SNK6): the blacklist, fed back into the counting.
 
     ``event_time`` (default): the state is, per (dt, adid, userid), the first ``threshold`` clicks in
@@ -251,6 +252,9 @@ def blacklist_stream(clicks: DataFrame, out: str, checkpoint: str, threshold: in
     listed users and final counts move to two small stores and the groups leave the live state.
     Their counts are final then: every later click is later in time than anything on a settled day.
     Clicks that arrive for an already settled day are dropped, as a watermark would.
+
+    ``echo > 0`` prints, after every batch, up to ``echo`` of the (day, ad, user) counters the batch
+    changed (SNK7, like the reference's per-batch print of its running counts).
     """
     if mode not in ("event_time", "micro_batch"):
         raise ValueError(f"unknown blacklist mode {mode!r}")
@@ -313,7 +317,13 @@ def blacklist_stream(clicks: DataFrame, out: str, checkpoint: str, threshold: in
                .select("userid", F.lit(int(batch_id)).cast("long").alias("since_batch")))
         set_add(new, listed, batch_id, "userid")
 
-    sink = sink_event_time if mode == "event_time" else sink_micro_batch
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        (sink_event_time if mode == "event_time" else sink_micro_batch)(batch, batch_id)
+        if echo > 0:
+            changed = (state.delta(batch_id).groupBy(*GROUP).agg(F.count(F.lit(1)).alias("clicks"))
+                       if mode == "event_time" else counters.delta(batch_id))
+            changed.orderBy(*GROUP).show(echo, truncate=False)
+
     return _start(rows, sink, checkpoint, trigger, mode="append")
 
 

@@ -198,3 +198,12 @@ def test_watermarked_days_follow_the_session_time_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert got == want
+
+
+def test_blacklist_echo_prints_changed_counters(spark, capsys):
+    root = shared_dir(spark)
+    write_lines(sample(spark, 60).coalesce(1), f"{root}/in")
+    start = lambda c, o, cp, trigger: jobs.blacklist_stream(c, o, cp, 3, trigger=trigger, echo=5)
+    run_once(spark, start, f"{root}/in", f"{root}/out", f"{root}/cp", per_trigger=10)
+    out = capsys.readouterr().out
+    assert "userid" in out and "clicks" in out
