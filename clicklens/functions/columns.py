@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clicklens.defaults import CSV_SEPARATOR, DAY_FORMAT, TREND_SLIDE_S, TS_FORMAT  # noqa: F401
+
 EPOCH_NTZ = "1970-01-01 00:00:00"
-TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
 TS_MICROS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
-DAY_FORMAT = "yyyy-MM-dd"
 
 
 def _c(c: str | Column) -> Column:
@@ -25,7 +25,7 @@ def csv_ids(c: str | Column) -> Column:
     """Split a comma list like the JVM's ``String.split(",")``: trailing empty items are dropped,
     leading and inner ones kept; a value made only of commas yields no ids."""
     stripped = F.regexp_replace(_c(c), r",+\z", "")
-    return F.when(stripped == "", F.array().cast("array<string>")).otherwise(F.split(stripped, ",", -1))
+    return F.when(stripped == "", F.array().cast("array<string>")).otherwise(F.split(stripped, CSV_SEPARATOR, -1))
 
 
 def date_range(df: DataFrame, start: str | None = None, end: str | None = None,
@@ -67,7 +67,7 @@ def floor_seconds(ts: str | Column, width_s: int) -> Column:
     return F.timestamp_seconds(F.floor(F.unix_seconds(_c(ts)) / F.lit(width_s)) * F.lit(width_s))
 
 
-def bucket_label(ts: str | Column, width_s: int = 10) -> Column:
+def bucket_label(ts: str | Column, width_s: int = TREND_SLIDE_S) -> Column:
     """The reference's trend label: ``yyyy-MM-dd HH:mm:s0`` for 10 s buckets."""
     return F.date_format(floor_seconds(ts, width_s), TS_FORMAT)
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clicklens.defaults import TOP_ADS, TREND_SLIDE_S, TREND_WINDOW_S
 from clicklens.functions.columns import TS_FORMAT, floor_seconds, ranked_json
 from clicklens.operators.common import top_n_per_group
 
@@ -37,30 +38,30 @@ def ads_area_rollup(ads: DataFrame) -> DataFrame:
     return _count(ads, "dt", "area", "adid")
 
 
-def ads_area_top3(ads: DataFrame, n: int = 3) -> DataFrame:
+def ads_area_top3(ads: DataFrame, n: int = TOP_ADS) -> DataFrame:
     """Q6 (W3): the ``n`` most clicked ads of each (dt, area), with their rank; ties -> smaller adid."""
     return top_n_per_group(ads_area_rollup(ads), ["dt", "area"], [F.desc("clicks"), F.asc("adid")], n,
                            rank_col="rank")
 
 
-def ads_area_top3_json(ads: DataFrame, n: int = 3) -> DataFrame:
+def ads_area_top3_json(ads: DataFrame, n: int = TOP_ADS) -> DataFrame:
     """Q6 (X7): (dt, area, top3) with ``top3`` a JSON object ``{"adid": clicks, ...}`` in rank order."""
     top = ads_area_top3(ads, n)
     return top.groupBy("dt", "area").agg(ranked_json("rank", "adid", "clicks").alias("top3"))
 
 
-def trend_buckets(ads: DataFrame, width_s: int = 10) -> DataFrame:
+def trend_buckets(ads: DataFrame, width_s: int = TREND_SLIDE_S) -> DataFrame:
     """Clicks per ``width_s``-second bucket start (an instant); the shared pre-aggregate of Q7."""
     return _count(ads, floor_seconds("ts", width_s).alias("bucket_ts"))
 
 
-def ads_trend_10s(ads: DataFrame, width_s: int = 10) -> DataFrame:
+def ads_trend_10s(ads: DataFrame, width_s: int = TREND_SLIDE_S) -> DataFrame:
     """(bucket ``yyyy-MM-dd HH:mm:s0``, clicks) for every non-empty bucket, ascending."""
     b = trend_buckets(ads, width_s)
     return b.select(F.date_format("bucket_ts", TS_FORMAT).alias("bucket"), "clicks").orderBy("bucket")
 
 
-def ads_sliding_60s(ads: DataFrame, window_s: int = 60, slide_s: int = 10) -> DataFrame:
+def ads_sliding_60s(ads: DataFrame, window_s: int = TREND_WINDOW_S, slide_s: int = TREND_SLIDE_S) -> DataFrame:
     """ST4 (batch form): (win_start, win_end, clicks) for every sliding event-time window.
 
     Same windows as ``F.window(ts, "60 seconds", "10 seconds")``, but counted per slide bucket first
@@ -80,7 +81,7 @@ def ads_sliding_60s(ads: DataFrame, window_s: int = 60, slide_s: int = 10) -> Da
                     "clicks")
 
 
-def ads_last_minute(ads: DataFrame, window_s: int = 60, slide_s: int = 10) -> DataFrame:
+def ads_last_minute(ads: DataFrame, window_s: int = TREND_WINDOW_S, slide_s: int = TREND_SLIDE_S) -> DataFrame:
     """Q7: the newest ``window_s`` window aligned to ``slide_s`` -- at most ``window_s/slide_s`` buckets.
 
     The window ends at floor(max ts) + slide; the newest timestamp is a scalar subquery, so the

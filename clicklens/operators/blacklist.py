@@ -24,11 +24,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from clicklens.defaults import BLACKLIST_THRESHOLD
+
 GROUP = ("dt", "adid", "userid")
 EVENT_ORDER = ("ts", "event_id")
 
 
-def first_clicks(ads: DataFrame, threshold: int = 100, order: Sequence[str] = EVENT_ORDER) -> DataFrame:
+def first_clicks(ads: DataFrame, threshold: int = BLACKLIST_THRESHOLD, order: Sequence[str] = EVENT_ORDER) -> DataFrame:
     """The first ``threshold`` clicks of every (dt, adid, userid), numbered ``rn`` in event order."""
     w = Window.partitionBy(*GROUP).orderBy(*[F.col(c) for c in order])
     cols = list(dict.fromkeys([*GROUP, *order]))
@@ -39,7 +41,7 @@ def _key(order: Sequence[str]):
     return F.struct(*[F.col(c) for c in order])
 
 
-def blacklist_users(ads: DataFrame, threshold: int = 100, order: Sequence[str] = EVENT_ORDER) -> DataFrame:
+def blacklist_users(ads: DataFrame, threshold: int = BLACKLIST_THRESHOLD, order: Sequence[str] = EVENT_ORDER) -> DataFrame:
     """Q4/F7 (event time): (userid, since) -- ``since`` is the time of the click that listed the user."""
     first = first_clicks(ads, threshold, order)
     hit = first.filter(F.col("rn") == threshold)
@@ -48,7 +50,7 @@ def blacklist_users(ads: DataFrame, threshold: int = 100, order: Sequence[str] =
     return hit.groupBy("userid").agg(F.min(order[0]).alias("since"))
 
 
-def blacklist_filtered_counts(ads: DataFrame, threshold: int = 100,
+def blacklist_filtered_counts(ads: DataFrame, threshold: int = BLACKLIST_THRESHOLD,
                               order: Sequence[str] = EVENT_ORDER, prior: DataFrame | None = None) -> DataFrame:
     """J2/ST8 (event time): (dt, adid, userid, clicks) counting only clicks not yet dropped.
 
@@ -83,7 +85,7 @@ def _batch_counts(ads: DataFrame, threshold: int, batch_col: str) -> tuple[DataF
     return c, listed
 
 
-def blacklist_users_by_batch(ads: DataFrame, threshold: int = 100, batch_col: str = "batch") -> DataFrame:
+def blacklist_users_by_batch(ads: DataFrame, threshold: int = BLACKLIST_THRESHOLD, batch_col: str = "batch") -> DataFrame:
     """Q4 (micro-batch): (userid, since_batch) -- the first batch after which a counter was >= threshold.
 
     Counts are pre-aggregated per (group, batch) before the running-total window, so no window ever
@@ -92,7 +94,7 @@ def blacklist_users_by_batch(ads: DataFrame, threshold: int = 100, batch_col: st
     return _batch_counts(ads, threshold, batch_col)[1]
 
 
-def blacklist_filtered_counts_by_batch(ads: DataFrame, threshold: int = 100,
+def blacklist_filtered_counts_by_batch(ads: DataFrame, threshold: int = BLACKLIST_THRESHOLD,
                                        batch_col: str = "batch") -> DataFrame:
     """J2/ST8 (micro-batch): counts of clicks that arrived up to and including the listing batch."""
     c, listed = _batch_counts(ads, threshold, batch_col)

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clicklens.defaults import TOP_CATEGORIES
 from clicklens.functions.columns import csv_ids, non_blank
 
 METRICS = ("click", "order", "pay")
@@ -47,7 +48,7 @@ def category_metric_pivot(visits: DataFrame) -> DataFrame:
         *[F.count_if(F.col("metric") == m).alias(f"{m}_count") for m in METRICS])
 
 
-def hot_category_top10(visits: DataFrame, n: int = 10, task_id: str | None = None) -> DataFrame:
+def hot_category_top10(visits: DataFrame, n: int = TOP_CATEGORIES, task_id: str | None = None) -> DataFrame:
     """Q1 (T1, X8): the top ``n`` categories by click, then order, then pay count (all desc).
 
     Ties, arbitrary in the reference, are broken by ``category_id`` ascending. ``orderBy + limit`` is

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clicklens.defaults import TOP_CATEGORIES, TOP_SESSIONS
 from clicklens.operators.categories import hot_category_top10
 from clicklens.operators.common import top_n_per_group
 
@@ -29,7 +30,8 @@ def category_session_counts(click_rows: DataFrame) -> DataFrame:
     return click_rows.groupBy("category_id", "session_id").agg(F.count(F.lit(1)).alias("click_count"))
 
 
-def hot_category_session_top10(visits: DataFrame, n_categories: int = 10, n_sessions: int = 10,
+def hot_category_session_top10(visits: DataFrame, n_categories: int = TOP_CATEGORIES,
+                               n_sessions: int = TOP_SESSIONS,
                                top: DataFrame | None = None) -> DataFrame:
     """Q2 (W3): the top ``n_sessions`` sessions by clicks in each of Q1's top ``n_categories``.
 

@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 
 from clicklens import operators as op
 from clicklens import sinks
+from clicklens.defaults import (BLACKLIST_THRESHOLD, TOP_ADS, TOP_CATEGORIES, TOP_SESSIONS, TREND_SLIDE_S,
+                                TRIGGER_INTERVAL_S)
 from clicklens.functions.columns import date_range
 from clicklens.sources import adlines
 from clicklens.sources.tables import visit_actions
@@ -98,10 +100,10 @@ def _stream(spark: SparkSession, a: argparse.Namespace):
     if a.job == "ads-daily":
         return jobs.ads_click_daily_stream(c, a.out, a.checkpoint, trig, a.watermark)
     if a.job == "ads-top3":
-        return jobs.ads_area_top3_stream(c, a.out, a.checkpoint, 3, trig, a.watermark)
+        return jobs.ads_area_top3_stream(c, a.out, a.checkpoint, TOP_ADS, trig, a.watermark)
     if a.arrival:
-        return jobs.ads_arrival_trend_stream(c, a.out, a.checkpoint, 60, 10, 10, trig, echo=a.echo > 0)
-    return jobs.ads_window_stream(c, a.out, a.checkpoint, 10, None, trig, a.watermark, echo=a.echo)
+        return jobs.ads_arrival_trend_stream(c, a.out, a.checkpoint, trigger=trig, echo=a.echo > 0)
+    return jobs.ads_window_stream(c, a.out, a.checkpoint, TREND_SLIDE_S, None, trig, a.watermark, echo=a.echo)
 
 
 STREAM = ("ads-blacklist", "ads-daily", "ads-top3", "ads-trend")
@@ -117,8 +119,8 @@ def parser() -> argparse.ArgumentParser:
     src.add_argument("--end-date")
     src.add_argument("--flow", default="1,2,3,4,5,6,7")
     src.add_argument("--include-zero", action="store_true")
-    src.add_argument("--top", type=int, default=10)
-    src.add_argument("--top-sessions", type=int, default=10)
+    src.add_argument("--top", type=int, default=TOP_CATEGORIES)
+    src.add_argument("--top-sessions", type=int, default=TOP_SESSIONS)
     src.add_argument("--task-id")
     out = p.add_argument_group("batch output")
     out.add_argument("--output-table")
@@ -135,9 +137,9 @@ def parser() -> argparse.ArgumentParser:
     st.add_argument("--input-path")
     st.add_argument("--out")
     st.add_argument("--checkpoint")
-    st.add_argument("--interval", type=int, default=5)
+    st.add_argument("--interval", type=int, default=TRIGGER_INTERVAL_S)
     st.add_argument("--available-now", action="store_true")
-    st.add_argument("--threshold", type=int, default=100)
+    st.add_argument("--threshold", type=int, default=BLACKLIST_THRESHOLD)
     st.add_argument("--mode", choices=["event_time", "micro_batch"], default="event_time")
     st.add_argument("--watermark")
     st.add_argument("--retain-days", type=int, help="ads-blacklist (event time): settle days older than this")

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clicklens.defaults import LINE_SEPARATOR
 from clicklens.functions.columns import DAY_FORMAT
 
 
@@ -20,11 +21,11 @@ def encode_lines(ads: DataFrame, with_id: bool = True) -> DataFrame:
               F.col("userid").cast("string"), F.col("adid").cast("string")]
     if with_id:
         fields.append(F.col("event_id").cast("string"))
-    return ads.select(F.concat_ws(" ", *fields).alias("value"))
+    return ads.select(F.concat_ws(LINE_SEPARATOR, *fields).alias("value"))
 
 
 def _parsed(lines: DataFrame) -> DataFrame:
-    parts = F.split(F.col("value"), " ")
+    parts = F.split(F.col("value"), LINE_SEPARATOR)
     return lines.select(
         F.col("value"),
         F.size(parts).alias("_n"),

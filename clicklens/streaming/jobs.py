@@ -19,13 +19,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from clicklens.defaults import BLACKLIST_THRESHOLD, TOP_ADS, TREND_SLIDE_S, TREND_WINDOW_S, TRIGGER_INTERVAL_S
 from clicklens.functions.columns import TS_FORMAT, floor_seconds
 from clicklens.operators.ads import ads_area_top3_json
 from clicklens.operators.blacklist import GROUP, blacklist_filtered_counts, blacklist_users, first_clicks
 from clicklens.operators.common import bounded_broadcast
 from clicklens.sinks.writers import BATCH, KeyedTable, read_batches, set_add, write_batch
 
-DEFAULT_TRIGGER = {"processingTime": "5 seconds"}
+DEFAULT_TRIGGER = {"processingTime": f"{TRIGGER_INTERVAL_S} seconds"}
 
 TOTALS_SCHEMA = "dt string, area string, city string, adid long, clicks long"
 ROLLUP_SCHEMA = "dt string, area string, adid long, clicks long"
@@ -100,7 +101,7 @@ def _docs(spark: SparkSession, out: str) -> KeyedTable:
                       partition_by=["dt"])
 
 
-def ads_area_top3_stream(clicks: DataFrame, out: str, checkpoint: str, n: int = 3,
+def ads_area_top3_stream(clicks: DataFrame, out: str, checkpoint: str, n: int = TOP_ADS,
                          trigger: dict | None = None, watermark: str | None = None) -> StreamingQuery:
     """Q6 (A10, W3, X7, SNK5): per-batch top-``n`` JSON for every (dt, area) the batch touched.
 
@@ -168,8 +169,8 @@ def _arrivals(spark: SparkSession, out: str) -> KeyedTable:
                       compact_every=COMPACT_EVERY)
 
 
-def ads_arrival_trend_stream(clicks: DataFrame, out: str, checkpoint: str, window_s: int = 60,
-                             slide_s: int = 10, bucket_s: int = 10, trigger: dict | None = None,
+def ads_arrival_trend_stream(clicks: DataFrame, out: str, checkpoint: str, window_s: int = TREND_WINDOW_S,
+                             slide_s: int = TREND_SLIDE_S, bucket_s: int = TREND_SLIDE_S, trigger: dict | None = None,
                              echo: bool = False) -> StreamingQuery:
     """Q7 with the reference's window: the last ``window_s`` seconds of *arrivals*, sliding every
     ``slide_s``, and inside it clicks per ``bucket_s`` event-time bucket.
@@ -230,7 +231,7 @@ def _counters(spark: SparkSession, out: str) -> KeyedTable:
                       partition_by=["dt"])
 
 
-def blacklist_stream(clicks: DataFrame, out: str, checkpoint: str, threshold: int = 100,
+def blacklist_stream(clicks: DataFrame, out: str, checkpoint: str, threshold: int = BLACKLIST_THRESHOLD,
                      mode: str = "event_time", trigger: dict | None = None,
                      max_broadcast_users: int = 1_000_000, retain_days: int | None = None,
                      echo: int = 0) -> StreamingQuery:
@@ -327,7 +328,8 @@ def blacklist_stream(clicks: DataFrame, out: str, checkpoint: str, threshold: in
     return _start(rows, sink, checkpoint, trigger, mode="append")
 
 
-def read_blacklist(spark: SparkSession, out: str, threshold: int = 100, mode: str = "event_time") -> DataFrame:
+def read_blacklist(spark: SparkSession, out: str, threshold: int = BLACKLIST_THRESHOLD,
+                   mode: str = "event_time") -> DataFrame:
     """(userid, since) for ``event_time``; (userid, since_batch) for ``micro_batch``."""
     if mode == "event_time":
         live = blacklist_users(_state(spark, out).current(), threshold)
@@ -336,7 +338,7 @@ def read_blacklist(spark: SparkSession, out: str, threshold: int = 100, mode: st
     return read_batches(spark, f"{out}/listed", LISTED_SCHEMA).drop("batch_id")
 
 
-def read_blacklist_counts(spark: SparkSession, out: str, threshold: int = 100,
+def read_blacklist_counts(spark: SparkSession, out: str, threshold: int = BLACKLIST_THRESHOLD,
                           mode: str = "event_time") -> DataFrame:
     """(dt, adid, userid, clicks): the counters after the blacklist filter."""
     if mode == "event_time":
