@@ -2,14 +2,17 @@
 
 A text is cut where a rolling hash of its last 8 bytes says so, moved on to the next ASCII white space: the
 same passage is cut alike in every document. Documents are sent to tasks by the smallest hash of their
-chunks, so those that share most chunks meet, and a task encodes each chunk once (a cache of bounded bytes).
+chunks, so those that share most chunks meet, and a task encodes each chunk once (caches of bounded size).
+A new chunk is put together from its pieces (a run of blanks and the word after it), which are encoded once
+too: new pieces go through the tokenizer in long runs, and tokens must lie inside pieces there. Where one
+does not, the tokenizer joins words, and chunks are encoded whole from then on.
 
-Chunk joins are repaired: the last piece before a join and the first after it (pieces begin with white space)
-are encoded together; where that differs from their separate ids, more pieces are taken on both sides until
-the outermost pieces of the stretch have the same ids alone and in it, at last the text up to there.
+Chunk joins are repaired: the last piece before a join and the first after it are encoded together; where
+that differs from their separate ids, more pieces are taken on both sides until the outermost pieces of the
+stretch have the same ids alone and in it, at last the text up to there.
 
 A home of a third of all rows would be one task: homes that hold over 1/200 of the rows (200 at most, so
-they fit a plan) are spread over 64 tasks by the text's id.
+they fit a plan; counted in a sample of 1 row in 16, which only routes) are spread over 64 tasks by the text's id.
 
 Defined cases: a null text is an empty one with no ids; rows that are repeated are rows like any other; a
 very long text is cut into chunks like any other; an empty table gives an empty result; extra columns are
@@ -20,8 +23,12 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
+import sys
+import types
 from collections import OrderedDict
 from collections.abc import Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +40,9 @@ from clicklens.llm.words import NOT_BLANK, word_blocks
 
 #: average bytes between cuts; bytes of a task's cache
 CHUNK = 1 << 10
-CACHE_BYTES = 48 << 20
+CACHE_BYTES = 32 << 20
+PIECES = 500_000
+RUN = 400
 
 OUTPUTS = {"n_tokens": ("long", pa.int64()), "ids": ("array<int>", pa.list_(pa.int32())), "decoded": ("string", pa.string()),
            "ids_sha256": ("string", pa.string()), "decoded_sha256": ("string", pa.string())}
@@ -64,12 +73,7 @@ def chunks(texts, size: int = CHUNK) -> Iterator[list[bytes]]:
             yield [data[x:y] for x, y in zip(edges, edges[1:])] if z > a else []
 
 
-def _pieces(chunk: bytes) -> list[bytes]:
-    """The chunk cut before each run of ASCII white space."""
-    arr = NOT_BLANK[np.frombuffer(chunk, dtype=np.uint8)]
-    cuts = np.flatnonzero(~arr[1:] & arr[:-1]) + 1
-    edges = [0, *cuts.tolist(), len(chunk)]
-    return [chunk[a:z] for a, z in zip(edges, edges[1:])]
+_PIECE = re.compile(rb"[ \t\n\r\x0b\x0c]*[^ \t\n\r\x0b\x0c]+|[ \t\n\r\x0b\x0c]+")
 
 
 def _tail_start(chunk: bytes) -> int:
@@ -89,7 +93,7 @@ def _head_end(chunk: bytes) -> int:
 
 
 class ChunkEncoder:
-    """A tokenizer file with a cache of encoded chunks."""
+    """A tokenizer file with caches of encoded chunks and pieces; ids are kept as little-endian 32-bit bytes."""
 
     def __init__(self, vocab: str, cache_bytes: int = CACHE_BYTES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -97,34 +101,66 @@ class ChunkEncoder:
         self.tok = Tokenizer.from_file(vocab)
         self.tok.no_truncation()
         self.tok.no_padding()
-        self.cache: OrderedDict[bytes, list[int]] = OrderedDict()
+        self.cache: OrderedDict[bytes, bytes] = OrderedDict()
+        self.pieces: dict[bytes, bytes] = {}
+        self.separable = True
         self.bytes, self.most, self.encoded, self.reused = 0, cache_bytes, 0, 0
 
-    def _encode(self, texts: Sequence[bytes]) -> list[list[int]]:
+    def _encode(self, texts: Sequence[bytes]) -> list[bytes]:
         if not texts:
             return []
-        return [e.ids for e in self.tok.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)]
-
-    def _chunk_ids(self, docs: list[list[bytes]]) -> dict[bytes, list[int]]:
-        wanted = dict.fromkeys(c for d in docs for c in d)
-        have = {}
-        for c in wanted:
+        return [np.array(e.ids, dtype="<u4").tobytes()
+                for e in self.tok.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)]
+
+    def _learn(self, pieces: list[bytes]) -> None:
+        """Ids of new pieces, in runs; a token outside a piece ends the use of pieces."""
+        for a in range(0, len(pieces), RUN):
+            part = pieces[a:a + RUN]
+            texts = [p.decode() if p[0] in b" \t\n\r\x0b\x0c" else "\n" + p.decode() for p in part]
+            run = self.tok.encode("".join(texts), add_special_tokens=False)
+            edges = np.cumsum([0, *map(len, texts)])
+            spans = np.array(run.offsets, dtype=np.int64).reshape(-1, 2)
+            at = np.searchsorted(edges, spans[:, 0], side="right") - 1
+            if len(spans) and (spans[:, 1] > edges[at + 1]).any():
+                self.separable = False
+                return
+            ids, cuts = np.array(run.ids, dtype="<u4").tobytes(), (4 * np.searchsorted(at, np.arange(len(part) + 1))).tolist()
+            for p, x, y in zip(part, cuts, cuts[1:]):
+                self.pieces[p] = ids[x:y]
+
+    def _new_ids(self, new: list[bytes]) -> list[bytes]:
+        """Ids of new chunks."""
+        if self.separable:
+            split = [_PIECE.findall(c) for c in new]
+            known = self.pieces
+            if len(known) > PIECES:
+                known.clear()
+            self._learn(list(set(chain.from_iterable(split)).difference(known)))
+            if self.separable:
+                get = known.__getitem__
+                return [b"".join(map(get, s)) for s in split]
+        return self._encode(new)
+
+    def _chunk_ids(self, docs: list[list[bytes]]) -> dict[bytes, bytes]:
+        have, new = {}, []
+        for c in dict.fromkeys(chain.from_iterable(docs)):
             ids = self.cache.get(c)
-            if ids is not None:
+            if ids is None:
+                new.append(c)
+            else:
                 self.cache.move_to_end(c)
                 have[c] = ids
-        new = [c for c in wanted if c not in have]
         self.encoded += len(new)
         self.reused += sum(map(len, docs)) - len(new)
-        for c, ids in zip(new, self._encode(new)):
+        for c, ids in zip(new, self._new_ids(new)):
             have[c] = self.cache[c] = ids
-            self.bytes += len(c) + 16 * len(ids) + 200
+            self.bytes += len(c) + len(ids) + 300
         while self.bytes > self.most and self.cache:
             c, ids = self.cache.popitem(last=False)
-            self.bytes -= len(c) + 16 * len(ids) + 200
+            self.bytes -= len(c) + len(ids) + 300
         return have
 
-    def encode(self, docs: list[list[bytes]]) -> Iterator[list[int]]:
+    def encode(self, docs: list[list[bytes]]) -> Iterator[bytes]:
         """Ids of each text, given as its chunks."""
         have = self._chunk_ids(docs)
         joins = list(dict.fromkeys((a[_tail_start(a):], z[:_head_end(z)]) for d in docs for a, z in zip(d, d[1:])))
@@ -132,36 +168,36 @@ class ChunkEncoder:
         small = dict(zip(alone, self._encode(alone)))
         agree = {j for j, ids in zip(joins, self._encode([a + z for a, z in joins])) if ids == small[j[0]] + small[j[1]]}
         for d in docs:
-            out: list[int] = []
-            text = b""
-            for k, c in enumerate(d):
-                ids = have[c]
-                if not k:
-                    out = list(ids)
+            out = [have[c] for c in d[:1]]
+            for k in range(1, len(d)):
+                tail, head, ids = d[k - 1][_tail_start(d[k - 1]):], d[k][:_head_end(d[k])], have[d[k]]
+                if (tail, head) in agree and out[-1].endswith(small[tail]) and ids.startswith(small[head]):
+                    out.append(ids)
                 else:
-                    tail, head = text[_tail_start(text):], c[:_head_end(c)]
-                    t, h = small.get(tail), small.get(head)
-                    if (tail, head) in agree and out[len(out) - len(t):] == t and ids[:len(h)] == h:
-                        out += ids
-                    else:
-                        out = self._repair(d[:k], out, c, ids)
-                text = c
-            yield out
-
-    def _repair(self, before: list[bytes], left_ids: list[int], right: bytes, right_ids: list[int]) -> list[int]:
+                    out = [self._repair(d[:k], b"".join(out), d[k], ids)]
+            yield b"".join(out)
+
+    def _repair(self, before: list[bytes], left_ids: bytes, right: bytes, right_ids: bytes) -> bytes:
         """Ids of the chunks ``before`` (``left_ids``) and of ``right``, with the join encoded anew."""
-        a, z, k = _pieces(before[-1]), _pieces(right), 2
+        a, z, k = _PIECE.findall(before[-1]), _PIECE.findall(right), 2
         while k < max(len(a), len(z)):
             tail, head = b"".join(a[-k:]), b"".join(z[:k])
             t, h, mid, first, last = self._encode([tail, head, tail + head, a[-k:][0], z[:k][-1]])
-            if (left_ids[len(left_ids) - len(t):] == t and right_ids[:len(h)] == h
-                    and mid[:len(first)] == first and mid[len(mid) - len(last):] == last):
+            if left_ids.endswith(t) and right_ids.startswith(h) and mid.startswith(first) and mid.endswith(last):
                 return left_ids[:len(left_ids) - len(t)] + mid + right_ids[len(h):]
             k *= 2
         return self._encode([b"".join(before) + right])[0]
 
-    def decode(self, ids: list[list[int]]) -> list[str]:
-        return self.tok.decode_batch(ids, skip_special_tokens=False)
+    def decode(self, ids: list[bytes]) -> list[str]:
+        return self.tok.decode_batch([np.frombuffer(i, dtype="<u4").tolist() for i in ids], skip_special_tokens=False)
+
+
+def _encoder(vocab: str) -> ChunkEncoder:
+    """This process's encoder of a file: a Python worker keeps it from task to task."""
+    kept = sys.modules.setdefault("_kept_bpe_encoders", types.ModuleType("_kept_bpe_encoders")).__dict__
+    if vocab not in kept:
+        kept[vocab] = ChunkEncoder(vocab)
+    return kept[vocab]
 
 
 def _homes(docs: DataFrame, at: int, size: int) -> DataFrame:
@@ -179,22 +215,23 @@ def encode_documents(docs: DataFrame, vocab: str, outputs: Sequence[str] = ("n_t
     """The ``carry`` columns of every row with the wanted ``OUTPUTS`` of its text."""
     src = docs.select(*[F.col(f"`{c}`") for c in carry], F.col(f"`{text}`").alias("_text"))
     at = len(carry)
-    counted = _homes(src.select("_text"), 0, size).groupBy("_home").count()
-    n = docs.count()
-    hot = [r[0] for r in counted.where(F.col("count") > max(1_000, n // 200)).select("_home").collect()]
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in carry])
+    counted = _homes(src.where(F.pmod(row, F.lit(16)) == 0).select("_text"), 0, size).groupBy("_home").count().checkpoint()
+    n = counted.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
+    hot = [r[0] for r in counted.where(F.col("count") > max(16, n // 200)).select("_home").collect()]
     homed = _homes(src, at, size)
-    spread = F.when(F.col("_home").isin(hot), F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in carry]), F.lit(64))) if hot else F.lit(None)
+    spread = F.when(F.col("_home").isin(hot), F.pmod(row, F.lit(64))) if hot else F.lit(None)
     placed = homed.repartition(F.col("_home"), spread.cast("long"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = ChunkEncoder(vocab)
+        encoder = _encoder(vocab)
         for b in batches:
             step = 256
             for a in range(0, b.num_rows, step):
                 part = b.slice(a, step)
                 ids = list(encoder.encode(list(chunks(part.column(at), size))))
-                made = {"n_tokens": lambda: [len(i) for i in ids], "ids": lambda: ids,
-                        "ids_sha256": lambda: [hashlib.sha256(np.array(i, dtype="<u4").tobytes()).hexdigest() for i in ids]}
+                made = {"n_tokens": lambda: [len(i) // 4 for i in ids], "ids": lambda: [np.frombuffer(i, dtype="<i4") for i in ids],
+                        "ids_sha256": lambda: [hashlib.sha256(i).hexdigest() for i in ids]}
                 if {"decoded", "decoded_sha256"} & set(outputs):
                     texts = encoder.decode(ids)
                     made["decoded"] = lambda: texts

@@ -3,13 +3,14 @@
 Built-in functions only. Every rule votes 1 (good), 0 (bad) or -1 (abstains) on a text. The texts are counted
 by their pattern of votes (3 ** rules patterns at most, so that table fits the driver at every size), and
 expectation-maximisation over these counts of all texts estimates the share of good texts and, for each rule
-and vote, how likely it is on good and on bad texts (conditional independence, votes start as mostly right).
+and vote, how likely it is on good and on bad texts (conditional independence; votes start as mostly right and never count against themselves).
 A text is kept when its posterior probability of being good is at least ``threshold``.
 
 Statistics of a text (whole texts): ``n_words`` words ``[^\\x20\\x09-\\x0D]+``, ``word_chars`` code points in
 them, ``n_symbols`` characters of ``#*$%&|<>``, ``n_lines`` and ``n_dup_lines`` lines with a word and those equal to an
 earlier one, ``n_repeat_words`` words inside 3-word windows that occur twice or more (windows are compared by
-64-bit hashes within one text), ``n_letters`` letters and ``n_upper`` upper-case letters.
+64-bit hashes within one text), ``n_letters`` letters, ``n_upper`` upper-case letters, ``n_marks`` runs of two or
+more signs, ``n_lone`` words of signs alone, ``n_symbol_runs`` runs of the symbols.
 
 Defined cases: a null or empty text has all statistics zero; repeated rows are rows like any other and count
 as often in the estimates; an empty table gives an empty result; extra columns are carried, but for the
@@ -25,7 +26,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BLANK = r"[\x20\x09-\x0D]+"
-STATS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_letters", "n_upper")
+STATS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_letters", "n_upper",
+         "n_marks", "n_lone", "n_symbol_runs")
 
 
 def text_stats(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -54,7 +56,10 @@ def text_stats(docs: DataFrame, text: str = "text") -> DataFrame:
         long(F.regexp_replace(t, r"[^#*$%&|<>]+", "")).alias("n_symbols"),
         F.size("_l").cast("long").alias("n_lines"), (F.size("_l") - F.size(F.array_distinct("_l"))).cast("long").alias("n_dup_lines"),
         "n_repeat_words", long(F.regexp_replace(t, r"[^\p{L}]+", "")).alias("n_letters"),
-        long(F.regexp_replace(t, r"[^\p{Lu}]+", "")).alias("n_upper"))
+        long(F.regexp_replace(t, r"[^\p{Lu}]+", "")).alias("n_upper"),
+        F.regexp_count(t, F.lit(r"[!?.,;:#*$%&|<>~=]{2,}")).cast("long").alias("n_marks"),
+        F.regexp_count(t, F.lit(r"(?<![^\x20\x09-\x0D])[#*$%&|<>~=!?.,;:]++(?![^\x20\x09-\x0D])")).cast("long").alias("n_lone"),
+        F.regexp_count(t, F.lit(r"[#*$%&|<>]++")).cast("long").alias("n_symbol_runs"))
 
 
 def _vote(good: Column, bad: Column) -> Column:
@@ -73,6 +78,10 @@ def rules() -> dict[str, Column]:
         "duplicate_lines": _vote(10 * F.col("n_dup_lines") <= lines, 10 * F.col("n_dup_lines") > 3 * lines),
         "repeated_windows": _vote(5 * F.col("n_repeat_words") <= words, 10 * F.col("n_repeat_words") > 3 * words),
         "letters": _vote(10 * F.col("n_letters") >= 8 * chars, 10 * F.col("n_letters") < 6 * chars),
+        "symbol_share": _vote(100 * F.col("n_symbols") < chars, 20 * F.col("n_symbols") > chars),
+        "symbol_words": _vote(20 * F.col("n_symbol_runs") < words, 5 * F.col("n_symbol_runs") > words),
+        "marks": _vote(50 * F.col("n_marks") < words, 10 * F.col("n_marks") > words),
+        "lone_signs": _vote(50 * F.col("n_lone") < words, 10 * F.col("n_lone") > words),
         "capitals": _vote(10 * F.col("n_upper") <= 2 * letters, 2 * F.col("n_upper") > letters),
     }
 
@@ -101,6 +110,12 @@ def estimate(counts: Sequence[tuple[tuple[int, ...], int]], steps: int = 200, pr
         share = min(0.999, max(0.001, good_n / (good_n + bad_n)))
         # one text of each vote beforehand keeps probabilities off zero
         like = [{v: ((s[v][0] + 1) / (good_n + 3), (s[v][1] + 1) / (bad_n + 3)) for v in s} for s in seen]
+        # no rule is worse than chance: a vote that would speak against itself says nothing
+        for w in like:
+            for v, (g, b) in ((1, w[1]), (0, w[0])):
+                if (g < b) == (v == 1):
+                    w[v] = ((g + b) / 2, (g + b) / 2)
+            w[-1] = (sum(w[-1]) / 2, sum(w[-1]) / 2)  # to abstain says nothing
     return math.log(share / (1 - share)), [{v: math.log(w[v][0] / w[v][1]) for v in w} for w in like]
 
 

@@ -6,17 +6,22 @@ broadcast; instead reference shards are cut so small that each fits a task, and
 that could match a shard are brought to it:
 
 1. Anchors. The leftmost smallest of the ``n - gram + 1`` hashed word grams of a window is its anchor. Equal
-   windows have equal anchors, and neighbouring windows mostly share one (about one anchor in 5 words).
-2. Only anchors that occur under two ids or more can belong to a repeated window (a grouped min and max).
-3. A document's windows with one such anchor form a stretch: at most ``2 n - gram`` words. Equal stretches
-   are grouped before the shuffle under their smallest id; the larger ids have every window of it removed.
-4. The different stretches of an anchor are the reference shard. In ascending order of id each one is
+   windows have equal anchors, and neighbouring windows mostly share one (about one anchor in 5 words). A
+   document's windows with one anchor form a stretch, at most ``2 n - gram`` words.
+2. Rows (anchor, id, digest of the stretch) meet by anchor. Only anchors under two ids or more matter. If all
+   their stretches are equal, every id but the smallest has its stretch removed; nothing more is read.
+3. The different stretches of an anchor are a reference shard. Equal ones are grouped before the shuffle
+   under their smallest id (larger ids lose every window of it). In ascending order of id each one is
    streamed through the shard's suffix automaton, then added to it: the matching statistic at a word is the
    longest run ending there that occurs under a smaller id; runs of ``n`` words or more mark removed spans.
-5. An anchor with more than ``shard`` occurrences is no single shard: its windows are routed by their own
+4. An anchor with more than ``shard`` stretches is no single shard: its windows are routed by their own
    hash, so each shard is one window's text (an exact way for hot passages, split evenly).
 
-Copies of a whole text are found by digest first and take no part in 3 to 5.
+Rows of an anchor meet in one task in 2, so anchors that hold over 1/100,000 of the rows of a sample of
+documents (1 in 16, by hash; 100,000 anchors at most) are counted with a grouped aggregate and a broadcast
+join instead. The sample only routes: both ways give the same rows.
+
+Copies of a whole text are found by digest first and take no part in 3 and 4.
 
 Defined cases: a null or empty text has no words and nothing removed; rows with a null id come after all
 ids, in the order of their texts' hashes; rows that share an id never remove from each other; an empty
@@ -29,10 +34,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clicklens.llm.words import NOT_BLANK, Words, window_hashes, word_blocks
+from clicklens.llm.words import NOT_BLANK, Words, mix, window_hashes, word_blocks
 
 GRAM = 5
 SHARD = 2_000
@@ -153,15 +158,45 @@ def _with_key(docs: DataFrame, id_col: str, text: str) -> DataFrame:
                        F.coalesce(F.col(f"`{id_col}`").cast("long"), above).alias("doc"), F.xxhash64(t).alias("th"))
 
 
-def _anchors(docs: DataFrame, n: int, gram: int) -> DataFrame:
+def _anchors(docs: DataFrame, n: int, gram: int, popular=None) -> DataFrame:
+    """(doc, anchor, digest of its stretch, whether the anchor is among ``popular``) of every stretch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = popular.value if popular is not None else np.empty(0, dtype=np.uint64)
         for b in batches:
             ids = b.column(0).to_numpy(zero_copy_only=False)
             for w in word_blocks(b.column(1), NOT_BLANK):
-                first, _, anchor = _stretches(w, n, gram)
-                yield pa.RecordBatch.from_arrays([pa.array(ids[w.first + w.row[first]] if len(first) else ids[:0]),
-                                                  pa.array(anchor.view(np.int64))], names=["doc", "anchor"])
-    return docs.select("doc", "text").mapInArrow(run, "doc long, anchor long")
+                first, size, anchor = _stretches(w, n, gram)
+                if len(first):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(ids[w.first + w.row[first]]), pa.array(anchor.view(np.int64)),
+                         pa.array(_digests(w, first, size, n).view(np.int64)), pa.array(np.isin(anchor, known))],
+                        names=["doc", "anchor", "digest", "popular"])
+    return docs.select("doc", "text").mapInArrow(run, "doc long, anchor long, digest long, popular boolean")
+
+
+def _digests(w: Words, first: np.ndarray, size: np.ndarray, n: int) -> np.ndarray:
+    """Digest of each stretch: its first and last window cover it."""
+    h = window_hashes(w.hashes(), n)
+    return mix(h[first] * np.uint64(3) + h[first + size - 1] * np.uint64(5) + size.astype(np.uint64))
+
+
+def _flags(src: DataFrame, n: int, gram: int, shard: int) -> DataFrame:
+    """Per document the anchors whose stretches are surely removed, may be, or must be routed window by window."""
+    sampled = _anchors(src.where(F.pmod(F.xxhash64("doc"), F.lit(16)) == 0), n, gram).groupBy("anchor").count().checkpoint()
+    total = sampled.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
+    often = sampled.where(F.col("count") >= max(8, total // 100_000)).select("anchor").collect()
+    popular = src.sparkSession.sparkContext.broadcast(np.sort(np.array([r[0] for r in often], dtype=np.int64).view(np.uint64)))
+    found = _anchors(src, n, gram, popular)
+    seen = {"least": F.min("doc"), "most": F.max("doc"), "d0": F.min("digest"), "d1": F.max("digest"), "n": F.count(F.lit(1))}
+    by = Window.partitionBy("anchor")
+    cold = (found.where("not popular").select("doc", "anchor", *[f.over(by).alias(k) for k, f in seen.items()]))
+    rows = found.where("popular")
+    stats = rows.groupBy("anchor").agg(*[f.alias(k) for k, f in seen.items()])
+    hot = rows.select("doc", "anchor").join(F.broadcast(stats), "anchor")
+    kind = (F.when(F.col("d0") == F.col("d1"), F.when(F.col("doc") > F.col("least"), "sure"))
+            .when(F.col("n") <= shard, "maybe").otherwise("apart"))
+    return (cold.unionByName(hot).where("least < most").select("doc", "anchor", kind.alias("kind"))
+            .where("kind is not null"))
 
 
 def _in_rows(row: np.ndarray, values: np.ndarray, lists, first: int) -> np.ndarray:
@@ -178,29 +213,27 @@ def _in_rows(row: np.ndarray, values: np.ndarray, lists, first: int) -> np.ndarr
 
 
 def _routed(flagged: DataFrame, n: int, gram: int) -> DataFrame:
-    """(doc, th, start, windows, key, stretch) of ``flagged`` (doc, th, text, cold, hot, copies)."""
+    """(doc, th, start, windows, key, digest, stretch) of the stretches and windows that need an automaton."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids, ths = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-            cold, hot, copies = (b.column(i) for i in (3, 4, 5))
-            for w in word_blocks(b.column(2), NOT_BLANK):
+            ids, ths = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 2))
+            maybe, apart, copies = (b.column(i) for i in (5, 6, 7))
+            for w in word_blocks(b.column(3), NOT_BLANK):
                 first, size, anchor = _stretches(w, n, gram)
                 if not len(first):
                     continue
                 row, value = w.row[first], anchor.view(np.int64)
                 whole = _in_rows(row, ths[w.first + row], copies, w.first)
-                is_cold = _in_rows(row, value, cold, w.first) & ~whole
-                is_hot = _in_rows(row, value, hot, w.first) & ~whole
-                # a hot stretch is cut into its windows, each routed by its own hash
-                rep = size[is_hot]
-                at_hot = np.repeat(first[is_hot], rep) + np.arange(rep.sum()) - np.repeat(np.cumsum(rep) - rep, rep)
-                at = np.concatenate((first[is_cold], at_hot))
-                count = np.concatenate((size[is_cold], np.ones(len(at_hot), dtype=np.int64)))
-                keys = anchor[is_cold]
-                if len(at_hot):
-                    keys = np.concatenate((keys, window_hashes(w.hashes(), n)[at_hot]))
+                one = _in_rows(row, value, maybe, w.first) & ~whole
+                cut = _in_rows(row, value, apart, w.first) & ~whole
+                # a stretch of a hot anchor is cut into its windows, each routed by its own hash
+                rep = size[cut]
+                at_cut = np.repeat(first[cut], rep) + np.arange(rep.sum()) - np.repeat(np.cumsum(rep) - rep, rep)
+                at = np.concatenate((first[one], at_cut))
+                count = np.concatenate((size[one], np.ones(len(at_cut), dtype=np.int64)))
                 if not len(at):
                     continue
+                keys = np.concatenate((anchor[one], window_hashes(w.hashes(), n)[at_cut]))
                 data = w.buf.tobytes()
                 s, e = w.starts.tolist(), w.ends.tolist()
                 texts = [b" ".join([data[s[j]:e[j]] for j in range(a, a + c + n - 1)])
@@ -209,10 +242,10 @@ def _routed(flagged: DataFrame, n: int, gram: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids[w.first + w.row[at]]), pa.array(ths[w.first + w.row[at]]),
                      pa.array((at - begin).astype(np.int32)), pa.array(count.astype(np.int32)),
-                     pa.array(keys.view(np.int64)), pa.array(texts, pa.binary()).cast(pa.string())],
-                    names=["doc", "th", "start", "windows", "key", "stretch"])
-    return (flagged.select("doc", "th", "text", "cold", "hot", "copies")
-            .mapInArrow(run, "doc long, th long, start int, windows int, key long, stretch string"))
+                     pa.array(keys.view(np.int64)), pa.array(_digests(w, at, count, n).view(np.int64)),
+                     pa.array(texts, pa.binary()).cast(pa.string())],
+                    names=["doc", "th", "start", "windows", "key", "digest", "stretch"])
+    return flagged.mapInArrow(run, "doc long, th long, start int, windows int, key long, digest long, stretch string")
 
 
 def _matched(shards: DataFrame, n: int) -> DataFrame:
@@ -246,63 +279,63 @@ def remove_repeats(docs: DataFrame, n: int = 13, id_col: str = "doc_id", text: s
     if not 0 < n - gram + 1 <= 63:
         raise ValueError("a stretch has 1 to 63 windows")
     src = _with_key(docs, id_col, text)
-    found = _anchors(src, n, gram)
-    shared = (found.groupBy("anchor").agg(F.min("doc").alias("a"), F.max("doc").alias("z"), F.count(F.lit(1)).alias("c"))
-              .where("a < z").select("anchor", (F.col("c") > shard).alias("is_hot"))).checkpoint()
     digest = src.select("doc", "th", F.xxhash64(F.lit("second"), "text").alias("th2"))
     firsts = digest.groupBy("th", "th2").agg(F.min("doc").alias("least")).checkpoint()
-    copies = digest.join(firsts, ["th", "th2"]).where("doc > least").select("doc", "th")
-    flags = (found.join(shared, "anchor")
-             .select("doc", F.when(~F.col("is_hot"), F.col("anchor")).alias("cold"),
-                     F.when(F.col("is_hot"), F.col("anchor")).alias("hot"), F.lit(None).cast("long").alias("copy"))
-             .unionByName(copies.select("doc", F.lit(None).cast("long").alias("cold"),
-                                        F.lit(None).cast("long").alias("hot"), F.col("th").alias("copy")))
-             .groupBy("doc").agg(F.collect_set("cold").alias("cold"), F.collect_set("hot").alias("hot"),
-                                 F.collect_set("copy").alias("copies"))).checkpoint()
-    texts = src.select("doc", "id", "th", "text").join(flags, "doc", "left")
-    routed = _routed(texts.where("cold is not null"), n, gram).withColumn("digest", F.xxhash64("stretch"))
-    shards = routed.groupBy("key", "stretch", "digest").agg(F.min("doc").alias("least"))
+    copies = digest.join(firsts, ["th", "th2"]).where("doc > least").select("doc", F.col("th").alias("anchor"), F.lit("copy").alias("kind"))
+    flags = _flags(src, n, gram, shard).unionByName(copies).groupBy("doc").agg(
+        *[F.collect_set(F.when(F.col("kind") == k, F.col("anchor"))).alias(k) for k in ("sure", "maybe", "apart", "copy")]).checkpoint()
+    # one plan of one shape wherever texts and flags meet, so that the texts are shuffled once
+    texts = src.select("doc", "id", "th", "text").join(flags, "doc", "left").select("doc", "id", "th", "text", "sure", "maybe", "apart", "copy")
+    routed = _routed(texts, n, gram)
+    shards = routed.groupBy("key", "digest", "stretch").agg(F.min("doc").alias("least"))
     matched = _matched(shards, n)
     hits = (routed.select("doc", "th", "start", "windows", "key", "digest").join(matched, ["key", "digest"])
             .select("doc", "th", "start", "windows",
                     F.when(F.col("doc") > F.col("least"), F.lit(-1).cast("long")).otherwise(F.col("mask")).alias("mask"))
             .where("mask <> 0")
             .groupBy("doc").agg(F.collect_list(F.struct("th", "start", "windows", "mask")).alias("hits")))
-    return _kept(texts.select("doc", "id", "th", "text", "copies").join(hits, "doc", "left"), n)
+    return _kept(texts.join(hits, "doc", "left"), n, gram)
 
 
-def _kept(marked: DataFrame, n: int) -> DataFrame:
+def _kept(marked: DataFrame, n: int, gram: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ths = b.column(1).to_pylist()
-            for w in word_blocks(b.column(2), NOT_BLANK):
+            ths = b.column(2).to_numpy(zero_copy_only=False)
+            sure, copy, hits = (b.column(i) for i in (4, 7, 8))
+            for w in word_blocks(b.column(3), NOT_BLANK):
                 data, first = w.buf.tobytes(), w.first_word()
                 s, e = w.starts.tolist(), w.ends.tolist()
-                counts, spans, kept = [], [], []
+                gone = np.zeros(len(s) + 1, dtype=np.int32)  # +1 where a removed run begins, -1 after it
+                at, size, anchor = _stretches(w, n, gram)
+                if len(at):
+                    out = _in_rows(w.row[at], anchor.view(np.int64), sure, w.first)
+                    np.add.at(gone, at[out], 1)
+                    np.add.at(gone, at[out] + size[out] + n - 1, -1)
                 for r in range(w.rows):
-                    a, z = int(first[r]), int(first[r + 1])
-                    i, gone = w.first + r, np.zeros(z - a, dtype=bool)
-                    if ths[i] in (b.column(3)[i].as_py() or ()):
-                        gone[:] = z - a >= n
-                    else:
-                        for hit in b.column(4)[i].as_py() or ():
+                    i, a, z = w.first + r, int(first[r]), int(first[r + 1])
+                    if z - a >= n:
+                        if ths[i] in (copy[i].as_py() or ()):
+                            gone[a] += 1
+                            gone[z] -= 1
+                        for hit in hits[i].as_py() or ():
                             if hit["th"] == ths[i]:
-                                start, m = hit["start"], hit["mask"]
-                                if m == -1:
-                                    gone[start:start + hit["windows"] + n - 1] = True
-                                else:
-                                    for j in range(hit["windows"]):
-                                        if m >> j & 1:
-                                            gone[start + j:start + j + n] = True
-                    edge = np.diff(np.concatenate(([0], gone.astype(np.int8), [0])))
+                                start, mask = a + hit["start"], hit["mask"]
+                                for j in range(hit["windows"]):
+                                    if mask >> j & 1:
+                                        gone[start + j] += 1
+                                        gone[start + j + n] -= 1
+                off = np.cumsum(gone[:-1]) > 0
+                spans, kept = [], []
+                for r in range(w.rows):
+                    a, z = int(first[r]), int(first[r + 1])
+                    edge = np.diff(np.concatenate(([0], off[a:z].astype(np.int8), [0])))
                     spans.append([{"start": int(x), "end": int(y)}
                                   for x, y in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1))])
-                    counts.append(z - a)
-                    kept.append(b" ".join([data[s[a + j]:e[a + j]] for j in np.flatnonzero(~gone).tolist()]))
+                    kept.append(b" ".join([data[s[j]:e[j]] for j in (np.flatnonzero(~off[a:z]) + a).tolist()]))
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(w.first, w.rows), pa.array(counts, pa.int64()),
+                    [b.column(1).slice(w.first, w.rows), pa.array(w.counts()),
                      pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
                      pa.array(kept, pa.binary()).cast(pa.string())], names=["id", "n_words", "removed", "kept"])
     kind = marked.schema["id"].dataType.simpleString()
-    return (marked.select("id", "th", "text", "copies", "hits")
+    return (marked.select("doc", "id", "th", "text", "sure", "maybe", "apart", "copy", "hits")
             .mapInArrow(run, f"id {kind}, n_words long, removed array<struct<start:int,end:int>>, kept string"))

@@ -98,7 +98,7 @@ def nnpu_fit(rows: np.ndarray, cols: np.ndarray, positive: np.ndarray, n_feature
     return theta[:-1], float(theta[-1])
 
 
-def _train(texts: pa.Array, positive: np.ndarray, prior: float, max_features: int, z_least: float):
+def _train(texts: pa.Array, positive: np.ndarray, prior: float, max_features: int, z_least: float, precise: float = 0.7):
     """(hashes, weights, bias) of one bag."""
     rows, hashes = [], []
     for w in word_blocks(texts, ALNUM, lower=True):
@@ -115,7 +115,7 @@ def _train(texts: pa.Array, positive: np.ndarray, prior: float, max_features: in
     p, u = in_pos / n_pos, in_unl / n_unl
     both = (in_pos + in_unl) / (n_pos + n_unl)
     z = (p - u) / np.sqrt(np.maximum(both * (1 - both), 1e-12) * (1 / n_pos + 1 / n_unl))
-    good = np.flatnonzero((in_pos >= 3) & (p > 3 * u) & (z >= z_least))
+    good = np.flatnonzero((in_pos >= 3) & (prior * p >= precise * u) & (z >= z_least))
     good = np.sort(good[np.argsort(-z[good], kind="stable")[:max_features]])
     new = np.full(len(names), -1)
     new[good] = np.arange(len(good))
