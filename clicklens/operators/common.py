@@ -33,34 +33,37 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     return df
 
 
-def hot_keys(df: DataFrame, key: str, fraction: float = 0.001, min_sampled: int = 50,
-             max_keys: int = 1000, seed: int = 17, time_us: Column | None = None,
-             rows_per_slice: int = 1_000_000, min_width_us: int = 1_000_000) -> DataFrame:
-    """Keys that hold a large share of the rows, estimated from a seeded sample.
-
-    Used only to *route* work (hot keys take a split path); every row is still processed, so a key
-    the sample misses is merely slower, never wrong. The result is bounded by ``max_keys`` rows, so
-    it can be broadcast; with the defaults a key needs ~``min_sampled / fraction`` rows (50,000) to
-    be called hot.
-
-    With ``time_us`` (a microsecond time of each row) every hot key also gets ``_slice_us``: a time
-    width that cuts the key into slices of about ``rows_per_slice`` rows (estimated rows x sampled
-    time span), at least ``min_width_us``. A key spread thinly over a long time and a key packed
-    into a short burst both end up in ~rows/``rows_per_slice`` slices.
+SLICES = 128
+
+
+def hot_keys(df: DataFrame, key: str, fraction: float = 0.001, min_sampled: int = 50, max_keys: int = 1000,
+             time_us: Column | None = None, rows_per_slice: int = 1_000_000, content: Sequence[str] | None = None) -> DataFrame:
+    """Keys that hold a large share of the rows, from about ``fraction`` of the rows, chosen by their content.
+
+    A row is in the sample if the hash of its ``content`` columns (all by default) says so: the choice never
+    depends on where a row lies, so every evaluation agrees. A key is hot with ``min_sampled`` sampled rows
+    (50,000 rows by default); the ``max_keys`` largest are kept, which bounds the result for a broadcast. Used
+    only to *route* work; a key that is missed is slower, never wrong. Null is a key like any other.
+
+    With ``time_us`` (a microsecond time of each row) every hot key also gets ``_bounds``: ascending times
+    that cut it into slices of about ``rows_per_slice`` rows (``SLICES`` at most). They are quantiles
+    of the sampled times, so a burst inside a long thin session is cut as finely as its rows ask for. Rows
+    of one key with one and the same time stay together.
     """
+    picked = F.pmod(F.xxhash64(*[F.col(c) for c in content or df.columns]), F.lit(1_000_000)) < int(fraction * 1_000_000)
     cols = [F.col(key)] + ([time_us.alias("_t")] if time_us is not None else [])
-    sampled = df.select(*cols).sample(fraction=fraction, seed=seed)
+    sampled = df.filter(picked).select(*cols)
     aggs = [F.count(F.lit(1)).alias("_n")]
     if time_us is not None:
-        aggs += [F.min("_t").alias("_t0"), F.max("_t").alias("_t1")]
+        cuts = F.array(*[F.lit((i + 1) / SLICES) for i in range(SLICES - 1)])
+        aggs.append(F.percentile_approx("_t", cuts, 10_000).alias("_q"))
     hot = (sampled.groupBy(key).agg(*aggs).filter(F.col("_n") >= min_sampled)
            .orderBy(F.desc("_n"), F.asc(key)).limit(max_keys))
     if time_us is None:
         return hot.select(key)
-    est_rows = F.col("_n") / F.lit(fraction)
-    width = F.greatest(F.lit(min_width_us).cast("double"),
-                       (F.col("_t1") - F.col("_t0")).cast("double") * F.lit(rows_per_slice) / est_rows)
-    return hot.select(key, F.ceil(width).cast("long").alias("_slice_us"))
+    wanted = F.least(F.lit(SLICES), F.ceil(F.col("_n") / F.lit(fraction) / F.lit(rows_per_slice)))
+    step = F.greatest(F.lit(1), F.floor(F.lit(SLICES) / wanted)).cast("int")
+    return hot.select(key, F.filter("_q", lambda q, i: (i + 1) % step == 0).alias("_bounds"))
 
 
 def next_in_session(df: DataFrame, session: str, order: Sequence[str], carry: Sequence[str],
@@ -74,46 +77,41 @@ def next_in_session(df: DataFrame, session: str, order: Sequence[str], carry: Se
 
     Skew: a plain ``lead`` over ``partitionBy(session)`` sorts a whole session in one task, so a
     single hot (bot) session holding a third of the log would stall the job. When ``slice_col`` is
-    given (a time bucket of the row), rows are windowed per (session, slice) instead -- a slice is
-    one partition's work -- and only the first and last row of every slice take part in a second
-    window over the session (two rows per slice) that links the last row of one slice to the first
-    row of the next. The result is exactly the plain ``lead``; the slice must be non-decreasing in
-    ``order``.
-
-    With ``hot`` (a bounded DataFrame of session keys, e.g. from ``hot_keys``) only those sessions
-    take the sliced path; all others use the plain window, so the common case pays for one sort.
-    ``slice_col`` is then evaluated after joining ``hot``, so it may use per-key columns of it (a
-    per-session slice width).
+    given (a number that does not decrease in ``order``), rows are windowed per (session, slice) instead
+    and only the first and last row of every slice take part in a second window over the session (two
+    rows per slice) that links the last row of one slice to the first row of the next.
+
+    With ``hot`` (``hot_keys`` with bounds) only those sessions are sliced; every other session is one
+    slice and is finished by the first window. All rows take the same window, so a row can neither be
+    lost nor doubled whatever ``hot`` holds.
     ``keep_last`` also returns each session's last row, with null ``next_<c>``: every input row once.
     """
     order_cols = [F.col(c) for c in order]
     keep = list(dict.fromkeys([session, *order, *extra, *carry]))
     nxt = [f"next_{c}" for c in carry]
-    if hot is not None and slice_col is not None:
-        flagged = df.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), session, "left")
-        cold = flagged.filter(F.col("_hot").isNull()).select(*keep)
-        warm = flagged.filter(F.col("_hot").isNotNull()).select(*keep, slice_col.alias("_slice_v"))
-        return (next_in_session(cold, session, order, carry, None, extra, keep_last=keep_last)
-                .unionByName(next_in_session(warm, session, order, carry, F.col("_slice_v"), extra,
-                                             keep_last=keep_last)))
-    if slice_col is None:
+    if slice_col is None and hot is None:
         w = Window.partitionBy(session).orderBy(*order_cols)
         out = df.select(*keep, *[F.lead(c).over(w).alias(f"next_{c}") for c in carry],
                         F.lead(F.lit(1)).over(w).isNotNull().alias("_has_next"))
         return (out if keep_last else out.filter("_has_next")).select(*keep, *nxt)
 
+    if hot is not None:
+        bounds = F.broadcast(hot.select(F.col(session).alias("_hot_key"), F.col("_bounds")))
+        flagged = df.join(bounds, F.col(session).eqNullSafe(F.col("_hot_key")), "left")
+        sliced = flagged.select(*keep, F.col("_bounds").isNotNull().alias("_cut"),
+                                F.coalesce(slice_col, F.lit(0)).cast("long").alias("_slice"))
+    else:
+        sliced = df.select(*keep, F.lit(True).alias("_cut"), slice_col.alias("_slice"))
     w1 = Window.partitionBy(session, "_slice").orderBy(*order_cols)
-    tagged = df.select(*keep, slice_col.alias("_slice")).select(
-        *keep, *[F.lead(c).over(w1).alias(f"next_{c}") for c in carry],
-        F.lag(F.lit(1)).over(w1).isNotNull().alias("_has_prev"),
-        F.lead(F.lit(1)).over(w1).isNotNull().alias("_has_next"))
-    inside = tagged.filter("_has_next").select(*keep, *nxt)
-    # First and last row of every slice: at most two rows per (session, slice).
-    edges = tagged.filter(~F.col("_has_prev") | ~F.col("_has_next"))
+    tagged = sliced.select(*keep, "_cut", *[F.lead(c).over(w1).alias(f"next_{c}") for c in carry],
+                           F.lag(F.lit(1)).over(w1).isNotNull().alias("_has_prev"),
+                           F.lead(F.lit(1)).over(w1).isNotNull().alias("_has_next"))
+    done = F.col("_has_next") | ~F.col("_cut") if keep_last else F.col("_has_next")
+    inside = tagged.filter(done).select(*keep, *nxt)
+    # First and last row of every slice of a cut session: at most two rows per (session, slice).
+    edges = tagged.filter(F.col("_cut") & (~F.col("_has_prev") | ~F.col("_has_next")))
     w2 = Window.partitionBy(session).orderBy(*order_cols)
     linked = edges.select(*keep, "_has_next", *[F.lead(c).over(w2).alias(f"next_{c}") for c in carry],
                           F.lead(F.lit(1)).over(w2).isNotNull().alias("_linked"))
-    across = linked.filter(~F.col("_has_next") & F.col("_linked")).select(*keep, *nxt)
-    if keep_last:  # the session's last row: last of its slice and of the linked edges
-        across = linked.filter(~F.col("_has_next")).select(*keep, *nxt)
-    return inside.unionByName(across)
+    last = ~F.col("_has_next") if keep_last else ~F.col("_has_next") & F.col("_linked")
+    return inside.unionByName(linked.filter(last).select(*keep, *nxt))

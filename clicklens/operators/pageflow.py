@@ -43,9 +43,8 @@ def session_pairs(visits: DataFrame, carry: Sequence[str], extra: Sequence[str]
 
     ``slice_width_s=None``: one plain window over every session. ``hot_sample=None``: every session
     is cut into fixed ``slice_width_s`` slices. Default: only the hot sessions found in a
-    ``hot_sample`` fraction of the rows are sliced, each into slices of about ``rows_per_slice``
-    rows (at least 1 ms wide, so even a burst inside one second is split); the rest keep a single
-    plain window.
+    ``hot_sample`` fraction of the rows (chosen by content) are cut, each into slices of about
+    ``rows_per_slice`` rows; the rest are one slice each.
     """
     if not slice_width_s:
         return next_in_session(visits, "session_id", SESSION_ORDER, carry, None, extra, None, keep_last)
@@ -54,9 +53,10 @@ def session_pairs(visits: DataFrame, carry: Sequence[str], extra: Sequence[str]
                                extra, None, keep_last)
     t_us = epoch_micros_ntz("action_time")
     hot = hot_keys(visits, "session_id", hot_sample, time_us=t_us, rows_per_slice=rows_per_slice,
-                   min_width_us=1_000)
-    slice_col = F.floor(t_us / F.col("_slice_us")).cast("long")
-    return next_in_session(visits, "session_id", SESSION_ORDER, carry, slice_col, extra, hot, keep_last)
+                   content=["session_id", *SESSION_ORDER])
+    slice_col = F.size(F.filter("_bounds", lambda b: b < t_us))
+    return next_in_session(visits, "session_id", SESSION_ORDER, carry, F.when(F.col("_bounds").isNotNull(), slice_col),
+                           extra, hot, keep_last)
 
 
 def page_visits(visits: DataFrame, pages: str | Sequence) -> DataFrame:
@@ -105,19 +105,21 @@ def page_conversion(visits: DataFrame, pages: str | Sequence, include_zero: bool
     ``den`` counts every visit of ``from_page``; ``rate = num / den`` as a double. With
     ``include_zero`` every target hop is listed, unseen ones with ``num = 0``.
 
-    One pass: the session window returns every visit once (the last of a session with no next
+    One count: the session window returns every visit once (the last of a session with no next
     page), so a single (page, next page) count over the target pages yields both the numerator
-    (the hops) and the denominator (the sum over a page's rows, a window over that tiny aggregate):
-    one scan, one session shuffle, no join.
+    (the hops) and the denominator (the sum over a page's rows, a window over that tiny aggregate).
+    Next pages that form no hop count together as null, so the aggregate's size follows the flow. The
+    sample that finds hot sessions is a second, narrow scan.
     """
     ids = parse_flow(pages)
     steps = session_pairs(visits, ["page_id"], (), slice_width_s, hot_sample, keep_last=True,
                           rows_per_slice=rows_per_slice)
-    per = (steps.filter(F.col("page_id").isin(ids))
-           .groupBy(F.col("page_id").alias("from_page"), F.col("next_page_id").alias("to_page"))
+    hops = steps.filter(F.col("page_id").isin(ids)).select(F.col("page_id").alias("from_page"), F.col("next_page_id").alias("to_page"))
+    per = (hops.select("from_page", F.when(hop_filter(pages), F.col("to_page")).alias("to_page"))
+           .groupBy("from_page", "to_page")
            .agg(F.count(F.lit(1)).alias("num"))
            .withColumn("den", F.sum("num").over(Window.partitionBy("from_page"))))
-    out = per.filter(hop_filter(pages))
+    out = per.filter(F.col("to_page").isNotNull())
     if include_zero:
         # unseen hops need their page's denominator too: a second (small) read of the aggregate
         den = per.groupBy("from_page").agg(F.max("den").alias("den"))

@@ -66,7 +66,11 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     Each call with no ``parts`` returns a new unique sub-folder.
     """
     base = _configured_dir(spark)
-    if not base:  # only where the cluster names none, as in local tests
+    if not base:
+        # executors of a cluster do not share a local folder: only a local master may go without one
+        if not spark.conf.get("spark.master", "local").startswith("local") or spark.conf.get(
+                "spark.master", "local").startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="clicklens-cp-")
         _set_dir(spark, base)
     base = base.rstrip("/")

@@ -145,7 +145,7 @@ def test_adaptive_slices_for_hot_sessions(spark, rps):
     recs += [(10_000 + i, f"s{i % 50}", i % 5 + 1, i * 13, -1, None, None) for i in range(400)]
     v = visits(spark, recs)
     hot = op.hot_keys(v, "session_id", 0.5, time_us=F.unix_micros(F.col("action_time").cast("timestamp")),
-                      rows_per_slice=rps, min_width_us=1000)
+                      rows_per_slice=rps)
     assert [r.session_id for r in hot.collect()] == ["bot"]
     plain = rows(op.page_steps(v, None))
     assert rows(op.page_steps(v, 60, hot_sample=0.5, rows_per_slice=rps)) == plain
@@ -157,3 +157,19 @@ def test_flow_of_one_page_has_no_hops(spark):
     assert op.page_conversion(v, "1").count() == 0
     assert op.page_conversion(v, [1], include_zero=True).count() == 0
     assert rows(op.page_conversion(v, [1, 2])) == [(1, 2, 1, 1, 1.0)]
+
+
+def test_hot_routing_does_not_depend_on_row_placement(spark):
+    # many sessions near the threshold, a null session, and a thin session with a burst; shuffled input
+    recs = [(i, f"s{i % 40}", i % 9 + 1, i // 5, -1, None, None) for i in range(8000)]
+    recs += [(20_000 + i, None, i % 4 + 1, i // 2, -1, None, None) for i in range(1500)]
+    recs += [(30_000 + i, "thin", i % 6 + 1, i * 3600, -1, None, None) for i in range(30)]
+    recs += [(40_000 + i, "thin", i % 6 + 1, 50_000 + i / 500, -1, None, None) for i in range(3000)]
+    base = visits(spark, recs)
+    key = lambda r: [x if x is not None else "" for x in r]
+    plain = sorted((tuple(r) for r in op.page_steps(base, None).collect()), key=key)
+    counts = rows(op.page_conversion(base, "1,2,3", slice_width_s=None))
+    for v in (base.repartition(4), base.repartition(7, "page_id"), base.dropDuplicates()):
+        got = op.page_steps(v, 60, hot_sample=0.5, rows_per_slice=100)
+        assert sorted((tuple(r) for r in got.collect()), key=key) == plain
+        assert rows(op.page_conversion(v, "1,2,3", hot_sample=0.5, rows_per_slice=100)) == counts
