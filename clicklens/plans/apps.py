@@ -45,7 +45,7 @@ def _emit(df: DataFrame, a: argparse.Namespace) -> None:
     elif a.jdbc_url:
         props = {k: v for k, v in (("user", a.jdbc_user), ("password", a.jdbc_password),
                                    ("driver", a.jdbc_driver)) if v}
-        sinks.jdbc_append(df, a.jdbc_url, a.jdbc_table, props)
+        sinks.jdbc_append(sinks.as_jdbc_table(df, a.jdbc_table), a.jdbc_url, a.jdbc_table, props)
     else:
         sinks.console(df, a.show)
 
@@ -75,12 +75,13 @@ BATCH = {
 }
 
 
-def _clicks(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
+def _lines(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
     if a.bootstrap_servers:
-        lines = adlines.read_line_stream(spark, "kafka", bootstrap_servers=a.bootstrap_servers, topic=a.topic)
-    else:
-        lines = adlines.read_line_stream(spark, "text", path=a.input_path)
-    return adlines.parse_lines(lines)
+        limit = {"maxOffsetsPerTrigger": a.max_offsets} if a.max_offsets else {}
+        return adlines.read_line_stream(spark, "kafka", bootstrap_servers=a.bootstrap_servers, topic=a.topic,
+                                        starting_offsets=a.starting_offsets, **limit)
+    limit = {"maxFilesPerTrigger": a.max_files} if a.max_files else {}
+    return adlines.read_line_stream(spark, "text", path=a.input_path, **limit)
 
 
 STATE_STORES = {
@@ -93,7 +94,7 @@ def _stream(spark: SparkSession, a: argparse.Namespace):
     # large keyed state belongs off the JVM heap; the provider is fixed when a checkpoint is created
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORES[a.state_store])
     trig = {"availableNow": True} if a.available_now else {"processingTime": f"{a.interval} seconds"}
-    c = _clicks(spark, a)
+    c = adlines.parse_lines(_lines(spark, a))
     if a.job == "ads-blacklist":
         return jobs.blacklist_stream(c, a.out, a.checkpoint, a.threshold, a.mode, trig,
                                      retain_days=a.retain_days, echo=a.echo)
@@ -135,6 +136,9 @@ def parser() -> argparse.ArgumentParser:
     st.add_argument("--bootstrap-servers")
     st.add_argument("--topic", default="ads_log")
     st.add_argument("--input-path")
+    st.add_argument("--starting-offsets", default="latest", help="Kafka: where a new checkpoint starts")
+    st.add_argument("--max-offsets", type=int, help="Kafka: records of a batch at most, e.g. after an outage")
+    st.add_argument("--max-files", type=int, help="text: files of a batch at most")
     st.add_argument("--out")
     st.add_argument("--checkpoint")
     st.add_argument("--interval", type=int, default=TRIGGER_INTERVAL_S)
@@ -160,5 +164,10 @@ def main(argv: list[str] | None = None) -> None:
     if a.job in BATCH:
         _emit(BATCH[a.job](spark, a), a)
         return
-    q = _stream(spark, a)
-    q.awaitTermination()
+    trig = {"availableNow": True} if a.available_now else {"processingTime": f"{a.interval} seconds"}
+    bad = jobs.keep_bad_lines(_lines(spark, a), a.out, a.checkpoint.rstrip("/") + "-bad", trig)
+    _stream(spark, a).awaitTermination()
+    if a.available_now:
+        bad.awaitTermination()
+    else:
+        bad.stop()

@@ -29,8 +29,8 @@ FROM events
 
 ADS_LOG = """
 SELECT e.event_id, e.ts, CAST(CAST(e.ts AS DATE) AS VARCHAR) AS dt,
-  REPLACE(r.r_name, ' ', '-') AS area, n.n_name AS city, e.user_id AS userid,
-  TRY_CAST(REGEXP_EXTRACT(e.props, '([0-9]+)', 1) AS BIGINT) % 6 + 1 AS adid
+  REPLACE(r.r_name, ' ', '-') AS area, n.n_name AS city, CAST(e.user_id AS VARCHAR) AS userid,
+  CAST(TRY_CAST(REGEXP_EXTRACT(e.props, '([0-9]+)', 1) AS BIGINT) % 6 + 1 AS VARCHAR) AS adid
 FROM events e
 LEFT JOIN (customer c JOIN nation n ON n.n_nationkey = c.c_nationkey
                      JOIN region r ON r.r_regionkey = n.n_regionkey) ON c.c_custkey = e.user_id
@@ -116,7 +116,7 @@ def oracle_sql() -> dict[str, str]:
     first = ("f", "SELECT dt, adid, userid, ts, event_id, ROW_NUMBER() OVER (PARTITION BY dt, adid, userid "
                   "ORDER BY ts, event_id) AS rn FROM a")
     since = ("s", f"SELECT userid, MIN(ts) AS since FROM f WHERE rn = {n} GROUP BY userid")
-    by_batch = ("c", "SELECT dt, adid, userid, dt AS batch, COUNT(*) AS n FROM a GROUP BY dt, adid, userid")
+    by_batch = ("c", "SELECT dt, adid, userid, event_id % 5 AS batch, COUNT(*) AS n FROM a GROUP BY dt, adid, userid, event_id % 5")
     run = ("rr", "SELECT *, SUM(n) OVER (PARTITION BY dt, adid, userid ORDER BY batch "
                  "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running FROM c")
     listed = ("l", f"SELECT userid, MIN(batch) AS since_batch FROM rr WHERE running >= {n} GROUP BY userid")
@@ -221,5 +221,9 @@ def oracle_sql() -> dict[str, str]:
     q["stream_ads_sliding_60s"] = q["ads_sliding_60s"]
     q["stream_blacklist"] = q["blacklist_users"]
     q["stream_blacklist_counts"] = q["blacklist_filtered_counts"]
+    q["stream_blacklist_micro_batch"] = q["blacklist_users_by_batch"]
+    q["stream_blacklist_micro_batch_counts"] = q["blacklist_filtered_counts_by_batch"]
+    q["stream_ads_trend_watermark"] = q["ads_trend_10s"]
+    q["category_top10_stamped"] = _with(v, r) + f"SELECT 'run-1' AS task_id, * FROM ({TOP10})"
     q["sink_replace_table"] = q["hot_category_top10"]
     return q

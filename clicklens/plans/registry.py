@@ -68,6 +68,7 @@ def batch_queries() -> dict[str, Query]:
         "category_metric_counts": lambda s, d: op.category_metric_counts(_visits(s, d)),
         "category_metric_pivot": lambda s, d: op.category_metric_pivot(_visits(s, d)),
         "hot_category_top10": lambda s, d: op.hot_category_top10(_visits(s, d)),
+        "category_top10_stamped": lambda s, d: op.hot_category_top10(_visits(s, d), task_id="run-1"),
         "hot_category_top10_ranged": lambda s, d: op.hot_category_top10(tables.visit_log(s, d, lo, hi)),
         # Q2 (J1, A4, W3)
         "top_category_clicks": lambda s, d: op.top_category_clicks(
@@ -101,14 +102,14 @@ def batch_queries() -> dict[str, Query]:
         # Q7 (X5, T2, ST4)
         "ads_trend_10s": lambda s, d: op.ads_trend_10s(tables.ad_clicks(s, d)),
         "ads_sliding_60s": lambda s, d: op.ads_sliding_60s(tables.ad_clicks(s, d)),
-        "ads_last_minute": lambda s, d: op.ads_last_minute(tables.ad_clicks(s, d)),
+        "ads_last_minute": lambda s, d: op.ads_trend_10s(tables.ad_clicks(s, d, last_s=60)),
         # Q4 (ST2, F7, J2, ST8)
         "blacklist_users": lambda s, d: _with_since_text(op.blacklist_users(tables.ad_clicks(s, d), n)),
         "blacklist_filtered_counts": lambda s, d: op.blacklist_filtered_counts(tables.ad_clicks(s, d), n),
         "blacklist_users_by_batch": lambda s, d: op.blacklist_users_by_batch(
-            tables.ad_clicks(s, d).withColumn("batch", F.col("dt")), n),
+            tables.ad_clicks(s, d).withColumn("batch", F.col("event_id") % 5), n),
         "blacklist_filtered_counts_by_batch": lambda s, d: op.blacklist_filtered_counts_by_batch(
-            tables.ad_clicks(s, d).withColumn("batch", F.col("dt")), n),
+            tables.ad_clicks(s, d).withColumn("batch", F.col("event_id") % 5), n),
     }
 
 

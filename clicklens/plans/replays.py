@@ -10,7 +10,7 @@ empty or partly dropped stream cannot pass.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clicklens.plans.oracle import THRESHOLD
@@ -24,19 +24,32 @@ TS_MS = "yyyy-MM-dd HH:mm:ss.SSS"
 class Replay:
     """An ad-log replay folder: ``input`` (text lines), ``out`` (sink tables), ``cp`` (checkpoint)."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, batches: int = 3):
+    def __init__(self, spark: SparkSession, sf_dir: str, batches: int = 4, batch_of: Column | None = None,
+                 by_day: bool = False):
+        """``batch_of``: a number 0 .. batches - 1 of each click; its clicks are the batch of that number.
+        ``by_day``: days arrive in order, some in each batch; else every file holds clicks of every day."""
         self.spark = spark
         self.root = shared_dir(spark)
         self.input, self.out, self.cp = f"{self.root}/input", f"{self.root}/out", f"{self.root}/cp"
-        lines = adlines.encode_lines(tables.ads_log(spark, sf_dir))
+        ads = tables.ads_log(spark, sf_dir)
         # round-robin into files of ~100k lines (at most the session's shuffle width -- thousands on a
         # cluster): every file holds clicks of every day, and no task writes more than its share
         rows = tables.read_table(spark, sf_dir, "events", ["event_id"]).count()
         width = int(spark.conf.get("spark.sql.shuffle.partitions"))
         files = max(batches, min(width, batches * -(-rows // 100_000)))
-        lines.repartition(files).write.text(self.input)
-        self.written = spark.read.text(self.input).count()
         self.per_trigger = -(-files // batches)
+        if by_day:
+            day = F.unix_date(F.col("dt").cast("date"))
+            ends = ads.agg(F.min(day).alias("a"), F.max(day).alias("z")).first()
+            if ends.a is not None:
+                batch_of = F.floor((day - ends.a) * batches / (ends.z - ends.a + 1))
+        if batch_of is None:
+            adlines.encode_lines(ads).repartition(files).write.text(self.input)
+        else:  # files are read in the order of their times: one write after another
+            for b in range(batches):
+                (adlines.encode_lines(ads.filter(batch_of == b)).repartition(self.per_trigger)
+                 .write.mode("append").text(self.input))
+        self.written = spark.read.text(self.input).count()
 
     def clicks(self) -> DataFrame:
         stream = adlines.read_line_stream(self.spark, "text", path=self.input,
@@ -48,12 +61,14 @@ class Replay:
         # it from the input (~100k lines each, never above the session's setting) for this query only;
         # the query clones the session's settings when it starts
         conf = self.spark.conf
-        before = conf.get("spark.sql.shuffle.partitions")
+        before, every = conf.get("spark.sql.shuffle.partitions"), jobs.COMPACT_EVERY
         conf.set("spark.sql.shuffle.partitions", str(max(2, min(int(before), -(-self.written // 100_000)))))
+        jobs.COMPACT_EVERY = 2  # a replay is short: its stores still go through two snapshots
         try:
             q = start(self.clicks(), self.out, self.cp, trigger={"availableNow": True})
         finally:
             conf.set("spark.sql.shuffle.partitions", before)
+            jobs.COMPACT_EVERY = every
         q.awaitTermination()
         read = sum(p["numInputRows"] for p in q.recentProgress)
         batches = len(q.recentProgress)
@@ -104,6 +119,30 @@ def _stream_blacklist_counts(spark: SparkSession, sf: str) -> DataFrame:
     return jobs.read_blacklist_counts(spark, r.out, THRESHOLD)
 
 
+def _stream_micro_batch_run(spark: SparkSession, sf: str) -> Replay:
+    r = Replay(spark, sf, 5, F.col("event_id") % 5)
+    r.run(lambda c, o, cp, trigger: jobs.blacklist_stream(c, o, cp, THRESHOLD, mode="micro_batch", trigger=trigger))
+    return r
+
+
+def _stream_micro_batch(spark: SparkSession, sf: str) -> DataFrame:
+    """The reference's rule (SRC5, SNK6, J2, ST8): a batch lists users, later batches drop them."""
+    r = _stream_micro_batch_run(spark, sf)
+    return jobs.read_blacklist(spark, r.out, THRESHOLD, "micro_batch").select("userid", "since_batch")
+
+
+def _stream_micro_batch_counts(spark: SparkSession, sf: str) -> DataFrame:
+    r = _stream_micro_batch_run(spark, sf)
+    return jobs.read_blacklist_counts(spark, r.out, THRESHOLD, "micro_batch")
+
+
+def _stream_trend_watermark(spark: SparkSession, sf: str) -> DataFrame:
+    """ST9: clicks in event order under a watermark that drops closed windows' state."""
+    r = Replay(spark, sf, by_day=True)
+    r.run(lambda c, o, cp, trigger: jobs.ads_window_stream(c, o, cp, 10, trigger=trigger, watermark="1 minute"))
+    return jobs.read_ads_windows(spark, r.out).select(F.col("win_start").alias("bucket"), "clicks")
+
+
 def _sink_replace_table(spark: SparkSession, sf: str) -> DataFrame:
     """SNK1: write Q1 as a catalog table (data below the shared folder) and read it back."""
     from clicklens.operators import hot_category_top10
@@ -122,5 +161,8 @@ def stream_queries() -> dict:
         "stream_ads_sliding_60s": _stream_sliding,
         "stream_blacklist": _stream_blacklist,
         "stream_blacklist_counts": _stream_blacklist_counts,
+        "stream_blacklist_micro_batch": _stream_micro_batch,
+        "stream_blacklist_micro_batch_counts": _stream_micro_batch_counts,
+        "stream_ads_trend_watermark": _stream_trend_watermark,
         "sink_replace_table": _sink_replace_table,
     }

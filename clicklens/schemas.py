@@ -37,8 +37,8 @@ ADS_LOG = T.StructType([
     T.StructField("dt", T.StringType()),
     T.StructField("area", T.StringType()),
     T.StructField("city", T.StringType()),
-    T.StructField("userid", T.LongType()),
-    T.StructField("adid", T.LongType()),
+    T.StructField("userid", T.StringType()),
+    T.StructField("adid", T.StringType()),
 ])
 
 CATEGORY_TOP10 = ["category_id", "click_count", "order_count", "pay_count"]

@@ -1,5 +1,6 @@
 from clicklens.sinks.writers import (
     KeyedTable,
+    as_jdbc_table,
     console,
     jdbc_append,
     latest_per_key,
@@ -10,5 +11,5 @@ from clicklens.sinks.writers import (
     write_batch,
 )
 
-__all__ = ["KeyedTable", "console", "jdbc_append", "latest_per_key", "read_batch", "read_batches", "replace_table", "set_add",
+__all__ = ["KeyedTable", "as_jdbc_table", "console", "jdbc_append", "latest_per_key", "read_batch", "read_batches", "replace_table", "set_add",
            "write_batch"]

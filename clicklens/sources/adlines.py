@@ -1,8 +1,8 @@
 """The ad-click wire format: one space-separated line ``epoch_ms area city userid adid`` per click.
 
 ``encode_lines`` is the producer side (SNK8), ``parse_lines`` the consumer side (X2). Parsing is
-positional like the reference, but bad lines (too few fields, non-numeric time or ids) go to a side
-DataFrame instead of failing the job. An optional sixth field carries the event id, which the
+positional like the reference, and user and ad ids are text as there; bad lines (too few fields, a time that
+is no number or outside the years 1 to 9999, an empty id) go to a side DataFrame instead of failing the job. An optional sixth field carries the event id, which the
 reference ignores (it reads fields 0-4 only) and which we use as a deterministic tie-break.
 """
 
@@ -24,6 +24,17 @@ def encode_lines(ads: DataFrame, with_id: bool = True) -> DataFrame:
     return ads.select(F.concat_ws(LINE_SEPARATOR, *fields).alias("value"))
 
 
+def write_lines(ads: DataFrame, bootstrap_servers: str, topic: str, checkpoint: str | None = None, **options):
+    """SNK8: send lines to a topic (needs the Kafka connector). A streaming frame also needs ``checkpoint``
+    and returns its running query."""
+    lines = encode_lines(ads)
+    writer = lines.writeStream.option("checkpointLocation", checkpoint) if lines.isStreaming else lines.write
+    writer = writer.format("kafka").option("kafka.bootstrap.servers", bootstrap_servers).option("topic", topic)
+    for k, v in options.items():
+        writer = writer.option(k, v)
+    return writer.start() if lines.isStreaming else writer.save()
+
+
 def _parsed(lines: DataFrame) -> DataFrame:
     parts = F.split(F.col("value"), LINE_SEPARATOR)
     return lines.select(
@@ -32,15 +43,19 @@ def _parsed(lines: DataFrame) -> DataFrame:
         F.get(parts, 0).try_cast("long").alias("_ms"),
         F.get(parts, 1).alias("area"),
         F.get(parts, 2).alias("city"),
-        F.get(parts, 3).try_cast("long").alias("userid"),
-        F.get(parts, 4).try_cast("long").alias("adid"),
+        F.get(parts, 3).alias("userid"),
+        F.get(parts, 4).alias("adid"),
         F.get(parts, 5).try_cast("long").alias("event_id"),
     )
 
 
+# Times that have a four-digit year (0001 to 9999): the day is text of that form, and no instant overflows.
+FIRST_MS, LAST_MS = -62_135_596_800_000, 253_402_300_799_999
+
+
 def _is_good():
-    return ((F.col("_n") >= 5) & F.col("_ms").isNotNull() & F.col("userid").isNotNull()
-            & F.col("adid").isNotNull())
+    return ((F.col("_n") >= 5) & F.coalesce(F.col("_ms").between(FIRST_MS, LAST_MS), F.lit(False))
+            & (F.col("userid") != "") & (F.col("adid") != ""))
 
 
 def parse_lines(lines: DataFrame) -> DataFrame:
@@ -53,7 +68,7 @@ def parse_lines(lines: DataFrame) -> DataFrame:
 
 def bad_lines(lines: DataFrame) -> DataFrame:
     """The side output: every line ``parse_lines`` rejects, unchanged."""
-    return _parsed(lines).filter(~_is_good() | F.col("_n").isNull()).select("value")
+    return _parsed(lines).filter(~F.coalesce(_is_good(), F.lit(False))).select("value")
 
 
 def read_line_stream(spark: SparkSession, source: str = "kafka", **options) -> DataFrame:

@@ -149,23 +149,29 @@ def geo_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (customer
             .join(nation, customer.c_nationkey == nation.n_nationkey)
             .join(region, nation.n_regionkey == region.r_regionkey)
-            .select(F.col("c_custkey").alias("userid"),
+            .select(F.col("c_custkey").cast("string").alias("userid"),
                     F.regexp_replace("r_name", " ", "-").alias("area"),
                     F.col("n_name").alias("city")))
 
 
-def ad_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ad log without geography: (event_id, ts, dt, userid, adid).
+def ad_clicks(spark: SparkSession, sf_dir: str, last_s: int | None = None, slide_s: int = 10) -> DataFrame:
+    """The ad log without geography: (event_id, ts, dt, userid, adid); ids are text, as in the log lines.
 
+    ``last_s``: only the newest window of so many seconds, aligned to ``slide_s``. Its lower bound is stated on
+    the raw column, so the Parquet scan skips row groups before it.
     ``ts`` is cast to an instant (TIMESTAMP) so it can carry a watermark; ``dt`` is the event's day.
     """
     ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "props"])
+    if last_s is not None:
+        newest = F.unix_seconds(ev.agg(F.max("ts").cast("timestamp").alias("m")).scalar())
+        lower = F.timestamp_seconds(F.floor(newest / F.lit(slide_s)) * F.lit(slide_s) - F.lit(last_s - slide_s))
+        ev = ev.filter(F.col("ts") >= lower.cast("timestamp_ntz"))
     return ev.select(
         F.col("event_id"),
         F.col("ts").cast("timestamp").alias("ts"),
         F.col("ts").cast("date").cast("string").alias("dt"),
-        F.col("user_id").alias("userid"),
-        (_props_number(F.col("props")) % 6 + 1).alias("adid"),
+        F.col("user_id").cast("string").alias("userid"),
+        (_props_number(F.col("props")) % 6 + 1).cast("string").alias("adid"),
     )
 
 

@@ -1,9 +1,9 @@
 """Structured Streaming jobs for the live ad-click requirements (Q4-Q7).
 
 Each job takes a parsed click stream (``sources.parse_lines(read_line_stream(...))``), keeps its
-running state in Spark's state store or in batch-versioned tables under ``out``, and writes through
+running state in Spark's state store or in keyed tables under ``out``, and writes through
 ``foreachBatch``. Offsets, state and outputs are tied to the batch id, so a restart from the same
-checkpoint replays a batch into the same partition: totals are absolute and never double-counted.
+checkpoint replays a batch into its own place: totals are absolute and never double-counted.
 The keyed output stores (``sinks.KeyedTable``) compact every ``COMPACT_EVERY`` batches, and those
 read back per batch are partitioned by day and read only for the days a batch touched.
 
@@ -15,6 +15,9 @@ emitted, not every key every batch); ``transform``/``foreachRDD`` -> ``foreachBa
 
 from __future__ import annotations
 
+import datetime
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -25,19 +28,19 @@ from clicklens.operators.ads import ads_area_top3_json
 from clicklens.operators.blacklist import GROUP, blacklist_filtered_counts, blacklist_users, first_clicks
 from clicklens.operators.common import bounded_broadcast
 from clicklens.sinks.writers import BATCH, KeyedTable, read_batches, set_add, write_batch
+from clicklens.sources.adlines import bad_lines
 
 DEFAULT_TRIGGER = {"processingTime": f"{TRIGGER_INTERVAL_S} seconds"}
 
-TOTALS_SCHEMA = "dt string, area string, city string, adid long, clicks long"
-ROLLUP_SCHEMA = "dt string, area string, adid long, clicks long"
+TOTALS_SCHEMA = "dt string, area string, city string, adid string, clicks long"
+ROLLUP_SCHEMA = "dt string, area string, adid string, clicks long"
 TOP3_SCHEMA = "dt string, area string, top3 string"
 WINDOW_SCHEMA = "win_start string, win_end string, clicks long"
 ARRIVAL_SCHEMA = "win_start string, win_end string, bucket string, clicks long"
-STATE_SCHEMA = "dt string, adid long, userid long, ts timestamp, event_id long"
-DELTA_SCHEMA = "dt string, adid long, userid long, clicks long"
-LISTED_SCHEMA = "userid long, since_batch long"
-SETTLED_SCHEMA = "userid long, since timestamp"
-CUTOFF_SCHEMA = "cutoff string"
+STATE_SCHEMA = "dt string, adid string, userid string, ts timestamp, event_id long"
+DELTA_SCHEMA = "dt string, adid string, userid string, clicks long"
+LISTED_SCHEMA = "userid string, since_batch long"
+SETTLED_SCHEMA = "userid string, since timestamp"
 
 
 COMPACT_EVERY = 20
@@ -65,6 +68,20 @@ def _day_keys(clicks: DataFrame, watermark: str | None) -> tuple[DataFrame, list
     return local.withWatermark("_wall", watermark), [F.window("_wall", "1 day").alias("_day")]
 
 
+def keep_bad_lines(lines: DataFrame, out: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """The lines that ``parse_lines`` rejects, as text below ``out``/bad (one folder per batch): a query of its
+    own beside a job, so that no line is lost silently."""
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        write_batch(batch, f"{out}/bad", batch_id)
+
+    return _start(bad_lines(lines), sink, checkpoint, trigger, mode="append")
+
+
+def read_bad_lines(spark: SparkSession, out: str) -> DataFrame:
+    """(value): the rejected lines so far."""
+    return read_batches(spark, f"{out}/bad", "value string").select("value")
+
+
 # ---------------------------------------------------------------- Q5: daily counters per area/city/ad
 def _totals(spark: SparkSession, out: str) -> KeyedTable:
     # written every batch, read only by consumers: no per-batch pruning needed, so no day partitions
@@ -141,7 +158,7 @@ def ads_window_stream(clicks: DataFrame, out: str, checkpoint: str, window_s: in
     The reference windows by arrival time; event time is used here so results do not depend on when
     lines arrive. Without a watermark every window stays open (late lines still count, as in the
     reference's per-event days); with one, closed windows' state is dropped. ``echo > 0`` prints the
-    newest ``echo`` windows after every batch, ascending (SNK7, the reference's per-batch print).
+    newest ``echo`` windows that the batch changed, ascending (SNK7, the reference's per-batch print).
     """
     c = clicks if watermark is None else clicks.withWatermark("ts", watermark)
     win = (F.window("ts", f"{window_s} seconds", f"{slide_s} seconds") if slide_s
@@ -154,7 +171,7 @@ def ads_window_stream(clicks: DataFrame, out: str, checkpoint: str, window_s: in
     def sink(batch: DataFrame, batch_id: int) -> None:
         store.write(batch, batch_id)
         if echo > 0:
-            newest = store.current(batch_id).orderBy(F.desc("win_start")).limit(echo)
+            newest = store.delta(batch_id).orderBy(F.desc("win_start")).limit(echo)
             newest.orderBy("win_start").show(echo, truncate=False)
 
     return _start(agg, sink, checkpoint, trigger)
@@ -214,16 +231,45 @@ def _settled(spark: SparkSession, out: str) -> KeyedTable:
     return KeyedTable(spark, f"{out}/settled", SETTLED_SCHEMA, ["userid"], compact_every=COMPACT_EVERY)
 
 
-def _closed(spark: SparkSession, out: str) -> KeyedTable:
-    return KeyedTable(spark, f"{out}/closed", DELTA_SCHEMA, list(GROUP), compact_every=COMPACT_EVERY,
-                      partition_by=["dt"])
+class ClosedDays:
+    """Final counters of settled days: each day is written once, as its own partition."""
+
+    def __init__(self, spark: SparkSession, out: str):
+        self.spark, self.path = spark, f"{out}/closed"
+
+    def current(self) -> DataFrame:
+        try:
+            return self.spark.read.schema(DELTA_SCHEMA).parquet(self.path)
+        except AnalysisException:
+            return self.spark.createDataFrame([], DELTA_SCHEMA)
+
+    def add(self, counts: DataFrame) -> None:
+        (counts.hint("rebalance", "dt").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("dt").parquet(self.path))
+
 
+def _closed(spark: SparkSession, out: str) -> ClosedDays:
+    return ClosedDays(spark, out)
 
-def _cutoff_before(spark: SparkSession, out: str, batch_id: int) -> str | None:
-    """The retention cutoff day in force for batch ``batch_id`` (set by an earlier compaction)."""
-    log = read_batches(spark, f"{out}/cutoff", CUTOFF_SCHEMA, upto=batch_id - 1)
-    row = log.orderBy(F.desc(BATCH)).select("cutoff").limit(1).collect()
-    return row[0]["cutoff"] if row else None
+
+def _listed(spark: SparkSession, out: str) -> KeyedTable:
+    return KeyedTable(spark, f"{out}/listed", LISTED_SCHEMA, ["userid"], compact_every=COMPACT_EVERY)
+
+
+def _cutoff(spark: SparkSession, out: str) -> KeyedTable:
+    """One row: the day before which all days are settled."""
+    return KeyedTable(spark, f"{out}/cutoff", "name string, cutoff string", ["name"], compact_every=COMPACT_EVERY)
+
+
+def _cutoff_before(spark: SparkSession, out: str, batch_id: int | None) -> str | None:
+    """The cutoff day in force for batch ``batch_id`` (None: the newest)."""
+    row = _cutoff(spark, out).current(None if batch_id is None else batch_id - 1).select("cutoff").first()
+    return row[0] if row else None
+
+
+def read_late_clicks(spark: SparkSession, out: str) -> DataFrame:
+    """(batch_id, clicks): clicks that a batch dropped because their day was settled."""
+    return read_batches(spark, f"{out}/late", "clicks long").select(BATCH, "clicks")
 
 
 def _counters(spark: SparkSession, out: str) -> KeyedTable:
@@ -249,19 +295,22 @@ def blacklist_stream(clicks: DataFrame, out: str, checkpoint: str, threshold: in
     (day, ad) reached ``threshold``.
 
     ``retain_days`` (event time only; default: keep everything, as the reference does): at each
-    compaction, groups of days older than the newest day minus ``retain_days`` are settled -- their
-    listed users and final counts move to two small stores and the groups leave the live state.
-    Their counts are final then: every later click is later in time than anything on a settled day.
-    Clicks that arrive for an already settled day are dropped, as a watermark would.
+    compaction, groups of days older than the median day of the batch's clicks minus ``retain_days`` are
+    settled -- their listed users move to a small store, their final counts to one partition per day, and the
+    groups leave the live state. The median keeps a click with a wrong, far-future time from settling
+    anything. Clicks that arrive for a settled day are dropped, as a watermark would, and counted
+    (``read_late_clicks``).
 
     ``echo > 0`` prints, after every batch, up to ``echo`` of the (day, ad, user) counters the batch
     changed (SNK7, like the reference's per-batch print of its running counts).
     """
     if mode not in ("event_time", "micro_batch"):
         raise ValueError(f"unknown blacklist mode {mode!r}")
+    if retain_days is not None and mode != "event_time":
+        raise ValueError("retain_days is for the event_time mode")
     rows = clicks.select(*GROUP, "ts", "event_id")
     spark = clicks.sparkSession
-    state, counters, listed = _state(spark, out), _counters(spark, out), f"{out}/listed"
+    state, counters, listed = _state(spark, out), _counters(spark, out), _listed(spark, out)
 
     settled, closed = _settled(spark, out), _closed(spark, out)
 
@@ -272,8 +321,10 @@ def blacklist_stream(clicks: DataFrame, out: str, checkpoint: str, threshold: in
             fresh = batch.select(*GROUP, "ts", "event_id")
             if retain_days is not None:
                 cutoff = _cutoff_before(spark, out, batch_id)
-                if cutoff is not None:
-                    fresh = fresh.filter(F.col("dt") >= cutoff)   # its day is settled: too late
+                if cutoff is not None:   # clicks of settled days are too late
+                    late = fresh.filter(F.col("dt") < cutoff).agg(F.count(F.lit(1)).alias("clicks"))
+                    write_batch(late.coalesce(1), f"{out}/late", batch_id)
+                    fresh = fresh.filter(F.col("dt") >= cutoff)
             touched = fresh.select(*GROUP).distinct()
             prev = state.current(batch_id - 1, only=touched)
             merged = prev.unionByName(fresh)
@@ -281,26 +332,34 @@ def blacklist_stream(clicks: DataFrame, out: str, checkpoint: str, threshold: in
             if retain_days is None or not state.compacts_at(batch_id):
                 state.write(new_state, batch_id)
                 return
-            newest = (state.current(batch_id - 1).select("dt").unionByName(fresh.select("dt"))
-                      .agg(F.max("dt")).collect()[0][0])
-            cut = F.date_format(F.date_sub(F.lit(newest).cast("date"), retain_days), "yyyy-MM-dd")
-            cut_value = spark.range(1).select(cut.alias("cutoff")).collect()[0][0]
+            middle = fresh.agg(F.percentile_approx(F.unix_date(F.col("dt").cast("date")), 0.5)).first()[0]
+            if middle is None:
+                state.write(new_state, batch_id)
+                return
+            cut_value = str(datetime.date(1970, 1, 1) + datetime.timedelta(days=middle - retain_days))
+            cut_value = max(cut_value, _cutoff_before(spark, out, batch_id) or "")
+            _settle(prev_and(new_state, batch_id).filter(F.col("dt") < cut_value), batch_id)
             state.write(new_state, batch_id, keep=F.col("dt") >= cut_value)
-            _settle(state.current(batch_id).filter(F.col("dt") < cut_value), batch_id)
-            write_batch(spark.createDataFrame([(cut_value,)], CUTOFF_SCHEMA), f"{out}/cutoff", batch_id)
+            _cutoff(spark, out).write(spark.createDataFrame([("day", cut_value)], "name string, cutoff string"), batch_id)
         finally:
             batch.unpersist()
 
+    def prev_and(new_state: DataFrame, batch_id: int) -> DataFrame:
+        """The live state with this batch's groups in their new version."""
+        kept = state.current(batch_id - 1).join(new_state.select(*GROUP).distinct(), list(GROUP), "left_anti")
+        names = [f.name for f in state.schema.fields]
+        return kept.select(*names).unionByName(new_state.select(*names))
+
     def _settle(closing: DataFrame, batch_id: int) -> None:
         prior = settled.current(batch_id - 1)
         # a user settled earlier keeps that (earlier) listing time
         settled.write(blacklist_users(closing, threshold).join(prior, "userid", "left_anti"), batch_id)
-        closed.write(blacklist_filtered_counts(closing, threshold, prior=prior), batch_id)
+        closed.add(blacklist_filtered_counts(closing, threshold, prior=prior))
 
     def sink_micro_batch(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()   # read by the touched-key list and by the merge: one source read
         try:
-            members = read_batches(spark, listed, LISTED_SCHEMA, upto=batch_id - 1).select("userid")
+            members = listed.current(batch_id - 1).select("userid")
             users = batch.select("userid").distinct()
             if users.limit(max_broadcast_users + 1).count() <= max_broadcast_users:
                 # look the batch's users up in the set (set scanned, never shuffled), then drop hits
@@ -316,7 +375,7 @@ def blacklist_stream(clicks: DataFrame, out: str, checkpoint: str, threshold: in
             batch.unpersist()
         new = (counters.delta(batch_id).filter(F.col("clicks") >= threshold)
                .select("userid", F.lit(int(batch_id)).cast("long").alias("since_batch")))
-        set_add(new, listed, batch_id, "userid")
+        set_add(listed, new, batch_id)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         (sink_event_time if mode == "event_time" else sink_micro_batch)(batch, batch_id)
@@ -328,21 +387,27 @@ def blacklist_stream(clicks: DataFrame, out: str, checkpoint: str, threshold: in
     return _start(rows, sink, checkpoint, trigger, mode="append")
 
 
+def _live_state(spark: SparkSession, out: str) -> DataFrame:
+    """The state without the days that are settled."""
+    state, cutoff = _state(spark, out).current(), _cutoff_before(spark, out, None)
+    return state if cutoff is None else state.filter(F.col("dt") >= cutoff)
+
+
 def read_blacklist(spark: SparkSession, out: str, threshold: int = BLACKLIST_THRESHOLD,
                    mode: str = "event_time") -> DataFrame:
     """(userid, since) for ``event_time``; (userid, since_batch) for ``micro_batch``."""
     if mode == "event_time":
-        live = blacklist_users(_state(spark, out).current(), threshold)
+        live = blacklist_users(_live_state(spark, out), threshold)
         both = live.unionByName(_settled(spark, out).current())
         return both.groupBy("userid").agg(F.min("since").alias("since"))
-    return read_batches(spark, f"{out}/listed", LISTED_SCHEMA).drop("batch_id")
+    return _listed(spark, out).current()
 
 
 def read_blacklist_counts(spark: SparkSession, out: str, threshold: int = BLACKLIST_THRESHOLD,
                           mode: str = "event_time") -> DataFrame:
     """(dt, adid, userid, clicks): the counters after the blacklist filter."""
     if mode == "event_time":
-        live = blacklist_filtered_counts(_state(spark, out).current(), threshold,
+        live = blacklist_filtered_counts(_live_state(spark, out), threshold,
                                          prior=_settled(spark, out).current())
         return live.unionByName(_closed(spark, out).current())
     return _counters(spark, out).current()

@@ -93,12 +93,15 @@ def test_line_round_trip_and_bad_lines(spark):
     df = ads(spark, [(1, 0.25, "MIDDLE-EAST", "NATION_3", 10, 4)])
     lines = encode_lines(df)
     back = parse_lines(lines).collect()[0]
-    assert (back.area, back.city, back.userid, back.adid, back.event_id) == ("MIDDLE-EAST", "NATION_3", 10, 4, 1)
+    # ids are text on the wire and stay text
+    assert (back.area, back.city, back.userid, back.adid, back.event_id) == ("MIDDLE-EAST", "NATION_3", "10", "4", 1)
     assert back.ts == BASE + dt.timedelta(seconds=0.25)
-    raw = spark.createDataFrame([("1704110400000 A B 1 2",), ("1 A B 1",), ("x A B 1 2",), ("1 A B u 2",)],
-                                "value string")
-    assert parse_lines(raw).count() == 1
-    assert sorted(r.value for r in bad_lines(raw).collect()) == ["1 A B 1", "1 A B u 2", "x A B 1 2"]
+    good = ["1704110400000 A B 1 2", "1546300800000 A B u-17 3", "1546300800000 A B 007 3", "-1 A B 7 3"]
+    bad = ["1 A B 1", "x A B 1 2", "9223372036854775807 A B 1 2", "253402300800000 A B 1 2", "1 A B  2", "", "99999999999999999999 A B 1 2"]
+    raw = spark.createDataFrame([(x,) for x in [*good, *bad, None]], "value string")
+    got = {(r.userid, r.adid, r.dt) for r in parse_lines(raw).collect()}
+    assert got == {("1", "2", "2024-01-01"), ("u-17", "3", "2019-01-01"), ("007", "3", "2019-01-01"), ("7", "3", "1969-12-31")}
+    assert sorted((r.value for r in bad_lines(raw).collect()), key=str) == sorted([*bad, None], key=str)
 
 
 def test_edge_parameters(spark):

@@ -11,7 +11,7 @@ from clicklens.sources import encode_lines, parse_lines, read_line_stream
 from clicklens.streaming import jobs
 from tests.conftest import rows
 
-ADS_SCHEMA = "event_id long, ts timestamp, dt string, area string, city string, userid long, adid long"
+ADS_SCHEMA = "event_id long, ts timestamp, dt string, area string, city string, userid string, adid string"
 BASE = dt.datetime(2024, 1, 1, 23, 59, 0)
 
 
@@ -19,7 +19,7 @@ def ads(spark, recs):
     data = []
     for e, sec, area, city, u, a in recs:
         ts = BASE + dt.timedelta(seconds=sec)
-        data.append((e, ts, ts.strftime("%Y-%m-%d"), area, city, u, a))
+        data.append((e, ts, ts.strftime("%Y-%m-%d"), area, city, str(u), str(a)))
     return spark.createDataFrame(data, ADS_SCHEMA)
 
 
@@ -81,14 +81,14 @@ def test_micro_batch_blacklist_follows_the_reference_rule(spark):
     for b in (b0, b1, b2):   # one run per arriving batch -> batch ids 0, 1, 2
         write_lines(b.coalesce(1), f"{root}/in")
         run_once(spark, start, f"{root}/in", f"{root}/out", f"{root}/cp", per_trigger=100)
-    assert rows(jobs.read_blacklist(spark, f"{root}/out", n, "micro_batch")) == [(1, 1)]
+    assert rows(jobs.read_blacklist(spark, f"{root}/out", n, "micro_batch")) == [("1", 1)]
     counts = {(r.userid, r.adid): r.clicks for r in jobs.read_blacklist_counts(spark, f"{root}/out", n,
                                                                                 "micro_batch").collect()}
-    assert counts == {(1, 1): 3, (1, 2): 1, (2, 1): 2}
+    assert counts == {("1", "1"): 3, ("1", "2"): 1, ("2", "1"): 2}
     # the batch twin with the same batch numbering agrees
     allb = (b0.withColumn("batch", F.lit(0)).unionByName(b1.withColumn("batch", F.lit(1)))
             .unionByName(b2.withColumn("batch", F.lit(2))))
-    assert rows(op.blacklist_users_by_batch(allb, n)) == [(1, 1)]
+    assert rows(op.blacklist_users_by_batch(allb, n)) == [("1", 1)]
     assert os.path.basename(root).startswith("run-")
 
 
@@ -180,7 +180,8 @@ def test_blacklist_retention_settles_closed_days_exactly(spark, monkeypatch):
     assert rows(jobs.read_blacklist(spark, f"{root}/out", 5)) == rows(op.blacklist_users(df, 5))
     assert rows(jobs.read_blacklist_counts(spark, f"{root}/out", 5)) == rows(op.blacklist_filtered_counts(df, 5))
     live_days = {r.dt for r in jobs._state(spark, f"{root}/out").current().select("dt").distinct().collect()}
-    assert min(live_days) == "2024-01-05"                                    # older days left the state
+    # the sixth batch writes a snapshot; its clicks lie on 2024-01-07, one day before them is kept
+    assert min(live_days) == "2024-01-06"                                    # older days left the state
 
 
 def test_watermarked_days_follow_the_session_time_zone(spark):
@@ -207,3 +208,87 @@ def test_blacklist_echo_prints_changed_counters(spark, capsys):
     run_once(spark, start, f"{root}/in", f"{root}/out", f"{root}/cp", per_trigger=10)
     out = capsys.readouterr().out
     assert "userid" in out and "clicks" in out
+
+
+def _store(spark, every=2, many=False, parts=()):
+    from clicklens.sinks import KeyedTable
+    return KeyedTable(spark, shared_dir(spark) + "/store", "dt string, k long, v long", ["dt", "k"], many, every, parts)
+
+
+def _put(spark, store, batch, pairs, **kw):
+    store.write(spark.createDataFrame([("d", k, v) for k, v in pairs], "dt string, k long, v long"), batch, **kw)
+
+
+def test_keyed_table_survives_skipped_and_changed_compaction_points(spark):
+    store = _store(spark, 2, parts=["dt"])
+    _put(spark, store, 2, [(1, 10), (2, 20)])
+    _put(spark, store, 6, [(2, 21)])                      # no batch 4: nothing is lost
+    assert rows(store.current(), "k", "v") == [(1, 10), (2, 21)]
+    store.every = 3                                       # another setting later
+    for b in range(7, 15):
+        _put(spark, store, b, [(b, b)])
+    store.every = 1
+    _put(spark, store, 20, [(1, 11)])
+    assert rows(store.current(), "k", "v") == [(1, 11), (2, 21), *[(b, b) for b in range(7, 15)]]
+    assert rows(store.delta(20), "k", "v") == [(1, 11)] and store.delta(19).count() == 0
+
+
+def test_keyed_table_replays_and_half_written_batches(spark):
+    store = _store(spark, 2)
+    for b in range(5):
+        _put(spark, store, b, [(b, 1)])
+    _put(spark, store, 4, [(4, 2), (9, 9)])               # the newest batch again: it replaces itself
+    assert rows(store.current(), "k", "v") == [(0, 1), (1, 1), (2, 1), (3, 1), (4, 2), (9, 9)]
+    assert rows(store.current(3), "k", "v") == [(0, 1), (1, 1), (2, 1), (3, 1)]
+    lost = store._put
+    store._put = lambda df, path, parts=(): (_ for _ in ()).throw(RuntimeError("lost")) if "commit" in path else lost(df, path, parts)
+    try:
+        _put(spark, store, 5, [(0, 99)])
+    except RuntimeError:
+        pass
+    store._put = lost
+    assert (0, 99) not in rows(store.current(), "k", "v")  # not committed, not seen
+
+
+def test_keyed_table_keeps_a_bounded_number_of_folders(spark):
+    store = _store(spark, 3)
+    for b in range(30):
+        _put(spark, store, b, [(b % 4, b)])
+    base = store.path.replace("file:", "")
+    count = {d: sum(x.startswith("slot=") for x in os.listdir(f"{base}/{d}")) for d in ("delta", "snapshot", "commit")}
+    assert count["delta"] <= 10 and count["commit"] <= 10 and count["snapshot"] <= 3
+    assert rows(store.current(), "k", "v") == [(0, 28), (1, 29), (2, 26), (3, 27)]
+
+
+def test_retention_at_every_end_batch_and_with_a_far_future_click(spark, monkeypatch):
+    monkeypatch.setattr(jobs, "COMPACT_EVERY", 2)
+    root = shared_dir(spark)
+    day = 86400
+    recs = [(d * 1000 + i, d * day + 60 + i * 7, "A", "c", i % 4 if i % 3 else 50 + i, i % 2 + 1) for d in range(5) for i in range(24)]
+    recs.append((1900, 30_000 * day, "A", "c", 7, 1))      # one click with a wrong time, in the second batch
+    df = ads(spark, recs)
+    start = lambda c, o, cp, trigger: jobs.blacklist_stream(c, o, cp, 5, trigger=trigger, retain_days=1)  # noqa
+    for d in range(5):
+        write_lines(df.filter(F.floor(F.col("event_id") / 1000) == d).coalesce(1), f"{root}/in")
+        run_once(spark, start, f"{root}/in", f"{root}/out", f"{root}/cp")
+        seen = df.filter(F.col("event_id") < (d + 1) * 1000)
+        assert rows(jobs.read_blacklist(spark, f"{root}/out", 5)) == rows(op.blacklist_users(seen, 5))
+        assert rows(jobs.read_blacklist_counts(spark, f"{root}/out", 5)) == rows(op.blacklist_filtered_counts(seen, 5))
+    write_lines(df.limit(3).coalesce(1), f"{root}/in")      # clicks of a settled day: dropped and counted
+    run_once(spark, start, f"{root}/in", f"{root}/out", f"{root}/cp")
+    assert sum(r.clicks for r in jobs.read_late_clicks(spark, f"{root}/out").collect()) == 3
+    try:
+        jobs.blacklist_stream(df, f"{root}/x", f"{root}/y", mode="micro_batch", retain_days=1)
+        raise AssertionError("accepted")
+    except ValueError:
+        pass
+
+
+def test_bad_lines_are_kept_beside_a_job(spark):
+    root = shared_dir(spark)
+    spark.createDataFrame([("1704110400000 A B u 1",), ("nonsense",), ("9223372036854775807 A B 1 2",)], "value string").coalesce(1).write.text(f"{root}/in")
+    lines = read_line_stream(spark, "text", path=f"{root}/in")
+    jobs.keep_bad_lines(lines, f"{root}/out", f"{root}/cp-bad", {"availableNow": True}).awaitTermination()
+    run_once(spark, jobs.ads_click_daily_stream, f"{root}/in", f"{root}/out", f"{root}/cp")
+    assert rows(jobs.read_bad_lines(spark, f"{root}/out")) == [("9223372036854775807 A B 1 2",), ("nonsense",)]
+    assert rows(jobs.read_ads_click_daily(spark, f"{root}/out"), "adid", "clicks") == [("1", 1)]
