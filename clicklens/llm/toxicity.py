@@ -98,17 +98,32 @@ def nnpu_fit(rows: np.ndarray, cols: np.ndarray, positive: np.ndarray, n_feature
     return theta[:-1], float(theta[-1])
 
 
-def _train(texts: pa.Array, positive: np.ndarray, prior: float, max_features: int, z_least: float, precise: float = 0.7):
-    """(hashes, weights, bias) of one bag."""
-    rows, hashes = [], []
+def _present(texts, known: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(row, hash) of the features of each text, once a text; of ``known`` (sorted hashes) only if given."""
     for w in word_blocks(texts, ALNUM, lower=True):
         for row, h in _features(w):
-            pair = np.unique(np.rec.fromarrays([row, h]))  # once a text
-            rows.append(pair.f0 + w.first)
-            hashes.append(pair.f1)
-    rows = np.concatenate(rows) if rows else np.empty(0, dtype=np.int64)
-    hashes = np.concatenate(hashes) if hashes else np.empty(0, dtype=np.uint64)
-    names, cols = np.unique(hashes, return_inverse=True)
+            if known is not None:
+                at = np.minimum(np.searchsorted(known, h), max(0, len(known) - 1))
+                good = known[at] == h if len(known) else np.zeros(len(h), dtype=bool)
+                row, h = row[good], h[good]
+            order = np.lexsort((h, row))
+            row, h = row[order], h[order]
+            new = np.ones(len(row), dtype=bool)
+            new[1:] = (row[1:] != row[:-1]) | (h[1:] != h[:-1])
+            yield row[new] + w.first, h[new]
+
+
+def _train(texts: pa.Array, positive: np.ndarray, prior: float, max_features: int, z_least: float, precise: float = 0.7):
+    """(hashes, weights, bias) of one bag."""
+    # features of fewer than three positives say too little; the others are looked up in all texts
+    seen = [h for _, h in _present(texts.filter(pa.array(positive)))]
+    names, times = np.unique(np.concatenate(seen) if seen else np.empty(0, dtype=np.uint64), return_counts=True)
+    names = names[times >= 3]
+    rows, cols = [np.empty(0, dtype=np.int64)], [np.empty(0, dtype=np.int64)]
+    for row, h in _present(texts, names):
+        rows.append(row)
+        cols.append(np.searchsorted(names, h))
+    rows, cols = np.concatenate(rows), np.concatenate(cols)
     n_pos, n_unl = max(1, positive.sum()), max(1, (~positive).sum())
     in_pos = np.bincount(cols, weights=positive[rows], minlength=len(names))
     in_unl = np.bincount(cols, weights=~positive[rows], minlength=len(names))
@@ -137,8 +152,9 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: Column, id_col: str = "d
     prior = min(0.9, max(1e-3, n_pos / n_all))
     pool = docs.select(F.col(f"`{id_col}`").alias(id_col), F.col(f"`{text}`").alias("_t")).where(train_rows)
     part = lambda share: F.pmod(F.xxhash64(F.lit("sample"), F.col(id_col)), F.lit(1_000_000)) < int(1e6 * min(1.0, share))
-    positives = (marked.where("_y = 1").where(part(max_positive / n_pos)).select(id_col)
-                 .join(pool, id_col).select("_t", F.lit(True).alias("_p")))
+    # about max_positive ids at most: small enough to look up where the texts lie
+    chosen = F.broadcast(marked.where("_y = 1").where(part(max_positive / n_pos)).select(id_col))
+    positives = pool.join(chosen, id_col).select("_t", F.lit(True).alias("_p"))
     unlabelled = pool.where(part(max_unlabelled / max(1, docs.count()))).select("_t", F.lit(False).alias("_p"))
     # small samples stay in one bag: at least 500 positives a bag
     used = max(1, min(bags, n_pos // 500))
