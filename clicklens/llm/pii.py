@@ -90,46 +90,58 @@ def _confirmed(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
-def _running(lengths: Column) -> Column:
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, however often the body (or a lambda in it) uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def running(lengths: Column) -> Column:
     """Running sums of an array of ints, in groups so that long arrays stay cheap."""
-    add = lambda a, x: a + x
-    groups = F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.size(lengths) - 1) / _GROUP).cast("int"))),
-                         lambda g: F.slice(lengths, g * _GROUP + 1, _GROUP))
-    totals = F.transform(groups, lambda g: F.aggregate(g, F.lit(0), add))
-    return F.flatten(F.transform(groups, lambda g, k: F.transform(
-        g, lambda _, i: F.aggregate(F.slice(totals, 1, k), F.lit(0), add) + F.aggregate(F.slice(g, 1, i + 1), F.lit(0), add))))
-
-
-def _kind_spans(df: DataFrame, text: Column, rank: int, kind: Kind, keep: list[Column], out: str) -> DataFrame:
-    """``keep`` with the spans of one kind, in steps so that no expression is evaluated twice."""
-    may = text.rlike(kind.hint)
-    found = F.when(may, F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))).otherwise(F.array().cast("array<string>"))
-    df = df.select(*keep, found.alias("_m"))
-    gaps = F.when(F.size("_m") > 0, F.split(text, kind.pattern, -1)).otherwise(F.array().cast("array<string>"))
-    df = df.select(*keep, "_m", gaps.alias("_g"))
-    both = F.zip_with(F.slice("_g", 1, F.size("_m")), "_m", lambda g, m: F.length(g) + F.length(m))
-    df = df.select(*keep, "_m", "_g", F.when(F.size("_m") > 0, _running(both)).otherwise(F.array().cast("array<int>")).alias("_e"))
-
-    def span(value: Column, i: Column) -> Column:
-        end = F.get("_e", i)
-        near = F.lower(F.concat_ws(" ", F.substr(F.get("_g", i), F.greatest(F.lit(1), F.length(F.get("_g", i)) - NEAR + 1)),
-                                   F.substring(F.get("_g", i + 1), 1, NEAR)))
-        score = F.lit(kind.base) + F.when(near.rlike(rf"\b(?:{kind.context})"), 0.2).otherwise(0.0)
-        return F.struct((end - F.length(value)).cast("int").alias("start"), end.cast("int").alias("end"),
-                        F.lit(rank).alias("rank"), F.lit(kind.name).alias("kind"), value.alias("value"), score.alias("score"))
-    spans = F.filter(F.transform("_m", span), lambda s: _confirmed(kind.name, s["value"]) & (s["score"] >= THRESHOLD))
-    return df.select(*keep, F.when(F.size("_m") > 0, spans).otherwise(F.array().cast(SPAN)).alias(out))
+    def total(xs: Column) -> Column:
+        return F.aggregate(xs, F.lit(0), lambda a, x: a + x)
+
+    def within(group: Column, before: Column) -> Column:
+        return F.transform(group, lambda _, i: before + total(F.slice(group, 1, i + 1)))
+
+    def laid_out(groups: Column) -> Column:
+        return let(F.transform(groups, total), lambda totals: F.flatten(F.transform(
+            groups, lambda g, k: let(total(F.slice(totals, 1, k)), lambda before: within(g, before)))))
+
+    return let(lengths, lambda xs: let(F.transform(
+        F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.size(xs) - 1) / _GROUP).cast("int"))),
+        lambda g: F.slice(xs, g * _GROUP + 1, _GROUP)), laid_out))
+
+
+def match_ends(gaps: Column, matches: Column) -> Column:
+    """Where each match ends: ``gaps`` are the stretches before, between and after ``matches``."""
+    return running(F.zip_with(F.slice(gaps, 1, F.size(matches)), matches, lambda g, m: F.length(g) + F.length(m)))
+
+
+def _kind_spans(text: Column, rank: int, kind: Kind) -> Column:
+    """The confirmed spans of one kind."""
+    none = F.array().cast(SPAN)
+
+    def spans(matches: Column, gaps: Column, ends: Column) -> Column:
+        def span(value: Column, i: Column) -> Column:
+            end, before = F.get(ends, i), F.get(gaps, i)
+            near = F.lower(F.concat_ws(" ", F.substr(before, F.greatest(F.lit(1), F.length(before) - NEAR + 1)),
+                                       F.substring(F.get(gaps, i + 1), 1, NEAR)))
+            score = F.lit(kind.base) + F.when(near.rlike(rf"\b(?:{kind.context})"), 0.2).otherwise(0.0)
+            return F.struct((end - F.length(value)).cast("int").alias("start"), end.cast("int").alias("end"),
+                            F.lit(rank).alias("rank"), F.lit(kind.name).alias("kind"), value.alias("value"), score.alias("score"))
+        return F.filter(F.transform(matches, span), lambda s: _confirmed(kind.name, s["value"]) & (s["score"] >= THRESHOLD))
+
+    placed = let(F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0)), lambda m: F.when(
+        F.size(m) > 0, let(F.split(text, kind.pattern, -1), lambda g: let(match_ends(g, m), lambda e: spans(m, g, e)))).otherwise(none))
+    return F.when(text.rlike(kind.hint), placed).otherwise(none)
 
 
 def find_pii(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with ``pii``: its spans (start, end, rank of the kind, kind, value, score) by start, then kind."""
     keep = [F.col(f"`{c}`") for c in docs.columns if c != "pii"]
-    df = docs.select(*keep)
-    for rank, kind in enumerate(KINDS):
-        df = _kind_spans(df, F.coalesce(F.col(f"`{text}`"), F.lit("")), rank, kind, keep, f"_s{rank}")
-        keep = [*keep, F.col(f"_s{rank}")]
-    keep = keep[:-len(KINDS)]
-    return df.select(*keep, F.array_sort(F.concat(*[F.col(f"_s{i}") for i in range(len(KINDS))])).alias("pii"))
+    t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    found = F.concat(*[_kind_spans(t, rank, kind) for rank, kind in enumerate(KINDS)])
+    return docs.select(*keep, F.array_sort(found).alias("pii"))
 
 
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:

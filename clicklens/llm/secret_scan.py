@@ -23,7 +23,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clicklens.llm.pii import _running, luhn
+from clicklens.llm.pii import luhn, match_ends
 
 RUN = r"A-Za-z0-9+/=_\-"
 PROPOSAL = rf"(?<![{RUN}])(?=[{RUN}]{{16}})(?=[A-Za-z+/=_\-]*+[0-9])[{RUN}]++"
@@ -44,8 +44,7 @@ def proposals(docs: DataFrame, id_col: str = "doc_id", text: str = "text", path:
     df = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{path}`").cast("string").alias("path"), t.alias("t"),
                      F.regexp_extract_all(t, F.lit(PROPOSAL), F.lit(0)).alias("m")).where("size(m) > 0")
     df = df.select("id", "path", "m", F.split("t", PROPOSAL, -1).alias("g"))
-    both = F.zip_with(F.slice("g", 1, F.size("m")), "m", lambda g, m: F.length(g) + F.length(m))
-    df = df.select("id", "path", "m", "g", _running(both).alias("e"))
+    df = df.select("id", "path", "m", "g", match_ends(F.col("g"), F.col("m")).alias("e"))
     gap = lambda i: F.get("g", i)
     found = F.transform("m", lambda v, i: F.struct(
         (F.get("e", i) - F.length(v)).cast("int").alias("start"), F.get("e", i).cast("int").alias("end"), v.alias("value"),

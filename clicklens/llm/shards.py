@@ -51,7 +51,7 @@ class Feistel:
         self.a = max(1, math.isqrt(max(0, n - 1)) + 1) if n else 1
         self.b = max(1, -(-n // self.a))
         self.keys = [_mix32_py((seed * 0x9E3779B1 + i * 0x85EBCA6B) & _MASK, 0x5BD1E995) for i in range(rounds)]
-        outside, self.steps = range(n, self.a * self.b), 1
+        outside, self.steps = range(n, self.a * self.b) if n else (), 1
         chain: dict[int, int] = {}
         for x in outside:  # fewer than a + b numbers
             seen, y = 1, self.once(x)

@@ -26,7 +26,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -119,10 +118,10 @@ def _train(texts: pa.Array, positive: np.ndarray, prior: float, max_features: in
     seen = [h for _, h in _present(texts.filter(pa.array(positive)))]
     names, times = np.unique(np.concatenate(seen) if seen else np.empty(0, dtype=np.uint64), return_counts=True)
     names = names[times >= 3]
-    rows, cols = [np.empty(0, dtype=np.int64)], [np.empty(0, dtype=np.int64)]
+    rows, cols = [np.empty(0, dtype=np.int32)], [np.empty(0, dtype=np.int32)]
     for row, h in _present(texts, names):
-        rows.append(row)
-        cols.append(np.searchsorted(names, h))
+        rows.append(row.astype(np.int32))
+        cols.append(np.searchsorted(names, h).astype(np.int32))
     rows, cols = np.concatenate(rows), np.concatenate(cols)
     n_pos, n_unl = max(1, positive.sum()), max(1, (~positive).sum())
     in_pos = np.bincount(cols, weights=positive[rows], minlength=len(names))
@@ -140,7 +139,7 @@ def _train(texts: pa.Array, positive: np.ndarray, prior: float, max_features: in
 
 
 def fit(docs: DataFrame, labels: DataFrame, train_rows: Column, id_col: str = "doc_id", text: str = "text",
-        label: str = "toxic", max_positive: int = 8_000, max_unlabelled: int = 24_000, bags: int = 4,
+        label: str = "toxic", max_positive: int = 8_000, max_unlabelled: int = 16_000, bags: int = 4,
         max_features: int = 5_000, z_least: float = 4.0) -> Weights:
     """Train on the rows of ``docs`` and ``labels`` that ``train_rows`` (a condition on the id) admits."""
     marked = (labels.select(F.col(f"`{id_col}`").alias(id_col), F.col(f"`{label}`").cast("int").alias("_y"))
@@ -159,12 +158,13 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: Column, id_col: str = "d
     # small samples stay in one bag: at least 500 positives a bag
     used = max(1, min(bags, n_pos // 500))
     sample = (positives.unionByName(unlabelled)
-              .withColumn("_bag", F.pmod(F.xxhash64(F.lit("bag"), "_t"), F.lit(used)).cast("int")))
+              .withColumn("_bag", F.pmod(F.xxhash64(F.lit("bag"), "_t"), F.lit(used)).cast("int"))
+              .withColumn("_k", F.xxhash64("_t")))
 
     def train(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks()
-        order = np.lexsort(([xxhash.xxh64_intdigest(t or "") for t in table.column("_t").to_pylist()],))
-        table = table.take(pa.array(order))  # the same sums, whatever order the rows arrived in
+        # the same sums, whatever order the rows arrived in
+        order = np.argsort(table.column("_k").to_numpy(), kind="stable")
+        table = table.select(["_t", "_p"]).combine_chunks().take(pa.array(order))
         texts = table.column("_t").combine_chunks()
         positive = np.array(table.column("_p").to_pylist(), dtype=bool)
         if not positive.any():
