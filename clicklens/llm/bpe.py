@@ -36,6 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clicklens.llm.lineage import cut
 from clicklens.llm.words import NOT_BLANK, word_blocks
 
 #: average bytes between cuts; bytes of a task's cache
@@ -216,7 +217,7 @@ def encode_documents(docs: DataFrame, vocab: str, outputs: Sequence[str] = ("n_t
     src = docs.select(*[F.col(f"`{c}`") for c in carry], F.col(f"`{text}`").alias("_text"))
     at = len(carry)
     row = F.xxhash64(*[F.col(f"`{c}`") for c in carry])
-    counted = _homes(src.where(F.pmod(row, F.lit(16)) == 0).select("_text"), 0, size).groupBy("_home").count().checkpoint()
+    counted = cut(_homes(src.where(F.pmod(row, F.lit(16)) == 0).select("_text"), 0, size).groupBy("_home").count())
     n = counted.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
     hot = [r[0] for r in counted.where(F.col("count") > max(16, n // 200)).select("_home").collect()]
     homed = _homes(src, at, size)

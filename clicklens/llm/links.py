@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clicklens.llm.lineage import cut
+
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b: long): root is the smallest node that it reaches.
@@ -16,9 +18,9 @@ def components(edges: DataFrame) -> DataFrame:
     join splits, and a grouped minimum is combined before its shuffle.
     """
     both = edges.where("a <> b").select("a", "b")
-    both = both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct().checkpoint()
+    both = cut(both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     parent = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("p")).select(F.col("a").alias("node"), "p")
-    parent = parent.checkpoint()
+    parent = cut(parent)
     while True:
         up = parent.select(F.col("node").alias("p"), F.col("p").alias("gp"))
         grand = parent.join(up, "p").select("node", "p", "gp")
@@ -27,8 +29,8 @@ def components(edges: DataFrame) -> DataFrame:
         own = grand.join(least, "node").select("node", "p", F.least("gp", "over").alias("to"))
         hooks = (own.select("node", "to").unionByName(own.select(F.col("p").alias("node"), "to"))
                  .groupBy("node").agg(F.min("to").alias("p")))
-        new = (parent.join(hooks.withColumnRenamed("p", "to"), "node")
-               .select("node", F.least("p", "to").alias("p"), (F.col("to") < F.col("p")).alias("moved"))).checkpoint()
+        new = cut(parent.join(hooks.withColumnRenamed("p", "to"), "node")
+                  .select("node", F.least("p", "to").alias("p"), (F.col("to") < F.col("p")).alias("moved")))
         parent = new.select("node", "p")
         if new.where("moved").limit(1).count() == 0:
             return parent.withColumnRenamed("p", "root")

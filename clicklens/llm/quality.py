@@ -25,6 +25,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clicklens.llm.lineage import cut
+
 BLANK = r"[\x20\x09-\x0D]+"
 STATS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_letters", "n_upper",
          "n_marks", "n_lone", "n_symbol_runs")
@@ -128,7 +130,7 @@ def judge(docs: DataFrame, carry: Sequence[str] = ("doc_id",), text: str = "text
     voters = rules()
     stats = text_stats(src, "_text").drop("_text")
     names = [f"_v{i}" for i in range(len(voters))]
-    voted = stats.select(*stats.columns, *[v.alias(n) for n, v in zip(names, voters.values())]).checkpoint()
+    voted = cut(stats.select(*stats.columns, *[v.alias(n) for n, v in zip(names, voters.values())]))
     counts = [(tuple(r[n] for n in names), r["count"]) for r in voted.groupBy(*names).count().collect()]
     base, weights = estimate(counts)
     odds = F.lit(base)

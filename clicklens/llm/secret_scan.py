@@ -23,6 +23,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clicklens.llm.lineage import cut
 from clicklens.llm.pii import luhn, match_ends
 
 RUN = r"A-Za-z0-9+/=_\-"
@@ -92,7 +93,7 @@ def scan(docs: DataFrame, labelled=None, id_col: str = "doc_id", text: str = "te
     ``labelled`` is a table (id, start, label), or a function that makes it from the proposals; without one,
     ``label_by_use``.
     """
-    found = features(proposals(docs, id_col, text, path)).checkpoint()
+    found = cut(features(proposals(docs, id_col, text, path)))
     labels = labelled if isinstance(labelled, DataFrame) else (labelled or label_by_use)(found)
     known = found.join(labels.select(F.col("id").alias("_id"), F.col("start").alias("_start"), F.col("label").cast("double").alias("label"))
                        .distinct(), F.col("id").eqNullSafe(F.col("_id")) & (F.col("start") == F.col("_start")))

@@ -31,6 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clicklens.llm.lineage import cut
 from clicklens.llm.links import components
 from clicklens.llm.words import NOT_BLANK, word_blocks
 
@@ -149,7 +150,7 @@ def link_edges(prints: DataFrame, distance: int = 2, bucket: int = 16) -> DataFr
         raise ValueError("the keys find links of at most 2 bits")
     keyed = _with_keys(prints)
     sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = keyed.join(sizes, "key").checkpoint()
+    shared = cut(keyed.join(sizes, "key"))
     small = shared.where(F.col("n") <= bucket).groupBy("key").agg(F.array_sort(F.collect_list("fp")).alias("m"))
     pairs = (small.select("m", F.posexplode("m").alias("i", "a"))
              .select("a", F.explode(F.slice("m", F.col("i") + 2, F.lit(bucket))).alias("b")))
@@ -171,12 +172,12 @@ def link_edges(prints: DataFrame, distance: int = 2, bucket: int = 16) -> DataFr
 def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 2, id_col: str = "doc_id", text: str = "text",
                     bucket: int = 16) -> DataFrame:
     """(id, text_hash, fp, component_id) for every row: the smallest id reachable through linked fingerprints."""
-    rows = fingerprints(docs, shingle, id_col, text).checkpoint()
-    firsts = rows.groupBy("fp").agg(F.min("id").alias("least")).checkpoint()
+    rows = cut(fingerprints(docs, shingle, id_col, text))
+    firsts = cut(rows.groupBy("fp").agg(F.min("id").alias("least")))
     roots = components(link_edges(firsts.select("fp"), distance, bucket))
     grouped = firsts.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = grouped.join(least, "root").select("fp", "component_id").checkpoint()
+    classes = cut(grouped.join(least, "root").select("fp", "component_id"))
     return rows.join(classes, "fp").select("id", "text_hash", "fp", "component_id")
 
 

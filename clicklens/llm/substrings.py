@@ -37,6 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from clicklens.llm.lineage import cut
 from clicklens.llm.words import NOT_BLANK, Words, mix, window_hashes, word_blocks
 
 GRAM = 5
@@ -182,7 +183,7 @@ def _digests(w: Words, first: np.ndarray, size: np.ndarray, n: int) -> np.ndarra
 
 def _flags(src: DataFrame, n: int, gram: int, shard: int) -> DataFrame:
     """Per document the anchors whose stretches are surely removed, may be, or must be routed window by window."""
-    sampled = _anchors(src.where(F.pmod(F.xxhash64("doc"), F.lit(16)) == 0), n, gram).groupBy("anchor").count().checkpoint()
+    sampled = cut(_anchors(src.where(F.pmod(F.xxhash64("doc"), F.lit(16)) == 0), n, gram).groupBy("anchor").count())
     total = sampled.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
     often = sampled.where(F.col("count") >= max(8, total // 100_000)).select("anchor").collect()
     popular = src.sparkSession.sparkContext.broadcast(np.sort(np.array([r[0] for r in often], dtype=np.int64).view(np.uint64)))
@@ -280,10 +281,10 @@ def remove_repeats(docs: DataFrame, n: int = 13, id_col: str = "doc_id", text: s
         raise ValueError("a stretch has 1 to 63 windows")
     src = _with_key(docs, id_col, text)
     digest = src.select("doc", "th", F.xxhash64(F.lit("second"), "text").alias("th2"))
-    firsts = digest.groupBy("th", "th2").agg(F.min("doc").alias("least")).checkpoint()
+    firsts = cut(digest.groupBy("th", "th2").agg(F.min("doc").alias("least")))
     copies = digest.join(firsts, ["th", "th2"]).where("doc > least").select("doc", F.col("th").alias("anchor"), F.lit("copy").alias("kind"))
-    flags = _flags(src, n, gram, shard).unionByName(copies).groupBy("doc").agg(
-        *[F.collect_set(F.when(F.col("kind") == k, F.col("anchor"))).alias(k) for k in ("sure", "maybe", "apart", "copy")]).checkpoint()
+    flags = cut(_flags(src, n, gram, shard).unionByName(copies).groupBy("doc").agg(
+        *[F.collect_set(F.when(F.col("kind") == k, F.col("anchor"))).alias(k) for k in ("sure", "maybe", "apart", "copy")]))
     # one plan of one shape wherever texts and flags meet, so that the texts are shuffled once
     texts = src.select("doc", "id", "th", "text").join(flags, "doc", "left").select("doc", "id", "th", "text", "sure", "maybe", "apart", "copy")
     routed = _routed(texts, n, gram)
