@@ -163,9 +163,11 @@ def ad_clicks(spark: SparkSession, sf_dir: str, last_s: int | None = None, slide
     """
     ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "props"])
     if last_s is not None:
-        newest = F.unix_seconds(ev.agg(F.max("ts").cast("timestamp").alias("m")).scalar())
-        lower = F.timestamp_seconds(F.floor(newest / F.lit(slide_s)) * F.lit(slide_s) - F.lit(last_s - slide_s))
-        ev = ev.filter(F.col("ts") >= lower.cast("timestamp_ntz"))
+        # the whole bound is the subquery's value, so the scan can compare it with row-group statistics
+        newest = F.unix_seconds(F.col("m").cast("timestamp"))
+        start = F.timestamp_seconds(F.floor(newest / F.lit(slide_s)) * F.lit(slide_s) - F.lit(last_s - slide_s))
+        lower = ev.agg(F.max("ts").alias("m")).select(start.cast("timestamp_ntz")).scalar()
+        ev = ev.filter(F.col("ts") >= lower)
     return ev.select(
         F.col("event_id"),
         F.col("ts").cast("timestamp").alias("ts"),

@@ -82,3 +82,24 @@ def test_hot_keys_are_bounded(spark):
     df = spark.range(0, 20000).select((F.col("id") % 40).alias("s"))   # 40 keys of 500 rows
     assert hot_keys(df, "s", fraction=1.0, min_sampled=100, max_keys=7).count() == 7
     assert hot_keys(df, "s", fraction=1.0, min_sampled=1000).count() == 0
+
+
+def test_last_minute_bound_reaches_the_scan(spark, tmp_path):
+    """The newest minute is read from the row groups that hold it: the scan of the events returns few rows."""
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from clicklens.sources import tables
+    base = dt.datetime(2024, 1, 1)
+    rows = spark.range(40_000).select(
+        F.col("id").alias("event_id"), (F.lit(base).cast("timestamp_ntz") + F.make_dt_interval(secs=F.col("id"))).alias("ts"),
+        F.col("id").alias("user_id"), F.lit("click").alias("event_type"), F.lit(1.0).alias("value"), F.lit('{"k": 3}').alias("props"))
+    rows.coalesce(1).sortWithinPartitions("ts").write.option("parquet.block.size", 64 * 1024).parquet(f"{tmp_path}/events.parquet")
+    df = tables.ad_clicks(spark, str(tmp_path), last_s=60)
+    out = df.agg(F.count("adid").alias("n"), F.min("event_id").alias("least"))
+    (row,) = out.collect()
+    assert (row.n, row.least) == (60, 39_940)
+    # the filter compares the raw column with the subquery's value and nothing else
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"Filter \(isnotnull\(ts#\d+\) AND \(ts#\d+ >= scalar-subquery", plan), plan
