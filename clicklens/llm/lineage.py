@@ -1,8 +1,8 @@
-"""Lineage is cut with ``DataFrame.checkpoint()`` in the folder that the cluster shares."""
+"""Session helpers: lineage is cut with ``DataFrame.checkpoint()`` in the folder that the cluster shares; Arrow batches stay small."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from clicklens.session import shared_dir
 
@@ -13,3 +13,11 @@ def cut(df: DataFrame) -> DataFrame:
     if not context.getCheckpointDir():
         context.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint()
+
+
+def small_batches(spark: SparkSession, rows: int = 1_000) -> None:
+    """Arrow batches of at most ``rows`` rows in this session: of whole texts, the usual 10,000 take tens of
+    megabytes several times over in the executor and in its Python worker."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key, "10000")) > rows:
+        spark.conf.set(key, str(rows))

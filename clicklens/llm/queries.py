@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clicklens.llm import bpe, decontaminate, pii, quality, secret_scan, shards, simhash, substrings, toxicity, urls
+from clicklens.llm.lineage import small_batches
 from clicklens.sources.tables import read_table
 
 DOC = ("doc_id", "text")
@@ -16,6 +17,7 @@ URL_RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow",
 
 
 def _docs(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    small_batches(spark)
     return read_table(spark, sf_dir, "documents", columns or DOC)
 
 

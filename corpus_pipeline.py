@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from clicklens.llm import bpe, decontaminate, pii, simhash, toxicity
+from clicklens.llm.lineage import small_batches
 from clicklens.llm.queries import toxicity_model, vocabulary
 from clicklens.session import shared_dir
 from clicklens.sources.tables import read_table
@@ -16,16 +17,19 @@ from clicklens.sources.tables import read_table
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go. It is trained on the labelled rows among ``docs``."""
+    small_batches(spark)
     return toxicity.drop_toxic(docs, toxicity_model(spark, sf_dir, docs))
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked fingerprints stays."""
+    small_batches(spark)
     return simhash.keep_one(docs, shingle=3, distance=2)
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Contaminated documents go; the others stay as they are."""
+    small_batches(spark)
     return decontaminate.drop_contaminated(docs, read_table(spark, sf_dir, "benchmark", ["item_id", "text"]))
 
 
@@ -38,6 +42,7 @@ def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document."""
+    small_batches(spark)
     carry = [c for c in docs.columns if c in ("doc_id", "lang", "source")]
     return bpe.encode_documents(docs, vocabulary(), ("n_tokens", "ids", "decoded_sha256"), carry=carry)
 
