@@ -41,8 +41,8 @@ from clicklens.llm.words import NOT_BLANK, word_blocks
 
 #: average bytes between cuts; bytes of a task's cache
 CHUNK = 1 << 10
-CACHE_BYTES = 16 << 20
-PIECES = 350_000
+CACHE_BYTES = 4 << 20
+PIECES = 300_000
 RUN = 400
 
 OUTPUTS = {"n_tokens": ("long", pa.int64()), "ids": ("array<int>", pa.list_(pa.int32())), "decoded": ("string", pa.string()),
