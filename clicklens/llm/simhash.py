@@ -171,21 +171,22 @@ def link_edges(prints: DataFrame, distance: int = 2, bucket: int = 16) -> DataFr
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 2, id_col: str = "doc_id", text: str = "text",
                     bucket: int = 16) -> DataFrame:
-    """(id, text_hash, fp, component_id) for every row: the smallest id reachable through linked fingerprints."""
+    """(id, text_hash, fp, component_id, root) for every row: ``component_id`` is the smallest id reachable through
+    linked fingerprints (not a name of the group: it may be null, or stand in several), ``root`` the group's smallest fingerprint."""
     rows = cut(fingerprints(docs, shingle, id_col, text))
     firsts = cut(rows.groupBy("fp").agg(F.min("id").alias("least")))
     roots = components(link_edges(firsts.select("fp"), distance, bucket))
     grouped = firsts.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = cut(grouped.join(least, "root").select("fp", "component_id"))
-    return rows.join(classes, "fp").select("id", "text_hash", "fp", "component_id")
+    classes = cut(grouped.join(least, "root").select("fp", "component_id", "root"))
+    return rows.join(classes, "fp").select("id", "text_hash", "fp", "component_id", "root")
 
 
 def keep_one(docs: DataFrame, shingle: int = 3, distance: int = 2, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """One document of each group: the one with the smallest id (of equal ids the smallest text hash; equal rows are one)."""
+    """One document of each group: the one with the smallest id, null last (of equal ids the smallest text hash; equal rows are one)."""
     found = near_duplicates(docs, shingle, distance, id_col, text)
-    first = found.groupBy("component_id").agg(F.min(F.struct("id", "text_hash")).alias("k"))
     # where all ids are null, min() of the struct still names one text
+    first = found.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_hash")).alias("k"))
     keep = first.select(F.col("k.id").alias("_id"), F.col("k.text_hash").alias("_text_hash"))
     own = [F.col(f"`{c}`") for c in docs.columns]
     marked = docs.select(*own, F.xxhash64(F.col(f"`{text}`")).alias("_h"))
