@@ -56,7 +56,7 @@ KINDS = (
 BASE = ("email", "ip", "card", "phone")
 THRESHOLD = 0.5
 NEAR = 40
-SPAN = "array<struct<start:int,end:int,rank:int,kind:string,value:string,score:double>>"
+SPAN = "array<struct<start:int,rank:int,end:int,kind:string,value:string,score:double>>"
 _GROUP = 256
 
 
@@ -127,8 +127,9 @@ def _kind_spans(text: Column, rank: int, kind: Kind) -> Column:
             near = F.lower(F.concat_ws(" ", F.substr(before, F.greatest(F.lit(1), F.length(before) - NEAR + 1)),
                                        F.substring(F.get(gaps, i + 1), 1, NEAR)))
             score = F.lit(kind.base) + F.when(near.rlike(rf"\b(?:{kind.context})"), 0.2).otherwise(0.0)
-            return F.struct((end - F.length(value)).cast("int").alias("start"), end.cast("int").alias("end"),
-                            F.lit(rank).alias("rank"), F.lit(kind.name).alias("kind"), value.alias("value"), score.alias("score"))
+            # array_sort compares the fields in this order
+            return F.struct((end - F.length(value)).cast("int").alias("start"), F.lit(rank).alias("rank"),
+                            end.cast("int").alias("end"), F.lit(kind.name).alias("kind"), value.alias("value"), score.alias("score"))
         return F.filter(F.transform(matches, span), lambda s: _confirmed(kind.name, s["value"]) & (s["score"] >= THRESHOLD))
 
     placed = let(F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0)), lambda m: F.when(
@@ -137,7 +138,7 @@ def _kind_spans(text: Column, rank: int, kind: Kind) -> Column:
 
 
 def find_pii(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with ``pii``: its spans (start, end, rank of the kind, kind, value, score) by start, then kind."""
+    """``docs`` with ``pii``: its spans (start, rank of the kind, end, kind, value, score) by start, then kind."""
     keep = [F.col(f"`{c}`") for c in docs.columns if c != "pii"]
     t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     found = F.concat(*[_kind_spans(t, rank, kind) for rank, kind in enumerate(KINDS)])
