@@ -1,8 +1,9 @@
-"""Session helpers: lineage is cut with ``DataFrame.checkpoint()`` in the folder that the cluster shares; Arrow batches stay small."""
+"""Session and sample helpers: lineage is cut with ``DataFrame.checkpoint()`` in the folder that the cluster shares; Arrow batches stay small."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from clicklens.session import shared_dir
 
@@ -21,3 +22,11 @@ def small_batches(spark: SparkSession, rows: int = 1_000) -> None:
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(key, "10000")) > rows:
         spark.conf.set(key, str(rows))
+
+
+def chosen(digest: Column, most: int, total: int) -> Column:
+    """Is a row in a sample of about ``most`` of ``total`` rows? ``digest`` is its 64-bit hash, compared whole, so
+    that the share is exact however many rows there are."""
+    if most >= total:
+        return F.lit(True)
+    return digest < F.lit((most << 64) // total - (1 << 63))

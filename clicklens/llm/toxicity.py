@@ -10,8 +10,10 @@ hashes. A classifier keeps those that are clearly more frequent among its positi
 unlabelled texts (z of ``z_least``), ``max_features`` at most.
 
 Training uses a bounded sample, chosen by hash: ``max_positive`` confirmed and ``max_unlabelled`` unlabelled
-texts (about; stated parameters), split into ``bags``; each bag trains one classifier in one task. What the
-driver collects and broadcasts is the weights: ``bags * max_features`` at most. Scoring reads every text whole.
+texts (about; stated parameters), split into bags by the text's hash: one bag for each full 500 labelled
+positives, at least one and at most ``bags``. Each bag trains one classifier in one task. What the driver
+collects and broadcasts is the weights: ``bags * max_features`` at most. Scoring reads every text whole.
+A sample that lacks a class which the tables hold is an error (``ValueError``), not a model.
 
 Defined cases: a null or empty text has no feature and gets the classifiers' bias; labels of unknown ids and
 null labels are ignored; an id that is repeated in labels counts as toxic if any of its rows is; without a
@@ -29,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clicklens.llm.lineage import chosen
 from clicklens.llm.words import ALNUM, Words, word_blocks, word_hashes
 
 HEADS = (4, 5, 6)
@@ -150,11 +153,11 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: Column, id_col: str = "d
         return Weights(np.empty(0, dtype=np.uint64), np.empty(0), -60.0)
     prior = min(0.9, max(1e-3, n_pos / n_all))
     pool = docs.select(F.col(f"`{id_col}`").alias(id_col), F.col(f"`{text}`").alias("_t")).where(train_rows)
-    part = lambda share: F.pmod(F.xxhash64(F.lit("sample"), F.col(id_col)), F.lit(1_000_000)) < int(1e6 * min(1.0, share))
+    digest = F.xxhash64(F.lit("sample"), F.col(id_col))
     # about max_positive ids at most: small enough to look up where the texts lie
-    chosen = F.broadcast(marked.where("_y = 1").where(part(max_positive / n_pos)).select(id_col))
-    positives = pool.join(chosen, id_col).select("_t", F.lit(True).alias("_p"))
-    unlabelled = pool.where(part(max_unlabelled / max(1, docs.count()))).select("_t", F.lit(False).alias("_p"))
+    ids = F.broadcast(marked.where("_y = 1").where(chosen(digest, max_positive, n_pos)).select(id_col))
+    positives = pool.join(ids, id_col).select("_t", F.lit(True).alias("_p"))
+    unlabelled = pool.where(chosen(digest, max_unlabelled, docs.count())).select("_t", F.lit(False).alias("_p"))
     # small samples stay in one bag: at least 500 positives a bag
     used = max(1, min(bags, n_pos // 500))
     sample = (positives.unionByName(unlabelled)
@@ -167,14 +170,21 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: Column, id_col: str = "d
         table = table.select(["_t", "_p"]).combine_chunks().take(pa.array(order))
         texts = table.column("_t").combine_chunks()
         positive = np.array(table.column("_p").to_pylist(), dtype=bool)
-        if not positive.any():
-            return pa.table({"h": pa.array([], pa.int64()), "w": pa.array([], pa.float64()), "bias": pa.array([], pa.float64())})
-        h, w, bias = _train(texts, positive, prior, max_features, z_least)
+        h, w, bias = np.empty(0, dtype=np.uint64), np.empty(0), np.nan
+        if positive.any():
+            h, w, bias = _train(texts, positive, prior, max_features, z_least)
+        # the last row has the bias and the number of unlabelled texts
         return pa.table({"h": pa.array(np.append(h.view(np.int64), 0)), "w": pa.array(np.append(w, 0.0)),
-                         "bias": pa.array(np.append(np.full(len(h), np.nan), bias))})
+                         "bias": pa.array(np.append(np.full(len(h), np.nan), bias)),
+                         "unlabelled": pa.array(np.append(np.full(len(h), -1), (~positive).sum()))})
 
-    rows = sample.groupBy("_bag").applyInArrow(train, "h long, w double, bias double").collect()
+    found = sample.groupBy("_bag").applyInArrow(train, "h long, w double, bias double, unlabelled long").collect()
+    rows = [r for r in found if r.unlabelled < 0 or r.bias == r.bias]
     biases = [r.bias for r in rows if r.bias == r.bias]
+    if not sum(r.unlabelled for r in found if r.unlabelled >= 0) and not pool.isEmpty():
+        raise ValueError("the sample has no unlabelled text: max_unlabelled is too small for the table")
+    if not biases and not pool.join(marked.where("_y = 1").select(id_col), id_col, "left_semi").isEmpty():
+        raise ValueError("the sample has no confirmed example, though the table has: max_positive is too small")
     sums: dict[int, float] = {}
     for r in sorted((r for r in rows if r.bias != r.bias), key=lambda r: (r.h, r.w)):
         sums[r.h] = sums.get(r.h, 0.0) + r.w / max(1, len(biases))

@@ -1,0 +1,29 @@
+"""Samples keep their share at any number of rows, and an empty one is an error."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from clicklens.llm import toxicity
+from clicklens.llm.lineage import chosen
+
+
+def test_shares_below_a_millionth(spark):
+    # 64-bit values spread evenly stand for the hashes
+    n = 100_000
+    rows = spark.range(n).select((F.lit(-(1 << 63)) + F.col("id") * F.lit((1 << 32) // n)).alias("h"))
+    # of 2 ** 32 / n evenly spaced values in the lowest 2 ** -32 of the hashes, half pass a share of 2 ** -33
+    assert abs(rows.where(chosen(F.col("h"), 1, 1 << 33)).count() - n // 2) <= 2
+    every = spark.range(n).select(F.xxhash64("id").alias("h"))
+    assert every.where(chosen(F.col("h"), 20_000, 20_000)).count() == n
+    assert abs(every.where(chosen(F.col("h"), 1, 4)).count() - n // 4) < 1000
+
+
+def test_a_sample_without_a_class_is_an_error(spark):
+    docs = spark.createDataFrame([(i, f"w{i} v{i % 3}") for i in range(50)], "doc_id long, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 5 == 0).cast("int").alias("toxic"))
+    with pytest.raises(ValueError, match="unlabelled"):
+        toxicity.fit(docs, labels, F.lit(True), max_unlabelled=0)
+    with pytest.raises(ValueError, match="confirmed"):
+        toxicity.fit(docs, labels, F.lit(True), max_positive=0)
+    # labels of unknown ids are ignored as before
+    assert toxicity.fit(docs, labels.select((F.col("doc_id") + 1000).alias("doc_id"), "toxic"), F.lit(True)).bias == -60.0
