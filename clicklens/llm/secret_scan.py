@@ -1,7 +1,9 @@
 """Secret scans: a random forest removes false positives among proposed secrets.
 
-Built-in functions and Spark ML only. Every run of 16 or more characters of ``[A-Za-z0-9+/=_-]`` with a digit is
-proposed. Features of a proposal: its length, character transitions (changes between lower case, upper case,
+Built-in functions and Spark ML only. A run is characters of ``[A-Za-z0-9+/_-]`` with up to two ``=`` of padding
+behind it, so that in ``NAME=value`` the value is a run of its own and the name its context. Proposed is every run
+of 16 or more characters with a digit, and every other run, of whatever length, right behind an assignment sign or
+a secret-like name: there the forest judges. Features of a proposal: its length, character transitions (changes between lower case, upper case,
 digits and signs), shares of digits, hexadecimal and upper-case characters, distinct characters, how much of
 it words of a dictionary cover, its path (depth, test or example folders) and the words beside it (an
 assignment sign, quotes, secret-like names, the hash of the word before).
@@ -10,25 +12,32 @@ The forest is trained from labelled findings (``id``, ``start``, ``label`` 1 sec
 ``max_train`` of them, chosen by hash; they are sorted into one partition so that training repeats exactly.
 Proposals are few and short; they are checkpointed once and read by training and scoring.
 
-Defined cases: null and empty texts have no proposals; a null path has depth 0; labels that name no proposal
-are ignored; repeated rows give repeated findings; when the labelled findings lack one of the classes nothing
+Defined cases: null and empty texts have no proposals; a null path has depth 0; given labels that name no proposal
+are counted in a warning (``unmet``), and an error if none does; repeated rows give repeated findings; when the labelled findings lack one of the classes nothing
 is removed (score 1); an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clicklens.llm.lineage import cut
+from clicklens.llm.lineage import chosen, cut
 from clicklens.llm.pii import luhn, match_ends
 
-RUN = r"A-Za-z0-9+/=_\-"
-PROPOSAL = rf"(?<![{RUN}])(?=[{RUN}]{{16}})(?=[A-Za-z+/=_\-]*+[0-9])[{RUN}]++"
 SECRET_NAMES = "key|token|secret|passw|pwd|auth|credential|bearer|signature"
+RUN = r"A-Za-z0-9+/_\-"
+# 16 or more with a digit; or behind "=", ":", "=>" (and a quote), or behind a name with a few signs, as in "Bearer x", "--password x"
+LONG = rf"(?=[{RUN}=]{{16}})(?=[A-Za-z+/_\-]*+[0-9])"
+BESIDE = rf"(?<=[=:]>?[\x20\t]{{0,4}}[\"'`]?)|(?<=(?i:{SECRET_NAMES})[A-Za-z0-9_]{{0,12}}[\"'`]?[\x20\t]{{1,4}}[\"'`]?)"
+PROPOSAL = rf"(?<![{RUN}])(?:{LONG}|{BESIDE})[{RUN}]++(?:={{1,2}}+(?![{RUN}=\"'`]))?"
+ASSIGNED = r"[=:]>?\s*[\"'`]?$"
+LONG_VALUE = r"^(?=.{16})[^0-9]*[0-9]"
 # Words that names and placeholders are made of (a stated default; pass another list as ``dictionary``).
 DICTIONARY = ("account", "admin", "api", "auth", "bucket", "class", "client", "cluster", "config", "data", "default", "demo",
               "dev", "dummy", "example", "file", "function", "group", "host", "id", "image", "index", "item", "key", "local",
@@ -40,16 +49,21 @@ FEATURES = ("length", "transitions", "digits", "hex", "upper", "distinct_chars",
 
 
 def proposals(docs: DataFrame, id_col: str = "doc_id", text: str = "text", path: str = "source") -> DataFrame:
-    """(id, path, start, end, value, before, after): every proposed secret with 40 characters around it."""
+    """(id, path, start, end, value, before, after): every proposed secret with the 40 characters before it,
+    other proposals included, and up to 40 after it."""
     t = F.col(f"`{text}`")
     df = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{path}`").cast("string").alias("path"), t.alias("t"),
                      F.regexp_extract_all(t, F.lit(PROPOSAL), F.lit(0)).alias("m")).where("size(m) > 0")
     df = df.select("id", "path", "m", F.split("t", PROPOSAL, -1).alias("g"))
     df = df.select("id", "path", "m", "g", match_ends(F.col("g"), F.col("m")).alias("e"))
-    gap = lambda i: F.get("g", i)
+    last = lambda x: F.substr(x, F.greatest(F.lit(1), F.length(x) - 39))
+    # a stretch and its match: two characters at least, but for the first
+    df = df.withColumn("p", F.zip_with(F.slice("g", 1, F.size("m")), "m", lambda g, v: last(F.concat(last(g), v))))
+    before = lambda i: last(F.concat(F.array_join(F.slice("p", F.greatest(F.lit(1), i - 20), F.least(i, F.lit(21))), ""),
+                                     last(F.get("g", i))))
     found = F.transform("m", lambda v, i: F.struct(
         (F.get("e", i) - F.length(v)).cast("int").alias("start"), F.get("e", i).cast("int").alias("end"), v.alias("value"),
-        F.substr(gap(i), F.greatest(F.lit(1), F.length(gap(i)) - 39)).alias("before"), F.substring(gap(i + 1), 1, 40).alias("after")))
+        before(i).alias("before"), F.substring(F.get("g", i + 1), 1, 40).alias("after")))
     return df.select("id", "path", F.inline(found))
 
 
@@ -68,7 +82,7 @@ def features(found: DataFrame, dictionary=DICTIONARY) -> DataFrame:
         "upper": share("[^A-Z]+"), "distinct_chars": F.size(F.array_distinct(F.split(v, ""))) / size,
         "dictionary": 1 - F.length(F.regexp_replace(F.lower(v), words, "")) / size,
         "path_depth": F.size(F.filter(F.split(p, "/"), lambda x: x != "")), "path_test": p.rlike("test|example|sample|mock|doc"),
-        "assigned": before.rlike(r"[=:]\s*[\"']?$"), "quoted": before.rlike("[\"']$") & F.col("after").rlike("^[\"']"),
+        "assigned": before.rlike(ASSIGNED), "quoted": before.rlike("[\"']$") & F.col("after").rlike("^[\"']"),
         "named": F.lower(before).rlike(rf"(?:{SECRET_NAMES})[^\n]{{0,20}}$"),
         "word_before": F.pmod(F.xxhash64(F.lower(F.regexp_extract(before, r"([A-Za-z]+)[^A-Za-z]*$", 1))), F.lit(32))}
     return found.select(*found.columns, *[made[n].cast("double").alias(n) for n in FEATURES])
@@ -77,13 +91,25 @@ def features(found: DataFrame, dictionary=DICTIONARY) -> DataFrame:
 def label_by_use(found: DataFrame) -> DataFrame:
     """Labelled findings for tables without reviewed ones: (id, start, label).
 
-    A quoted value assigned to a secret-like name is labelled 1; a value of digits alone that passes the Luhn
-    check, or that nothing is assigned to, 0. Others have no label.
+    A quoted value assigned to a secret-like name is labelled 1. Labelled 0 are, where no secret-like name stands
+    beside: digits alone that pass the Luhn check, values that nothing is assigned to, and values that are short or
+    without a digit; and beside a name, a plain word of prose without an assignment. Others, such as unquoted values
+    assigned to secret-like names, have no label.
     """
-    lit = F.lower("before").rlike(rf"(?:{SECRET_NAMES})\w*\s*[=:]\s*[\"']$")
-    free = ~F.col("before").rlike(r"[=:]\s*[\"']?$")
-    number = F.col("value").rlike("^[0-9]+$") & luhn(F.regexp_replace("value", "[^0-9]", ""))
-    return found.select("id", "start", F.when(lit, 1).when(number | free, 0).alias("label")).where("label is not null")
+    before, v = F.lower("before"), F.col("value")
+    lit = before.rlike(rf"(?:{SECRET_NAMES})\w*\s*[=:]\s*[\"']$")
+    beside = before.rlike(rf"(?:{SECRET_NAMES})[\w\-]*[\"'`]?\s*(?:[=:]>?)?\s*[\"'`]?$")
+    free = ~before.rlike(ASSIGNED)
+    number = v.rlike("^[0-9]+$") & luhn(F.regexp_replace("value", "[^0-9]", ""))
+    no = (~beside & (number | free | ~v.rlike(LONG_VALUE))) | (beside & free & v.rlike("^[A-Z]?[a-z]+$"))
+    return found.select("id", "start", F.when(lit, 1).when(no, 0).alias("label")).where("label is not null")
+
+
+def unmet(found: DataFrame, labels: DataFrame) -> int:
+    """How many distinct labelled findings (id, start) name no proposal."""
+    named = found.select(F.col("id").alias("_id"), F.col("start").alias("_start"))
+    left = labels.select("id", "start").distinct()
+    return left.join(named, F.col("id").eqNullSafe(F.col("_id")) & (F.col("start") == F.col("_start")), "left_anti").count()
 
 
 def scan(docs: DataFrame, labelled=None, id_col: str = "doc_id", text: str = "text", path: str = "source",
@@ -98,10 +124,16 @@ def scan(docs: DataFrame, labelled=None, id_col: str = "doc_id", text: str = "te
     known = found.join(labels.select(F.col("id").alias("_id"), F.col("start").alias("_start"), F.col("label").cast("double").alias("label"))
                        .distinct(), F.col("id").eqNullSafe(F.col("_id")) & (F.col("start") == F.col("_start")))
     known = known.select("id", "start", "value", "label", *FEATURES)
-    total = known.count()
-    part = F.pmod(F.xxhash64("id", "start", "value"), F.lit(1_000_000)) < int(1e6 * min(1.0, max_train / max(1, total)))
+    sizes = {r[0]: r[1] for r in known.groupBy("label").count().collect()}
+    if isinstance(labelled, DataFrame) and (lost := unmet(found, labels)):
+        if not sizes and not found.isEmpty():
+            raise ValueError(f"none of the {lost} labelled findings names a proposal")
+        warnings.warn(f"{lost} labelled findings name no proposal", stacklevel=2)
+    part = chosen(F.xxhash64("id", "start", "value"), max_train, sum(sizes.values()))
     train = known.where(part).repartition(1).sortWithinPartitions("id", "start", "value", "label")
     classes = {r[0] for r in train.select("label").distinct().collect()}
+    if classes != set(sizes):
+        raise ValueError(f"the sample of about {max_train} of the labelled findings lacks a class: {sizes}")
     keep = ["id", "path", "start", "end", "value"]
     if classes != {0.0, 1.0}:
         return found.select(*keep, F.lit(1.0).alias("score"), F.lit(True).alias("secret"))
@@ -114,9 +146,11 @@ def scan(docs: DataFrame, labelled=None, id_col: str = "doc_id", text: str = "te
 
 
 def mask(docs: DataFrame, findings: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with the values found to be secrets replaced by ``[SECRET]`` wherever they stand in that document."""
+    """``docs`` with the values found to be secrets replaced by ``[SECRET]`` wherever they stand in that document;
+    those of under 16 characters where they stand as whole runs."""
     values = (findings.where("secret").groupBy(F.col("id").alias("_id")).agg(F.array_sort(F.collect_set("value")).alias("_values")))
     joined = docs.join(values, docs[id_col].eqNullSafe(F.col("_id")), "left")
-    new: Column = F.aggregate(F.coalesce("_values", F.array().cast("array<string>")), F.col(text),
-                              lambda acc, v: F.replace(acc, v, F.lit("[SECRET]")))
+    whole = lambda v: F.concat(F.lit(rf"(?<![{RUN}])\Q"), v, F.lit(rf"\E(?![{RUN}])"))
+    new: Column = F.aggregate(F.coalesce("_values", F.array().cast("array<string>")), F.col(text), lambda acc, v: F.when(
+        F.length(v) < 16, F.regexp_replace(acc, whole(v), F.lit("[SECRET]"))).otherwise(F.replace(acc, v, F.lit("[SECRET]"))))
     return joined.select(*[(new.alias(c) if c == text else F.col(f"`{c}`")) for c in docs.columns])
