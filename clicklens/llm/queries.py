@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clicklens.llm import bpe, decontaminate, pii, quality, secret_scan, shards, simhash, substrings, toxicity, urls
-from clicklens.llm.lineage import small_batches
+from clicklens.llm import (bpe, centroids, decontaminate, divergence, pii, quality, quality_classifier, secret_scan, shards, simhash,
+                           substrings, toxicity, urls)
+from clicklens.llm.lineage import cut, small_batches
 from clicklens.sources.tables import read_table
 
 DOC = ("doc_id", "text")
@@ -104,9 +105,32 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (~failed & F.col("good")).alias("kept"))
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = centroids.cluster(read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding"]))
+    return found.select(F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia",
+                        F.sha2(F.array_join("centroid", ","), 256).alias("centroid_sha256"))
+
+
+def quality_held_out(id_col: str = "doc_id") -> F.Column:
+    return F.crc32(F.col(id_col).cast("string")) % 4 == 2
+
+
+def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores by a model that never reads the labels of held-out rows. The statistics are read by training and scoring."""
+    stats = cut(quality_classifier.statistics(_docs(spark, sf_dir)))
+    model = quality_classifier.fit(stats, read_table(spark, sf_dir, "labels", ["doc_id", "quality"]), ~quality_held_out())
+    return quality_classifier.score(stats, model, threshold=0.7).select(
+        F.col("id").alias("doc_id"), F.coalesce(quality_held_out("id"), F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_docs(spark, sf_dir, "text", "lang", "source"))
+
+
 def queries() -> dict:
     return {f.__name__: f for f in (op1_secret_scan, op2_url_filter, op3_substring_dedup, op4_bpe, op5_toxicity, op6_pii,
-                                    op7_sharding, op8_decontaminate, op9_simhash, op10_quality)}
+                                    op7_sharding, op8_decontaminate, op9_simhash, op10_quality, op11_centroids,
+                                    op12_quality_classifier, op13_source_divergence)}
 
 
 _WINDOWS_13 = """
@@ -119,6 +143,47 @@ flat AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS pos F
 kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY pos) AS t FROM flat ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id)"""
 
 
+def _centroids_sql(k: int = 16, rounds: int = 3) -> str:
+    """Plain squared distances between every vector and every centroid, round after round."""
+    parts = [f"""kept AS (SELECT row_number() OVER () AS r, vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS v
+  FROM embeddings WHERE len(embedding) = 64 AND len([x for x in embedding if x IS NOT NULL AND isfinite(x)]) = 64),
+e AS (SELECT r, unnest(v) AS x, unnest(range(64)) AS i FROM kept),
+first AS (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id), v) - 1 AS k, v FROM kept QUALIFY k < {k}),
+c0 AS (SELECT k, unnest(v) AS x, unnest(range(64)) AS i FROM first)"""]
+    for n in range(rounds + 1):
+        parts.append(f"d{n} AS (SELECT r, k, CAST(sum((e.x - c.x) * (e.x - c.x)) AS BIGINT) AS d FROM e JOIN c{n} c USING (i) GROUP BY r, k)")
+        parts.append(f"a{n} AS (SELECT r, arg_min(k, d * {k} + k) AS k, min(d) AS d FROM d{n} GROUP BY r)")
+        if n < rounds:
+            parts.append(f"""s{n} AS (SELECT k, i, CAST(sum(x) AS BIGINT) AS s, count(*) AS n FROM e JOIN a{n} USING (r) GROUP BY k, i),
+c{n + 1} AS (SELECT k, i, CASE WHEN n IS NULL THEN x ELSE (s - ((s % n) + n) % n) // n END AS x FROM c{n} LEFT JOIN s{n} USING (k, i))""")
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT vec_id, CAST(a.k AS INTEGER) AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY a.k) AS BIGINT) AS cluster_inertia,
+  CAST(sum(d) OVER () AS BIGINT) AS inertia, h AS centroid_sha256
+FROM a{rounds} a JOIN kept USING (r) JOIN (SELECT k, sha256(string_agg(x, ',' ORDER BY i)) AS h FROM c{rounds} GROUP BY k) hashed ON hashed.k = a.k"""
+
+
+_DIVERGENCE = """
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w
+  FROM documents),
+t AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS n FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= 30),
+vs AS (SELECT lang, count(*) AS v, CAST(sum(n) AS BIGINT) AS total FROM kept GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT g.lang, g.source, k.term, k.n AS all_n, coalesce(x.n, 0) AS n FROM g JOIN kept k USING (lang)
+  LEFT JOIN (SELECT lang, source, term, count(*) AS n FROM t GROUP BY ALL) x ON x.lang = g.lang AND x.source = g.source AND x.term = k.term),
+sums AS (SELECT lang, source, CAST(sum(n) AS BIGINT) AS total FROM c GROUP BY lang, source),
+p AS (SELECT c.lang, c.source, term, c.n, 1 + CAST(1000000000 AS HUGEINT) * (c.n + 5) // (s.total + 5 * v) AS p,
+  1 + CAST(1000000000 AS HUGEINT) * (all_n + 5) // (vs.total + 5 * v) AS q FROM c JOIN sums s USING (lang, source) JOIN vs USING (lang)),
+pairs AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+  GROUP BY ALL),
+found AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, CAST(p - q AS BIGINT) FROM p WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM found QUALIFY part = 'pair' OR rank <= 50"""
+
+
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL of the queries that SQL can express; the others are tested against brute force."""
     rules = ", ".join(f"('{a}', '{h}', '{p}')" for a, h, p in URL_RULES)
@@ -153,4 +218,6 @@ listed AS (SELECT doc_id, count(DISTINCT item_id) AS n, string_agg(DISTINCT CAST
 SELECT words.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(listed.n, 0) AS n_items,
   sha256(coalesce(ids, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AND 20 * coalesce(hit.n, 0) >= len(w) AS contaminated
 FROM words LEFT JOIN hit USING (doc_id) LEFT JOIN listed USING (doc_id)""",
+        "op11_centroids": _centroids_sql(),
+        "op13_source_divergence": _DIVERGENCE,
     }

@@ -129,3 +129,19 @@ def quality(text):
 
 def crc(text):
     return zlib.crc32((text or "").encode())
+
+
+def centroids(vectors: dict, k: int = 16, rounds: int = 3) -> tuple[dict, list]:
+    """The same by plain comparison of every vector with every centroid: {id: (cluster, distance)}, centroids."""
+    names = sorted(vectors, key=lambda i: hashlib.sha256(f"1:{i}".encode()).hexdigest())[:k]
+    centers = [list(vectors[i]) for i in names]
+
+    def best(v):
+        return min((sum((a - b) ** 2 for a, b in zip(v, c)), n) for n, c in enumerate(centers))
+    for _ in range(rounds):
+        own: dict = {}
+        for v in vectors.values():
+            own.setdefault(best(v)[1], []).append(v)
+        for n, vs in own.items():
+            centers[n] = [sum(x) // len(vs) for x in zip(*vs)]
+    return {i: best(v)[::-1] for i, v in vectors.items()}, centers

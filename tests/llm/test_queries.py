@@ -25,7 +25,7 @@ def result(spark, name, key="doc_id"):
 @pytest.mark.parametrize("name", sorted(Q.oracle_sql()))
 def test_sql_twin(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark"):
+    for t in ("documents", "pages", "benchmark", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_MID}/{t}.parquet')")
     df = Q.queries()[name](spark, SF_MID)
     res = con.execute(Q.oracle_sql()[name])
