@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clicklens.defaults import BLACKLIST_THRESHOLD
+from clicklens.operators.common import top_n_per_group
 
 GROUP = ("dt", "adid", "userid")
 EVENT_ORDER = ("ts", "event_id")
@@ -32,9 +33,8 @@ EVENT_ORDER = ("ts", "event_id")
 
 def first_clicks(ads: DataFrame, threshold: int = BLACKLIST_THRESHOLD, order: Sequence[str] = EVENT_ORDER) -> DataFrame:
     """The first ``threshold`` clicks of every (dt, adid, userid), numbered ``rn`` in event order."""
-    w = Window.partitionBy(*GROUP).orderBy(*[F.col(c) for c in order])
     cols = list(dict.fromkeys([*GROUP, *order]))
-    return ads.select(*cols).withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= threshold)
+    return top_n_per_group(ads.select(*cols), GROUP, [F.col(c) for c in order], threshold, "rn")
 
 
 def _key(order: Sequence[str]):

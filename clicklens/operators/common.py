@@ -8,15 +8,25 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
+
+
 def top_n_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column], n: int,
                     rank_col: str | None = None) -> DataFrame:
     """Keep the first ``n`` rows of each group under ``order`` (add a unique tie-break to ``order``).
 
     ``row_number() <= n`` is planned as a *partial* WindowGroupLimit before the shuffle and a final
     one after it, so a group with millions of rows sends at most ``n`` rows per map task -- a hot
-    group never lands whole in one task.
+    group never lands whole in one task. The planner does so up to its own limit (1,000 rows unless the session says
+    otherwise). Beyond it there are two levels: groups are cut by the rows' hash into parts, each ranked by a task of
+    its own, and only a part's first ``n`` rows go on to the group's ranking, ``n`` times the parts at most.
     """
     rn = rank_col or "_rn"
+    if n > int(df.sparkSession.conf.get(GROUP_LIMIT, "1000")):
+        parts = max(2, min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2_000_000 // n))
+        salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(parts))
+        w = Window.partitionBy(*group, "_part").orderBy(*order)
+        df = df.withColumn("_part", salt).withColumn(rn, F.row_number().over(w)).filter(F.col(rn) <= n).drop("_part", rn)
     w = Window.partitionBy(*group).orderBy(*order)
     out = df.withColumn(rn, F.row_number().over(w)).filter(F.col(rn) <= n)
     return out.withColumn(rn, F.col(rn).cast("long")) if rank_col else out.drop(rn)
@@ -66,6 +76,42 @@ def hot_keys(df: DataFrame, key: str, fraction: float = 0.001, min_sampled: int
     return hot.select(key, F.filter("_q", lambda q, i: (i + 1) % step == 0).alias("_bounds"))
 
 
+def hot_slices(df: DataFrame, key: str, order: Sequence[str], fraction: float = 0.001, rows_per_slice: int = 1_000_000,
+               slices: int = 50_000, most_sampled: int = 5_000_000) -> DataFrame:
+    """Keys with more than a slice of rows, with the rows that begin their slices: (key, _bounds, _heads, _width).
+
+    A slice is ``rows_per_slice`` rows, or 1 / ``slices`` of all rows if that is more: so there are about twice
+    ``slices`` bounds over all keys at most, whatever the input, and the result may be broadcast. No key and no number
+    of slices of a key is left out. Bounds are rows (``order``, a unique order), not times: rows of one time are cut too.
+
+    They come from about ``fraction`` of the rows, ``most_sampled`` at most, chosen by their content, so that every
+    evaluation agrees. They only *route* work. ``_heads`` is every ``_width``-th bound: see ``slice_number``.
+    """
+    total = df.agg(F.greatest(F.count(F.lit(1)), F.lit(1)).cast("double").alias("n")).scalar()
+    share = F.least(F.lit(float(fraction)), F.lit(float(most_sampled)) / total)
+    per = F.greatest(F.lit(float(rows_per_slice)), total / F.lit(slices))
+    picked = F.pmod(F.xxhash64(key, *order), F.lit(1 << 30)) < share * F.lit(1 << 30)
+    rows = df.filter(picked).select(key, *order).distinct()
+    found = rows.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(*order))).alias("_s"))
+    k = F.ceil(F.size("_s") / share / per).alias("_k")
+    hot = found.select(key, "_s", k).filter(F.col("_k") > 1)
+    cuts = F.transform(F.sequence(F.lit(1).cast("long"), F.col("_k") - 1),
+                       lambda i: F.get("_s", F.floor(i * F.size("_s") / F.col("_k")).cast("int")))
+    width = F.ceil(F.sqrt(F.col("_k") - 1)).cast("int").alias("_width")
+    hot = hot.select(key, cuts.alias("_bounds"), width)
+    heads = F.transform(F.sequence(F.lit(0), F.size("_bounds") - 1, F.col("_width")), lambda i: F.get("_bounds", i))
+    return hot.select(key, "_bounds", heads.alias("_heads"), "_width")
+
+
+def slice_number(order: Sequence[str]) -> Column:
+    """The number of ``_bounds`` at or before a row: found among the ``_heads`` first, then between two of them, so
+    that a row is compared with about twice the root of the number of bounds."""
+    at = F.struct(*order)
+    blocks = F.size(F.filter("_heads", lambda b: b <= at))
+    inside = F.slice("_bounds", (blocks - 1) * F.col("_width") + 1, F.col("_width"))
+    return F.when(blocks == 0, F.lit(0)).otherwise((blocks - 1) * F.col("_width") + F.size(F.filter(inside, lambda b: b <= at)))
+
+
 def next_in_session(df: DataFrame, session: str, order: Sequence[str], carry: Sequence[str],
                     slice_col: Column | None = None, extra: Sequence[str] = (),
                     hot: DataFrame | None = None, keep_last: bool = False) -> DataFrame:
@@ -81,7 +127,7 @@ def next_in_session(df: DataFrame, session: str, order: Sequence[str], carry: Se
     and only the first and last row of every slice take part in a second window over the session (two
     rows per slice) that links the last row of one slice to the first row of the next.
 
-    With ``hot`` (``hot_keys`` with bounds) only those sessions are sliced; every other session is one
+    With ``hot`` (``hot_slices``) only those sessions are sliced; every other session is one
     slice and is finished by the first window. All rows take the same window, so a row can neither be
     lost nor doubled whatever ``hot`` holds.
     ``keep_last`` also returns each session's last row, with null ``next_<c>``: every input row once.
@@ -96,7 +142,7 @@ def next_in_session(df: DataFrame, session: str, order: Sequence[str], carry: Se
         return (out if keep_last else out.filter("_has_next")).select(*keep, *nxt)
 
     if hot is not None:
-        bounds = F.broadcast(hot.select(F.col(session).alias("_hot_key"), F.col("_bounds")))
+        bounds = F.broadcast(hot.withColumnRenamed(session, "_hot_key"))
         flagged = df.join(bounds, F.col(session).eqNullSafe(F.col("_hot_key")), "left")
         sliced = flagged.select(*keep, F.col("_bounds").isNotNull().alias("_cut"),
                                 F.coalesce(slice_col, F.lit(0)).cast("long").alias("_slice"))

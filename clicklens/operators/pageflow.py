@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from clicklens.functions.columns import epoch_micros_ntz, epoch_seconds_ntz
-from clicklens.operators.common import hot_keys, next_in_session
+from clicklens.functions.columns import epoch_seconds_ntz
+from clicklens.operators.common import hot_slices, next_in_session, slice_number
 
 SESSION_ORDER = ("action_time", "event_id")
 
@@ -42,21 +42,18 @@ def session_pairs(visits: DataFrame, carry: Sequence[str], extra: Sequence[str]
     """Each action with the next action of its session (see ``next_in_session``).
 
     ``slice_width_s=None``: one plain window over every session. ``hot_sample=None``: every session
-    is cut into fixed ``slice_width_s`` slices. Default: only the hot sessions found in a
-    ``hot_sample`` fraction of the rows (chosen by content) are cut, each into slices of about
-    ``rows_per_slice`` rows; the rest are one slice each.
+    is cut into fixed ``slice_width_s`` slices. Default: only sessions of more than ``rows_per_slice`` rows,
+    by a ``hot_sample`` fraction of the rows (chosen by content), are cut, each into slices of about
+    so many rows, also within one time; the rest are one slice each.
     """
     if not slice_width_s:
         return next_in_session(visits, "session_id", SESSION_ORDER, carry, None, extra, None, keep_last)
     if not hot_sample:
         return next_in_session(visits, "session_id", SESSION_ORDER, carry, session_slice(slice_width_s),
                                extra, None, keep_last)
-    t_us = epoch_micros_ntz("action_time")
-    hot = hot_keys(visits, "session_id", hot_sample, time_us=t_us, rows_per_slice=rows_per_slice,
-                   content=["session_id", *SESSION_ORDER])
-    slice_col = F.size(F.filter("_bounds", lambda b: b < t_us))
-    return next_in_session(visits, "session_id", SESSION_ORDER, carry, F.when(F.col("_bounds").isNotNull(), slice_col),
-                           extra, hot, keep_last)
+    hot = hot_slices(visits, "session_id", SESSION_ORDER, hot_sample, rows_per_slice)
+    number = F.when(F.col("_bounds").isNotNull(), slice_number(SESSION_ORDER))
+    return next_in_session(visits, "session_id", SESSION_ORDER, carry, number, extra, hot, keep_last)
 
 
 def page_visits(visits: DataFrame, pages: str | Sequence) -> DataFrame:

@@ -94,7 +94,7 @@ def _stream(spark: SparkSession, a: argparse.Namespace):
     # large keyed state belongs off the JVM heap; the provider is fixed when a checkpoint is created
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORES[a.state_store])
     trig = {"availableNow": True} if a.available_now else {"processingTime": f"{a.interval} seconds"}
-    c = adlines.parse_lines(_lines(spark, a))
+    c = jobs.clicks_from(spark, a.out)
     if a.job == "ads-blacklist":
         return jobs.blacklist_stream(c, a.out, a.checkpoint, a.threshold, a.mode, trig,
                                      retain_days=a.retain_days, echo=a.echo)
@@ -165,9 +165,10 @@ def main(argv: list[str] | None = None) -> None:
         _emit(BATCH[a.job](spark, a), a)
         return
     trig = {"availableNow": True} if a.available_now else {"processingTime": f"{a.interval} seconds"}
-    bad = jobs.keep_bad_lines(_lines(spark, a), a.out, a.checkpoint.rstrip("/") + "-bad", trig)
-    _stream(spark, a).awaitTermination()
+    # the source is read once: clicks and rejected lines are stored, and the job follows the stored clicks
+    split = jobs.split_lines_stream(_lines(spark, a), a.out, a.checkpoint.rstrip("/") + "-lines", trig)
     if a.available_now:
-        bad.awaitTermination()
-    else:
-        bad.stop()
+        split.awaitTermination()
+    _stream(spark, a).awaitTermination()
+    if not a.available_now:
+        split.stop()

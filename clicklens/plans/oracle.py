@@ -11,6 +11,10 @@ from __future__ import annotations
 FLOW = "1,2,3,4,5,6,7"
 THRESHOLD = 3
 RANGE = ("2024-01-08", "2024-01-21")
+# Replays: late clicks (every LATE_EACH-th, sent last), the declared arrival clock, and broken lines beside the clicks.
+LATE_BATCHES, LATE_EACH = 5, 7
+ARRIVAL_BATCHES, ARRIVAL_START, ARRIVAL_STEP_S = 5, "2030-01-01 00:00:00", 20
+BROKEN = (97, 101)
 
 VISIT_LOG = """
 SELECT event_id,
@@ -224,6 +228,32 @@ def oracle_sql() -> dict[str, str]:
     q["stream_blacklist_micro_batch"] = q["blacklist_users_by_batch"]
     q["stream_blacklist_micro_batch_counts"] = q["blacklist_filtered_counts_by_batch"]
     q["stream_ads_trend_watermark"] = q["ads_trend_10s"]
+    q["page_dwell_text"] = q["page_dwell"].replace("ORDER BY action_time, event_id", "ORDER BY date_trunc('second', action_time), event_id")
+    q["stream_counter_state"] = q["ads_click_daily"]
+    # a batch's late clicks are judged by the clicks that came two batches before it and earlier
+    days = "date_diff('day', (SELECT MIN(CAST(ts AS DATE)) FROM a), CAST(ts AS DATE))"
+    span = "date_diff('day', (SELECT MIN(CAST(ts AS DATE)) FROM a), (SELECT MAX(CAST(ts AS DATE)) FROM a)) + 1"
+    q["stream_ads_late"] = _with(
+        a, ("ar", f"SELECT date_trunc('millisecond', ts) AS ts, CASE WHEN event_id % {LATE_EACH} = 0 THEN {LATE_BATCHES - 1} "
+                  f"ELSE {days} * {LATE_BATCHES} // ({span}) END AS k FROM a"),
+        ("wm", "SELECT x.k, MAX(y.newest) - INTERVAL 1 MINUTE AS mark FROM (SELECT DISTINCT k FROM ar) x JOIN "
+               "(SELECT k, MAX(ts) AS newest FROM ar GROUP BY k) y ON y.k <= x.k - 2 GROUP BY x.k"),
+        ("bk", "SELECT time_bucket(INTERVAL 10 SECOND, ts) AS b, COUNT(*) AS clicks FROM ar LEFT JOIN wm USING (k) "
+               "WHERE mark IS NULL OR time_bucket(INTERVAL 10 SECOND, ts) + INTERVAL 10 SECOND > mark GROUP BY 1")) + trend
+    q["stream_ads_arrival_trend"] = _with(a) + (
+        f"SELECT strftime(ws, {TS_S}) AS win_start, strftime(ws + INTERVAL 60 SECOND, {TS_S}) AS win_end, "
+        f"strftime(time_bucket(INTERVAL 10 SECOND, ts), {TS_S}) AS bucket, COUNT(*) AS clicks FROM (SELECT ts, TIMESTAMP '{ARRIVAL_START}' + "
+        f"(event_id % {ARRIVAL_BATCHES}) * INTERVAL {ARRIVAL_STEP_S} SECOND - k * INTERVAL 10 SECOND AS ws "
+        "FROM a, (SELECT UNNEST(range(6)) AS k)) GROUP BY ALL")
+    no_click = ", ".join(f"CAST(NULL AS {t}) AS {c}" for c, t in (("event_id", "BIGINT"), ("ts", "VARCHAR"), ("dt", "VARCHAR"), ("area", "VARCHAR"),
+                                                                   ("city", "VARCHAR"), ("userid", "VARCHAR"), ("adid", "VARCHAR")))
+    q["stream_ads_log_split"] = _with(a, ("g", q["ads_log_parse"])) + (
+        "SELECT 'good' AS kind, g.*, CAST(NULL AS VARCHAR) AS value FROM g "
+        f"UNION ALL SELECT 'bad', {no_click}, 'broken ' || event_id FROM a WHERE event_id % {BROKEN[0]} = 0 "
+        f"UNION ALL SELECT 'bad', {no_click}, 'noon a c ' || userid || ' ' || adid || ' ' || event_id FROM a WHERE event_id % {BROKEN[1]} = 0")
+    scanned = "SELECT event_id, date, session_id, page_id FROM v "
+    q["catalog_scan_ranged"] = _with(v) + scanned + f"WHERE date >= '{lo}' AND date <= '{hi}'"
+    q["catalog_scan_days"] = _with(v) + scanned + "WHERE isodow(CAST(date AS DATE)) = 7"
     q["category_top10_stamped"] = _with(v, r) + f"SELECT 'run-1' AS task_id, * FROM ({TOP10})"
     q["sink_replace_table"] = q["hot_category_top10"]
     return q

@@ -32,6 +32,11 @@ def _visit_cols(df: DataFrame) -> DataFrame:
                      "click_category_id", "order_category_ids", "pay_category_ids")
 
 
+def _text_times(df: DataFrame) -> DataFrame:
+    """The log with its times as text, as the reference's log has them."""
+    return df.withColumn("action_time", F.date_format("action_time", "yyyy-MM-dd HH:mm:ss"))
+
+
 def _typed(df: DataFrame) -> DataFrame:
     """SRC2: the log bound by name to the reference's full 13-column schema (absent columns null)."""
     from clicklens.schemas import VISIT_LOG
@@ -86,6 +91,7 @@ def batch_queries() -> dict[str, Query]:
         "page_conversion_ranged": lambda s, d: op.page_conversion(tables.visit_log(s, d, lo, hi), FLOW),
         # Q8 (W2, X4, X6, A8)
         "page_dwell": lambda s, d: op.page_dwell(_visits(s, d)),
+        "page_dwell_text": lambda s, d: op.page_dwell(tables.visit_actions(_text_times(_visits(s, d)))),
         "page_avg_dwell": lambda s, d: op.page_avg_dwell(_visits(s, d)),
         "page_avg_dwell_ranged": lambda s, d: op.page_avg_dwell(tables.visit_log(s, d, lo, hi)),
         # ad log (SNK8, X2, X3, X10)

@@ -1,15 +1,14 @@
 from clicklens.sinks.writers import (
-    KeyedTable,
     as_jdbc_table,
     console,
     jdbc_append,
     latest_per_key,
     read_batch,
     read_batches,
+    replace_partitions,
     replace_table,
-    set_add,
     write_batch,
 )
 
-__all__ = ["KeyedTable", "as_jdbc_table", "console", "jdbc_append", "latest_per_key", "read_batch", "read_batches", "replace_table", "set_add",
+__all__ = ["as_jdbc_table", "console", "jdbc_append", "latest_per_key", "read_batch", "read_batches", "replace_partitions", "replace_table",
            "write_batch"]

@@ -1,17 +1,17 @@
 """Sinks (SNK1-SNK7) as plain DataFrame writers.
 
-Keyed stores of the reference (counter hashes, JSON documents, a user set) become Parquet deltas and
-snapshots under a shared folder (``KeyedTable``): every micro-batch commits what it changed, a batch replayed
-after a failure replaces exactly what it wrote before, and readers resolve the newest value per key.
+The reference's keyed stores (counter hashes, JSON documents, a user set) live in the state of streaming queries; what
+a batch changes is written as absolute values, one plain Parquet partition for each batch, which a replayed batch
+writes again. Readers take the newest batch's value of each key (SNK4, SNK6). Documents that replace others (SNK5)
+are partitions written over.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -57,22 +57,33 @@ def console(df: DataFrame, n: int = 20) -> None:
 def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: Sequence[str] = ()) -> None:
     """Write one micro-batch's rows as partition ``batch_id`` (replay overwrites only that partition).
 
-    ``partition_by`` adds columns below ``batch_id`` (e.g. the day) so readers can prune them.
+    ``partition_by`` adds columns above ``batch_id`` (e.g. the day), so that a reader lists and reads only the folders it needs.
     """
     # AQE rebalance: few files per partition value, and a hot value is still split across tasks
     out = df.withColumn(BATCH, F.lit(int(batch_id)).cast("long")).hint("rebalance", *partition_by)
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(BATCH, *partition_by).parquet(path))
+     .partitionBy(*partition_by, BATCH).parquet(path))
 
 
-def read_batches(spark: SparkSession, path: str, schema: T.StructType | str,
-                 upto: int | None = None) -> DataFrame:
-    """All batches written so far (``upto`` inclusive) with their ``batch_id``; empty if none yet."""
+def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+    """SNK5: replace the documents of the partitions that ``df`` holds (dynamic overwrite); others keep their files.
+
+    ``df`` must hold these partitions whole, so that writing it again changes nothing."""
+    (df.hint("rebalance", *partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partition_by).parquet(path))
+
+
+def read_batches(spark: SparkSession, path: str, schema: T.StructType | str, upto: int | None = None,
+                 parts: Sequence[str] | None = None) -> DataFrame:
+    """All batches written so far (``upto`` inclusive) with their ``batch_id``; empty if none yet.
+
+    ``parts``: only these folders below ``path`` (such as ``dt=2024-01-01``) are listed."""
     if isinstance(schema, str):
         schema = T.DataType.fromDDL(schema)
     full = T.StructType(list(schema.fields) + [T.StructField(BATCH, T.LongType())])
     try:
-        df = spark.read.schema(full).parquet(path)
+        paths = [path] if parts is None else [f"{path}/{p}" for p in parts]
+        df = spark.read.schema(full).option("basePath", path).parquet(*paths)
     except AnalysisException:
         return spark.createDataFrame([], full)
     return df if upto is None else df.filter(F.col(BATCH) <= upto)
@@ -87,150 +98,3 @@ def latest_per_key(log: DataFrame, keys: Sequence[str], values: Sequence[str]) -
     """SNK4/SNK5 read side: the newest value of every key across batches (``max_by`` on batch_id)."""
     newest = F.max_by(F.struct(*values), F.col(BATCH)).alias("_v")
     return log.groupBy(*keys).agg(newest).select(*keys, *[F.col(f"_v.{v}").alias(v) for v in values])
-
-
-class Commit(NamedTuple):
-    """One committed batch: where its rows lie, and where its snapshot lies (-1: it wrote none)."""
-    batch: int
-    slot: int
-    snapshot: int
-
-
-class KeyedTable:
-    """A keyed store kept as Parquet deltas with periodic snapshots (SNK4-SNK6 state).
-
-    ``write(df, k)`` stores the new value of every key ``df`` touches as batch ``k`` and commits it by a
-    one-row record written last: readers see a batch whole or not at all, and a replayed batch replaces
-    itself. Once ``compact_every`` batches have been committed since the newest snapshot, the next one is
-    written; readers take the newest committed snapshot and the later batches, whatever their ids.
-
-    Folders are reused: deltas, snapshots and commit records that two newer snapshots supersede are written
-    over, so the store holds two snapshots and about ``2 * compact_every`` deltas however long it runs, and
-    a read lists no more than that.
-
-    ``many=False``: one row per key, the newest wins (``max_by``). ``many=True``: a key owns a set of
-    rows, replaced as a whole by its newest version (used for the bounded blacklist state).
-
-    ``partition_by`` (key columns such as the day) are also stored as partitions, so a read for a batch's
-    touched keys reads only the partitions they lie in.
-    """
-
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType | str, keys: Sequence[str],
-                 many: bool = False, compact_every: int = 20, partition_by: Sequence[str] = ()):
-        self.spark = spark
-        self.path = path
-        self.schema = T.DataType.fromDDL(schema) if isinstance(schema, str) else schema
-        self.keys = list(keys)
-        self.values = [f.name for f in self.schema.fields if f.name not in self.keys]
-        self.many = many
-        self.every = max(1, int(compact_every))
-        self.parts = list(partition_by)
-
-    def _commits(self) -> list[Commit]:
-        """Committed batches in order: at most a few times ``compact_every`` records."""
-        try:
-            rows = self.spark.read.schema("batch long, slot long, snapshot long").parquet(f"{self.path}/commit/*").collect()
-        except AnalysisException:
-            return []
-        return sorted(Commit(*r) for r in rows)
-
-    @staticmethod
-    def _live(commits: Sequence[Commit], batch_id: int) -> list[Commit]:
-        """The commits before ``batch_id`` that the two newest snapshots among them do not supersede."""
-        before = [c for c in commits if c.batch < batch_id]
-        snaps = [c.batch for c in before if c.snapshot >= 0]
-        return [c for c in before if len(snaps) < 2 or c.batch >= snaps[-2]]
-
-    def _read(self, kind: str, slots: Sequence[int]) -> DataFrame:
-        """The rows of some deltas or snapshots, with their batch."""
-        full = T.StructType([*self.schema.fields, T.StructField(BATCH, T.LongType())])
-        if not slots:
-            return self.spark.createDataFrame([], full)
-        base = f"{self.path}/{kind}"
-        rows = self.spark.read.schema(full).option("basePath", base).parquet(*[f"{base}/slot={s}" for s in slots])
-        return rows.select(*full.fieldNames())
-
-    def _view(self, commits: Sequence[Commit], upto: int | None) -> DataFrame:
-        seen = [c for c in commits if upto is None or c.batch <= upto]
-        snap = max((c for c in seen if c.snapshot >= 0), default=None)
-        log = self._read("delta", [c.slot for c in seen if snap is None or c.batch > snap.batch])
-        return log if snap is None else log.unionByName(self._read("snapshot", [snap.snapshot]))
-
-    def _newest(self, log: DataFrame) -> DataFrame:
-        if not self.many:
-            return latest_per_key(log, self.keys, self.values)
-        newest = F.max(BATCH).over(Window.partitionBy(*self.keys))
-        return log.withColumn("_newest", newest).filter(F.col(BATCH) == F.col("_newest")).drop("_newest", BATCH)
-
-    def _prune(self, only: DataFrame, max_parts: int):
-        """A partition filter for the partition values present in ``only`` -- a short list of
-        values (the days a batch touched), or None when there are more than ``max_parts``, where the
-        semi join alone restricts the read (the plan differs, the result does not)."""
-        if len(self.parts) != 1:
-            return None
-        p = self.parts[0]
-        vals = [r[0] for r in only.select(p).distinct().limit(max_parts + 1).collect()]
-        if len(vals) > max_parts:
-            return None
-        return F.col(p).isin(vals)
-
-    def current(self, upto: int | None = None, only: DataFrame | None = None,
-                max_parts: int = 1000) -> DataFrame:
-        """The store as of batch ``upto`` (inclusive; ``None`` = everything committed).
-
-        ``only`` (a small frame of keys, e.g. what a batch touched) restricts the result to those keys
-        and, through the partition columns, the files read.
-        """
-        log = self._view(self._commits(), upto)
-        if only is not None:
-            prune = self._prune(only, max_parts)
-            if prune is not None:
-                log = log.filter(prune)
-        out = self._newest(log)
-        if only is not None:
-            out = out.join(only, [c for c in only.columns if c in self.keys], "left_semi")
-        return out
-
-    def compacts_at(self, batch_id: int) -> bool:
-        """Does batch ``batch_id`` write a snapshot: have ``compact_every`` batches gone since the newest one?"""
-        live = self._live(self._commits(), batch_id)
-        last = max((c.batch for c in live if c.snapshot >= 0), default=-1)
-        return sum(c.batch > last for c in live) + 1 >= self.every
-
-    def _put(self, df: DataFrame, path: str, parts: Sequence[str] = ()) -> None:
-        w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-        (w.partitionBy(*parts) if parts else w).parquet(path)
-
-    def write(self, df: DataFrame, batch_id: int, keep: Column | None = None) -> None:
-        """Commit batch ``batch_id``'s new values; when one is due also write the snapshot, keeping only
-        rows that satisfy ``keep`` when given (how retired keys leave the store)."""
-        commits = self._commits()
-        live, mine = self._live(commits, batch_id), next((c for c in commits if c.batch == batch_id), None)
-        slot = mine.slot if mine else _free(c.slot for c in live)
-        stamp = F.lit(int(batch_id)).cast("long").alias(BATCH)
-        names = self.schema.fieldNames()
-        self._put(df.select(*names, stamp).hint("rebalance", *self.parts), f"{self.path}/delta/slot={slot}", self.parts)
-        at = -1
-        if self.compacts_at(batch_id):
-            at = _free([c.snapshot for c in live if c.snapshot >= 0])
-            view = self._newest(self._view([*live, Commit(batch_id, slot, -1)], batch_id))
-            view = view if keep is None else view.filter(keep)
-            self._put(view.select(*names, stamp).hint("rebalance", *self.parts), f"{self.path}/snapshot/slot={at}", self.parts)
-        record = self.spark.createDataFrame([(int(batch_id), slot, at)], "batch long, slot long, snapshot long")
-        self._put(record.coalesce(1), f"{self.path}/commit/slot={slot}")
-
-    def delta(self, batch_id: int) -> DataFrame:
-        """Exactly what batch ``batch_id`` wrote."""
-        return self._read("delta", [c.slot for c in self._commits() if c.batch == batch_id]).drop(BATCH)
-
-
-def _free(taken) -> int:
-    """The smallest number from 0 that is not taken."""
-    taken = set(taken)
-    return next(i for i in range(len(taken) + 1) if i not in taken)
-
-
-def set_add(store: KeyedTable, new_members: DataFrame, batch_id: int) -> None:
-    """SNK6: add members to a set kept as a keyed store: only members that earlier batches did not add."""
-    current = store.current(int(batch_id) - 1).select(*store.keys)
-    store.write(new_members.join(current, store.keys, "left_anti").dropDuplicates(store.keys), batch_id)

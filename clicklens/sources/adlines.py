@@ -8,6 +8,8 @@ reference ignores (it reads fields 0-4 only) and which we use as a deterministic
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,9 +37,10 @@ def write_lines(ads: DataFrame, bootstrap_servers: str, topic: str, checkpoint:
     return writer.start() if lines.isStreaming else writer.save()
 
 
-def _parsed(lines: DataFrame) -> DataFrame:
+def _parsed(lines: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     parts = F.split(F.col("value"), LINE_SEPARATOR)
     return lines.select(
+        *carry,
         F.col("value"),
         F.size(parts).alias("_n"),
         F.get(parts, 0).try_cast("long").alias("_ms"),
@@ -58,12 +61,13 @@ def _is_good():
             & (F.col("userid") != "") & (F.col("adid") != ""))
 
 
-def parse_lines(lines: DataFrame) -> DataFrame:
-    """Good lines -> (event_id, ts, dt, area, city, userid, adid). Works on batch and streaming frames."""
-    p = _parsed(lines).filter(_is_good())
+def parse_lines(lines: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """Good lines -> (event_id, ts, dt, area, city, userid, adid) and the columns of ``carry``. Works on batch and
+    streaming frames."""
+    p = _parsed(lines, carry).filter(_is_good())
     ts = F.timestamp_millis("_ms")
     return p.select("event_id", ts.alias("ts"), F.date_format(ts, DAY_FORMAT).alias("dt"),
-                    "area", "city", "userid", "adid")
+                    "area", "city", "userid", "adid", *carry)
 
 
 def bad_lines(lines: DataFrame) -> DataFrame:
@@ -71,12 +75,27 @@ def bad_lines(lines: DataFrame) -> DataFrame:
     return _parsed(lines).filter(~F.coalesce(_is_good(), F.lit(False))).select("value")
 
 
+CLICK = "event_id long, ts timestamp, dt string, area string, city string, userid string, adid string"
+LINE_KINDS = ("good", "bad")
+
+
+def split_lines(lines: DataFrame) -> DataFrame:
+    """Every line once: ``kind`` good with the click's columns, or bad with the line itself (``value``)."""
+    p = _parsed(lines).withColumn("_good", F.coalesce(_is_good(), F.lit(False)))
+    ts = F.timestamp_millis("_ms")
+    fields = {"event_id": F.col("event_id"), "ts": ts, "dt": F.date_format(ts, DAY_FORMAT)}
+    fields |= {c: F.col(c) for c in ("area", "city", "userid", "adid")}
+    return p.select(F.when(~F.col("_good"), F.col("value")).alias("value"), *[F.when(F.col("_good"), c).alias(k) for k, c in fields.items()],
+                    F.when(F.col("_good"), "good").otherwise("bad").alias("kind"))
+
+
 def read_line_stream(spark: SparkSession, source: str = "kafka", **options) -> DataFrame:
     """SRC3: a streaming DataFrame with one string column ``value``.
 
     ``source="kafka"`` needs the Kafka connector on the class path and takes ``bootstrap_servers``
     and ``topic`` (offsets start at ``latest`` as in the reference); ``source="text"`` reads new
-    files of a folder (``path``) and is what the tests use.
+    files of a folder (``path``) and is what the tests use; ``partitions`` (column definitions) names columns that the
+    folder names below it carry, such as ``arrival timestamp``.
     """
     if source == "kafka":
         reader = (spark.readStream.format("kafka")
@@ -87,8 +106,8 @@ def read_line_stream(spark: SparkSession, source: str = "kafka", **options) -> D
             reader = reader.option(k, v)
         return reader.load().select(F.col("value").cast("string").alias("value"))
     if source == "text":
-        path = options.pop("path")
-        reader = spark.readStream
+        path, partitions = options.pop("path"), options.pop("partitions", None)
+        reader = spark.readStream.schema(", ".join(["value string", *([partitions] if partitions else [])]))
         for k, v in options.items():
             reader = reader.option(k, v)
         return reader.text(path)

@@ -122,6 +122,24 @@ def catalog_scan(spark: SparkSession, table: str, start_date: str | None = None,
     return date_range(df, start_date, end_date)
 
 
+def catalog_scan_days(spark: SparkSession, table: str, days: DataFrame, columns: Sequence[str] | None = None,
+                      day: str = "date") -> DataFrame:
+    """SRC1 over the days of a (small) frame ``days`` with a column ``day``: a semi join on the partition column.
+
+    The planner turns it into dynamic partition pruning: the days are evaluated first and only their folders are read.
+    ``columns`` must hold ``day``."""
+    df = spark.table(table)
+    if columns:
+        df = df.select(*columns)
+    return df.join(days.select(day).distinct(), day, "left_semi")
+
+
+def calendar(df: DataFrame, ts: str) -> DataFrame:
+    """(date, weekday: 0 is Monday) for every day on which ``df`` has rows."""
+    return (df.select(F.col(ts).cast("date").alias("d")).distinct()
+            .select(F.col("d").cast("string").alias("date"), F.weekday("d").alias("weekday")))
+
+
 def bind_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     """SRC2: bind by column *name* to a declared schema (cast each present field; absent -> null)."""
     cols = set(df.columns)

@@ -4,15 +4,24 @@ from clicklens.streaming.jobs import (
     ads_click_daily_stream,
     ads_window_stream,
     blacklist_stream,
+    clicks_from,
+    dropped_rows,
+    line_counts,
     read_ads_area_top3,
     read_ads_arrival_trend,
     read_ads_click_daily,
     read_ads_windows,
+    read_bad_lines,
     read_blacklist,
     read_blacklist_counts,
+    read_clicks,
+    read_counter_state,
+    split_lines_stream,
 )
 
 __all__ = [
-    "ads_arrival_trend_stream", "read_ads_arrival_trend", "ads_area_top3_stream", "ads_click_daily_stream", "ads_window_stream", "blacklist_stream",
-    "read_ads_area_top3", "read_ads_click_daily", "read_ads_windows", "read_blacklist", "read_blacklist_counts",
+    "ads_area_top3_stream", "ads_arrival_trend_stream", "ads_click_daily_stream", "ads_window_stream",
+    "blacklist_stream", "clicks_from", "dropped_rows", "line_counts", "read_ads_area_top3",
+    "read_ads_arrival_trend", "read_ads_click_daily", "read_ads_windows", "read_bad_lines", "read_blacklist",
+    "read_blacklist_counts", "read_clicks", "read_counter_state", "split_lines_stream",
 ]

@@ -1,21 +1,16 @@
 """Structured Streaming jobs for the live ad-click requirements (Q4-Q7).
 
-Each job takes a parsed click stream (``sources.parse_lines(read_line_stream(...))``), keeps its
-running state in Spark's state store or in keyed tables under ``out``, and writes through
-``foreachBatch``. Offsets, state and outputs are tied to the batch id, so a restart from the same
-checkpoint replays a batch into its own place: totals are absolute and never double-counted.
-The keyed output stores (``sinks.KeyedTable``) compact every ``COMPACT_EVERY`` batches, and those
-read back per batch are partitioned by day and read only for the days a batch touched.
-
-Reference -> here: ``StreamingContext(…, Seconds(5))`` -> ``trigger(processingTime="5 seconds")``;
-``updateStateByKey`` -> a streaming ``groupBy().count()`` in update mode (only changed keys are
-emitted, not every key every batch); ``transform``/``foreachRDD`` -> ``foreachBatch``;
-``setCheckpointDir`` -> ``checkpointLocation``.
+Each job takes a parsed click stream (``sources.parse_lines(read_line_stream(...))``) and keeps its running values in
+Spark's state store (RocksDB), nowhere else. A batch emits the keys it changed with their absolute values, and
+``foreachBatch`` writes them as one plain partition of that batch's number: a batch that is replayed after a failure
+writes its own partition again. A reader takes the value of the newest batch for each key; a running query's counters
+can also be read from its state (``read_counter_state``).
 """
 
 from __future__ import annotations
 
-import datetime
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -25,10 +20,10 @@ from pyspark.sql.streaming import StreamingQuery
 from clicklens.defaults import BLACKLIST_THRESHOLD, TOP_ADS, TREND_SLIDE_S, TREND_WINDOW_S, TRIGGER_INTERVAL_S
 from clicklens.functions.columns import TS_FORMAT, floor_seconds
 from clicklens.operators.ads import ads_area_top3_json
-from clicklens.operators.blacklist import GROUP, blacklist_filtered_counts, blacklist_users, first_clicks
-from clicklens.operators.common import bounded_broadcast
-from clicklens.sinks.writers import BATCH, KeyedTable, read_batches, set_add, write_batch
-from clicklens.sources.adlines import bad_lines
+from clicklens.operators.blacklist import GROUP
+from clicklens.sinks.writers import BATCH, latest_per_key, read_batch, read_batches, replace_partitions, write_batch
+from clicklens.sources.adlines import CLICK, LINE_KINDS, split_lines
+from clicklens.streaming.blacklist import CHANGES, blacklist_changes
 
 DEFAULT_TRIGGER = {"processingTime": f"{TRIGGER_INTERVAL_S} seconds"}
 
@@ -37,21 +32,36 @@ ROLLUP_SCHEMA = "dt string, area string, adid string, clicks long"
 TOP3_SCHEMA = "dt string, area string, top3 string"
 WINDOW_SCHEMA = "win_start string, win_end string, clicks long"
 ARRIVAL_SCHEMA = "win_start string, win_end string, bucket string, clicks long"
-STATE_SCHEMA = "dt string, adid string, userid string, ts timestamp, event_id long"
-DELTA_SCHEMA = "dt string, adid string, userid string, clicks long"
-LISTED_SCHEMA = "userid string, since_batch long"
-SETTLED_SCHEMA = "userid string, since timestamp"
 
-
-COMPACT_EVERY = 20
+# Spark's own settings for state off the JVM heap, with a batch's changes (not whole files) sent to the checkpoint.
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+@contextmanager
+def state_settings(spark: SparkSession, always: bool = False) -> Iterator[None]:
+    """``STATE_CONF`` for queries started inside (a query keeps the settings it starts with), where the session does
+    not say otherwise; ``always`` for operators that only this state store supports."""
+    before = {k: spark.conf.get(k, None) for k in STATE_CONF}
+    own = [k for k in STATE_CONF if always or before[k] is None]
+    for k in own:
+        spark.conf.set(k, STATE_CONF[k])
+    try:
+        yield
+    finally:
+        for k in own:
+            if before[k] is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, before[k])
 
 
-def _start(df: DataFrame, sink, checkpoint: str, trigger: dict | None, mode: str = "update",
-           name: str | None = None) -> StreamingQuery:
-    w = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(sink)
-    if name:
-        w = w.queryName(name)
-    return w.trigger(**(trigger or DEFAULT_TRIGGER)).start()
+def _start(df: DataFrame, sink, checkpoint: str, trigger: dict | None, rocksdb: bool = False) -> StreamingQuery:
+    w = df.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(sink)
+    with state_settings(df.sparkSession, rocksdb):
+        return w.trigger(**(trigger or DEFAULT_TRIGGER)).start()
 
 
 def _day_keys(clicks: DataFrame, watermark: str | None) -> tuple[DataFrame, list]:
@@ -68,97 +78,122 @@ def _day_keys(clicks: DataFrame, watermark: str | None) -> tuple[DataFrame, list
     return local.withWatermark("_wall", watermark), [F.window("_wall", "1 day").alias("_day")]
 
 
-def keep_bad_lines(lines: DataFrame, out: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """The lines that ``parse_lines`` rejects, as text below ``out``/bad (one folder per batch): a query of its
-    own beside a job, so that no line is lost silently."""
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, f"{out}/bad", batch_id)
+def dropped_rows(query: StreamingQuery) -> int:
+    """ST9: rows that the query's operators dropped because they came after the watermark, by its progress.
 
-    return _start(bad_lines(lines), sink, checkpoint, trigger, mode="append")
+    An aggregate drops rows after its partial sums, so equal keys of one task may count once."""
+    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
 
 
-def read_bad_lines(spark: SparkSession, out: str) -> DataFrame:
-    """(value): the rejected lines so far."""
-    return read_batches(spark, f"{out}/bad", "value string").select("value")
+# ---------------------------------------------------------------- lines: clicks and rejects in one pass
+def split_lines_stream(lines: DataFrame, out: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """X2/ST6: one read of the source gives the parsed clicks and the rejected lines, below ``out``/lines by kind.
 
+    Spark's file sink keeps a log of the files of each batch, so each line is stored exactly once; the numbers of lines
+    read, good and bad of each batch are observed on the way (``line_counts``)."""
+    rows = split_lines(lines)
+    kinds = [F.count_if(F.col("kind") == k).alias(k) for k in LINE_KINDS]
+    rows = rows.observe("lines", F.count(F.lit(1)).alias("read"), *kinds)
+    return (rows.writeStream.format("parquet").partitionBy("kind").option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or DEFAULT_TRIGGER)).start(f"{out}/lines"))
+
+
+def line_counts(query: StreamingQuery) -> dict[str, int]:
+    """{read, good, bad}: lines of the batches in the query's progress."""
+    seen = [p["observedMetrics"]["lines"] for p in query.recentProgress if "lines" in (p["observedMetrics"] or {})]
+    return {k: sum(row[k] for row in seen) for k in ("read", *LINE_KINDS)}
 
-# ---------------------------------------------------------------- Q5: daily counters per area/city/ad
-def _totals(spark: SparkSession, out: str) -> KeyedTable:
-    # written every batch, read only by consumers: no per-batch pruning needed, so no day partitions
-    return KeyedTable(spark, f"{out}/totals", TOTALS_SCHEMA, ["dt", "area", "city", "adid"],
-                      compact_every=COMPACT_EVERY)
 
+def _split(reader, out: str) -> DataFrame:
+    return reader.schema(f"value string, {CLICK}, kind string").parquet(f"{out}/lines")
+
+
+def clicks_from(spark: SparkSession, out: str, **options) -> DataFrame:
+    """The clicks that ``split_lines_stream`` stores, as a stream of their own."""
+    return _split(spark.readStream.options(**options), out).where("kind = 'good'").drop("value", "kind")
+
+
+def read_clicks(spark: SparkSession, out: str) -> DataFrame:
+    return _split(spark.read, out).where("kind = 'good'").drop("value", "kind")
+
+
+def read_bad_lines(spark: SparkSession, out: str) -> DataFrame:
+    """(value): the rejected lines so far, unchanged."""
+    return _split(spark.read, out).where("kind = 'bad'").select("value")
 
+
+# ---------------------------------------------------------------- Q5: daily counters per area/city/ad
 def ads_click_daily_stream(clicks: DataFrame, out: str, checkpoint: str, trigger: dict | None = None,
                            watermark: str | None = None) -> StreamingQuery:
     """Q5 (A9, ST2, SNK4): running clicks per (dt, area, city, adid); absolute totals per batch."""
     c, extra = _day_keys(clicks, watermark)
     agg = c.groupBy(*extra, "dt", "area", "city", "adid").agg(F.count(F.lit(1)).alias("clicks"))
     agg = agg.select("dt", "area", "city", "adid", "clicks")
-    store = _totals(clicks.sparkSession, out)
-
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        store.write(batch, batch_id)
-
-    return _start(agg, sink, checkpoint, trigger)
+    return _start(agg, lambda batch, k: write_batch(batch, f"{out}/totals", k), checkpoint, trigger)
 
 
 def read_ads_click_daily(spark: SparkSession, out: str) -> DataFrame:
-    return _totals(spark, out).current()
+    return latest_per_key(read_batches(spark, f"{out}/totals", TOTALS_SCHEMA), ["dt", "area", "city", "adid"], ["clicks"])
 
 
-# ---------------------------------------------------------------- Q6: top ads per (day, area) as JSON
-def _rollup(spark: SparkSession, out: str) -> KeyedTable:
-    return KeyedTable(spark, f"{out}/rollup", ROLLUP_SCHEMA, ["dt", "area", "adid"], compact_every=COMPACT_EVERY,
-                      partition_by=["dt"])
+def read_counter_state(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """SRC6: the counters of a counting query, read from its state by Spark's state data source.
 
+    The last committed batch, without the query's output: one row for each key that is in the state (with a watermark,
+    the open days)."""
+    state = spark.read.format("statestore").load(checkpoint)
+    keys = [f.name for f in state.schema["key"].dataType.fields if f.name != "_day"]
+    count = state.schema["value"].dataType.fields[0].name
+    return state.select(*[F.col(f"key.`{k}`").alias(k) for k in keys], F.col(f"value.`{count}`").alias("clicks"))
 
-def _docs(spark: SparkSession, out: str) -> KeyedTable:
-    return KeyedTable(spark, f"{out}/top3", TOP3_SCHEMA, ["dt", "area"], compact_every=COMPACT_EVERY,
-                      partition_by=["dt"])
+
+# ---------------------------------------------------------------- Q6: top ads per (day, area) as JSON
+def _rollup_of(spark: SparkSession, out: str, days: list[str]) -> DataFrame:
+    """The totals of some days: only their folders are listed and read."""
+    log = read_batches(spark, f"{out}/rollup", ROLLUP_SCHEMA, parts=[f"dt={d}" for d in days])
+    return latest_per_key(log, ["dt", "area", "adid"], ["clicks"])
 
 
 def ads_area_top3_stream(clicks: DataFrame, out: str, checkpoint: str, n: int = TOP_ADS,
                          trigger: dict | None = None, watermark: str | None = None) -> StreamingQuery:
-    """Q6 (A10, W3, X7, SNK5): per-batch top-``n`` JSON for every (dt, area) the batch touched.
+    """Q6 (A10, W3, X7, SNK5): the top-``n`` JSON of every (dt, area), replaced for the days a batch touched.
 
-    Streaming ``row_number`` is not supported, so the stream keeps one aggregate at (dt, area, adid);
-    each batch merges its updated totals into a keyed table and re-ranks only the touched (dt, area)
-    (the semi join on the grouping keys is pushed below the newest-value aggregate).
+    Streaming ``row_number`` is not supported, so the stream keeps one aggregate at (dt, area, adid); each batch writes
+    the totals it changed by day and batch, ranks its days' newest totals and replaces those days' documents (dynamic
+    partition overwrite). Other days keep their files; a replayed batch writes the same documents.
     """
     c, extra = _day_keys(clicks, watermark)
     agg = (c.groupBy(*extra, "dt", "area", "adid").agg(F.count(F.lit(1)).alias("clicks"))
            .select("dt", "area", "adid", "clicks"))
     spark = clicks.sparkSession
-    rollup, docs = _rollup(spark, out), _docs(spark, out)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        rollup.write(batch, batch_id)
-        touched = rollup.delta(batch_id).select("dt", "area").distinct()
-        current = rollup.current(batch_id, only=touched)
-        docs.write(ads_area_top3_json(current, n), batch_id)
+        write_batch(batch, f"{out}/rollup", batch_id, ["dt"])
+        mine = read_batch(spark, f"{out}/rollup", ROLLUP_SCHEMA, batch_id)
+        days = sorted(r.dt for r in mine.select("dt").distinct().collect())    # the days of one batch
+        if days:
+            replace_partitions(ads_area_top3_json(_rollup_of(spark, out, days), n), f"{out}/top3", ["dt"])
 
     return _start(agg, sink, checkpoint, trigger)
 
 
 def read_ads_area_top3(spark: SparkSession, out: str) -> DataFrame:
-    return _docs(spark, out).current()
+    try:
+        return spark.read.schema(TOP3_SCHEMA).parquet(f"{out}/top3").select("dt", "area", "top3")
+    except AnalysisException:
+        return spark.createDataFrame([], TOP3_SCHEMA)
 
 
 # ---------------------------------------------------------------- Q7: trend buckets / sliding windows
-def _windows(spark: SparkSession, out: str) -> KeyedTable:
-    return KeyedTable(spark, f"{out}/windows", WINDOW_SCHEMA, ["win_start", "win_end"], compact_every=COMPACT_EVERY)
-
-
 def ads_window_stream(clicks: DataFrame, out: str, checkpoint: str, window_s: int = 10,
                       slide_s: int | None = None, trigger: dict | None = None,
                       watermark: str | None = None, echo: int = 0) -> StreamingQuery:
     """Q7 (X5, ST4): clicks per event-time window (tumbling ``window_s`` or sliding by ``slide_s``).
 
-    The reference windows by arrival time; event time is used here so results do not depend on when
-    lines arrive. Without a watermark every window stays open (late lines still count, as in the
-    reference's per-event days); with one, closed windows' state is dropped. ``echo > 0`` prints the
-    newest ``echo`` windows that the batch changed, ascending (SNK7, the reference's per-batch print).
+    Event time is used here so results do not depend on when lines arrive (``ads_arrival_trend_stream`` windows
+    arrivals). Without a watermark every window stays open (late lines still count, as in the reference's per-event
+    days); with one, closed windows' state is dropped. ``echo > 0`` prints the newest ``echo`` windows that the batch
+    changed, ascending (SNK7, the reference's per-batch print).
     """
     c = clicks if watermark is None else clicks.withWatermark("ts", watermark)
     win = (F.window("ts", f"{window_s} seconds", f"{slide_s} seconds") if slide_s
@@ -166,50 +201,46 @@ def ads_window_stream(clicks: DataFrame, out: str, checkpoint: str, window_s: in
     agg = c.groupBy(win.alias("w")).agg(F.count(F.lit(1)).alias("clicks")).select(
         F.date_format("w.start", TS_FORMAT).alias("win_start"),
         F.date_format("w.end", TS_FORMAT).alias("win_end"), "clicks")
-    store = _windows(clicks.sparkSession, out)
+    spark = clicks.sparkSession
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        store.write(batch, batch_id)
+        write_batch(batch, f"{out}/windows", batch_id)
         if echo > 0:
-            newest = store.delta(batch_id).orderBy(F.desc("win_start")).limit(echo)
+            newest = read_batch(spark, f"{out}/windows", WINDOW_SCHEMA, batch_id).orderBy(F.desc("win_start")).limit(echo)
             newest.orderBy("win_start").show(echo, truncate=False)
 
     return _start(agg, sink, checkpoint, trigger)
 
 
 def read_ads_windows(spark: SparkSession, out: str) -> DataFrame:
-    return _windows(spark, out).current()
-
-
-def _arrivals(spark: SparkSession, out: str) -> KeyedTable:
-    return KeyedTable(spark, f"{out}/arrival", ARRIVAL_SCHEMA, ["win_start", "win_end", "bucket"],
-                      compact_every=COMPACT_EVERY)
+    return latest_per_key(read_batches(spark, f"{out}/windows", WINDOW_SCHEMA), ["win_start", "win_end"], ["clicks"])
 
 
 def ads_arrival_trend_stream(clicks: DataFrame, out: str, checkpoint: str, window_s: int = TREND_WINDOW_S,
                              slide_s: int = TREND_SLIDE_S, bucket_s: int = TREND_SLIDE_S, trigger: dict | None = None,
-                             echo: bool = False) -> StreamingQuery:
+                             echo: bool = False, arrival: str | None = None) -> StreamingQuery:
     """Q7 with the reference's window: the last ``window_s`` seconds of *arrivals*, sliding every
     ``slide_s``, and inside it clicks per ``bucket_s`` event-time bucket.
 
-    Arrival time is the micro-batch time (``current_timestamp()``), so results depend on when lines
-    arrive -- use ``ads_window_stream`` for reproducible event-time figures. A zero-delay watermark
-    on arrival time lets Spark drop each window's state once it has closed. ``echo`` prints, after
-    every batch, the window that ends next (the last minute of arrivals), buckets ascending.
+    ``arrival`` names a column with the time at which a line arrived (a topic's record time, or the folder it was
+    delivered in): a declared clock, with results that can be repeated. Without it a line arrives at its micro-batch's
+    time (``current_timestamp()``). A zero-delay watermark on arrival time lets Spark drop each window's state once it
+    has closed. ``echo`` prints, after every batch, the window that ends next (the last minute of arrivals).
     """
-    arrived = clicks.withColumn("_arrival", F.current_timestamp()).withWatermark("_arrival", "0 seconds")
+    at = F.current_timestamp() if arrival is None else F.col(arrival)
+    arrived = clicks.withColumn("_arrival", at).withWatermark("_arrival", "0 seconds")
     agg = (arrived.groupBy(F.window("_arrival", f"{window_s} seconds", f"{slide_s} seconds").alias("w"),
                            floor_seconds("ts", bucket_s).alias("_b"))
            .agg(F.count(F.lit(1)).alias("clicks"))
            .select(F.date_format("w.start", TS_FORMAT).alias("win_start"),
                    F.date_format("w.end", TS_FORMAT).alias("win_end"),
                    F.date_format("_b", TS_FORMAT).alias("bucket"), "clicks"))
-    store = _arrivals(clicks.sparkSession, out)
+    spark = clicks.sparkSession
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        store.write(batch, batch_id)
+        write_batch(batch, f"{out}/arrival", batch_id)
         if echo:
-            mine = store.delta(batch_id)
+            mine = read_batch(spark, f"{out}/arrival", ARRIVAL_SCHEMA, batch_id)
             last = mine.filter(F.col("win_end") == mine.agg(F.min("win_end")).scalar())
             last.select("bucket", "clicks").orderBy("bucket").show(window_s // bucket_s * 10, truncate=False)
 
@@ -218,196 +249,54 @@ def ads_arrival_trend_stream(clicks: DataFrame, out: str, checkpoint: str, windo
 
 def read_ads_arrival_trend(spark: SparkSession, out: str) -> DataFrame:
     """(win_start, win_end, bucket, clicks) for every arrival window seen."""
-    return _arrivals(spark, out).current()
+    return latest_per_key(read_batches(spark, f"{out}/arrival", ARRIVAL_SCHEMA), ["win_start", "win_end", "bucket"], ["clicks"])
 
 
 # ---------------------------------------------------------------- Q4: dynamic blacklist
-def _state(spark: SparkSession, out: str) -> KeyedTable:
-    return KeyedTable(spark, f"{out}/state", STATE_SCHEMA, list(GROUP), many=True, compact_every=COMPACT_EVERY,
-                      partition_by=["dt"])
-
-
-def _settled(spark: SparkSession, out: str) -> KeyedTable:
-    return KeyedTable(spark, f"{out}/settled", SETTLED_SCHEMA, ["userid"], compact_every=COMPACT_EVERY)
-
-
-class ClosedDays:
-    """Final counters of settled days: each day is written once, as its own partition."""
-
-    def __init__(self, spark: SparkSession, out: str):
-        self.spark, self.path = spark, f"{out}/closed"
-
-    def current(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(DELTA_SCHEMA).parquet(self.path)
-        except AnalysisException:
-            return self.spark.createDataFrame([], DELTA_SCHEMA)
-
-    def add(self, counts: DataFrame) -> None:
-        (counts.hint("rebalance", "dt").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("dt").parquet(self.path))
-
-
-def _closed(spark: SparkSession, out: str) -> ClosedDays:
-    return ClosedDays(spark, out)
-
-
-def _listed(spark: SparkSession, out: str) -> KeyedTable:
-    return KeyedTable(spark, f"{out}/listed", LISTED_SCHEMA, ["userid"], compact_every=COMPACT_EVERY)
-
-
-def _cutoff(spark: SparkSession, out: str) -> KeyedTable:
-    """One row: the day before which all days are settled."""
-    return KeyedTable(spark, f"{out}/cutoff", "name string, cutoff string", ["name"], compact_every=COMPACT_EVERY)
-
-
-def _cutoff_before(spark: SparkSession, out: str, batch_id: int | None) -> str | None:
-    """The cutoff day in force for batch ``batch_id`` (None: the newest)."""
-    row = _cutoff(spark, out).current(None if batch_id is None else batch_id - 1).select("cutoff").first()
-    return row[0] if row else None
-
-
-def read_late_clicks(spark: SparkSession, out: str) -> DataFrame:
-    """(batch_id, clicks): clicks that a batch dropped because their day was settled."""
-    return read_batches(spark, f"{out}/late", "clicks long").select(BATCH, "clicks")
-
-
-def _counters(spark: SparkSession, out: str) -> KeyedTable:
-    return KeyedTable(spark, f"{out}/counters", DELTA_SCHEMA, list(GROUP), compact_every=COMPACT_EVERY,
-                      partition_by=["dt"])
-
-
 def blacklist_stream(clicks: DataFrame, out: str, checkpoint: str, threshold: int = BLACKLIST_THRESHOLD,
-                     mode: str = "event_time", trigger: dict | None = None,
-                     max_broadcast_users: int = 1_000_000, retain_days: int | None = None,
+                     mode: str = "event_time", trigger: dict | None = None, retain_days: int | None = None,
                      echo: int = 0) -> StreamingQuery:
     """Q4 (ST2, ST3, ST5, ST6, ST8, SRC5, SNK6): the blacklist, fed back into the counting.
 
-    ``event_time`` (default): the state is, per (dt, adid, userid), the first ``threshold`` clicks in
-    event time -- bounded, and enough to decide both the listing time and every filtered count.
-    Each batch merges its clicks into the touched groups' state; the result is the same whatever the
-    batch split or arrival order.
-
-    ``micro_batch``: the reference's rule. A batch first drops users already listed by earlier
-    batches -- the batch's distinct users (bounded by the batch, checked against
-    ``max_broadcast_users``) are broadcast and looked up in the stored set, so the set is scanned but
-    never shuffled -- adds its counts to the running totals, then lists users whose total on any
-    (day, ad) reached ``threshold``.
-
-    ``retain_days`` (event time only; default: keep everything, as the reference does): at each
-    compaction, groups of days older than the median day of the batch's clicks minus ``retain_days`` are
-    settled -- their listed users move to a small store, their final counts to one partition per day, and the
-    groups leave the live state. The median keeps a click with a wrong, far-future time from settling
-    anything. Clicks that arrive for a settled day are dropped, as a watermark would, and counted
-    (``read_late_clicks``).
-
-    ``echo > 0`` prints, after every batch, up to ``echo`` of the (day, ad, user) counters the batch
-    changed (SNK7, like the reference's per-batch print of its running counts).
+    ``event_time`` (default): the listing is the ``threshold``-th click of a (dt, adid) in event time, whatever the
+    batch split or arrival order; only clicks up to it count.
+
+    ``micro_batch``: the reference's rule. A batch drops the clicks of users listed by earlier batches, adds the others
+    to the running totals, then lists users whose total on any (day, ad) reached ``threshold``.
+
+    Counters and listings are one stateful operator by user (``streaming.blacklist``); no store is read back.
+    ``retain_days`` (default: keep everything, as the reference does): clicks older than the newest one by more are
+    dropped and counted in the query's progress (``dropped_rows``), and timers drop closed days from the state; their
+    final counters and all listings stay. ``echo > 0`` prints, after every batch, up to ``echo`` of the (day, ad, user)
+    counters the batch changed (SNK7, like the reference's per-batch print of its running counts).
     """
     if mode not in ("event_time", "micro_batch"):
         raise ValueError(f"unknown blacklist mode {mode!r}")
-    if retain_days is not None and mode != "event_time":
-        raise ValueError("retain_days is for the event_time mode")
-    rows = clicks.select(*GROUP, "ts", "event_id")
     spark = clicks.sparkSession
-    state, counters, listed = _state(spark, out), _counters(spark, out), _listed(spark, out)
-
-    settled, closed = _settled(spark, out), _closed(spark, out)
-
-    def sink_event_time(batch: DataFrame, batch_id: int) -> None:
-        # the batch feeds both the touched-group filter and the merge: read the source once
-        batch = batch.persist()
-        try:
-            fresh = batch.select(*GROUP, "ts", "event_id")
-            if retain_days is not None:
-                cutoff = _cutoff_before(spark, out, batch_id)
-                if cutoff is not None:   # clicks of settled days are too late
-                    late = fresh.filter(F.col("dt") < cutoff).agg(F.count(F.lit(1)).alias("clicks"))
-                    write_batch(late.coalesce(1), f"{out}/late", batch_id)
-                    fresh = fresh.filter(F.col("dt") >= cutoff)
-            touched = fresh.select(*GROUP).distinct()
-            prev = state.current(batch_id - 1, only=touched)
-            merged = prev.unionByName(fresh)
-            new_state = first_clicks(merged, threshold).drop("rn")
-            if retain_days is None or not state.compacts_at(batch_id):
-                state.write(new_state, batch_id)
-                return
-            middle = fresh.agg(F.percentile_approx(F.unix_date(F.col("dt").cast("date")), 0.5)).first()[0]
-            if middle is None:
-                state.write(new_state, batch_id)
-                return
-            cut_value = str(datetime.date(1970, 1, 1) + datetime.timedelta(days=middle - retain_days))
-            cut_value = max(cut_value, _cutoff_before(spark, out, batch_id) or "")
-            _settle(prev_and(new_state, batch_id).filter(F.col("dt") < cut_value), batch_id)
-            state.write(new_state, batch_id, keep=F.col("dt") >= cut_value)
-            _cutoff(spark, out).write(spark.createDataFrame([("day", cut_value)], "name string, cutoff string"), batch_id)
-        finally:
-            batch.unpersist()
-
-    def prev_and(new_state: DataFrame, batch_id: int) -> DataFrame:
-        """The live state with this batch's groups in their new version."""
-        kept = state.current(batch_id - 1).join(new_state.select(*GROUP).distinct(), list(GROUP), "left_anti")
-        names = [f.name for f in state.schema.fields]
-        return kept.select(*names).unionByName(new_state.select(*names))
-
-    def _settle(closing: DataFrame, batch_id: int) -> None:
-        prior = settled.current(batch_id - 1)
-        # a user settled earlier keeps that (earlier) listing time
-        settled.write(blacklist_users(closing, threshold).join(prior, "userid", "left_anti"), batch_id)
-        closed.add(blacklist_filtered_counts(closing, threshold, prior=prior))
-
-    def sink_micro_batch(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()   # read by the touched-key list and by the merge: one source read
-        try:
-            members = listed.current(batch_id - 1).select("userid")
-            users = batch.select("userid").distinct()
-            if users.limit(max_broadcast_users + 1).count() <= max_broadcast_users:
-                # look the batch's users up in the set (set scanned, never shuffled), then drop hits
-                hits = members.join(F.broadcast(users), "userid", "left_semi")
-                kept = batch.join(F.broadcast(hits), "userid", "left_anti")
-            else:
-                kept = batch.join(bounded_broadcast(members, max_broadcast_users), "userid", "left_anti")
-            counts = kept.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("clicks"))
-            prev = counters.current(batch_id - 1, only=batch.select(*GROUP).distinct())
-            totals = prev.unionByName(counts).groupBy(*GROUP).agg(F.sum("clicks").cast("long").alias("clicks"))
-            counters.write(totals, batch_id)
-        finally:
-            batch.unpersist()
-        new = (counters.delta(batch_id).filter(F.col("clicks") >= threshold)
-               .select("userid", F.lit(int(batch_id)).cast("long").alias("since_batch")))
-        set_add(listed, new, batch_id)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        (sink_event_time if mode == "event_time" else sink_micro_batch)(batch, batch_id)
+        write_batch(batch, f"{out}/changes", batch_id, ["kind"])    # one write: the operator runs once
         if echo > 0:
-            changed = (state.delta(batch_id).groupBy(*GROUP).agg(F.count(F.lit(1)).alias("clicks"))
-                       if mode == "event_time" else counters.delta(batch_id))
-            changed.orderBy(*GROUP).show(echo, truncate=False)
+            mine = read_batch(spark, f"{out}/changes", CHANGES, batch_id).where("kind = 'count'")
+            mine.select(*GROUP, "clicks").orderBy(*GROUP).show(echo, truncate=False)
 
-    return _start(rows, sink, checkpoint, trigger, mode="append")
+    return _start(blacklist_changes(clicks, threshold, mode, retain_days), sink, checkpoint, trigger, rocksdb=True)
 
 
-def _live_state(spark: SparkSession, out: str) -> DataFrame:
-    """The state without the days that are settled."""
-    state, cutoff = _state(spark, out).current(), _cutoff_before(spark, out, None)
-    return state if cutoff is None else state.filter(F.col("dt") >= cutoff)
+def _changes(spark: SparkSession, out: str, kind: str) -> DataFrame:
+    return read_batches(spark, f"{out}/changes", CHANGES).where(F.col("kind") == kind)
 
 
-def read_blacklist(spark: SparkSession, out: str, threshold: int = BLACKLIST_THRESHOLD,
-                   mode: str = "event_time") -> DataFrame:
-    """(userid, since) for ``event_time``; (userid, since_batch) for ``micro_batch``."""
-    if mode == "event_time":
-        live = blacklist_users(_live_state(spark, out), threshold)
-        both = live.unionByName(_settled(spark, out).current())
-        return both.groupBy("userid").agg(F.min("since").alias("since"))
-    return _listed(spark, out).current()
+def read_blacklist(spark: SparkSession, out: str, threshold: int = BLACKLIST_THRESHOLD, mode: str = "event_time") -> DataFrame:
+    """(userid, since) for ``event_time``; (userid, since_batch) for ``micro_batch``, as the stream listed them (by its
+    own threshold)."""
+    listed = _changes(spark, out, "listed")
+    if mode == "micro_batch":
+        return listed.select("userid", F.col(BATCH).alias("since_batch"))
+    return latest_per_key(listed, ["userid"], ["since"]).select("userid", F.timestamp_micros("since").alias("since"))
 
 
 def read_blacklist_counts(spark: SparkSession, out: str, threshold: int = BLACKLIST_THRESHOLD,
                           mode: str = "event_time") -> DataFrame:
     """(dt, adid, userid, clicks): the counters after the blacklist filter."""
-    if mode == "event_time":
-        live = blacklist_filtered_counts(_live_state(spark, out), threshold,
-                                         prior=_settled(spark, out).current())
-        return live.unionByName(_closed(spark, out).current())
-    return _counters(spark, out).current()
+    return latest_per_key(_changes(spark, out, "count"), list(GROUP), ["clicks"]).where("clicks > 0")

@@ -3,12 +3,14 @@
 import datetime as dt
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from clicklens import operators as op
 from clicklens.session import shared_dir
 from clicklens.sources import encode_lines, parse_lines, read_line_stream
 from clicklens.streaming import jobs
+from clicklens.streaming.blacklist import thinned
 from tests.conftest import rows
 
 ADS_SCHEMA = "event_id long, ts timestamp, dt string, area string, city string, userid string, adid string"
@@ -92,19 +94,36 @@ def test_micro_batch_blacklist_follows_the_reference_rule(spark):
     assert os.path.basename(root).startswith("run-")
 
 
-def test_compacted_stores_match_batch(spark, monkeypatch):
-    # six single-file micro-batches with a snapshot every second batch
-    monkeypatch.setattr(jobs, "COMPACT_EVERY", 2)
+def test_many_batches_match_batch_and_touch_only_their_days(spark):
     root = shared_dir(spark)
-    df = sample(spark, 300)
+    day = 86_400
+    df = ads(spark, [(i, (i % 3) * day + i * 0.7, "AB"[i % 2], f"c{i % 3}", i % 5, i % 4 + 1) for i in range(300)])
     write_lines(df.repartition(6), f"{root}/in")
     run_once(spark, jobs.ads_area_top3_stream, f"{root}/in", f"{root}/o1", f"{root}/cp1")
     assert rows(jobs.read_ads_area_top3(spark, f"{root}/o1")) == rows(op.ads_area_top3_json(df))
+    files = lambda d: sorted(os.listdir(f"{root}/o1/top3/dt={d}".replace("file:", "")))
+    days = sorted(r.dt for r in df.select("dt").distinct().collect())
+    before = {d: files(d) for d in days}
+    more = df.filter(F.col("dt") == days[-1]).limit(5)
+    write_lines(more.coalesce(1), f"{root}/in")              # a batch of one day: the others keep their files
+    run_once(spark, jobs.ads_area_top3_stream, f"{root}/in", f"{root}/o1", f"{root}/cp1")
+    assert [d for d in days if files(d) != before[d]] == days[-1:]
+    assert rows(jobs.read_ads_area_top3(spark, f"{root}/o1")) == rows(op.ads_area_top3_json(df.unionByName(more)))
     start_bl = lambda c, o, cp, trigger: jobs.blacklist_stream(c, o, cp, 15, trigger=trigger)
     run_once(spark, start_bl, f"{root}/in", f"{root}/o2", f"{root}/cp2")
-    assert rows(jobs.read_blacklist(spark, f"{root}/o2", 15)) == rows(op.blacklist_users(df, 15))
-    assert rows(jobs.read_blacklist_counts(spark, f"{root}/o2", 15)) == rows(op.blacklist_filtered_counts(df, 15))
-    assert os.path.isdir(f"{root}/o1/rollup/snapshot".replace("file:", "")) or "://" in root
+    both = df.unionByName(more)
+    assert rows(jobs.read_blacklist(spark, f"{root}/o2", 15)) == rows(op.blacklist_users(both, 15))
+    assert rows(jobs.read_blacklist_counts(spark, f"{root}/o2", 15)) == rows(op.blacklist_filtered_counts(both, 15))
+
+
+def test_counters_are_read_from_the_state(spark):
+    root = shared_dir(spark)
+    df = sample(spark, 200)
+    write_lines(df.repartition(3), f"{root}/in")
+    run_once(spark, jobs.ads_click_daily_stream, f"{root}/in", f"{root}/out", f"{root}/cp")
+    state = jobs.read_counter_state(spark, f"{root}/cp")
+    assert state.columns == ["dt", "area", "city", "adid", "clicks"]
+    assert rows(state) == rows(op.ads_click_daily(df))
 
 
 def test_watermarked_jobs_match_batch_on_in_order_data(spark):
@@ -166,22 +185,69 @@ def test_a_batch_that_fails_midway_is_replayed_exactly(spark, monkeypatch):
     assert rows(jobs.read_blacklist_counts(spark, f"{root}/bl", 12)) == rows(op.blacklist_filtered_counts(df, 12))
 
 
-def test_blacklist_retention_settles_closed_days_exactly(spark, monkeypatch):
-    monkeypatch.setattr(jobs, "COMPACT_EVERY", 2)
+def test_blacklist_with_scattered_arrival_equals_batch(spark):
+    # every click in a batch of its own choice: listings move to earlier clicks that come later, ids are missing
+    root = shared_dir(spark)
+    recs = [(i, (i * 37) % 500, "A", "c", i % 6, i % 2 + 1) for i in range(240)]
+    df = ads(spark, recs).withColumn("event_id", F.when(F.col("event_id") % 9 != 0, F.col("event_id")))
+    start = lambda c, o, cp, trigger: jobs.blacklist_stream(c, o, cp, 7, trigger=trigger)
+    for part in range(4):
+        write_lines(df.filter(F.pmod(F.hash("ts", "userid", "adid"), F.lit(4)) == part).coalesce(1), f"{root}/in")
+        run_once(spark, start, f"{root}/in", f"{root}/out", f"{root}/cp")
+        seen = df.filter(F.pmod(F.hash("ts", "userid", "adid"), F.lit(4)) <= part)
+        assert rows(jobs.read_blacklist(spark, f"{root}/out", 7)) == rows(op.blacklist_users(seen, 7))
+        assert rows(jobs.read_blacklist_counts(spark, f"{root}/out", 7)) == rows(op.blacklist_filtered_counts(seen, 7))
+
+
+def _state_days(spark, cp, name):
+    state = spark.read.format("statestore").option("stateVarName", name).load(cp)
+    return {r[0] for r in state.select("user_map_key.dt").distinct().collect()}
+
+
+@pytest.mark.parametrize("mode,name", [("event_time", "clicks"), ("micro_batch", "counters")])
+def test_closed_days_leave_the_state_and_their_counters_stay(spark, mode, name):
     root = shared_dir(spark)
     day = 86400
-    recs = [(d * 1000 + i, d * day + 60 + i * 7, "A", "c", i % 4, i % 2 + 1) for d in range(6) for i in range(60)]
+    recs = [(d * 1000 + i, d * day + 60 + i * 7, "A", "c", i % 4 if i % 3 else 50 + i, i % 2 + 1) for d in range(6) for i in range(60)]
     df = ads(spark, recs)
-    for d in range(6):   # one file per day, written in day order: one micro-batch per day
+    start = lambda c, o, cp, trigger: jobs.blacklist_stream(c, o, cp, 50, mode, trigger, retain_days=1)
+    for d in range(6):   # one run per day, in day order
         write_lines(df.filter(F.floor(F.col("event_id") / 1000) == d).coalesce(1), f"{root}/in")
-    start = lambda c, o, cp, trigger: jobs.blacklist_stream(c, o, cp, 5, trigger=trigger, retain_days=1)  # noqa
-    run_once(spark, start, f"{root}/in", f"{root}/out", f"{root}/cp", per_trigger=1)
-    assert jobs._closed(spark, f"{root}/out").current().count() > 0          # days were settled
-    assert rows(jobs.read_blacklist(spark, f"{root}/out", 5)) == rows(op.blacklist_users(df, 5))
-    assert rows(jobs.read_blacklist_counts(spark, f"{root}/out", 5)) == rows(op.blacklist_filtered_counts(df, 5))
-    live_days = {r.dt for r in jobs._state(spark, f"{root}/out").current().select("dt").distinct().collect()}
-    # the sixth batch writes a snapshot; its clicks lie on 2024-01-07, one day before them is kept
-    assert min(live_days) == "2024-01-06"                                    # older days left the state
+        run_once(spark, start, f"{root}/in", f"{root}/out", f"{root}/cp")
+    got = rows(jobs.read_blacklist_counts(spark, f"{root}/out", 50, mode))
+    assert got == rows(op.blacklist_filtered_counts(df, 50))
+    days = sorted(r.dt for r in df.select("dt").distinct().collect())
+    assert _state_days(spark, f"{root}/cp", name) <= set(days[-3:])          # closed days left the state
+    # a click of a closed day is dropped, counted, and changes nothing
+    write_lines(df.filter("event_id < 3").coalesce(1), f"{root}/in")
+    q = run_once(spark, start, f"{root}/in", f"{root}/out", f"{root}/cp")
+    assert jobs.dropped_rows(q) > 0
+    assert rows(jobs.read_blacklist_counts(spark, f"{root}/out", 50, mode)) == got
+
+
+def test_a_far_future_click_closes_nothing_of_today(spark):
+    root = shared_dir(spark)
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
+    mk = lambda e, ts, u: (e, ts, ts.strftime("%Y-%m-%d"), "A", "c", u, "1")
+    start = lambda c, o, cp, trigger: jobs.blacklist_stream(c, o, cp, 3, trigger=trigger, retain_days=1)
+    batches = [[mk(1, now, "u"), mk(2, now + dt.timedelta(days=20_000), "u")], [mk(3, now, "u")], [mk(4, now, "u"), mk(5, now, "v")]]
+    for b in batches:
+        write_lines(spark.createDataFrame(b, ADS_SCHEMA).coalesce(1), f"{root}/in")
+        run_once(spark, start, f"{root}/in", f"{root}/out", f"{root}/cp")
+    all_clicks = spark.createDataFrame([r for b in batches for r in b], ADS_SCHEMA)
+    assert rows(jobs.read_blacklist_counts(spark, f"{root}/out", 3)) == rows(op.blacklist_filtered_counts(all_clicks, 3))
+    with pytest.raises(ValueError):
+        jobs.blacklist_stream(all_clicks, f"{root}/x", f"{root}/y", mode="nonsense")
+
+
+def test_thinning_keeps_what_the_rules_need(spark):
+    df = ads(spark, [(i, i % 50, "A", "c", i % 3, i % 2 + 1) for i in range(3000)])
+    counted = thinned(df, None)
+    assert rows(counted.groupBy("dt", "adid", "userid").agg(F.sum("n").alias("clicks"))) == rows(op.ad_user_daily_counts(df))
+    assert counted.count() <= 6 * counted.rdd.getNumPartitions()
+    first = thinned(df.coalesce(1), 5)
+    want = op.first_clicks(df, 5).select("dt", "adid", "userid", F.unix_micros("ts").alias("us"), F.col("event_id").alias("id"))
+    assert rows(first.select("dt", "adid", "userid", "us", "id")) == rows(want)
 
 
 def test_watermarked_days_follow_the_session_time_zone(spark):
@@ -210,85 +276,32 @@ def test_blacklist_echo_prints_changed_counters(spark, capsys):
     assert "userid" in out and "clicks" in out
 
 
-def _store(spark, every=2, many=False, parts=()):
-    from clicklens.sinks import KeyedTable
-    return KeyedTable(spark, shared_dir(spark) + "/store", "dt string, k long, v long", ["dt", "k"], many, every, parts)
-
-
-def _put(spark, store, batch, pairs, **kw):
-    store.write(spark.createDataFrame([("d", k, v) for k, v in pairs], "dt string, k long, v long"), batch, **kw)
-
-
-def test_keyed_table_survives_skipped_and_changed_compaction_points(spark):
-    store = _store(spark, 2, parts=["dt"])
-    _put(spark, store, 2, [(1, 10), (2, 20)])
-    _put(spark, store, 6, [(2, 21)])                      # no batch 4: nothing is lost
-    assert rows(store.current(), "k", "v") == [(1, 10), (2, 21)]
-    store.every = 3                                       # another setting later
-    for b in range(7, 15):
-        _put(spark, store, b, [(b, b)])
-    store.every = 1
-    _put(spark, store, 20, [(1, 11)])
-    assert rows(store.current(), "k", "v") == [(1, 11), (2, 21), *[(b, b) for b in range(7, 15)]]
-    assert rows(store.delta(20), "k", "v") == [(1, 11)] and store.delta(19).count() == 0
-
-
-def test_keyed_table_replays_and_half_written_batches(spark):
-    store = _store(spark, 2)
-    for b in range(5):
-        _put(spark, store, b, [(b, 1)])
-    _put(spark, store, 4, [(4, 2), (9, 9)])               # the newest batch again: it replaces itself
-    assert rows(store.current(), "k", "v") == [(0, 1), (1, 1), (2, 1), (3, 1), (4, 2), (9, 9)]
-    assert rows(store.current(3), "k", "v") == [(0, 1), (1, 1), (2, 1), (3, 1)]
-    lost = store._put
-    store._put = lambda df, path, parts=(): (_ for _ in ()).throw(RuntimeError("lost")) if "commit" in path else lost(df, path, parts)
-    try:
-        _put(spark, store, 5, [(0, 99)])
-    except RuntimeError:
-        pass
-    store._put = lost
-    assert (0, 99) not in rows(store.current(), "k", "v")  # not committed, not seen
-
-
-def test_keyed_table_keeps_a_bounded_number_of_folders(spark):
-    store = _store(spark, 3)
-    for b in range(30):
-        _put(spark, store, b, [(b % 4, b)])
-    base = store.path.replace("file:", "")
-    count = {d: sum(x.startswith("slot=") for x in os.listdir(f"{base}/{d}")) for d in ("delta", "snapshot", "commit")}
-    assert count["delta"] <= 10 and count["commit"] <= 10 and count["snapshot"] <= 3
-    assert rows(store.current(), "k", "v") == [(0, 28), (1, 29), (2, 26), (3, 27)]
-
-
-def test_retention_at_every_end_batch_and_with_a_far_future_click(spark, monkeypatch):
-    monkeypatch.setattr(jobs, "COMPACT_EVERY", 2)
-    root = shared_dir(spark)
-    day = 86400
-    recs = [(d * 1000 + i, d * day + 60 + i * 7, "A", "c", i % 4 if i % 3 else 50 + i, i % 2 + 1) for d in range(5) for i in range(24)]
-    recs.append((1900, 30_000 * day, "A", "c", 7, 1))      # one click with a wrong time, in the second batch
-    df = ads(spark, recs)
-    start = lambda c, o, cp, trigger: jobs.blacklist_stream(c, o, cp, 5, trigger=trigger, retain_days=1)  # noqa
-    for d in range(5):
-        write_lines(df.filter(F.floor(F.col("event_id") / 1000) == d).coalesce(1), f"{root}/in")
-        run_once(spark, start, f"{root}/in", f"{root}/out", f"{root}/cp")
-        seen = df.filter(F.col("event_id") < (d + 1) * 1000)
-        assert rows(jobs.read_blacklist(spark, f"{root}/out", 5)) == rows(op.blacklist_users(seen, 5))
-        assert rows(jobs.read_blacklist_counts(spark, f"{root}/out", 5)) == rows(op.blacklist_filtered_counts(seen, 5))
-    write_lines(df.limit(3).coalesce(1), f"{root}/in")      # clicks of a settled day: dropped and counted
-    run_once(spark, start, f"{root}/in", f"{root}/out", f"{root}/cp")
-    assert sum(r.clicks for r in jobs.read_late_clicks(spark, f"{root}/out").collect()) == 3
-    try:
-        jobs.blacklist_stream(df, f"{root}/x", f"{root}/y", mode="micro_batch", retain_days=1)
-        raise AssertionError("accepted")
-    except ValueError:
-        pass
-
-
-def test_bad_lines_are_kept_beside_a_job(spark):
+def test_lines_are_split_in_one_pass(spark):
     root = shared_dir(spark)
-    spark.createDataFrame([("1704110400000 A B u 1",), ("nonsense",), ("9223372036854775807 A B 1 2",)], "value string").coalesce(1).write.text(f"{root}/in")
-    lines = read_line_stream(spark, "text", path=f"{root}/in")
-    jobs.keep_bad_lines(lines, f"{root}/out", f"{root}/cp-bad", {"availableNow": True}).awaitTermination()
-    run_once(spark, jobs.ads_click_daily_stream, f"{root}/in", f"{root}/out", f"{root}/cp")
+    lines = ["1704110400000 A B u 1", "nonsense", "9223372036854775807 A B 1 2", "1704110400000 A B u 1 77"]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(f"{root}/in")
+    split = lambda c, o, cp, trigger: jobs.split_lines_stream(read_line_stream(spark, "text", path=f"{root}/in"), o, cp, trigger)
+    q = run_once(spark, split, f"{root}/in", f"{root}/out", f"{root}/cp")
+    assert jobs.line_counts(q) == {"read": 4, "good": 2, "bad": 2}
     assert rows(jobs.read_bad_lines(spark, f"{root}/out")) == [("9223372036854775807 A B 1 2",), ("nonsense",)]
-    assert rows(jobs.read_ads_click_daily(spark, f"{root}/out"), "adid", "clicks") == [("1", 1)]
+    assert rows(jobs.read_clicks(spark, f"{root}/out"), "userid", "dt") == [("u", "2024-01-01")] * 2
+    jobs.ads_click_daily_stream(jobs.clicks_from(spark, f"{root}/out"), f"{root}/out", f"{root}/cp2", {"availableNow": True}).awaitTermination()
+    assert rows(jobs.read_ads_click_daily(spark, f"{root}/out"), "adid", "clicks") == [("1", 2)]
+    spark.createDataFrame([("1704110400000 A B v 2",), ("x",)], "value string").coalesce(1).write.mode("append").text(f"{root}/in")
+    run_once(spark, split, f"{root}/in", f"{root}/out", f"{root}/cp")
+    jobs.ads_click_daily_stream(jobs.clicks_from(spark, f"{root}/out"), f"{root}/out", f"{root}/cp2", {"availableNow": True}).awaitTermination()
+    assert rows(jobs.read_ads_click_daily(spark, f"{root}/out"), "adid", "clicks") == [("1", 2), ("2", 1)]
+    assert jobs.read_bad_lines(spark, f"{root}/out").count() == 3
+
+
+def test_arrival_windows_follow_a_declared_clock(spark):
+    # two deliveries 20 s apart, clicks years old: each counts in the six windows of its arrival
+    root = shared_dir(spark)
+    for name, e in (("2030-01-01 00%3A00%3A00", 1), ("2030-01-01 00%3A00%3A20", 2)):
+        encode_lines(ads(spark, [(e, 5, "A", "c", 1, 1)])).coalesce(1).write.text(f"{root}/in/arrival={name}")
+    lines = read_line_stream(spark, "text", path=f"{root}/in", maxFilesPerTrigger=1, partitions="arrival timestamp")
+    clicks = parse_lines(lines, ["arrival"])
+    jobs.ads_arrival_trend_stream(clicks, f"{root}/out", f"{root}/cp", trigger={"availableNow": True}, arrival="arrival").awaitTermination()
+    got = {r.win_start: r.clicks for r in jobs.read_ads_arrival_trend(spark, f"{root}/out").collect()}
+    assert len(got) == 8 and got["2030-01-01 00:00:00"] == 2 and got["2029-12-31 23:59:30"] == 2
+    assert got["2029-12-31 23:59:10"] == 1 and got["2030-01-01 00:00:20"] == 1
