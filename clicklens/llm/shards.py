@@ -24,6 +24,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clicklens.llm.columns import Own
+
 ROUNDS = 6
 _MASK = (1 << 32) - 1
 
@@ -78,8 +80,9 @@ class Feistel:
 
     def permute(self, df: DataFrame, number: str, out: str) -> DataFrame:
         """``df`` with the permuted ``number`` in ``out``: one projection a round, so no expression is repeated."""
-        keep = [F.col(f"`{c}`") for c in df.columns if c != out]
-        df = df.select(*keep, F.col(f"`{number}`").alias("_fx"))
+        own = Own(df, [out])
+        keep = [F.col(k) for k in own.keys()]
+        df = own.df.select(*keep, F.col(own.key[number]).alias("_fx"))
         for step in range(self.steps):
             inside = (F.col("_fx") < self.n) & F.lit(step > 0)
             df = df.select(*keep, F.col("_fx"), inside.alias("_in"),
@@ -92,7 +95,7 @@ class Feistel:
                 df = df.select(*keep, "_fx", "_in", *pair)
             df = df.select(*keep, F.when(F.col("_in"), F.col("_fx"))
                            .otherwise(F.col("_l") * F.lit(self.b) + F.col("_r")).alias("_fx"))
-        return df.select(*keep, F.col("_fx").alias(out))
+        return df.select(*own.back(), F.col("_fx").alias(out))
 
 
 def number_rows(df: DataFrame, order: list[str], n: int, out: str = "row_number") -> DataFrame:
@@ -100,11 +103,11 @@ def number_rows(df: DataFrame, order: list[str], n: int, out: str = "row_number"
 
     The order is: hash bucket, then ``order``, then all columns.
     """
-    cols = [c for c in df.columns if c != out]
-    every = [F.col(f"`{c}`") for c in cols]
+    own = Own(df, [out])
+    every = [F.col(k) for k in own.keys()]
     buckets = max(1, n // max(1000, math.isqrt(n)))
-    lead = [F.col(f"`{c}`") for c in order]
-    counted = df.select(*every).groupBy(*cols).agg(F.count(F.lit(1)).alias("_copies"))
+    lead = [F.col(own.key[c]) for c in order]
+    counted = own.df.select(*every).groupBy(*own.keys()).agg(F.count(F.lit(1)).alias("_copies"))
     hashed = counted.withColumn("_h", F.xxhash64(*every)).withColumn("_b", F.pmod(F.col("_h"), F.lit(buckets)))
     # one row a bucket, so about sqrt(n) rows in the one task that adds them up
     sizes = hashed.groupBy("_b").agg(F.sum("_copies").alias("_n"))
@@ -113,20 +116,21 @@ def number_rows(df: DataFrame, order: list[str], n: int, out: str = "row_number"
     ranked = hashed.withColumn("_to", F.sum("_copies").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     placed = ranked.join(offsets, "_b").withColumn("_from", F.col("_off") + F.col("_to") - F.col("_copies"))
     # runs of equal rows are cut into pieces before they are laid out, so a long run is no single task's work
-    single = placed.where("_copies = 1").select(*every, F.col("_from").alias(out))
+    single = placed.where("_copies = 1").select(*own.back(), F.col("_from").alias(out))
     piece = F.explode(F.sequence(F.col("_from"), F.col("_from") + F.col("_copies") - 1, F.lit(10_000).cast("long")))
     runs = (placed.where("_copies > 1").select(*every, (F.col("_from") + F.col("_copies")).alias("_end"), piece.alias("_p"))
             .repartition("_p"))
-    many = runs.select(*every, F.explode(F.sequence(
+    many = runs.select(*own.back(), F.explode(F.sequence(
         F.col("_p"), F.least(F.col("_end"), F.col("_p") + 10_000) - 1)).alias(out))
     return single.unionByName(many)
 
 
 def shard_rows(df: DataFrame, shards: int, order: list[str], seed: int = 0) -> DataFrame:
     """``df`` with ``row_number``, ``shard`` (0..shards-1) and ``slot`` (0.. without gaps in each shard)."""
-    base = df.select(*[F.col(f"`{c}`") for c in df.columns if c not in ("row_number", "shard", "slot")])
+    own = Own(df, ["row_number", "shard", "slot"])
+    base = own.df.select(*own.keys())
     n = base.count()
-    numbered = number_rows(base, order, n)
+    numbered = number_rows(base, [own.key[c] for c in order], n)
     moved = Feistel(n, seed).permute(numbered, "row_number", "_p")
-    return (moved.withColumn("shard", (F.col("_p") % F.lit(shards)).cast("int"))
-            .withColumn("slot", F.expr(f"_p div {int(shards)}L")).drop("_p"))
+    return moved.select(*own.back(), "row_number", (F.col("_p") % F.lit(shards)).cast("int").alias("shard"),
+                        F.expr(f"_p div {int(shards)}L").alias("slot"))
