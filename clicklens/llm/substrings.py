@@ -9,7 +9,8 @@ that could match a shard are brought to it:
    windows have equal anchors, and neighbouring windows mostly share one (about one anchor in 5 words). A
    document's windows with one anchor form a stretch, at most ``2 n - gram`` words.
 2. Rows (anchor, id, digest of the stretch) meet by anchor. Only anchors under two ids or more matter. If all
-   their stretches are equal, every id but the smallest has its stretch removed; nothing more is read.
+   their stretches are equal, every id but the smallest has its stretch removed; nothing more is read. Digests are
+   BLAKE2b of the stretch's bytes, 128 bits: no word goes on a word hash, which only routes.
 3. The different stretches of an anchor are a reference shard. Equal ones are grouped before the shuffle
    under their smallest id (larger ids lose every window of it). In ascending order of id each one is
    streamed through the shard's suffix automaton, then added to it: the matching statistic at a word is the
@@ -21,24 +22,26 @@ Rows of an anchor meet in one task in 2, so anchors that hold over 1/100,000 of
 documents (1 in 16, by hash; 100,000 anchors at most) are counted with a grouped aggregate and a broadcast
 join instead. The sample only routes: both ways give the same rows.
 
-Copies of a whole text are found by digest first and take no part in 3 and 4.
+Copies of a whole text are found by their SHA-256 first (128 bits of it) and take no part in 3 and 4.
 
-Defined cases: a null or empty text has no words and nothing removed; rows with a null id come after all
-ids, in the order of their texts' hashes; rows that share an id never remove from each other; an empty
-table gives an empty result. Only id and text are read, so other columns' names do not matter.
+Defined cases: a null or empty text has no words and nothing removed; ids that are no whole numbers come after
+all that are, in the order of their hashes, and rows with a null id likewise, by their texts' hashes; rows that
+share an id never remove from each other; an empty table gives an empty result. Only id and text are read, so other columns' names do not matter.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from clicklens.llm.columns import quoted
 from clicklens.llm.lineage import cut
-from clicklens.llm.words import NOT_BLANK, Words, mix, window_hashes, word_blocks
+from clicklens.llm.words import NOT_BLANK, Words, window_hashes, word_blocks
 
 GRAM = 5
 SHARD = 2_000
@@ -131,7 +134,7 @@ class SuffixAutomaton:
         return out
 
 
-def _shard_hits(rows: list[tuple[str, int, int]], n: int) -> Iterator[tuple[int, int, int]]:
+def _shard_hits(rows: list[tuple[str, tuple[int, int], int]], n: int) -> Iterator[tuple[tuple[int, int], int, int]]:
     """(digest, smallest id, windows hit as bits) of a shard's stretches (words, digest, id), sorted by id."""
     if len(rows) == 1:
         yield rows[0][1], rows[0][2], 0
@@ -152,15 +155,18 @@ def _shard_hits(rows: list[tuple[str, int, int]], n: int) -> Iterator[tuple[int,
 
 
 def _with_key(docs: DataFrame, id_col: str, text: str) -> DataFrame:
-    """(id, text, doc, th): ``doc`` orders documents; a null id lies above all others, by the text's hash."""
-    t = F.col(f"`{text}`")
-    above = F.lit((1 << 63) - 1) - F.pmod(F.xxhash64(t), F.lit(1 << 61))
-    return docs.select(F.col(f"`{id_col}`").alias("id"), t.alias("text"),
-                       F.coalesce(F.col(f"`{id_col}`").cast("long"), above).alias("doc"), F.xxhash64(t).alias("th"))
+    """(id, text, doc, th, th2): ``doc`` orders documents; an id that is no number, or none, lies above all others, by
+    the hash of the id or of the text. ``th`` and ``th2`` are 128 bits of the text's SHA-256."""
+    t, i = F.col(quoted(text)).cast("string"), F.col(quoted(id_col))
+    above = F.lit((1 << 63) - 1) - F.pmod(F.when(i.isNull(), F.xxhash64(t)).otherwise(F.xxhash64(i.cast("string"))), F.lit(1 << 61))
+    sha = F.sha2(F.coalesce(t, F.lit("")), 256)
+    part = lambda at: F.conv(F.substring(sha, at, 16), 16, -10).cast("long")
+    return docs.select(i.alias("id"), t.alias("text"), F.coalesce(i.cast("string").try_cast("long"), above).alias("doc"),
+                       part(1).alias("th"), part(17).alias("th2"))
 
 
 def _anchors(docs: DataFrame, n: int, gram: int, popular=None) -> DataFrame:
-    """(doc, anchor, digest of its stretch, whether the anchor is among ``popular``) of every stretch."""
+    """(doc, anchor, digest of its stretch in two halves, whether the anchor is among ``popular``) of every stretch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = popular.value if popular is not None else np.empty(0, dtype=np.uint64)
         for b in batches:
@@ -170,15 +176,18 @@ def _anchors(docs: DataFrame, n: int, gram: int, popular=None) -> DataFrame:
                 if len(first):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(ids[w.first + w.row[first]]), pa.array(anchor.view(np.int64)),
-                         pa.array(_digests(w, first, size, n).view(np.int64)), pa.array(np.isin(anchor, known))],
-                        names=["doc", "anchor", "digest", "popular"])
-    return docs.select("doc", "text").mapInArrow(run, "doc long, anchor long, digest long, popular boolean")
+                         *_digests(w.joined(), first, size + n - 1), pa.array(np.isin(anchor, known))],
+                        names=["doc", "anchor", "da", "db", "popular"])
+    return docs.select("doc", "text").mapInArrow(run, "doc long, anchor long, da long, db long, popular boolean")
 
 
-def _digests(w: Words, first: np.ndarray, size: np.ndarray, n: int) -> np.ndarray:
-    """Digest of each stretch: its first and last window cover it."""
-    h = window_hashes(w.hashes(), n)
-    return mix(h[first] * np.uint64(3) + h[first + size - 1] * np.uint64(5) + size.astype(np.uint64))
+def _digests(joined: tuple[bytes, np.ndarray, np.ndarray], first: np.ndarray, words: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    """128-bit digests, in two halves, of the bytes of runs of ``words`` words from ``first``."""
+    data, begin, end = joined
+    view = memoryview(data)
+    found = b"".join([blake2b(view[a:z], digest_size=16).digest() for a, z in zip(begin[first].tolist(), end[first + words - 1].tolist())])
+    halves = np.frombuffer(found, dtype=np.int64).reshape(-1, 2)
+    return pa.array(halves[:, 0].copy()), pa.array(halves[:, 1].copy())
 
 
 def _flags(src: DataFrame, n: int, gram: int, shard: int) -> DataFrame:
@@ -188,13 +197,14 @@ def _flags(src: DataFrame, n: int, gram: int, shard: int) -> DataFrame:
     often = sampled.where(F.col("count") >= max(8, total // 100_000)).select("anchor").collect()
     popular = src.sparkSession.sparkContext.broadcast(np.sort(np.array([r[0] for r in often], dtype=np.int64).view(np.uint64)))
     found = _anchors(src, n, gram, popular)
-    seen = {"least": F.min("doc"), "most": F.max("doc"), "d0": F.min("digest"), "d1": F.max("digest"), "n": F.count(F.lit(1))}
+    seen = {"least": F.min("doc"), "most": F.max("doc"), "n": F.count(F.lit(1))}
+    seen |= {f"{d}{k}": f(d) for d in ("da", "db") for k, f in ((0, F.min), (1, F.max))}
     by = Window.partitionBy("anchor")
     cold = (found.where("not popular").select("doc", "anchor", *[f.over(by).alias(k) for k, f in seen.items()]))
     rows = found.where("popular")
     stats = rows.groupBy("anchor").agg(*[f.alias(k) for k, f in seen.items()])
     hot = rows.select("doc", "anchor").join(F.broadcast(stats), "anchor")
-    kind = (F.when(F.col("d0") == F.col("d1"), F.when(F.col("doc") > F.col("least"), "sure"))
+    kind = (F.when((F.col("da0") == F.col("da1")) & (F.col("db0") == F.col("db1")), F.when(F.col("doc") > F.col("least"), "sure"))
             .when(F.col("n") <= shard, "maybe").otherwise("apart"))
     return (cold.unionByName(hot).where("least < most").select("doc", "anchor", kind.alias("kind"))
             .where("kind is not null"))
@@ -214,7 +224,7 @@ def _in_rows(row: np.ndarray, values: np.ndarray, lists, first: int) -> np.ndarr
 
 
 def _routed(flagged: DataFrame, n: int, gram: int) -> DataFrame:
-    """(doc, th, start, windows, key, digest, stretch) of the stretches and windows that need an automaton."""
+    """(doc, th, start, windows, key, da, db, stretch) of the stretches and windows that need an automaton."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids, ths = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 2))
@@ -235,43 +245,44 @@ def _routed(flagged: DataFrame, n: int, gram: int) -> DataFrame:
                 if not len(at):
                     continue
                 keys = np.concatenate((anchor[one], window_hashes(w.hashes(), n)[at_cut]))
-                data = w.buf.tobytes()
-                s, e = w.starts.tolist(), w.ends.tolist()
-                texts = [b" ".join([data[s[j]:e[j]] for j in range(a, a + c + n - 1)])
-                         for a, c in zip(at.tolist(), count.tolist())]
+                joined = data, s, e = w.joined()
+                texts = [data[a:z] for a, z in zip(s[at].tolist(), e[at + count + n - 2].tolist())]
                 begin = w.first_word()[w.row[at]]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids[w.first + w.row[at]]), pa.array(ths[w.first + w.row[at]]),
                      pa.array((at - begin).astype(np.int32)), pa.array(count.astype(np.int32)),
-                     pa.array(keys.view(np.int64)), pa.array(_digests(w, at, count, n).view(np.int64)),
+                     pa.array(keys.view(np.int64)), *_digests(joined, at, count + n - 1),
                      pa.array(texts, pa.binary()).cast(pa.string())],
-                    names=["doc", "th", "start", "windows", "key", "digest", "stretch"])
-    return flagged.mapInArrow(run, "doc long, th long, start int, windows int, key long, digest long, stretch string")
+                    names=["doc", "th", "start", "windows", "key", "da", "db", "stretch"])
+    return flagged.mapInArrow(run, "doc long, th long, start int, windows int, key long, da long, db long, stretch string")
 
 
 def _matched(shards: DataFrame, n: int) -> DataFrame:
-    """(key, digest, least, mask): ``shards`` (key, stretch, digest, least) streamed shard by shard."""
+    """(key, da, db, least, mask): ``shards`` (key, stretch, da, db, least) streamed shard by shard."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, rows = None, []
         out: list[tuple] = []
+
+        def settle():
+            out.extend((key, *digest, least, mask) for digest, least, mask in (_shard_hits(rows, n) if rows else ()))
         for b in batches:
-            for k, text, digest, least in zip(*(c.to_pylist() for c in b.columns)):
+            for k, text, da, db, least in zip(*(c.to_pylist() for c in b.columns)):
                 if k != key:
-                    out += [(key, *hit) for hit in _shard_hits(rows, n)] if rows else []
+                    settle()
                     key, rows = k, []
-                rows.append((text, digest, least))
+                rows.append((text, (da, db), least))
                 if len(out) >= 10_000:
                     yield _batch(out)
                     out = []
-        out += [(key, *hit) for hit in _shard_hits(rows, n)] if rows else []
+        settle()
         yield _batch(out)
 
     def _batch(out):
-        cols = zip(*out) if out else ((), (), (), ())
+        cols = zip(*out) if out else ((),) * 5
         return pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in cols],
-                                          names=["key", "digest", "least", "mask"])
-    ordered = shards.select("key", "stretch", "digest", "least").repartition("key").sortWithinPartitions("key", "least")
-    return ordered.mapInArrow(run, "key long, digest long, least long, mask long")
+                                          names=["key", "da", "db", "least", "mask"])
+    ordered = shards.select("key", "stretch", "da", "db", "least").repartition("key").sortWithinPartitions("key", "least")
+    return ordered.mapInArrow(run, "key long, da long, db long, least long, mask long")
 
 
 def remove_repeats(docs: DataFrame, n: int = 13, id_col: str = "doc_id", text: str = "text", gram: int = GRAM,
@@ -280,7 +291,7 @@ def remove_repeats(docs: DataFrame, n: int = 13, id_col: str = "doc_id", text: s
     if not 0 < n - gram + 1 <= 63:
         raise ValueError("a stretch has 1 to 63 windows")
     src = _with_key(docs, id_col, text)
-    digest = src.select("doc", "th", F.xxhash64(F.lit("second"), "text").alias("th2"))
+    digest = src.select("doc", "th", "th2")
     firsts = cut(digest.groupBy("th", "th2").agg(F.min("doc").alias("least")))
     copies = digest.join(firsts, ["th", "th2"]).where("doc > least").select("doc", F.col("th").alias("anchor"), F.lit("copy").alias("kind"))
     flags = cut(_flags(src, n, gram, shard).unionByName(copies).groupBy("doc").agg(
@@ -288,9 +299,9 @@ def remove_repeats(docs: DataFrame, n: int = 13, id_col: str = "doc_id", text: s
     # one plan of one shape wherever texts and flags meet, so that the texts are shuffled once
     texts = src.select("doc", "id", "th", "text").join(flags, "doc", "left").select("doc", "id", "th", "text", "sure", "maybe", "apart", "copy")
     routed = _routed(texts, n, gram)
-    shards = routed.groupBy("key", "digest", "stretch").agg(F.min("doc").alias("least"))
+    shards = routed.groupBy("key", "da", "db", "stretch").agg(F.min("doc").alias("least"))
     matched = _matched(shards, n)
-    hits = (routed.select("doc", "th", "start", "windows", "key", "digest").join(matched, ["key", "digest"])
+    hits = (routed.select("doc", "th", "start", "windows", "key", "da", "db").join(matched, ["key", "da", "db"])
             .select("doc", "th", "start", "windows",
                     F.when(F.col("doc") > F.col("least"), F.lit(-1).cast("long")).otherwise(F.col("mask")).alias("mask"))
             .where("mask <> 0")

@@ -61,6 +61,16 @@ class Words:
     def hashes(self) -> np.ndarray:
         return word_hashes(self.buf, self.starts, self.ends)
 
+    def joined(self) -> tuple[bytes, np.ndarray, np.ndarray]:
+        """(all words joined by one blank each, start and end of each word in it): equal runs of words are equal bytes."""
+        size = self.ends - self.starts
+        begin = np.cumsum(size + 1) - (size + 1)
+        out = np.full(int((size + 1).sum()), 0x20, dtype=np.uint8)
+        move = np.repeat(begin - self.starts, size)     # how far each byte of a word goes
+        at = np.arange(len(move)) + np.repeat(self.starts - (np.cumsum(size) - size), size)
+        out[at + move] = self.buf[at]
+        return out.tobytes(), begin, begin + size
+
     def first_word(self) -> np.ndarray:
         """Index of each row's first word; one more at the end."""
         return np.concatenate(([0], np.cumsum(self.counts())))
