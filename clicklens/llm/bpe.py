@@ -35,7 +35,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from clicklens.llm.columns import Own
 from clicklens.llm.lineage import cut
 from clicklens.llm.words import NOT_BLANK, word_blocks
 
@@ -74,6 +76,7 @@ def chunks(texts, size: int = CHUNK) -> Iterator[list[bytes]]:
             yield [data[x:y] for x, y in zip(edges, edges[1:])] if z > a else []
 
 
+_BLANKS = b" \t\n\r\x0b\x0c"
 _PIECE = re.compile(rb"[ \t\n\r\x0b\x0c]*[^ \t\n\r\x0b\x0c]+|[ \t\n\r\x0b\x0c]+")
 
 
@@ -114,10 +117,14 @@ class ChunkEncoder:
                 for e in self.tok.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)]
 
     def _learn(self, pieces: list[bytes]) -> None:
-        """Ids of new pieces, in runs; a token outside a piece ends the use of pieces."""
+        """Ids of new pieces: those of blanks and a word in runs, where a token outside a piece ends the use of pieces;
+        others (a text's first word, or its last blanks) by themselves."""
+        alone = [p for p in pieces if p[0] not in _BLANKS or p[-1] in _BLANKS]
+        self.pieces.update(zip(alone, self._encode(alone)))
+        pieces = [p for p in pieces if p[0] in _BLANKS and p[-1] not in _BLANKS]
         for a in range(0, len(pieces), RUN):
             part = pieces[a:a + RUN]
-            texts = [p.decode() if p[0] in b" \t\n\r\x0b\x0c" else "\n" + p.decode() for p in part]
+            texts = [p.decode() for p in part]
             run = self.tok.encode("".join(texts), add_special_tokens=False)
             edges = np.cumsum([0, *map(len, texts)])
             spans = np.array(run.offsets, dtype=np.int64).reshape(-1, 2)
@@ -180,11 +187,15 @@ class ChunkEncoder:
 
     def _repair(self, before: list[bytes], left_ids: bytes, right: bytes, right_ids: bytes) -> bytes:
         """Ids of the chunks ``before`` (``left_ids``) and of ``right``, with the join encoded anew."""
-        a, z, k = _PIECE.findall(before[-1]), _PIECE.findall(right), 2
-        while k < max(len(a), len(z)):
+        a, z, k, used = _PIECE.findall(before[-1]), _PIECE.findall(right), 2, 1
+        while k < len(a) or used < len(before):
+            while k >= len(a) and used < len(before):    # on into earlier chunks, twice as many each time
+                used = min(len(before), 2 * used)
+                a = _PIECE.findall(b"".join(before[-used:]))
             tail, head = b"".join(a[-k:]), b"".join(z[:k])
             t, h, mid, first, last = self._encode([tail, head, tail + head, a[-k:][0], z[:k][-1]])
-            if left_ids.endswith(t) and right_ids.startswith(h) and mid.startswith(first) and mid.endswith(last):
+            # where the right chunk is taken whole nothing after it is judged here: its own join comes next
+            if left_ids.endswith(t) and right_ids.startswith(h) and mid.startswith(first) and (k >= len(z) or mid.endswith(last)):
                 return left_ids[:len(left_ids) - len(t)] + mid + right_ids[len(h):]
             k *= 2
         return self._encode([b"".join(before) + right])[0]
@@ -207,16 +218,17 @@ def _homes(docs: DataFrame, at: int, size: int) -> DataFrame:
             home = [min(map(xxhash.xxh64_intdigest, c), default=0) for c in chunks(b.column(at), size)]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(np.array(home, dtype=np.uint64).view(np.int64))],
                                              names=[*b.schema.names, "_home"])
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields]
-    return docs.mapInArrow(run, ", ".join([*fields, "_home long"]))
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields]).add("_home", "long"))
 
 
 def encode_documents(docs: DataFrame, vocab: str, outputs: Sequence[str] = ("n_tokens", "ids"), text: str = "text",
                      carry: Sequence[str] = ("doc_id",), size: int = CHUNK) -> DataFrame:
     """The ``carry`` columns of every row with the wanted ``OUTPUTS`` of its text."""
-    src = docs.select(*[F.col(f"`{c}`") for c in carry], F.col(f"`{text}`").alias("_text"))
+    carry = [c for c in carry if c not in outputs]
+    own = Own(docs, set(docs.columns) - set(carry))
+    src = own.df.select(*[F.col(own.key[c]) for c in carry], F.col(own.key[text]).alias("_text"))
     at = len(carry)
-    row = F.xxhash64(*[F.col(f"`{c}`") for c in carry])
+    row = F.xxhash64(*[F.col(own.key[c]) for c in carry])
     counted = cut(_homes(src.where(F.pmod(row, F.lit(16)) == 0).select("_text"), 0, size).groupBy("_home").count())
     n = counted.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
     hot = [r[0] for r in counted.where(F.col("count") > max(16, n // 200)).select("_home").collect()]
@@ -240,5 +252,6 @@ def encode_documents(docs: DataFrame, vocab: str, outputs: Sequence[str] = ("n_t
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[:at], *(pa.array(made[o](), OUTPUTS[o][1]) for o in outputs)],
                     names=[*part.schema.names[:at], *outputs])
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:at]]
-    return placed.mapInArrow(run, ", ".join([*fields, *(f"{o} {OUTPUTS[o][0]}" for o in outputs)]))
+    made = T.StructType.fromDDL(", ".join(f"{o} {OUTPUTS[o][0]}" for o in outputs))
+    found = placed.mapInArrow(run, T.StructType([*src.schema.fields[:at], *made.fields]))
+    return found.select(*[F.col(own.key[c]).alias(c) for c in carry], *outputs)
