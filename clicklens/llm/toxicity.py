@@ -5,15 +5,17 @@ risk  prior * R_p(+) + max(0, R_u(-) - prior * R_p(-)),  logistic loss; when the
 step goes up its gradient instead (the non-negative correction). Rows marked not toxic are not used as
 negatives: they are unlabelled texts like any other, and only tell the class prior.
 
-Features of a text are the presence of its lower-cased words and of their first 4, 5 and 6 bytes, as 64-bit
-hashes. A classifier keeps those that are clearly more frequent among its positives than among its
-unlabelled texts (z of ``z_least``), ``max_features`` at most.
-
-Training uses a bounded sample, chosen by hash: ``max_positive`` confirmed and ``max_unlabelled`` unlabelled
-texts (about; stated parameters), split into bags by the text's hash: one bag for each full 500 labelled
-positives, at least one and at most ``bags``. Each bag trains one classifier in one task. What the driver
-collects and broadcasts is the weights: ``bags * max_features`` at most. Scoring reads every text whole.
-A sample that lacks a class which the tables hold is an error (``ValueError``), not a model.
+Features of a text are the presence of its lower-cased words and of their first 4, 5 and 6 bytes, hashed into
+2^22 bins, so that the memory of a task does not depend on the vocabulary and no feature is left out beforehand. A
+classifier keeps the bins that are clearly more, or clearly less, frequent among its positives than among its
+unlabelled texts (z of ``z_least`` either way), ``max_features`` at most: a word can speak for a text, too.
+
+Unlabelled texts: a share of all documents (``unlabelled_share``, by hash of the id), or ``max_unlabelled`` of them
+where that is more, so the sample grows with the input. Confirmed examples: about ``max_positive`` (a bound on labelled
+rows). Both are dealt to bags of about ``bag`` unlabelled texts and ``bag_positive`` confirmed ones, an example to
+several bags if need be; a bag trains one classifier in one task, and Spark adds the bags' weights by bin. What the
+driver collects and broadcasts is one weight a bin. Scoring reads every text whole. A sample that lacks a class which
+the tables hold is an error (``ValueError``), not a model.
 
 Defined cases: a null or empty text has no feature and gets the classifiers' bias; labels of unknown ids and
 null labels are ignored; an id that is repeated in labels counts as toxic if any of its rows is; without a
@@ -30,12 +32,19 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from clicklens.llm.columns import Own, quoted
 from clicklens.llm.lineage import chosen
 from clicklens.llm.words import ALNUM, Words, word_blocks, word_hashes
 
 HEADS = (4, 5, 6)
-_BITS = 1 << 22
+SPACE = 1 << 22     # bins of the hashed feature space
+UNIT = 1 << 32      # weights are summed in whole units of 1 / UNIT
+
+
+def _bins(h: np.ndarray) -> np.ndarray:
+    return (h & np.uint64(SPACE - 1)).astype(np.int64)
 
 
 def _features(w: Words) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -50,119 +59,116 @@ def _features(w: Words) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 @dataclass
 class Weights:
-    """Summed classifiers: sorted feature hashes, their weights, and the bias."""
-    hashes: np.ndarray
+    """Averaged classifiers: the bins of features, their weights, and the bias."""
+    bins: np.ndarray
     weights: np.ndarray
     bias: float
 
     def scores(self, texts) -> np.ndarray:
         """Score in 0..1 of each text of an Arrow column."""
-        known = np.zeros(_BITS, dtype=bool)
-        known[(self.hashes & np.uint64(_BITS - 1)).astype(np.int64)] = True
+        known = np.zeros(SPACE, dtype=bool)
+        known[self.bins] = True
         out = []
         for w in word_blocks(texts, ALNUM, lower=True):
             total = np.full(w.rows, self.bias)
-            rows, ats = [], []
+            found = [np.empty(0, dtype=np.int64)]
             for row, h in _features(w):
-                maybe = np.flatnonzero(known[(h & np.uint64(_BITS - 1)).astype(np.int64)])
-                at = np.minimum(np.searchsorted(self.hashes, h[maybe]), max(0, len(self.hashes) - 1))
-                hit = self.hashes[at] == h[maybe] if len(self.hashes) else np.zeros(len(at), dtype=bool)
-                rows.append(row[maybe[hit]])
-                ats.append(at[hit])
-            pairs = np.unique(np.concatenate(rows).astype(np.int64) * max(1, len(self.hashes)) + np.concatenate(ats))
+                at = _bins(h)
+                hit = np.flatnonzero(known[at])
+                found.append(row[hit].astype(np.int64) * SPACE + at[hit])
+            pairs = np.unique(np.concatenate(found))
             if len(pairs):
-                np.add.at(total, pairs // len(self.hashes), self.weights[pairs % len(self.hashes)])
+                np.add.at(total, pairs // SPACE, self.weights[np.searchsorted(self.bins, pairs % SPACE)])
             out.append(1.0 / (1.0 + np.exp(-np.clip(total, -60, 60))))
         return np.concatenate(out) if out else np.empty(0)
 
 
+def nnpu_gradient(theta: np.ndarray, rows: np.ndarray, cols: np.ndarray, positive: np.ndarray, prior: float) -> np.ndarray:
+    """Direction of the non-negative risk at ``theta`` (weights, then the bias) on binary features (``rows``, ``cols``)."""
+    n_pos = max(1, int(positive.sum()))
+    n_unl = max(1, len(positive) - int(positive.sum()))
+    z = np.bincount(rows, weights=theta[cols], minlength=len(positive)) + theta[-1]
+    s = 1.0 / (1.0 + np.exp(-np.clip(z, -60, 60)))
+    loss_neg = np.logaddexp(0, z)
+    bracket = loss_neg[~positive].sum() / n_unl - prior * loss_neg[positive].sum() / n_pos
+    # d loss(+)/dz = s - 1, d loss(-)/dz = s
+    up = np.where(positive, prior * (s - 1) / n_pos, 0.0)
+    down = np.where(positive, -prior * s / n_pos, s / n_unl)
+    g = up + down if bracket >= 0 else -down
+    return np.append(np.bincount(cols, weights=g[rows], minlength=len(theta) - 1), g.sum())
+
+
 def nnpu_fit(rows: np.ndarray, cols: np.ndarray, positive: np.ndarray, n_features: int, prior: float,
-             steps: int = 400, rate: float = 0.05, l2: float = 1e-3) -> tuple[np.ndarray, float]:
+             steps: int = 400, rate: float = 0.05, l2: float = 1e-2) -> tuple[np.ndarray, float]:
     """Weights and bias of a linear classifier on binary features (``rows``, ``cols``) by the non-negative risk."""
-    n, n_pos = len(positive), max(1, int(positive.sum()))
-    n_unl = max(1, n - int(positive.sum()))
     theta = np.zeros(n_features + 1)
     theta[-1] = np.log(prior / (1 - prior))
     m, v = np.zeros_like(theta), np.zeros_like(theta)
     for t in range(1, steps + 1):
-        z = np.bincount(rows, weights=theta[cols], minlength=n) + theta[-1]
-        s = 1.0 / (1.0 + np.exp(-np.clip(z, -60, 60)))
-        loss_neg = np.logaddexp(0, z)
-        bracket = loss_neg[~positive].sum() / n_unl - prior * loss_neg[positive].sum() / n_pos
-        # d loss(+)/dz = s - 1, d loss(-)/dz = s
-        up = np.where(positive, prior * (s - 1) / n_pos, 0.0)
-        down = np.where(positive, -prior * s / n_pos, s / n_unl)
-        g = up + down if bracket >= 0 else -down
-        grad = np.append(np.bincount(cols, weights=g[rows], minlength=n_features), g.sum())
+        grad = nnpu_gradient(theta, rows, cols, positive, prior)
         grad[:-1] += l2 * prior * theta[:-1]
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
         theta -= rate * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
     return theta[:-1], float(theta[-1])
 
 
-def _present(texts, known: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(row, hash) of the features of each text, once a text; of ``known`` (sorted hashes) only if given."""
+def _present(texts) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(row, bin) of the features of each text, once a text."""
     for w in word_blocks(texts, ALNUM, lower=True):
-        for row, h in _features(w):
-            if known is not None:
-                at = np.minimum(np.searchsorted(known, h), max(0, len(known) - 1))
-                good = known[at] == h if len(known) else np.zeros(len(h), dtype=bool)
-                row, h = row[good], h[good]
-            order = np.lexsort((h, row))
-            row, h = row[order], h[order]
-            new = np.ones(len(row), dtype=bool)
-            new[1:] = (row[1:] != row[:-1]) | (h[1:] != h[:-1])
-            yield row[new] + w.first, h[new]
-
-
-def _train(texts: pa.Array, positive: np.ndarray, prior: float, max_features: int, z_least: float, precise: float = 0.7):
-    """(hashes, weights, bias) of one bag."""
-    # features of fewer than three positives say too little; the others are looked up in all texts
-    seen = [h for _, h in _present(texts.filter(pa.array(positive)))]
-    names, times = np.unique(np.concatenate(seen) if seen else np.empty(0, dtype=np.uint64), return_counts=True)
-    names = names[times >= 3]
-    rows, cols = [np.empty(0, dtype=np.int32)], [np.empty(0, dtype=np.int32)]
-    for row, h in _present(texts, names):
-        rows.append(row.astype(np.int32))
-        cols.append(np.searchsorted(names, h).astype(np.int32))
-    rows, cols = np.concatenate(rows), np.concatenate(cols)
+        found = [row.astype(np.int64) * SPACE + _bins(h) for row, h in _features(w)]
+        pairs = np.unique(np.concatenate(found))
+        yield pairs // SPACE + w.first, pairs % SPACE
+
+
+def _train(texts: pa.Array, positive: np.ndarray, prior: float, max_features: int, z_least: float):
+    """(bins, weights, bias) of one bag."""
+    counts = np.zeros((2, SPACE), dtype=np.int32)
+    for row, at in _present(texts):
+        np.add.at(counts, (positive[row].astype(np.int8), at), 1)
     n_pos, n_unl = max(1, positive.sum()), max(1, (~positive).sum())
-    in_pos = np.bincount(cols, weights=positive[rows], minlength=len(names))
-    in_unl = np.bincount(cols, weights=~positive[rows], minlength=len(names))
-    p, u = in_pos / n_pos, in_unl / n_unl
+    seen = np.flatnonzero(counts.any(axis=0))
+    in_unl, in_pos = counts[:, seen]
     both = (in_pos + in_unl) / (n_pos + n_unl)
-    z = (p - u) / np.sqrt(np.maximum(both * (1 - both), 1e-12) * (1 / n_pos + 1 / n_unl))
-    good = np.flatnonzero((in_pos >= 3) & (prior * p >= precise * u) & (z >= z_least))
-    good = np.sort(good[np.argsort(-z[good], kind="stable")[:max_features]])
-    new = np.full(len(names), -1)
+    z = (in_pos / n_pos - in_unl / n_unl) / np.sqrt(np.maximum(both * (1 - both), 1e-12) * (1 / n_pos + 1 / n_unl))
+    clear = np.flatnonzero(np.abs(z) >= z_least)
+    good = np.sort(seen[clear[np.argsort(-np.abs(z[clear]), kind="stable")[:max_features]]])
+    new = np.full(SPACE, -1, dtype=np.int32)
     new[good] = np.arange(len(good))
-    use = new[cols] >= 0
-    weights, bias = nnpu_fit(rows[use], new[cols[use]], positive, len(good), prior)
-    return names[good], weights, bias
+    rows, cols = [np.empty(0, dtype=np.int64)], [np.empty(0, dtype=np.int32)]
+    for row, at in _present(texts):
+        use = new[at] >= 0
+        rows.append(row[use])
+        cols.append(new[at[use]])
+    weights, bias = nnpu_fit(np.concatenate(rows), np.concatenate(cols), positive, len(good), prior)
+    return good, weights, bias
 
 
 def fit(docs: DataFrame, labels: DataFrame, train_rows: Column, id_col: str = "doc_id", text: str = "text",
-        label: str = "toxic", max_positive: int = 8_000, max_unlabelled: int = 16_000, bags: int = 4,
-        max_features: int = 5_000, z_least: float = 4.0) -> Weights:
+        label: str = "toxic", max_positive: int = 8_000, max_unlabelled: int = 16_000, unlabelled_share: float = 1 / 16,
+        bag: int = 8_000, bag_positive: int = 2_000, max_features: int = 5_000, z_least: float = 4.0) -> Weights:
     """Train on the rows of ``docs`` and ``labels`` that ``train_rows`` (a condition on the id) admits."""
-    marked = (labels.select(F.col(f"`{id_col}`").alias(id_col), F.col(f"`{label}`").cast("int").alias("_y"))
-              .where(F.col(id_col).isNotNull() & F.col("_y").isNotNull()).where(train_rows)
-              .groupBy(id_col).agg(F.max("_y").alias("_y")))
+    name = quoted(id_col)
+    marked = (labels.select(F.col(name).alias(id_col), F.col(quoted(label)).cast("int").alias("_y"))
+              .where(F.col(name).isNotNull() & F.col("_y").isNotNull()).where(train_rows)
+              .groupBy(name).agg(F.max("_y").alias("_y")))
     n_pos, n_all = marked.agg(F.coalesce(F.sum("_y"), F.lit(0)), F.count(F.lit(1))).first()
     if not n_pos:
-        return Weights(np.empty(0, dtype=np.uint64), np.empty(0), -60.0)
+        return Weights(np.empty(0, dtype=np.int64), np.empty(0), -60.0)
     prior = min(0.9, max(1e-3, n_pos / n_all))
-    pool = docs.select(F.col(f"`{id_col}`").alias(id_col), F.col(f"`{text}`").alias("_t")).where(train_rows)
-    digest = F.xxhash64(F.lit("sample"), F.col(id_col))
+    pool = docs.select(F.col(name).alias(id_col), F.col(quoted(text)).alias("_t")).where(train_rows)
+    digest = F.xxhash64(F.lit("sample"), F.col(name))
     # about max_positive ids at most: small enough to look up where the texts lie
-    ids = F.broadcast(marked.where("_y = 1").where(chosen(digest, max_positive, n_pos)).select(id_col))
-    positives = pool.join(ids, id_col).select("_t", F.lit(True).alias("_p"))
-    unlabelled = pool.where(chosen(digest, max_unlabelled, docs.count())).select("_t", F.lit(False).alias("_p"))
-    # small samples stay in one bag: at least 500 positives a bag
-    used = max(1, min(bags, n_pos // 500))
-    sample = (positives.unionByName(unlabelled)
-              .withColumn("_bag", F.pmod(F.xxhash64(F.lit("bag"), "_t"), F.lit(used)).cast("int"))
-              .withColumn("_k", F.xxhash64("_t")))
+    ids = F.broadcast(marked.where("_y = 1").where(chosen(digest, max_positive, n_pos)).select(name))
+    total = docs.count()
+    wanted = min(total, max(max_unlabelled, int(total * unlabelled_share))) if max_unlabelled else 0
+    bags = max(1, round(wanted / bag))
+    # a confirmed example goes to as many bags as it takes to give each about bag_positive of them
+    shared = min(bags, max(1, -(-bags * bag_positive // max(1, min(n_pos, max_positive)))))
+    first = F.pmod(F.xxhash64(F.lit("bag"), "_t"), F.lit(bags))
+    positives = pool.join(ids, [id_col]).select("_t", F.lit(True).alias("_p"), F.explode(F.transform(
+        F.sequence(F.lit(0), F.lit(shared - 1)), lambda j: F.pmod(first + j, F.lit(bags)))).alias("_bag"))
+    unlabelled = pool.where(chosen(digest, wanted, total)).select("_t", F.lit(False).alias("_p"), first.alias("_bag"))
+    sample = positives.unionByName(unlabelled).withColumn("_k", F.xxhash64("_t"))
 
     def train(table: pa.Table) -> pa.Table:
         # the same sums, whatever order the rows arrived in
@@ -170,35 +176,33 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: Column, id_col: str = "d
         table = table.select(["_t", "_p"]).combine_chunks().take(pa.array(order))
         texts = table.column("_t").combine_chunks()
         positive = np.array(table.column("_p").to_pylist(), dtype=bool)
-        h, w, bias = np.empty(0, dtype=np.uint64), np.empty(0), np.nan
+        at, w, bias = np.empty(0, dtype=np.int64), np.empty(0), None
         if positive.any():
-            h, w, bias = _train(texts, positive, prior, max_features, z_least)
-        # the last row has the bias and the number of unlabelled texts
-        return pa.table({"h": pa.array(np.append(h.view(np.int64), 0)), "w": pa.array(np.append(w, 0.0)),
-                         "bias": pa.array(np.append(np.full(len(h), np.nan), bias)),
-                         "unlabelled": pa.array(np.append(np.full(len(h), -1), (~positive).sum()))})
-
-    found = sample.groupBy("_bag").applyInArrow(train, "h long, w double, bias double, unlabelled long").collect()
-    rows = [r for r in found if r.unlabelled < 0 or r.bias == r.bias]
-    biases = [r.bias for r in rows if r.bias == r.bias]
-    if not sum(r.unlabelled for r in found if r.unlabelled >= 0) and not pool.isEmpty():
+            at, w, bias = _train(texts, positive, prior, max_features, z_least)
+        # bin -1 has the bias, bin -2 the number of unlabelled texts; weights are whole units, so that sums are exact
+        return pa.table({"bin": pa.array(np.concatenate((at, [-1] * (bias is not None), [-2])).astype(np.int64)),
+                         "w": pa.array(np.rint(np.concatenate((w * UNIT, [bias * UNIT] if bias is not None else [], [(~positive).sum()]))).astype(np.int64))})
+
+    # summed over the bags in Spark: SPACE + 2 rows at most, however many bags there are
+    found = {r["bin"]: (r["w"], r["n"]) for r in sample.groupBy("_bag").applyInArrow(train, "bin long, w long")
+             .groupBy("bin").agg(F.sum("w").alias("w"), F.count(F.lit(1)).alias("n")).collect()}
+    if not found.pop(-2, (0, 0))[0] and not pool.isEmpty():
         raise ValueError("the sample has no unlabelled text: max_unlabelled is too small for the table")
-    if not biases and not pool.join(marked.where("_y = 1").select(id_col), id_col, "left_semi").isEmpty():
-        raise ValueError("the sample has no confirmed example, though the table has: max_positive is too small")
-    sums: dict[int, float] = {}
-    for r in sorted((r for r in rows if r.bias != r.bias), key=lambda r: (r.h, r.w)):
-        sums[r.h] = sums.get(r.h, 0.0) + r.w / max(1, len(biases))
-    keys = np.array(sorted(h % (1 << 64) for h in sums), dtype=np.uint64)
-    weights = np.array([sums[int(k)] for k in keys.view(np.int64)])
-    return Weights(keys, weights, float(np.mean(biases)) if biases else -60.0)
+    bias, trained = found.pop(-1, (0, 0))
+    if not trained:
+        if not pool.join(marked.where("_y = 1").select(name), [id_col], "left_semi").isEmpty():
+            raise ValueError("the sample has no confirmed example, though the table has: max_positive is too small")
+        return Weights(np.empty(0, dtype=np.int64), np.empty(0), -60.0)
+    bins = np.array(sorted(found), dtype=np.int64)
+    return Weights(bins, np.array([found[int(b)][0] for b in bins]) / UNIT / trained, bias / UNIT / trained)
 
 
 def score(docs: DataFrame, model: Weights, text: str = "text") -> DataFrame:
     """``docs`` with ``score`` (double, 0 to 1) and ``predicted`` (1 from a score of 0.5)."""
-    own = [c for c in docs.columns if c not in ("score", "predicted")]
-    src = docs.select(*[F.col(f"`{c}`") for c in own])
-    shared = docs.sparkSession.sparkContext.broadcast((model.hashes, model.weights, model.bias))
-    at = own.index(text)
+    own = Own(docs, ["score", "predicted"])
+    src = own.df.select(*own.keys())
+    shared = docs.sparkSession.sparkContext.broadcast((model.bins, model.weights, model.bias))
+    at = own.names.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = Weights(*shared.value)
@@ -206,10 +210,11 @@ def score(docs: DataFrame, model: Weights, text: str = "text") -> DataFrame:
             s = weights.scores(b.column(at))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s), pa.array((s >= 0.5).astype(np.int32))],
                                              names=[*b.schema.names, "score", "predicted"])
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields]
-    return src.mapInArrow(run, ", ".join([*fields, "score double, predicted int"]))
+    made = StructType([*src.schema.fields]).add("score", "double").add("predicted", "integer")
+    return src.mapInArrow(run, made).select(*own.back(), "score", "predicted")
 
 
 def drop_toxic(docs: DataFrame, model: Weights, text: str = "text") -> DataFrame:
     """``docs`` without those predicted toxic."""
-    return score(docs, model, text).where("predicted = 0").select(*[F.col(f"`{c}`") for c in docs.columns])
+    own = Own(docs)
+    return score(own.df, model, own.key[text]).where("predicted = 0").select(*own.back())

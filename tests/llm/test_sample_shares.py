@@ -1,5 +1,6 @@
 """Samples keep their share at any number of rows, and an empty one is an error."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -27,3 +28,32 @@ def test_a_sample_without_a_class_is_an_error(spark):
         toxicity.fit(docs, labels, F.lit(True), max_positive=0)
     # labels of unknown ids are ignored as before
     assert toxicity.fit(docs, labels.select((F.col("doc_id") + 1000).alias("doc_id"), "toxic"), F.lit(True)).bias == -60.0
+
+
+def test_the_gradient_is_that_of_the_non_negative_risk():
+    rng = np.random.default_rng(4)
+    x = rng.random((60, 9)) < 0.3
+    positive = rng.random(60) < 0.4
+    rows, cols = np.nonzero(x)
+    loss = lambda z: np.logaddexp(0, -z)
+    for prior, scale in ((0.2, 0.5), (0.9, 3.0), (0.9, -3.0), (0.5, 0.0)):
+        theta = rng.normal(size=10) * scale
+
+        def parts(t):
+            z = x @ t[:-1] + t[-1]
+            return prior * loss(z[positive]).mean(), loss(-z[~positive]).mean() - prior * loss(-z[positive]).mean()
+        plus, rest = parts(theta)
+        goal = (lambda t: sum(parts(t))) if rest >= 0 else (lambda t: -parts(t)[1])
+        plain = [(goal(theta + d) - goal(theta - d)) / 2e-6 for d in np.eye(10) * 1e-6]
+        assert np.allclose(toxicity.nnpu_gradient(theta, rows, cols, positive, prior), plain, atol=1e-6)
+
+
+def test_a_word_can_speak_for_a_text(spark):
+    rows = [(i, f"w{i % 40} " + ("vile" if i % 5 == 0 else "plain kind" if i % 5 < 4 else "plain")) for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 5 == 0).cast("int").alias("toxic"))
+    model = toxicity.fit(docs, labels, F.lit(True), bag=500)     # several bags
+    score = {r.text: r.score for r in toxicity.score(spark.createDataFrame([("vile",), ("vile kind plain",), ("kind plain",), ("",)], "text string"), model).collect()}
+    assert score["kind plain"] < score[""] and score["vile kind plain"] < score["vile"] and score["vile"] > 0.5
+    again = toxicity.fit(docs.repartition(7), labels, F.lit(True), bag=500)
+    assert (again.bins == model.bins).all() and (again.weights == model.weights).all() and again.bias == model.bias
