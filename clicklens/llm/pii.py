@@ -4,10 +4,12 @@ Built-in functions only. A kind's matches are those of ``regexp_extract_all``; t
 lengths of the stretches between them (``split`` by the same expression), in code points, end exclusive.
 
 Base kinds (always reported when their check holds): ``email``, ``ip`` (four parts, each at most 255), ``card``
-(14 to 19 digits, Luhn), ``phone`` (10 to 15 digits). Added kinds: ``iban`` (mod-97 check) and ``ssn``
-(3-2-4 digits), which has no checksum and is reported only beside a context word. A span's score is its
+(14 to 19 digits, Luhn), ``phone`` (10 to 15 digits). Added kinds: ``iban`` (mod-97 check), and four weaker ones that
+are reported only beside a context word: ``ssn`` (3-2-4 digits), ``local_phone`` (three groups of digits without a
+country), ``short_card`` (12 or 13 digits, Luhn) and ``spaced_email``. A span's score is its
 kind's base score plus 0.2 where one of the kind's context words stands within 40 characters, in the text
-between its neighbours of the same kind; spans from a score of 0.5 are reported.
+between its neighbours of the same kind; spans from a score of 0.5 are reported, so for the weaker kinds the context
+decides, and for the others it says how sure a span is.
 
 The expressions give the same matches as the plain ones in the comments beside them, but take time in
 proportion to the text: possessive loops, and a start only where a run of the first class begins or the last
@@ -24,6 +26,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clicklens.llm.columns import Own
+
 _LOCAL = r"A-Za-z0-9._%+\-"
 
 
@@ -52,6 +56,15 @@ KINDS = (
          "[A-Z]{2}[0-9]{2}", 0.6, "iban|account|bank"),
     Kind("ssn", r"(?<![0-9\-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9\-])", r"[0-9]-[0-9]{2}-[0-9]", 0.4,
          "ssn|social security|tax id"),
+    # three groups of digits without a country, such as (017) 555-7713 or 017.555.7713
+    Kind("local_phone", r"(?<![0-9+.\-])(?:\([0-9]{2,4}\)\x20?|[0-9]{2,4}[\x20.\-])[0-9]{3,4}[\x20.\-][0-9]{3,4}(?![0-9.\-]*[0-9])",
+         r"[0-9]\)?[\x20.\-]?[0-9]{3}", 0.4, "phone|call|tel|mobile|fax"),
+    # 12 or 13 digits, in groups or not
+    Kind("short_card", r"(?<![0-9\-])(?:[0-9][\x20\-]?){11,12}[0-9](?![\x20\-]?[0-9])", r"[0-9][\x20\-]?[0-9][\x20\-]?[0-9][\x20\-]?[0-9]", 0.4,
+         "card|visa|credit|payment"),
+    # name (at) host (dot) org, name @ host . org
+    Kind("spaced_email", rf"(?<![{_LOCAL}])[{_LOCAL}]{{1,64}}+(?:\x20@\x20|\x20?[(\[]at[)\]]\x20?)[A-Za-z0-9\-]++"
+         r"(?:(?:\x20\.\x20|\x20?[(\[]dot[)\]]\x20?|\.)[A-Za-z0-9\-]++)++", r"\x20@\x20|[(\[]at[)\]]", 0.4, "mail|contact|write"),
 )
 BASE = ("email", "ip", "card", "phone")
 THRESHOLD = 0.5
@@ -82,6 +95,10 @@ def _confirmed(kind: str, value: Column) -> Column:
         return ~value.rlike(r"(?:^|\.)0*(?:[1-9][0-9]{3,}|[3-9][0-9]{2}|2[6-9][0-9]|25[6-9])(?:\.|$)")
     if kind == "card":
         return F.when(F.length(digits).between(14, 19), luhn(digits)).otherwise(False)
+    if kind == "short_card":
+        return luhn(digits)
+    if kind == "local_phone":
+        return F.length(digits).between(8, 12)
     if kind == "phone":
         return F.length(digits).between(10, 15)
     if kind == "iban":
@@ -139,16 +156,16 @@ def _kind_spans(text: Column, rank: int, kind: Kind) -> Column:
 
 def find_pii(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with ``pii``: its spans (start, rank of the kind, end, kind, value, score) by start, then kind."""
-    keep = [F.col(f"`{c}`") for c in docs.columns if c != "pii"]
-    t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    own = Own(docs, ["pii"])
+    t = F.coalesce(F.col(own.key[text]), F.lit(""))
     found = F.concat(*[_kind_spans(t, rank, kind) for rank, kind in enumerate(KINDS)])
-    return docs.select(*keep, F.array_sort(found).alias("pii"))
+    return own.df.select(*own.back(), F.array_sort(found).alias("pii"))
 
 
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with every span of personal data replaced by its kind in brackets; overlapping spans become one."""
-    own = [F.col(f"`{c}`") for c in docs.columns]
-    marked = find_pii(docs.select(*own, F.col(f"`{text}`").alias("_whole")), text)
+    own = Own(docs)
+    marked = find_pii(own.df.withColumn("_whole", F.col(own.key[text])), own.key[text])
     t = F.col("_whole")
     # spans by start: a later one that begins inside the run so far only lengthens it
     none = F.array().cast("array<struct<start:int,end:int,kind:string>>")
@@ -161,11 +178,11 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
                       F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(longer))).otherwise(F.concat(acc, F.array(fresh)))
 
     runs = F.when(F.size("pii") > 0, F.aggregate("pii", none, merge)).otherwise(none)
-    df = marked.select(*[F.col(f"`{c}`") for c in docs.columns], "_whole", runs.alias("_runs"))
+    df = marked.select(*own.keys(), "_whole", runs.alias("_runs"))
     parts = F.transform("_runs", lambda s, i: F.concat(
         F.substr(t, F.when(i == 0, 1).otherwise(F.get("_runs", i - 1)["end"] + 1),
                  s["start"] - F.when(i == 0, 0).otherwise(F.get("_runs", i - 1)["end"])),
         F.lit("["), F.upper(s["kind"]), F.lit("]")))
     done = F.concat(F.array_join(parts, ""), F.substr(t, F.element_at("_runs", -1)["end"] + 1))
     new = F.when(F.size("_runs") > 0, done).otherwise(t)
-    return df.select(*[(new.alias(c) if c == text else F.col(f"`{c}`")) for c in docs.columns])
+    return df.select(*own.back(**{text: new}))

@@ -77,7 +77,8 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = F.filter("pii", lambda s: s["kind"].isin(*pii.BASE))
     count = lambda kind: F.size(F.filter("pii", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     return found.select("doc_id", *[count(k) for k in pii.BASE], F.sha2(text(base), 256).alias("base_sha256"),
-                        text(F.col("pii")).alias("spans"))
+                        text(F.col("pii")).alias("spans"),
+                        F.array_join(F.transform("pii", lambda s: F.format_number(s["score"], 1)), ",").alias("scores"))
 
 
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
