@@ -31,6 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clicklens.llm.columns import Own, quoted
 from clicklens.llm.lineage import cut
 from clicklens.llm.links import components
 from clicklens.llm.words import NOT_BLANK, word_blocks
@@ -77,8 +78,8 @@ def fingerprint(texts, shingle: int = 3, seed: int = 42) -> np.ndarray:
 
 def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, text_hash, fp): one row per row of ``docs``; ``fp`` is the fingerprint as a signed long."""
-    src = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("text_hash"),
-                      F.col(f"`{text}`").alias("text"))
+    src = docs.select(F.col(quoted(id_col)).alias("id"), F.xxhash64(F.col(quoted(text))).alias("text_hash"),
+                      F.col(quoted(text)).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -187,8 +188,10 @@ def keep_one(docs: DataFrame, shingle: int = 3, distance: int = 2, id_col: str =
     found = near_duplicates(docs, shingle, distance, id_col, text)
     # where all ids are null, min() of the struct still names one text
     first = found.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_hash")).alias("k"))
-    keep = first.select(F.col("k.id").alias("_id"), F.col("k.text_hash").alias("_text_hash"))
-    own = [F.col(f"`{c}`") for c in docs.columns]
-    marked = docs.select(*own, F.xxhash64(F.col(f"`{text}`")).alias("_h"))
-    match = marked[id_col].eqNullSafe(keep["_id"]) & (F.col("_h") == F.col("_text_hash"))
-    return marked.join(keep, match, "left_semi").dropDuplicates([id_col, "_h"]).select(*own)
+    # the join and the removal of equal rows have one key without nulls, so texts are shuffled once
+    key = lambda i, h: [i.isNull().alias("_none"), F.coalesce(i.cast("string"), F.lit("")).alias("_id"), h.alias("_h")]
+    keep = first.select(*key(F.col("k.id"), F.col("k.text_hash")))
+    own = Own(docs)
+    marked = own.df.select("*", *key(F.col(own.key[id_col]), F.xxhash64(F.col(own.key[text]))))
+    names = ["_none", "_id", "_h"]
+    return marked.join(keep, names, "left_semi").dropDuplicates(names).select(*own.back())
