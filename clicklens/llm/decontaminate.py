@@ -22,10 +22,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from clicklens.llm.columns import Own, quoted
+from clicklens.llm.lineage import cut
 from clicklens.llm.words import ALNUM, Words, window_hashes, word_blocks
 
-RESULT = "n_words long, hit_spans array<struct<start:int,end:int>>, items array<string>"
+RESULT = ("n_words", "hit_spans", "items")
+RESULT_TYPES = "n_words long, hit_spans array<struct<start:int,end:int>>, items array<string>"
 #: windows that are broadcast at most: about 100 bytes each, 200 MB in a task
 MAX_WINDOWS = 1_000_000
 
@@ -53,7 +57,7 @@ def item_windows(benchmark: DataFrame, n: int = 13, text: str = "text", item: st
                     [pa.array([o[0] for o in out], pa.string()), pa.array([o[1] for o in out], pa.int32()),
                      pa.array([o[2] for o in out], pa.int64()), pa.array([o[3] for o in out], pa.string())],
                     names=["window", "size", "hash", "item"])
-    return (benchmark.select(F.col(item).cast("string"), F.col(text).cast("string"))
+    return (benchmark.select(F.col(quoted(item)).cast("string"), F.col(quoted(text)).cast("string"))
             .mapInArrow(run, "window string, size int, hash long, item string").distinct())
 
 
@@ -103,18 +107,16 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, n: int = 13, text:
                        item_text: str = "text", item: str = "item_id", max_windows: int = MAX_WINDOWS) -> DataFrame:
     """``docs`` with ``n_words``, ``hit_spans`` (runs of hit words, by word number) and ``items`` (ids, sorted)."""
     spark = docs.sparkSession
-    windows = item_windows(benchmark, n, item_text, item).persist()
+    windows = item_windows(benchmark, n, item_text, item)
     if windows.limit(max_windows + 1).count() > max_windows:
-        return _by_join(docs, windows, n, text)
+        return _by_join(docs, cut(windows), n, text)
     known = spark.sparkContext.broadcast([tuple(r) for r in windows.collect()])
-    windows.unpersist()
-    own = [f.name for f in docs.schema.fields if f.name not in ("n_words", "hit_spans", "items")]
-    src = docs.select(*[F.col(f"`{c}`") for c in own])
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields]
+    own = Own(docs, RESULT)
+    src = own.df.select(*own.keys())
     made = pa.schema([("n_words", pa.int64()),
                       ("hit_spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
                       ("items", pa.list_(pa.string()))])
-    at = own.index(text)
+    at = own.names.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lookup = _Set(known.value)
@@ -134,24 +136,27 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, n: int = 13, text:
                 items += [sorted(marks[r][1], key=str.encode) if r in marks else [] for r in range(w.rows)]
             arrays = [pa.array(v, f.type) for v, f in zip((counts, spans, items), made)]
             yield pa.RecordBatch.from_arrays([*b.columns, *arrays], schema=pa.schema([*b.schema, *made]))
-    return src.mapInArrow(run, ", ".join([*fields, RESULT]))
+    return src.mapInArrow(run, T.StructType([*src.schema.fields, *T.StructType.fromDDL(RESULT_TYPES).fields])).select(*own.back(), *RESULT)
 
 
 def _by_join(docs: DataFrame, windows: DataFrame, n: int, text: str) -> DataFrame:
     """The same result for a benchmark too large to broadcast: windows of both sides meet by hash.
 
-    A text's windows are keyed by the text's digest, so equal texts are scanned once and rows need no id.
+    A text's windows are keyed by the text's digest, so equal texts are scanned once and rows need no id. First only
+    the windows' hashes travel (a number and a place); for those that the benchmark has, the texts are scanned again
+    and their windows are compared word by word.
     """
-    own = [c for c in docs.columns if c not in ("n_words", "hit_spans", "items")]
-    keyed = docs.select(*[F.col(f"`{c}`") for c in own]).withColumn("_text_key", F.sha2(F.col(text), 256))
+    own = Own(docs, RESULT)
+    text = own.key[text]
+    keyed = own.df.withColumn("_text_key", F.sha2(F.col(text), 256))
     # windows shorter than n come from short items; their sizes are at most n values
     sizes = sorted(r[0] for r in windows.select("size").distinct().collect())
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keys = b.column(0)
             for w in word_blocks(b.column(1), ALNUM, lower=True):
-                h, data, first = w.hashes(), w.buf.tobytes(), w.first_word()
+                h, first = w.hashes(), w.first_word()
                 for size in sizes:
                     hs = window_hashes(h, size)
                     for a in range(0, len(hs), 1 << 16):
@@ -159,24 +164,39 @@ def _by_join(docs: DataFrame, windows: DataFrame, n: int, text: str) -> DataFram
                         at = at[w.row[at] == w.row[at + size - 1]]
                         yield pa.RecordBatch.from_arrays(
                             [keys.take(pa.array(w.row[at] + w.first)), pa.array((at - first[w.row[at]]).astype(np.int32)),
-                             pa.array(hs[at].view(np.int64)),
-                             pa.array([_window_text(w, data, int(i), size).decode() for i in at], pa.string())],
-                            names=["_text_key", "pos", "hash", "window"])
+                             pa.array(np.full(len(at), size, dtype=np.int32)), pa.array(hs[at].view(np.int64))],
+                            names=["_text_key", "pos", "size", "hash"])
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for w in word_blocks(b.column(1), ALNUM, lower=True):
+                data, first, out = w.buf.tobytes(), w.first_word(), []
+                for r in range(w.rows):
+                    key = b.column(0)[w.first + r].as_py()
+                    out += [(key, x["pos"], x["size"], _window_text(w, data, int(first[r]) + x["pos"], x["size"]).decode())
+                            for x in b.column(2)[w.first + r].as_py()]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([o[i] for o in out], t) for i, t in enumerate((pa.string(), pa.int32(), pa.int32(), pa.string()))],
+                    names=["_text_key", "pos", "size", "window"])
+
     texts = keyed.groupBy("_text_key").agg(F.first(text).alias("_t")).where("_text_key is not null")
-    at = texts.mapInArrow(scan, "_text_key string, pos int, hash long, window string")
-    hits = at.join(windows, ["hash", "window"])
+    seen = texts.mapInArrow(hashes, "_text_key string, pos int, size int, hash long")
+    maybe = (seen.join(windows.select("size", "hash").distinct(), ["size", "hash"], "left_semi")
+             .groupBy("_text_key").agg(F.collect_list(F.struct("pos", "size")).alias("_maybe")))
+    at = texts.join(maybe, "_text_key").mapInArrow(compared, "_text_key string, pos int, size int, window string")
+    hits = at.join(windows.select("size", "window", "item"), ["size", "window"])
     per = (hits.groupBy("_text_key").agg(
-        F.array_sort(F.flatten(F.collect_set(F.sequence(F.col("pos"), F.col("pos") + F.col("size") - 1)))).alias("_at"),
+        F.array_distinct(F.array_sort(F.flatten(F.collect_set(F.sequence(F.col("pos"), F.col("pos") + F.col("size") - 1))))).alias("_at"),
         F.array_sort(F.collect_set("item")).alias("items")))
-    at = F.array_distinct(F.col("_at"))
-    begins = F.filter(at, lambda x: ~F.array_contains(at, x - 1))
-    ends = F.filter(at, lambda x: ~F.array_contains(at, x + 1))
+    # neighbours in the sorted words tell where a run begins and ends
+    begins = F.filter("_at", lambda x, i: (i == 0) | (F.get("_at", i - 1) < x - 1))
+    ends = F.filter("_at", lambda x, i: (i == F.size("_at") - 1) | (F.get("_at", i + 1) > x + 1))
     per = per.select("_text_key", "items", F.zip_with(
         begins, ends, lambda a, z: F.struct(a.alias("start"), (z + 1).alias("end"))).alias("hit_spans"))
     lowered = F.translate(F.col(text), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     count = F.size(F.filter(F.split(lowered, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"), lambda x: x != ""))
     return (keyed.join(per, "_text_key", "left")
-            .select(*[F.col(f"`{c}`") for c in own],
+            .select(*own.back(),
                     F.when(F.col(text).isNull(), 0).otherwise(count).cast("long").alias("n_words"),
                     F.coalesce("hit_spans", F.expr("array()").cast("array<struct<start:int,end:int>>")).alias("hit_spans"),
                     F.coalesce("items", F.expr("array()").cast("array<string>")).alias("items")))
@@ -193,18 +213,20 @@ def is_contaminated(n_words: str = "n_words", spans: str = "hit_spans", share: i
     return (hit > 0) & (F.lit(share) * hit >= F.col(n_words))
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **kw) -> DataFrame:
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", **kw) -> DataFrame:
     """``docs`` without the contaminated ones; the others stay as they are."""
-    own = docs.columns
-    return find_contamination(docs, benchmark, **kw).where(~is_contaminated()).select(*[F.col(f"`{c}`") for c in own])
+    own = Own(docs)
+    found = find_contamination(own.df, benchmark, text=own.key[text], **kw)
+    return found.where(~is_contaminated()).select(*own.back())
 
 
 def cut_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", **kw) -> DataFrame:
     """``docs`` with the hit words taken out of the text (normalised words joined by a space) where there are any."""
-    own = docs.columns
-    found = find_contamination(docs, benchmark, text=text, **kw)
+    own = Own(docs)
+    text_name, text = text, own.key[text]
+    found = find_contamination(own.df, benchmark, text=text, **kw)
     lowered = F.translate(F.col(text), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     words = F.filter(F.split(lowered, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"), lambda x: x != "")
     kept = F.filter(words, lambda x, i: ~F.exists("hit_spans", lambda s: (s["start"] <= i) & (i < s["end"])))
-    cut = F.when(F.size("hit_spans") > 0, F.array_join(kept, " ")).otherwise(F.col(text))
-    return found.withColumn(text, cut).select(*[F.col(f"`{c}`") for c in own])
+    new = F.when(F.size("hit_spans") > 0, F.array_join(kept, " ")).otherwise(F.col(text))
+    return found.select(*own.back(**{text_name: new}))
