@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clicklens.llm.columns import quoted
 from clicklens.llm.lineage import cut
 
 LARGEST = 1 << 24
@@ -112,9 +113,9 @@ def cluster(vectors: DataFrame, k: int = 16, rounds: int = 3, scale: int = 64, s
     """(id, cluster, distance, cluster_inertia, inertia, centroid: its integers) for every vector of ``size`` finite numbers."""
     if size & (size - 1) or size < 2:
         raise ValueError("size must be a power of two")
-    v = F.col(f"`{vector}`").cast("array<double>")
+    v = F.col(quoted(vector)).cast("array<double>")
     finite = F.forall(v, lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False)))
-    rows = vectors.select(F.col(f"`{id_col}`").alias("id"), v.alias("v")).where((F.size("v") == size) & finite)
+    rows = vectors.select(F.col(quoted(id_col)).alias("id"), v.alias("v")).where((F.size("v") == size) & finite)
     digest = F.sha2(F.concat(F.lit("1:"), F.col("id").cast("string")), 256)
     integers = F.transform("v", lambda x: F.floor(x * scale))
     first = rows.orderBy(digest.asc_nulls_last(), integers).limit(k).select(integers).collect()

@@ -35,6 +35,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clicklens.llm.columns import quoted
 from clicklens.llm.lineage import cut
 from clicklens.llm.words import byte_table, word_blocks
 from clicklens.operators.common import bounded_broadcast
@@ -119,7 +120,7 @@ def share(count: str, total: str, v: str) -> Column:
 def audit(docs: DataFrame, least_docs: int = 30, top: int = 50, block: int = 200_000, lang: str = "lang",
           source: str = "source", text: str = "text") -> DataFrame:
     """(lang, source, part, item, value, rank) of every group of ``docs``."""
-    rows = docs.select(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(n)
+    rows = docs.select(*[F.coalesce(F.col(quoted(c)).cast("string"), F.lit("")).alias(n)
                          for c, n in ((lang, "lang"), (source, "source"), (text, "text"))])
     over = Window.partitionBy("lang", "term")
     kept = cut(count_terms(rows).select("lang", "source", "term", "n", F.sum("n").over(over).alias("all_n"), F.sum("docs").over(over).alias("all_docs"),

@@ -25,6 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clicklens.llm.columns import Own, quoted
 from clicklens.llm.lineage import cut
 
 BLANK = r"[\x20\x09-\x0D]+"
@@ -34,8 +35,9 @@ STATS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repe
 
 def text_stats(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with the statistics of each whole text (all long)."""
-    own = [F.col(f"`{c}`") for c in docs.columns if c not in STATS]
-    t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    mine = Own(docs, STATS)
+    own, docs = [F.col(k) for k in mine.keys()], mine.df
+    t = F.coalesce(F.col(mine.key[text]), F.lit(""))
     words = F.filter(F.split(t, BLANK, -1), lambda w: w != "")
     df = docs.select(*own, F.transform(words, lambda w: F.xxhash64(w)).alias("_w"))
     n = F.size("_w")
@@ -54,7 +56,7 @@ def text_stats(docs: DataFrame, text: str = "text") -> DataFrame:
                    lines.alias("_l"))
     long = lambda c: F.length(c).cast("long")
     return df.select(
-        *own, "n_words", long(F.translate(t, " \t\n\x0b\f\r", "")).alias("word_chars"),
+        *mine.back(), "n_words", long(F.translate(t, " \t\n\x0b\f\r", "")).alias("word_chars"),
         long(F.regexp_replace(t, r"[^#*$%&|<>]+", "")).alias("n_symbols"),
         F.size("_l").cast("long").alias("n_lines"), (F.size("_l") - F.size(F.array_distinct("_l"))).cast("long").alias("n_dup_lines"),
         "n_repeat_words", long(F.regexp_replace(t, r"[^\p{L}]+", "")).alias("n_letters"),
@@ -126,7 +128,7 @@ def judge(docs: DataFrame, carry: Sequence[str] = ("doc_id",), text: str = "text
 
     The statistics, a few numbers a text, are checkpointed: the estimates and the verdicts read them.
     """
-    src = docs.select(*[F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(carry)], F.col(f"`{text}`").alias("_text"))
+    src = docs.select(*[F.col(quoted(c)).alias(f"_c{i}") for i, c in enumerate(carry)], F.col(quoted(text)).alias("_text"))
     voters = rules()
     stats = text_stats(src, "_text").drop("_text")
     names = [f"_v{i}" for i in range(len(voters))]

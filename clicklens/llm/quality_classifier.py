@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clicklens.llm.columns import quoted
 from clicklens.llm.words import NOT_BLANK, Words, window_hashes, word_blocks
 
 STATISTICS = ("log_bytes", "log_words", "word_bytes", "word_deviation", "blank", "upper", "lower", "digit", "mark", "sign",
@@ -101,7 +102,7 @@ def _block_statistics(w: Words) -> np.ndarray:
 
 def statistics(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, stats: array of ``len(STATISTICS)`` floats) of every row of ``docs``."""
-    src = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").cast("string").alias("t"))
+    src = docs.select(F.col(quoted(id_col)).alias("id"), F.col(quoted(text)).cast("string").alias("t"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -211,9 +212,9 @@ def _calibration(at: np.ndarray, ones: np.ndarray, counts: np.ndarray) -> tuple[
 def fit(stats: DataFrame, labels: DataFrame, train_rows: Column, id_col: str = "doc_id", label: str = "quality", features: int = 256,
         width: float = 1.0, ridge: float = 1e-5, folds: int = 5, bins: int = 2_000, seed: int = 12) -> Model:
     """Train on the labels that ``train_rows`` (a condition on the label table's id) admits. ``stats`` is read four times."""
-    marked = (labels.select(F.col(f"`{id_col}`").alias(id_col), F.col(f"`{label}`").cast("int").alias("y"))
-              .where(F.col(id_col).isNotNull() & F.col("y").isNotNull()).where(train_rows)
-              .groupBy(F.col(id_col).alias("id")).agg(F.min("y").alias("y")))
+    marked = (labels.select(F.col(quoted(id_col)).alias(id_col), F.col(quoted(label)).cast("int").alias("y"))
+              .where(F.col(quoted(id_col)).isNotNull() & F.col("y").isNotNull()).where(train_rows)
+              .groupBy(F.col(quoted(id_col)).alias("id")).agg(F.min("y").alias("y")))
     fold = F.pmod(F.xxhash64(F.lit("fold"), "id"), F.lit(folds)).cast("int").alias("fold")
     rows = stats.join(marked, "id").select("stats", "y", fold)
     m = len(STATISTICS)

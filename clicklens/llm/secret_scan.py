@@ -27,6 +27,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clicklens.llm.columns import Own, quoted
 from clicklens.llm.lineage import chosen, cut
 from clicklens.llm.pii import luhn, match_ends
 
@@ -51,8 +52,8 @@ FEATURES = ("length", "transitions", "digits", "hex", "upper", "distinct_chars",
 def proposals(docs: DataFrame, id_col: str = "doc_id", text: str = "text", path: str = "source") -> DataFrame:
     """(id, path, start, end, value, before, after): every proposed secret with the 40 characters before it,
     other proposals included, and up to 40 after it."""
-    t = F.col(f"`{text}`")
-    df = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{path}`").cast("string").alias("path"), t.alias("t"),
+    t = F.col(quoted(text))
+    df = docs.select(F.col(quoted(id_col)).alias("id"), F.col(quoted(path)).cast("string").alias("path"), t.alias("t"),
                      F.regexp_extract_all(t, F.lit(PROPOSAL), F.lit(0)).alias("m")).where("size(m) > 0")
     df = df.select("id", "path", "m", F.split("t", PROPOSAL, -1).alias("g"))
     df = df.select("id", "path", "m", "g", match_ends(F.col("g"), F.col("m")).alias("e"))
@@ -149,8 +150,9 @@ def mask(docs: DataFrame, findings: DataFrame, id_col: str = "doc_id", text: str
     """``docs`` with the values found to be secrets replaced by ``[SECRET]`` wherever they stand in that document;
     those of under 16 characters where they stand as whole runs."""
     values = (findings.where("secret").groupBy(F.col("id").alias("_id")).agg(F.array_sort(F.collect_set("value")).alias("_values")))
-    joined = docs.join(values, docs[id_col].eqNullSafe(F.col("_id")), "left")
+    own = Own(docs)
+    joined = own.df.join(values, own.df[own.key[id_col]].eqNullSafe(F.col("_id")), "left")
     whole = lambda v: F.concat(F.lit(rf"(?<![{RUN}])\Q"), v, F.lit(rf"\E(?![{RUN}])"))
-    new: Column = F.aggregate(F.coalesce("_values", F.array().cast("array<string>")), F.col(text), lambda acc, v: F.when(
+    new: Column = F.aggregate(F.coalesce("_values", F.array().cast("array<string>")), F.col(own.key[text]), lambda acc, v: F.when(
         F.length(v) < 16, F.regexp_replace(acc, whole(v), F.lit("[SECRET]"))).otherwise(F.replace(acc, v, F.lit("[SECRET]"))))
-    return joined.select(*[(new.alias(c) if c == text else F.col(f"`{c}`")) for c in docs.columns])
+    return joined.select(*own.back(**{text: new}))

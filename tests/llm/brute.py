@@ -145,3 +145,44 @@ def centroids(vectors: dict, k: int = 16, rounds: int = 3) -> tuple[dict, list]:
         for n, vs in own.items():
             centers[n] = [sum(x) // len(vs) for x in zip(*vs)]
     return {i: best(v)[::-1] for i, v in vectors.items()}, centers
+
+
+LETTERS = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def divergence(docs, least_docs, top):
+    """Rows (lang, source, part, item, value, rank) by plain loops over every group and kept term."""
+    counts, seen, groups = defaultdict(Counter), defaultdict(Counter), set()
+    for r in docs:
+        lang, source = r["lang"] or "", r["source"] or ""
+        terms = LETTERS.findall((r["text"] or "").translate(LOWER))
+        groups.add((lang, source))
+        counts[lang, source].update(terms)
+        seen[lang].update(set(terms))
+    out = []
+    for lang in {g[0] for g in groups}:
+        kept = sorted(t for t, n in seen[lang].items() if n >= least_docs)
+        v, sources = len(kept), sorted(g[1] for g in groups if g[0] == lang)
+
+        def shares(count):
+            total = sum(count[t] for t in kept)
+            return {t: 1 + 1_000_000_000 * (count[t] + 5) // (total + 5 * v) for t in kept}
+        p = {s: shares(counts[lang, s]) for s in sources}
+        whole = Counter()
+        for s in sources:
+            whole.update(counts[lang, s])
+        q = shares(whole)
+        for s in sources:
+            pairs = [(sum(abs(p[s][t] - p[o][t]) for t in kept), o) for o in sources if o != s]
+            terms = [(p[s][t] - q[t], t) for t in kept if counts[lang, s][t] and p[s][t] > q[t]]
+            for part, found, most in (("pair", pairs, len(pairs)), ("term", terms, top)):
+                found.sort(key=lambda x: (-x[0], x[1].encode()))
+                out += [(lang, s, part, item, value, i + 1) for i, (value, item) in enumerate(found[:most])]
+    return sorted(out)
+
+
+def rising(ones, counts):
+    """Isotonic regression by its min-max formula."""
+    n = len(ones)
+    mean = lambda a, b: sum(ones[a:b + 1]) / sum(counts[a:b + 1])
+    return [max(min(mean(a, b) for b in range(i, n)) for a in range(i + 1)) for i in range(n)]

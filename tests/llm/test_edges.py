@@ -155,6 +155,23 @@ def test_pii(spark, docs, none):
     assert pii.redact(docs).columns == docs.columns and pii.find_pii(none).count() == 0
 
 
+CONTEXT = [
+    ("call me: 017-555-7713 today", [("local_phone", "017-555-7713", 0.6)]), ("version 017-555-7713 of it", []),
+    ("tel (017) 555-7713", [("local_phone", "(017) 555-7713", 0.6)]), ("call 1.2.3.4", [("ip", "1.2.3.4", 0.6)]),
+    ("card 4222 2222 2222 2", [("short_card", "4222 2222 2222 2", 0.6)]), ("part 4222222222222", []), ("card 4222222222223", []),
+    ("write to jane.doe (at) example (dot) org", [("spaced_email", "jane.doe (at) example (dot) org", 0.6)]),
+    ("mail jane @ example . org", [("spaced_email", "jane @ example . org", 0.6)]), ("jane @ example . org", []),
+    ("contact a@b.org", [("email", "a@b.org", 0.9)]), ("see a@b.org", [("email", "a@b.org", 0.7)]),
+    ("ssn 078-05-1120", [("ssn", "078-05-1120", 0.6)]), ("no 078-05-1120", []),
+]
+
+
+def test_context_words_decide_weaker_kinds(spark):
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(CONTEXT)], "doc_id long, text string")
+    found = {r.doc_id: [(s.kind, s.value, round(s.score, 1)) for s in r.pii] for r in pii.find_pii(docs).collect()}
+    assert [found[i] for i in range(len(CONTEXT))] == [want for _, want in CONTEXT]
+
+
 def test_many_matches_in_one_text(spark):
     text = " ".join(f"u{i}@h.org" for i in range(1000))
     (row,) = pii.find_pii(spark.createDataFrame([(text,)], "text string")).collect()
@@ -253,3 +270,60 @@ def test_secrets(spark, docs, none):
     assert secret_scan.scan(none).count() == 0
     masked = secret_scan.mask(docs, out)
     assert masked.columns == docs.columns and masked.count() == len(TEXTS)
+
+
+def _thue_morse(k, a="a", b="b"):
+    word, other = a, b
+    for _ in range(k):
+        word, other = word + other, other + word
+    return word, other
+
+
+def test_words_that_a_polynomial_hash_takes_for_equal_are_kept(spark):
+    one, two = _thue_morse(10)
+    head, tail = " ".join(f"h{i}" for i in range(20)), " ".join(f"t{i}" for i in range(20))
+    rows = [(1, f"{head} {one} {tail}"), (2, f"{head} {two} {tail}"), (3, f"{head} {one} {tail}")]
+    from clicklens.llm.words import NOT_BLANK, word_blocks
+    import pyarrow as pa
+    (block,) = word_blocks(pa.array([f"{one} {two}"]), NOT_BLANK)
+    assert len(set(block.hashes().tolist())) == 1       # the hash that routes cannot tell them apart
+    want = {i: w for (i, _), w in zip(rows, brute.removed(rows))}
+    for shard in (substrings.SHARD, 1):
+        got = {r.id: (r.n_words, sum(s.end - s.start for s in r.removed), r.kept) for r in substrings.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), shard=shard).collect()}
+        assert got == want and got[2][:2] == (41, 40) and got[2][2] == two and got[3][1] == 41
+
+
+def test_text_ids_have_an_order(spark):
+    rows = [("x1", PASSAGE), ("7", PASSAGE), ("x2", PASSAGE + " end")]
+    got = {r.id: sum(s.end - s.start for s in r.removed) for r in substrings.remove_repeats(spark.createDataFrame(rows, "doc_id string, text string")).collect()}
+    assert got == {"7": 0, "x1": 30, "x2": 30}
+
+
+def test_a_url_of_many_labels_is_quick(spark):
+    import time
+    rules = spark.createDataFrame([("block", "b.net", "/"), ("allow", "a.b.net", "/x/")], "action string, host string, path string")
+    long = "http://" + "a." * 50_000 + "b.net/x/y"
+    pages = spark.createDataFrame([(1, long), (2, "http://net/"), (3, "http://.b.net/x/")], "page_id long, url string")
+    urls.apply_rules(pages.limit(1), rules).collect()
+    began = time.time()
+    got = {r.page_id: (r.rule, r.verdict) for r in urls.apply_rules(pages, rules).collect()}
+    assert time.time() - began < 8 and got == {1: ("a.b.net/x/", "allow"), 2: (None, "allow"), 3: ("b.net/", "block")}
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_encode_documents_equals_the_library_for_every_file(spark, name):
+    import random
+
+    from tokenizers import Tokenizer
+    rng = random.Random(9)
+    tok = Tokenizer.from_file(Q.vocabulary(name))
+    tok.no_truncation(), tok.no_padding()
+    words = ["Hello", "world", "don't", " ", "  ", "\n", "\n\n", "\t", "été", "漢字", "12345", "...", "<|endoftext|>", "x" * 40, "\U0001F600", "A", "\r\n", " "]
+    texts = [t for _, t in TEXTS] + ["Hello world", " Hello", "Hello ", "\n", "  \n x"] + [
+        "".join(rng.choice(words) + rng.choice(["", " ", " ", "\n"]) for _ in range(rng.randint(1, 60))) for _ in range(600)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    for size in (bpe.CHUNK, 16):
+        got = {r.doc_id: (list(r.ids), r.decoded) for r in bpe.encode_documents(docs, Q.vocabulary(name), ("ids", "decoded"), size=size).collect()}
+        for i, t in enumerate(texts):
+            ids = tok.encode(t or "", add_special_tokens=False).ids
+            assert got[i] == (ids, tok.decode(ids, skip_special_tokens=False)), (i, t)
