@@ -1,6 +1,7 @@
 """Plain Python forms of the operators, for small inputs: rows are dicts."""
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -186,3 +187,127 @@ def rising(ones, counts):
     n = len(ones)
     mean = lambda a, b: sum(ones[a:b + 1]) / sum(counts[a:b + 1])
     return [max(min(mean(a, b) for b in range(i, n)) for a in range(i + 1)) for i in range(n)]
+
+
+NAMES = ("key", "token", "secret", "passw", "pwd", "auth", "credential", "bearer", "signature")
+RUN_CHARS = set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-")
+
+
+def _run(t, i, padded=True):
+    """Where the run from ``i`` ends, with its padding."""
+    j = i
+    while j < len(t) and t[j] in RUN_CHARS:
+        j += 1
+    k = j
+    while k < len(t) and t[k] == "=" and k - j < 2:
+        k += 1
+    return k if padded and k > j and not (k < len(t) and (t[k] in RUN_CHARS or t[k] in "=\"'`")) else j
+
+
+def _skip(t, i, chars, most):
+    j = i
+    while j < len(t) and t[j] in chars and j - i < most:
+        j += 1
+    return j
+
+
+def _after_sign(t, i):
+    """Position behind an assignment sign at ``i``, blanks and a quote, or None."""
+    if i >= len(t) or t[i] not in "=:":
+        return None
+    i = _skip(t, i + 1, ">", 1)
+    i = _skip(t, i, " \t", 4)
+    return _skip(t, i, "\"'`", 1)
+
+
+def _any_end(t, i):
+    j = i
+    while j < len(t) and ord(t[j]) > 0x20 and t[j] not in "\"'`<>(){}[],;&":
+        j += 1
+    end = j
+    while end > i:
+        pad = 0
+        while pad < 2 and end - pad - 1 > i and t[end - pad - 1] == "=":
+            pad += 1
+        if t[end - pad - 1] not in ".!?:=":
+            return end
+        end -= 1
+    return None
+
+
+def _named_value(t, i):
+    """Start of the value behind a secret-like name at ``i``, trying the longest name first as the expression does."""
+    for name in NAMES:
+        if t[i:i + len(name)].lower() == name and t[i:i + len(name)].isascii():
+            j = i + len(name)
+            most = _skip(t, j, "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_-", 24)
+            for k in range(most, j - 1, -1):
+                for q in ((k + 1, k) if k < len(t) and t[k] in "\"'`" else (k,)):
+                    for blank in range(_skip(t, q, " \t", 4), q - 1, -1):
+                        if blank < len(t) and t[blank] in "=:":
+                            s = _skip(t, blank + 1, ">", 1)
+                            for at in range(_skip(t, s, " \t", 4), s - 1, -1):
+                                for v in ((at + 1, at) if at < len(t) and t[at] in "\"'`" else (at,)):
+                                    if _any_end(t, v):
+                                        return v
+                    for blank in range(_skip(t, q, " \t", 4), q, -1):
+                        for v in ((blank + 1, blank) if blank < len(t) and t[blank] in "\"'`" else (blank,)):
+                            if _any_end(t, v):
+                                return v
+    return None
+
+
+def proposed(t):
+    """(start, end) of every proposed secret of a text, by a scan from left to right."""
+    out, i = [], 0
+    t = t or ""
+    while i < len(t):
+        v = _named_value(t, i)
+        if v is not None:
+            out.append((v, _any_end(t, v)))
+        elif (v := _after_sign(t, i)) is not None and v < len(t) and t[v] in RUN_CHARS:
+            out.append((v, _run(t, v)))
+        elif t[i] in RUN_CHARS and (i == 0 or t[i - 1] not in RUN_CHARS) and _run(t, i, padded=False) - i >= 16 \
+                and re.match(r"[A-Za-z+/_\-]*[0-9]", t[i:]):
+            j = _run(t, i, padded=False)
+            while j < len(t) and t[j] == "." and _run(t, j + 1, padded=False) - j - 1 >= 8:
+                j = _run(t, j + 1, padded=False)
+            out.append((i, _run(t, j)))
+        else:
+            i += 1
+            continue
+        i = out[-1][1]
+    return out
+
+
+def weighed(counts, steps=200, prior=0.8, right=0.8):
+    """Expectation-maximisation over vote patterns, one pattern and rule at a time."""
+    counts = sorted(counts)
+    if not counts:
+        return 0.0, []
+    k = len(counts[0][0])
+    start = {1: (right, 1 - right), 0: (1 - right, right), -1: (0.5, 0.5)}
+    like = [{v: start[v] for v in (1, 0, -1)} for _ in range(k)]
+    share = prior
+    for _ in range(steps):
+        good_n = bad_n = 0.0
+        seen = [{v: [0.0, 0.0] for v in (1, 0, -1)} for _ in range(k)]
+        for votes, c in counts:
+            g, b = math.log(share), math.log(1 - share)
+            for r, v in enumerate(votes):
+                g, b = g + math.log(like[r][v][0]), b + math.log(like[r][v][1])
+            p = 1 / (1 + math.exp(min(700.0, max(-700.0, b - g))))
+            good_n, bad_n = good_n + c * p, bad_n + c * (1 - p)
+            for r, v in enumerate(votes):
+                seen[r][v][0] += c * p
+                seen[r][v][1] += c * (1 - p)
+        share = min(0.999, max(0.001, good_n / (good_n + bad_n)))
+        # one text of each vote beforehand keeps probabilities off zero
+        like = [{v: ((s[v][0] + 1) / (good_n + 3), (s[v][1] + 1) / (bad_n + 3)) for v in s} for s in seen]
+        # no rule is worse than chance: a vote that would speak against itself says nothing
+        for w in like:
+            for v, (g, b) in ((1, w[1]), (0, w[0])):
+                if (g < b) == (v == 1):
+                    w[v] = ((g + b) / 2, (g + b) / 2)
+            w[-1] = (sum(w[-1]) / 2, sum(w[-1]) / 2)  # to abstain says nothing
+    return math.log(share / (1 - share)), [{v: math.log(w[v][0] / w[v][1]) for v in w} for w in like]
