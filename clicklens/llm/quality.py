@@ -19,9 +19,9 @@ result's own names.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -95,32 +95,24 @@ def estimate(counts: Sequence[tuple[tuple[int, ...], int]], steps: int = 200, pr
     counts = sorted(counts)
     if not counts:
         return 0.0, []
-    k = len(counts[0][0])
-    start = {1: (right, 1 - right), 0: (1 - right, right), -1: (0.5, 0.5)}
-    like = [{v: start[v] for v in (1, 0, -1)} for _ in range(k)]
+    votes = np.array([v for v, _ in counts]) + 1                 # columns of ``like``: abstains, bad, good
+    times = np.array([c for _, c in counts], dtype=np.float64)
+    k, rule = votes.shape[1], np.arange(votes.shape[1])
+    like = np.tile(np.array([[0.5, 0.5], [1 - right, right], [right, 1 - right]]), (k, 1, 1))    # rule, vote, (on good, on bad)
     share = prior
     for _ in range(steps):
-        good_n = bad_n = 0.0
-        seen = [{v: [0.0, 0.0] for v in (1, 0, -1)} for _ in range(k)]
-        for votes, c in counts:
-            g, b = math.log(share), math.log(1 - share)
-            for r, v in enumerate(votes):
-                g, b = g + math.log(like[r][v][0]), b + math.log(like[r][v][1])
-            p = 1 / (1 + math.exp(min(700.0, max(-700.0, b - g))))
-            good_n, bad_n = good_n + c * p, bad_n + c * (1 - p)
-            for r, v in enumerate(votes):
-                seen[r][v][0] += c * p
-                seen[r][v][1] += c * (1 - p)
-        share = min(0.999, max(0.001, good_n / (good_n + bad_n)))
+        odds = np.log(share / (1 - share)) + (np.log(like[..., 0]) - np.log(like[..., 1]))[rule, votes].sum(axis=1)
+        p = 1 / (1 + np.exp(np.clip(-odds, -700, 700)))
+        part = np.stack([times * p, times * (1 - p)])
+        share = min(0.999, max(0.001, part[0].sum() / part.sum()))
         # one text of each vote beforehand keeps probabilities off zero
-        like = [{v: ((s[v][0] + 1) / (good_n + 3), (s[v][1] + 1) / (bad_n + 3)) for v in s} for s in seen]
-        # no rule is worse than chance: a vote that would speak against itself says nothing
-        for w in like:
-            for v, (g, b) in ((1, w[1]), (0, w[0])):
-                if (g < b) == (v == 1):
-                    w[v] = ((g + b) / 2, (g + b) / 2)
-            w[-1] = (sum(w[-1]) / 2, sum(w[-1]) / 2)  # to abstain says nothing
-    return math.log(share / (1 - share)), [{v: math.log(w[v][0] / w[v][1]) for v in w} for w in like]
+        seen = np.stack([[np.bincount(votes[:, r], weights=w, minlength=3) for w in part] for r in rule]).transpose(0, 2, 1)
+        like = (seen + 1) / (part.sum(axis=1) + 3)
+        # no rule is worse than chance: a vote that would speak against itself says nothing, and neither does abstaining
+        against = np.stack([np.ones(k, dtype=bool), like[:, 1, 0] > like[:, 1, 1], like[:, 2, 0] < like[:, 2, 1]], axis=1)
+        like = np.where(against[..., None], like.mean(axis=2, keepdims=True), like)
+    weights = np.log(like[..., 0] / like[..., 1])
+    return float(np.log(share / (1 - share))), [{v: float(w[v + 1]) for v in (1, 0, -1)} for w in weights]
 
 
 def judge(docs: DataFrame, carry: Sequence[str] = ("doc_id",), text: str = "text", threshold: float = 0.5) -> DataFrame:

@@ -185,6 +185,17 @@ def test_quality(spark, docs, none):
     assert quality.judge(none).count() == 0
 
 
+def test_estimates_equal_the_plain_form():
+    import random
+    rng = random.Random(6)
+    for n in (1, 3, 40):
+        counts = list({tuple(rng.choice((1, 1, 0, -1)) for _ in range(5)): rng.randint(1, 50) for _ in range(n)}.items())
+        base, weights = quality.estimate(counts)
+        plain, plain_weights = brute.weighed(counts)
+        assert abs(base - plain) < 1e-6 and all(abs(a[v] - b[v]) < 1e-6 for a, b in zip(weights, plain_weights) for v in a)
+    assert quality.estimate([]) == (0.0, [])
+
+
 def test_bpe(spark, docs, none):
     from tokenizers import Tokenizer
     vocab = Q.vocabulary()
