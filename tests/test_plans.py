@@ -103,3 +103,94 @@ def test_last_minute_bound_reaches_the_scan(spark, tmp_path):
     # the filter compares the raw column with the subquery's value and nothing else
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert re.search(r"Filter \(isnotnull\(ts#\d+\) AND \(ts#\d+ >= scalar-subquery", plan), plan
+
+
+def _catalog_table(spark, name):
+    from clicklens.sinks import replace_table
+    v = tables.visit_log(spark, SF_SMALL).select("date", "session_id", "page_id", "event_id")
+    replace_table(v, name, path=f"{shared_dir(spark)}/{name}", partition_by=["date"])
+    return name
+
+
+def test_a_catalog_scan_prunes_partitions_by_its_range(spark):
+    name = _catalog_table(spark, "uva_ranged")
+    p = plan_of(tables.catalog_scan(spark, name, "2024-01-08", "2024-01-09", columns=["date", "page_id"]))
+    parts = re.search(r"PartitionFilters: \[([^\]]*)\]", p).group(1)
+    assert "2024-01-08" in parts and "2024-01-09" in parts
+    assert re.search(r"ReadSchema: struct<([^>]*)>", p).group(1) == "page_id:bigint"
+
+
+def test_a_catalog_scan_prunes_partitions_by_a_join_at_run_time(spark):
+    name = _catalog_table(spark, "uva_days")
+    days = tables.calendar(spark.table(name).withColumn("t", date_of("date")), "t").filter("weekday = 6")
+    out = tables.catalog_scan_days(spark, name, days, columns=["date", "page_id"])
+    sundays = sorted(r.date for r in days.collect())
+    assert sorted(r.date for r in out.select("date").distinct().collect()) == sundays and 0 < len(sundays) < 9
+    p = plan_of(out)
+    assert re.search(r"PartitionFilters: \[[^\]]*dynamicpruning", p)
+
+
+def date_of(c):
+    from pyspark.sql import functions as F
+    return F.col(c).cast("date")
+
+
+def _burst(spark, n=60_000):
+    """A third of all rows in one session at one time; the others in sessions of 100 rows."""
+    from pyspark.sql import functions as F
+    i = F.col("id")
+    bot = i % 3 == 0
+    return spark.range(n).select(
+        F.when(bot, "bot").otherwise(F.concat(F.lit("s"), F.floor(i / 150).cast("string"))).alias("session_id"), i.alias("event_id"),
+        F.timestamp_seconds(F.when(bot, F.lit(1_700_000_000)).otherwise(i)).cast("timestamp_ntz").alias("action_time"), (i % 7).alias("page_id"))
+
+
+def test_a_session_at_one_time_is_spread_evenly(spark):
+    from pyspark.sql import functions as F
+    df = _burst(spark)
+    order = ["action_time", "event_id"]
+    hot = op.hot_slices(df, "session_id", order, fraction=0.5, rows_per_slice=200)
+    assert [r.session_id for r in hot.collect()] == ["bot"]
+    cut = df.join(F.broadcast(hot), "session_id", "left").withColumn(
+        "_slice", F.when(F.col("_bounds").isNotNull(), op.slice_number(order)).otherwise(0))
+    # numbers rise with the order, and the exchange of the window deals (session, slice) like this one
+    w = cut.where("session_id = 'bot'").groupBy("_slice").agg(F.min("event_id").alias("a"), F.max("event_id").alias("z"), F.count("*").alias("n"))
+    rows_ = sorted(tuple(r) for r in w.collect())
+    assert len(rows_) > 80 and all(x[2] < y[1] for x, y in zip(rows_, rows_[1:])) and max(r[3] for r in rows_) < 600
+    sizes = sorted(r["count"] for r in cut.repartition(16, "session_id", "_slice").groupBy(F.spark_partition_id()).count().collect())
+    assert len(sizes) == 16 and sizes[-1] <= 1.5 * sizes[8]
+    steps = lambda **kw: sorted(map(tuple, op.page_steps(df, **kw).groupBy("from_page", "to_page").count().collect()))
+    assert steps(hot_sample=0.5, rows_per_slice=200) == steps(slice_width_s=None)
+
+
+def test_any_number_of_sessions_and_slices_may_be_hot(spark):
+    from pyspark.sql import functions as F
+    df = spark.range(60_000).select((F.col("id") % 1500).alias("session_id"), F.col("id").alias("event_id"),
+                                    F.timestamp_seconds(F.floor(F.col("id") / 6000)).cast("timestamp_ntz").alias("action_time"), (F.col("id") % 5).alias("page_id"))
+    hot = op.hot_slices(df, "session_id", ["action_time", "event_id"], fraction=1.0, rows_per_slice=10)
+    assert hot.count() == 1500 and hot.where("size(_bounds) <> 3").count() == 0
+    steps = lambda **kw: sorted(map(tuple, op.page_steps(df, **kw).collect()))
+    assert steps(hot_sample=1.0, rows_per_slice=10) == steps(slice_width_s=None)
+    # a slice is a share of all rows at least, so that the bounds have a proven size
+    few = op.hot_slices(df, "session_id", ["action_time", "event_id"], fraction=1.0, rows_per_slice=1, slices=100)
+    assert few.count() == 0
+
+
+def test_top_n_beyond_the_planners_limit(spark):
+    from pyspark.sql import functions as F
+    n = 5000
+    df = spark.range(30_000).select(F.when(F.col("id") % 3 > 0, "hot").otherwise(F.concat(F.lit("g"), (F.col("id") % 50).cast("string"))).alias("g"),
+                                    F.pmod(F.hash("id"), F.lit(1000)).alias("v"), F.col("id").alias("i"))
+    out = op.top_n_per_group(df, ["g"], [F.desc("v"), F.asc("i")], n, "rank")
+    p = plan_of(out)
+    assert p.count("Window [row_number()") == 2 and "_part" in p
+    got = sorted((r.g, r["rank"], r.i) for r in out.collect())
+    rows_: dict = {}
+    for r in df.collect():
+        rows_.setdefault(r.g, []).append((-r.v, r.i))
+    assert got == sorted((g, k + 1, i) for g, vs in rows_.items() for k, (_, i) in enumerate(sorted(vs)[:n]))
+    clicks = df.select(F.lit("d").alias("dt"), F.lit("1").alias("adid"), F.col("g").alias("userid"), F.timestamp_seconds("v").alias("ts"), F.col("i").alias("event_id"))
+    first = op.first_clicks(clicks, 3000)
+    assert first.where("userid = 'hot'").count() == 3000 and first.agg(F.max("rn")).first()[0] == 3000
+    want = sorted((g, i) for g, vs in rows_.items() for _, i in sorted((-v, i) for v, i in vs)[:3000])
+    assert sorted((r.userid, r.event_id) for r in first.collect()) == want
