@@ -15,7 +15,8 @@ def components(edges: DataFrame) -> DataFrame:
     nodes themselves, and halves the paths; all three are one grouped minimum. The depth of the trees falls
     by about half each round, so rounds grow with the logarithm of the longest path. Parents are cut from
     their lineage with ``checkpoint()`` each round; a popular root is a popular join key, which an adaptive
-    join splits, and a grouped minimum is combined before its shuffle.
+    join splits, and a grouped minimum is combined before its shuffle: the task of a popular root reads one row
+    of each map task at most, however many nodes point at it.
     """
     both = edges.where("a <> b").select("a", "b")
     both = cut(both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
