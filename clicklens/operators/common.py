@@ -91,8 +91,7 @@ def hot_slices(df: DataFrame, key: str, order: Sequence[str], fraction: float =
     share = F.least(F.lit(float(fraction)), F.lit(float(most_sampled)) / total)
     per = F.greatest(F.lit(float(rows_per_slice)), total / F.lit(slices))
     picked = F.pmod(F.xxhash64(key, *order), F.lit(1 << 30)) < share * F.lit(1 << 30)
-    rows = df.filter(picked).select(key, *order).distinct()
-    found = rows.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(*order))).alias("_s"))
+    found = df.filter(picked).groupBy(key).agg(F.array_sort(F.collect_set(F.struct(*order))).alias("_s"))
     k = F.ceil(F.size("_s") / share / per).alias("_k")
     hot = found.select(key, "_s", k).filter(F.col("_k") > 1)
     cuts = F.transform(F.sequence(F.lit(1).cast("long"), F.col("_k") - 1),
