@@ -165,20 +165,32 @@ def _with_key(docs: DataFrame, id_col: str, text: str) -> DataFrame:
                        part(1).alias("th"), part(17).alias("th2"))
 
 
-def _anchors(docs: DataFrame, n: int, gram: int, popular=None) -> DataFrame:
-    """(doc, anchor, digest of its stretch in two halves, whether the anchor is among ``popular``) of every stretch."""
+def _anchor_names(docs: DataFrame, n: int, gram: int) -> DataFrame:
+    """(anchor) of every stretch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = popular.value if popular is not None else np.empty(0, dtype=np.uint64)
+        for b in batches:
+            for w in word_blocks(b.column(0), NOT_BLANK):
+                yield pa.RecordBatch.from_arrays([pa.array(_stretches(w, n, gram)[2].view(np.int64))], names=["anchor"])
+    return docs.select("text").mapInArrow(run, "anchor long")
+
+
+def _anchors(docs: DataFrame, n: int, gram: int, popular, wanted: bool, digests: bool = True) -> DataFrame:
+    """(doc, anchor, digest of its stretch in two halves) of the stretches whose anchors are among ``popular``, or (not
+    ``wanted``) of all others. Digests are made for these only, and only if asked for."""
+    names = ["doc", "anchor", "da", "db"] if digests else ["doc", "anchor"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = popular.value
         for b in batches:
             ids = b.column(0).to_numpy(zero_copy_only=False)
             for w in word_blocks(b.column(1), NOT_BLANK):
                 first, size, anchor = _stretches(w, n, gram)
-                if len(first):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(ids[w.first + w.row[first]]), pa.array(anchor.view(np.int64)),
-                         *_digests(w.joined(), first, size + n - 1), pa.array(np.isin(anchor, known))],
-                        names=["doc", "anchor", "da", "db", "popular"])
-    return docs.select("doc", "text").mapInArrow(run, "doc long, anchor long, da long, db long, popular boolean")
+                mine = np.flatnonzero(np.isin(anchor, known) == wanted)
+                if len(mine):
+                    first, size, anchor = first[mine], size[mine], anchor[mine]
+                    made = _digests(w.joined(), first, size + n - 1) if digests else ()
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[w.first + w.row[first]]), pa.array(anchor.view(np.int64)), *made], names=names)
+    return docs.select("doc", "text").mapInArrow(run, ", ".join(f"{c} long" for c in names))
 
 
 def _digests(joined: tuple[bytes, np.ndarray, np.ndarray], first: np.ndarray, words: np.ndarray) -> tuple[pa.Array, pa.Array]:
@@ -192,18 +204,16 @@ def _digests(joined: tuple[bytes, np.ndarray, np.ndarray], first: np.ndarray, wo
 
 def _flags(src: DataFrame, n: int, gram: int, shard: int) -> DataFrame:
     """Per document the anchors whose stretches are surely removed, may be, or must be routed window by window."""
-    sampled = cut(_anchors(src.where(F.pmod(F.xxhash64("doc"), F.lit(16)) == 0), n, gram).groupBy("anchor").count())
+    sampled = cut(_anchor_names(src.where(F.pmod(F.xxhash64("doc"), F.lit(16)) == 0), n, gram).groupBy("anchor").count())
     total = sampled.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
     often = sampled.where(F.col("count") >= max(8, total // 100_000)).select("anchor").collect()
     popular = src.sparkSession.sparkContext.broadcast(np.sort(np.array([r[0] for r in often], dtype=np.int64).view(np.uint64)))
-    found = _anchors(src, n, gram, popular)
     seen = {"least": F.min("doc"), "most": F.max("doc"), "n": F.count(F.lit(1))}
     seen |= {f"{d}{k}": f(d) for d in ("da", "db") for k, f in ((0, F.min), (1, F.max))}
     by = Window.partitionBy("anchor")
-    cold = (found.where("not popular").select("doc", "anchor", *[f.over(by).alias(k) for k, f in seen.items()]))
-    rows = found.where("popular")
-    stats = rows.groupBy("anchor").agg(*[f.alias(k) for k, f in seen.items()])
-    hot = rows.select("doc", "anchor").join(F.broadcast(stats), "anchor")
+    cold = _anchors(src, n, gram, popular, False).select("doc", "anchor", *[f.over(by).alias(k) for k, f in seen.items()])
+    stats = _anchors(src, n, gram, popular, True).groupBy("anchor").agg(*[f.alias(k) for k, f in seen.items()])
+    hot = _anchors(src, n, gram, popular, True, digests=False).join(F.broadcast(stats), "anchor")
     kind = (F.when((F.col("da0") == F.col("da1")) & (F.col("db0") == F.col("db1")), F.when(F.col("doc") > F.col("least"), "sure"))
             .when(F.col("n") <= shard, "maybe").otherwise("apart"))
     return (cold.unionByName(hot).where("least < most").select("doc", "anchor", kind.alias("kind"))
@@ -244,7 +254,8 @@ def _routed(flagged: DataFrame, n: int, gram: int) -> DataFrame:
                 count = np.concatenate((size[one], np.ones(len(at_cut), dtype=np.int64)))
                 if not len(at):
                     continue
-                keys = np.concatenate((anchor[one], window_hashes(w.hashes(), n)[at_cut]))
+                windows = window_hashes(w.hashes(), n)[at_cut] if len(at_cut) else np.empty(0, dtype=np.uint64)
+                keys = np.concatenate((anchor[one], windows))
                 joined = data, s, e = w.joined()
                 texts = [data[a:z] for a, z in zip(s[at].tolist(), e[at + count + n - 2].tolist())]
                 begin = w.first_word()[w.row[at]]

@@ -54,12 +54,15 @@ class Words:
     starts: np.ndarray
     ends: np.ndarray
     row: np.ndarray         # row of each word, counted from 0 in this block
+    hashed: np.ndarray | None = None
 
     def counts(self) -> np.ndarray:
         return np.bincount(self.row, minlength=self.rows)
 
     def hashes(self) -> np.ndarray:
-        return word_hashes(self.buf, self.starts, self.ends)
+        if self.hashed is None:
+            self.hashed = word_hashes(self.buf, self.starts, self.ends)
+        return self.hashed
 
     def joined(self) -> tuple[bytes, np.ndarray, np.ndarray]:
         """(all words joined by one blank each, start and end of each word in it): equal runs of words are equal bytes."""
