@@ -311,3 +311,59 @@ def weighed(counts, steps=200, prior=0.8, right=0.8):
                     w[v] = ((g + b) / 2, (g + b) / 2)
             w[-1] = (sum(w[-1]) / 2, sum(w[-1]) / 2)  # to abstain says nothing
     return math.log(share / (1 - share)), [{v: math.log(w[v][0] / w[v][1]) for v in w} for w in like]
+
+
+_M = (1 << 64) - 1
+
+
+def spark_hash(*values):
+    """Spark's xxhash64 of whole numbers and texts, signed."""
+    h = 42
+    for v in values:
+        if v is not None:
+            h = xxhash.xxh64(v.to_bytes(8, "little", signed=True) if isinstance(v, int) else v.encode(), h).intdigest()
+    return h - (1 << 64) if h >> 63 else h
+
+
+def row_numbers(rows):
+    """{row: number} of distinct rows of whole numbers: by hash bucket, then first column, hash and all columns."""
+    n = len(rows)
+    buckets = max(1, n // max(1000, math.isqrt(n)))
+    return {r: i for i, r in enumerate(sorted(rows, key=lambda r: (spark_hash(*r) % buckets, r[0], spark_hash(*r), r)))}
+
+
+def word_hash(b):
+    """The 64-bit hash of a word's bytes, with plain integers."""
+    h = (sum((x + 1) * pow(0x9E3779B97F4A7C15, i, 1 << 64) for i, x in enumerate(b)) + len(b)) & _M
+    h = ((h ^ (h >> 32)) * 0xFF51AFD7ED558CCD) & _M
+    h = ((h ^ (h >> 29)) * 0xC4CEB9FE1A85EC53) & _M
+    return h ^ (h >> 32)
+
+
+def toxicity_bins(text, space):
+    """Bins of a text's words and of their first 4, 5 and 6 bytes."""
+    out = set()
+    for w in ALNUM.findall((text or "").translate(LOWER)):
+        b = w.encode()
+        out.add(word_hash(b) % space)
+        out |= {(word_hash(b[:n]) ^ (0x51ED27A3C0FFEE00 + n)) % space for n in (4, 5, 6) if len(b) >= n}
+    return out
+
+
+def quality_votes(text):
+    """The votes of the eleven quality rules on a text."""
+    import regex
+    t = text or ""
+    n, chars, symbols, dups, repeats = quality(t)
+    letters, upper = len(regex.findall(r"\p{L}", t)), len(regex.findall(r"\p{Lu}", t))
+    marks, runs = len(regex.findall(r"[!?.,;:#*$%&|<>~=]{2,}", t)), len(regex.findall(r"[#*$%&|<>]+", t))
+    lone = sum(bool(regex.fullmatch(r"[#*$%&|<>~=!?.,;:]+", w)) for w in blank_words(t))
+    lines = max(1, sum(bool(blank_words(x)) for x in t.split("\n")))
+    words, chars, letters = max(1, n), max(1, chars), max(1, letters)
+    pairs = [(n >= 50, n < 10), (3 * n <= chars <= 10 * n, chars < 2 * n or chars > 15 * n), (20 * symbols < words, 4 * symbols > words),
+             (10 * dups <= lines, 10 * dups > 3 * lines), (5 * repeats <= words, 10 * repeats > 3 * words), (None, None),
+             (100 * symbols < chars, 20 * symbols > chars), (20 * runs < words, 5 * runs > words), (50 * marks < words, 10 * marks > words),
+             (50 * lone < words, 10 * lone > words), (10 * upper <= 2 * letters, 2 * upper > letters)]
+    n_letters = len(regex.findall(r"\p{L}", t))
+    pairs[5] = (10 * n_letters >= 8 * chars, 10 * n_letters < 6 * chars)
+    return tuple(0 if bad else 1 if good else -1 for good, bad in pairs)

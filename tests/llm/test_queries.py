@@ -107,6 +107,40 @@ def test_op7(spark, docs):
         assert (r["size"], r.text_crc32) == (len((d["text"] or "").encode()) + 1, brute.crc(d["text"]))
 
 
+def test_op7_row_numbers_equal_the_plain_order(spark, docs):
+    got = result(spark, "op7_sharding")
+    rows = [(d["doc_id"], len((d["text"] or "").encode()) + 1, brute.crc(d["text"])) for d in docs]
+    f = Feistel(len(rows), 42)
+    for r, number in brute.row_numbers(rows).items():
+        p = f.of(number)
+        assert (got[r[0]].shard, got[r[0]].slot) == (p % 8, p // 8)
+
+
+def test_op5_scores_equal_plain_sums(spark, docs):
+    import math
+
+    from clicklens.llm import toxicity
+    model = Q.toxicity_model(spark, SF_MID)
+    weight = dict(zip(model.bins.tolist(), model.weights.tolist()))
+    assert weight
+    got = {r.doc_id: r.score for r in toxicity.score(Q._docs(spark, SF_MID), model).collect()}
+    for d in docs:
+        z = model.bias + sum(weight.get(b, 0.0) for b in brute.toxicity_bins(d["text"], toxicity.SPACE))
+        assert abs(got[d["doc_id"]] - 1 / (1 + math.exp(-max(-60, min(60, z))))) < 1e-9
+
+
+def test_op10_verdicts_equal_the_plain_model(spark, docs):
+    import math
+    from collections import Counter
+    got = result(spark, "op10_quality")
+    votes = {d["doc_id"]: brute.quality_votes(d["text"]) for d in docs}
+    base, weights = brute.weighed(list(Counter(votes.values()).items()))
+    for i, v in votes.items():
+        odds = base + sum(w[x] for w, x in zip(weights, v))
+        if abs(odds) > 1e-6:
+            assert got[i].kept == (not got[i].base_failed and 1 / (1 + math.exp(-odds)) >= 0.5), i
+
+
 def test_op8(spark, docs):
     got = result(spark, "op8_decontaminate")
     items = [(r.item_id, r.text) for r in read_table(spark, SF_MID, "benchmark").collect()]
