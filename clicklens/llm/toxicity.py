@@ -145,7 +145,7 @@ def _train(texts: pa.Array, positive: np.ndarray, prior: float, max_features: in
 
 def fit(docs: DataFrame, labels: DataFrame, train_rows: Column, id_col: str = "doc_id", text: str = "text",
         label: str = "toxic", max_positive: int = 8_000, max_unlabelled: int = 16_000, unlabelled_share: float = 1 / 16,
-        bag: int = 8_000, bag_positive: int = 2_000, max_features: int = 5_000, z_least: float = 4.0) -> Weights:
+        bag: int = 4_000, bag_positive: int = 2_000, max_features: int = 5_000, z_least: float = 4.0) -> Weights:
     """Train on the rows of ``docs`` and ``labels`` that ``train_rows`` (a condition on the id) admits."""
     name = quoted(id_col)
     marked = (labels.select(F.col(name).alias(id_col), F.col(quoted(label)).cast("int").alias("_y"))
@@ -158,17 +158,21 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: Column, id_col: str = "d
     pool = docs.select(F.col(name).alias(id_col), F.col(quoted(text)).alias("_t")).where(train_rows)
     digest = F.xxhash64(F.lit("sample"), F.col(name))
     # about max_positive ids at most: small enough to look up where the texts lie
-    ids = F.broadcast(marked.where("_y = 1").where(chosen(digest, max_positive, n_pos)).select(name))
+    ids = F.broadcast(marked.where("_y = 1").where(chosen(digest, max_positive, n_pos)).select(name, F.lit(True).alias("_p")))
     total = docs.count()
     wanted = min(total, max(max_unlabelled, int(total * unlabelled_share))) if max_unlabelled else 0
-    bags = max(1, round(wanted / bag))
+    most = max(1, min(n_pos, max_positive))
+    bags = max(1, round(wanted / bag), -(-most // bag_positive))
     # a confirmed example goes to as many bags as it takes to give each about bag_positive of them
-    shared = min(bags, max(1, -(-bags * bag_positive // max(1, min(n_pos, max_positive)))))
+    shared = min(bags, max(1, round(bags * bag_positive / most)))
+    # one scan serves both samples: a text may be a confirmed example, an unlabelled text, or both
     first = F.pmod(F.xxhash64(F.lit("bag"), "_t"), F.lit(bags))
-    positives = pool.join(ids, [id_col]).select("_t", F.lit(True).alias("_p"), F.explode(F.transform(
-        F.sequence(F.lit(0), F.lit(shared - 1)), lambda j: F.pmod(first + j, F.lit(bags)))).alias("_bag"))
-    unlabelled = pool.where(chosen(digest, wanted, total)).select("_t", F.lit(False).alias("_p"), first.alias("_bag"))
-    sample = positives.unionByName(unlabelled).withColumn("_k", F.xxhash64("_t"))
+    in_bag = lambda p, at: F.struct(F.lit(p).alias("_p"), at.alias("_bag"))
+    none = F.array().cast("array<struct<_p:boolean,_bag:bigint>>")
+    as_example = F.transform(F.sequence(F.lit(0), F.lit(shared - 1)), lambda j: in_bag(True, F.pmod(first + j, F.lit(bags))))
+    roles = F.concat(F.when(F.col("_p"), as_example).otherwise(none), F.when(F.col("_u"), F.array(in_bag(False, first))).otherwise(none))
+    read = pool.withColumn("_u", F.coalesce(chosen(digest, wanted, total), F.lit(False))).join(ids, [id_col], "left")
+    sample = read.where("_u or _p").select("_t", F.xxhash64("_t").alias("_k"), F.inline(roles))
 
     def train(table: pa.Table) -> pa.Table:
         # the same sums, whatever order the rows arrived in
