@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from clicklens import operators as op
 from clicklens.session import shared_dir
 from clicklens.sources import encode_lines, parse_lines, read_line_stream
-from clicklens.streaming import jobs
+from clicklens.streaming import blacklist, jobs
 from clicklens.streaming.blacklist import thinned
 from tests.conftest import rows
 
@@ -305,3 +305,39 @@ def test_arrival_windows_follow_a_declared_clock(spark):
     got = {r.win_start: r.clicks for r in jobs.read_ads_arrival_trend(spark, f"{root}/out").collect()}
     assert len(got) == 8 and got["2030-01-01 00:00:00"] == 2 and got["2029-12-31 23:59:30"] == 2
     assert got["2029-12-31 23:59:10"] == 1 and got["2030-01-01 00:00:20"] == 1
+
+
+@pytest.mark.parametrize("mode,name", [("event_time", "clicks"), ("micro_batch", "counters")])
+def test_users_of_a_bucket_share_an_entry_of_state_for_each_day(spark, monkeypatch, mode, name):
+    # 40 users in two buckets, three days, scattered over four batches; a few are listed, some by clicks that come later
+    root = shared_dir(spark)
+    monkeypatch.setattr(blacklist, "BUCKETS", 2)
+    recs = [(i, (i * 7919) % (3 * 86_400), "A", "c", i % 40 if i % 3 else i % 4, i % 2 + 1) for i in range(600)]
+    df = ads(spark, recs).withColumn("batch", F.pmod(F.hash("event_id"), F.lit(4)))
+    start = lambda c, o, cp, trigger: jobs.blacklist_stream(c, o, cp, 6, mode=mode, trigger=trigger)
+    for part in range(4):
+        write_lines(df.where(F.col("batch") == part).drop("batch").coalesce(1), f"{root}/in")
+        run_once(spark, start, f"{root}/in", f"{root}/out", f"{root}/cp")
+    users, counts = jobs.read_blacklist(spark, f"{root}/out", 6, mode), jobs.read_blacklist_counts(spark, f"{root}/out", 6, mode)
+    twin = (op.blacklist_users, op.blacklist_filtered_counts) if mode == "event_time" else (op.blacklist_users_by_batch, op.blacklist_filtered_counts_by_batch)
+    assert 0 < users.count() < 40
+    assert rows(users) == rows(twin[0](df, 6))
+    assert rows(counts) == rows(twin[1](df, 6))
+    days = df.select("dt").distinct().count()
+    state = spark.read.format("statestore").option("stateVarName", name).load(f"{root}/cp")
+    assert 0 < state.count() <= 2 * days     # not one for each (day, ad, user)
+
+
+def test_clicks_are_thinned_over_the_batches_of_a_task(spark, monkeypatch):
+    df = ads(spark, [(i, i % 50, "A", "c", i % 3, i % 2 + 1) for i in range(3000)]).coalesce(1)
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "200")
+    try:
+        first, counted = thinned(df, 5).collect(), thinned(df, None).collect()
+        monkeypatch.setattr(blacklist, "HELD", 7)     # more than a task may hold: thinned less, nothing lost
+        some = thinned(df, None)
+        assert some.count() > 6
+        assert rows(some.groupBy("dt", "adid", "userid").agg(F.sum("n").alias("clicks"))) == rows(op.ad_user_daily_counts(df))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    assert len(first) == 30 and sorted(r.n for r in counted) == [500] * 6
